@@ -130,7 +130,7 @@ def processed_count(v: Views) -> DataFrame:
 @query
 def processed_union(v: Views) -> DataFrame:
     path = scratch_path(v.spark, "union")
-    new = v.serp_results().where("page_id % 2 = 0").select("link")
+    new = v.serp_links().where("page_id % 2 = 0").select("link")
     files.add_lines(v.processed_urls(), new, path, "link")
     return files.read_lines(v.spark, path, "link")
 
@@ -239,12 +239,12 @@ def term_domain_queries(v: Views) -> DataFrame:
 
 @query
 def url_rules(v: Views) -> DataFrame:
-    return v.serp_results().select("page_id", "link", F.coalesce(links.rejection_rule(F.col("link")), F.lit("accepted")).alias("rule"))
+    return v.serp_links().select("page_id", "link", F.coalesce(links.rejection_rule(F.col("link")), F.lit("accepted")).alias("rule"))
 
 
 @query
 def url_split(v: Views) -> DataFrame:
-    return collection.split_links(v.serp_results()).where("rule IS NOT NULL").select("link", "reason", "rule")
+    return collection.split_links(v.serp_links()).where("rule IS NOT NULL").select("link", "reason", "rule")
 
 
 @query
@@ -338,19 +338,19 @@ def _scraped(v: Views) -> DataFrame:
 
 @query
 def join_content(v: Views) -> DataFrame:
-    joined = collection.join_content(v.serp_results(), _scraped(v), "link", F.asc("page_id"))
+    joined = collection.join_content(v.serp_links(), _scraped(v), "link", F.asc("page_id"))
     return joined.select("page_id", "link", "title", "scraper_used", "processing_time_s")
 
 
 @query
 def join_content_salted(v: Views) -> DataFrame:
-    joined = collection.join_content(v.serp_results(), _scraped(v), "link", F.asc("page_id"), salts=8)
+    joined = collection.join_content(v.serp_links(), _scraped(v), "link", F.asc("page_id"), salts=8)
     return joined.select("page_id", "link", "title", "scraper_used", "processing_time_s")
 
 
 @query
 def new_links(v: Views) -> DataFrame:
-    return collection.new_links(v.serp_results(), v.processed_urls()).select("page_id", "link")
+    return collection.new_links(v.serp_links(), v.processed_urls()).select("page_id", "link")
 
 
 @query
@@ -409,7 +409,7 @@ def articles_latest(v: Views) -> DataFrame:
 
 @query
 def enrichment_rows(v: Views) -> DataFrame:
-    rows = collection.join_content(v.serp_results(), _scraped(v), "link", F.asc("page_id"))
+    rows = collection.join_content(v.serp_links(), _scraped(v), "link", F.asc("page_id"))
     scored = text.sentiment(rows, "page_id", "title", v.lexicon(), NEGATORS).drop("score")
     return collection.enrichment_rows(rows.withColumnRenamed("link", "url").join(scored, "page_id"))
 
@@ -477,7 +477,7 @@ def error_report(v: Views) -> DataFrame:
 
 @query
 def scrape_summary(v: Views) -> DataFrame:
-    filtered = v.serp_results().where(~links.is_article(F.col("link"))).select(F.count("*")).scalar()
+    filtered = v.serp_links().where(~links.is_article(F.col("link"))).select(F.count("*")).scalar()
     return reports.scrape_summary(v.scrape_log(), filtered)
 
 
@@ -607,9 +607,10 @@ def collection_plan(v: Views) -> DataFrame:
 
 
 def _collection(v: Views) -> collection.Collection:
+    kept = stages.StageStore(v.spark, scratch_path(v.spark, "stages"))
     return collection.collect(
-        v.serp_results(), v.processed_urls(), v.pages_mixed(), v.lexicon(), "page_id", stamp("2024-03-01 00:00:00"),
-        F.asc("page_id"), negators=NEGATORS)
+        v.serp_links(), v.processed_urls(), v.pages_mixed(), v.lexicon(), "page_id", stamp("2024-03-01 00:00:00"),
+        F.asc("page_id"), negators=NEGATORS, keep=kept.keeper("20240301_000000", "2024-03-01 00:00:00"))
 
 
 @query

@@ -125,19 +125,22 @@ class Views:
 
     # --- search results and pages ---
 
-    def serp_results(self) -> DataFrame:
-        """Search rows: one per page, ranked within its host, with a link that tries one of the link rules."""
+    def serp_links(self) -> DataFrame:
+        """Search rows: one per page, with a link that tries one of the link rules."""
         b = F.regexp_replace("url", "[?#].*$", "")
         tails = ["?page=2", "/newsroom/", "/category/x", "?q=merger", "?s=merger", "?s=2429&item=12", "?s=2429", "/2024/", "/2024/01/a", "?utm_source=feed"]
         link = F.col("url")
         for n, tail in enumerate(tails):
             link = F.when(F.col("page_id") % 12 == n, F.concat(b, F.lit(tail))).otherwise(link)
         title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
-        rows = self.table("pages").select(
+        return self.table("pages").select(
             "page_id", host(F.col("url")).alias("host"), title.alias("title"), link.alias("link"),
             F.when(F.col("page_id") % 5 != 0, F.substring(title, 1, 40)).alias("description"),
         )
-        ranked = numbered(rows, "host", "page_id", "rank")
+
+    def serp_results(self) -> DataFrame:
+        """The search rows with their rank within the host."""
+        ranked = numbered(self.serp_links(), "host", "page_id", "rank")
         return ranked.withColumn("query", F.concat(F.lit("site:"), F.col("host"))).withColumn(
             "page_no", F.floor((F.col("rank") - 1) / 10).cast("int")
         )
@@ -194,7 +197,8 @@ class Views:
         )
 
     def processed_urls(self) -> DataFrame:
-        return self.serp_results().where("page_id % 3 = 0").select("link")
+        return self.serp_links().where("page_id % 3 = 0").select("link")
 
     def lexicon(self) -> DataFrame:
-        return self.spark.createDataFrame(LEXICON, "word string, val double")
+        values = ", ".join(f"('{word}', {val}D)" for word, val in LEXICON)
+        return self.spark.sql(f"SELECT * FROM VALUES {values} AS l(word, val)")

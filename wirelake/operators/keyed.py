@@ -30,7 +30,7 @@ def numbered(df: DataFrame, key: str, order: str, name: str, chunk: int = 1 << 2
     consecutive values: rows are numbered inside (key, chunk), which holds at most `chunk` rows, and
     moved up by the number of rows in the key's earlier chunks.
     """
-    cut = df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk)))
+    cut = df.withColumn("_chunk", F.expr(f"{order} div {chunk}"))
     sizes = cut.groupBy(key, "_chunk").agg(F.count("*").alias("_size"))
     before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(

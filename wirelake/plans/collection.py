@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -41,6 +42,10 @@ def join_content(results: DataFrame, content: DataFrame, link: str, *order: Colu
     return salted_join(results, once, link, "left", salts) if salts else results.join(once, link, "left")
 
 
+# Writes a frame under a stage name and reads it back.
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
 @dataclass
 class Collection:
     """Frames of one collection; nothing runs until one of them is used."""
@@ -55,15 +60,17 @@ class Collection:
 
 def collect(
     results: DataFrame, processed: DataFrame, pages: DataFrame, lexicon: DataFrame, id_col: str, at: Column,
-    *page_order: Column, text_col: str = "description", negators: list[str] | None = None,
+    *page_order: Column, text_col: str = "description", negators: list[str] | None = None, keep: Keep | None = None,
 ) -> Collection:
     """New links, classified; text for the article links; sentiment of the description.
 
-    Known and filtered links leave first, and only pages that a link asks for are extracted. The search rows
-    are read once each for their links, their sentiment and the pages they ask for; save them as a stage
-    first where parsing them is costly.
+    Known and filtered links leave first, and only pages that a link asks for are extracted. The new links are
+    read three times: as rows, for their sentiment, and for the pages they ask for. `keep` writes them as a
+    stage, so that they are parsed and compared with the known links once.
     """
     links = split_links(new_links(results, processed))
+    if keep is not None:
+        links = keep(links, "new_links")
     wanted = links.where("rule IS NULL")
     asked = wanted.select(F.col("link").alias("url")).distinct()
     texts = extraction.extract(pages.join(asked, "url", "left_semi"))

@@ -29,7 +29,16 @@ def extract(pages: DataFrame, strategies: dict[str, H.Strategy] | None = None, h
         df = df.withColumn("_ok", H.has_content(F.col("_found")))
         df = df.withColumn("article_text", F.when(F.col("_ok"), F.col("_found")).otherwise(F.col("article_text")))
         df = df.withColumn("scraper_used", F.when(F.col("_ok"), F.lit(name)).otherwise(F.col("scraper_used")))
-    return df.drop("_body", "_found", "_ok")
+    return _settled(df.drop("_body", "_found", "_ok"))
+
+
+def _settled(df: DataFrame) -> DataFrame:
+    """The same rows, behind a one-row generator that a later filter on the outcome is not pushed through.
+
+    Pushed through the projections, the filter would hold the whole chain, each step written out several times.
+    """
+    others = [c for c in df.columns if c not in ("article_text", "scraper_used")]
+    return df.select(*others, F.inline_outer(F.array(F.struct("article_text", "scraper_used"))))
 
 
 def python_strategy(find: Callable[[str], str | None]) -> Callable[[Column], Column]:
@@ -61,7 +70,7 @@ def extract_then_python(
         df = df.withColumn("_ok", H.has_content(F.col("_found")))
         df = df.withColumn("article_text", F.when(F.col("_ok"), F.col("_found")).otherwise(F.col("article_text")))
         df = df.withColumn("scraper_used", F.when(F.col("_ok"), F.lit(name)).otherwise(F.col("scraper_used")))
-    return df.drop("_page", "_open", "_found", "_ok")
+    return _settled(df.drop("_page", "_open", "_found", "_ok"))
 
 
 def contents(extracted: DataFrame) -> DataFrame:

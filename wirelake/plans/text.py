@@ -6,6 +6,9 @@ stay inside the partitions. Sentiment moves only one partial sum per text.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,10 +23,18 @@ THRESHOLD = 0.1
 NEGATORS = ["not", "no", "never", "none", "nobody", "nothing", "neither", "nor", "cannot", "without"]
 
 
+def _each_word(df: DataFrame, text_col: str, min_length: int, *keep: str) -> DataFrame:
+    """One row per word of at least `min_length` letters.
+
+    The outer form of explode, because the inner one makes Spark infer a filter that splits the text twice.
+    """
+    word = df.select(*keep, F.explode_outer(words(F.col(text_col))).alias("word"))
+    return word.where(F.length("word") >= min_length)
+
+
 def keywords(docs: DataFrame, id_col: str, text_col: str, k: int = 10, min_length: int = 1, stopwords: list[str] | None = None) -> DataFrame:
     """The k most frequent words of each text, joined by ", "; equal counts in alphabetical order."""
-    word = docs.select(id_col, text_col).repartition(id_col).select(id_col, F.explode(words(F.col(text_col))).alias("word"))
-    word = word.where(F.length("word") >= min_length)
+    word = _each_word(docs.select(id_col, text_col).repartition(id_col), text_col, min_length, id_col)
     if stopwords:
         word = word.where(~F.col("word").isin(stopwords))
     counts = word.groupBy(id_col, "word").agg(F.count("*").alias("n"))
@@ -36,9 +47,8 @@ def keywords(docs: DataFrame, id_col: str, text_col: str, k: int = 10, min_lengt
 def summaries(docs: DataFrame, id_col: str, text_col: str, k: int = 3, min_length: int = 1) -> DataFrame:
     """The k sentences with the highest mean word frequency, in text order; an earlier sentence wins a tie."""
     placed = docs.select(id_col, text_col).repartition(id_col)
-    sentence = placed.select(id_col, F.posexplode(sentences(F.col(text_col))).alias("pos", "sentence"))
-    word = sentence.select(id_col, "pos", F.explode(words(F.col("sentence"))).alias("word"))
-    word = word.where(F.length("word") >= min_length)
+    sentence = placed.select(id_col, F.posexplode_outer(sentences(F.col(text_col))).alias("pos", "sentence"))
+    word = _each_word(sentence, "sentence", min_length, id_col, "pos")
     often = word.withColumn("n", F.count("*").over(Window.partitionBy(id_col, "word")))
     scored = often.groupBy(id_col, "pos").agg((F.sum("n") / F.count("*")).alias("score"))
     place = F.row_number().over(Window.partitionBy(id_col).orderBy(F.desc("score"), "pos"))
@@ -50,13 +60,6 @@ def summaries(docs: DataFrame, id_col: str, text_col: str, k: int = 3, min_lengt
     return full.select(id_col, F.coalesce(text, F.lit("")).alias("summary"))
 
 
-def _with_context(w: Column) -> Column:
-    """Each word of a list with the three before it."""
-    return F.transform(w, lambda word, i: F.struct(
-        word.alias("word"), F.get(w, i - 1).alias("p1"), F.get(w, i - 2).alias("p2"), F.get(w, i - 3).alias("p3")
-    ))
-
-
 def sentiment(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, negators: list[str] | None = None) -> DataFrame:
     """`score` in [-1, 1] and `sentiment` of each text from the word values of `lexicon (word, val)`.
 
@@ -65,13 +68,15 @@ def sentiment(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, n
     measured size allows and shuffles by word otherwise.
     """
     negators = NEGATORS if negators is None else negators
-    listed = docs.select(id_col, words(F.col(text_col)).alias("_words"))
-    tokens = listed.select(id_col, F.explode_outer(_with_context(F.col("_words"))).alias("t")).select(id_col, "t.*")
+    listed = docs.select(id_col, words(F.col(text_col)).alias("word"))
+    # The word list next to itself, moved by one, two and three places: each word with the three before it.
+    # The padded rows past the end have no word.
+    nulls = [F.array_repeat(F.lit(None).cast("string"), n) for n in (1, 2, 3)]
+    moved = listed.select(id_col, "word", *[F.concat(pad, F.col("word")).alias(f"p{n}") for n, pad in enumerate(nulls, 1)])
+    tokens = moved.select(id_col, F.inline_outer(F.arrays_zip("word", "p1", "p2", "p3")))
     known = tokens.join(lexicon.select("word", "val"), "word", "left")
-    before = F.coalesce(F.col("p1").isin(negators), F.lit(False))
-    for p in ("p2", "p3"):
-        before = before | F.coalesce(F.col(p).isin(negators), F.lit(False))
-    value = F.when(F.col("val").isNotNull(), F.when(before, F.col("val") * NEGATED).otherwise(F.col("val")))
+    negated = reduce(or_, [F.coalesce(F.col(p).isin(negators), F.lit(False)) for p in ("p1", "p2", "p3")])
+    value = F.when(F.col("val").isNotNull(), F.when(negated, F.col("val") * NEGATED).otherwise(F.col("val")))
     sums = known.groupBy(id_col).agg(F.coalesce(F.sum(value), F.lit(0.0)).alias("_sum"))
     score = F.col("_sum") / F.sqrt(F.col("_sum") * F.col("_sum") + SPREAD)
     return sums.select(id_col, F.round(score, 6).alias("score")).withColumn("sentiment", sentiment_label(F.col("score")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +35,14 @@ class StageStore:
         )
         row.write.mode("append").parquet(f"{self.root}/registry")
 
+    def keeper(self, run_id: str, at: str) -> Callable[[DataFrame, str], DataFrame]:
+        """A function that saves a frame as a stage of the run and reads it back."""
+        def keep(df: DataFrame, stage: str) -> DataFrame:
+            self.save(df, run_id, stage, at)
+            return self.load(run_id, stage)
+
+        return keep
+
     def load(self, run_id: str, stage: str) -> DataFrame | None:
         """The stage as last saved, or None if the run has no such stage."""
         entry = self.registry().where((F.col("run_id") == run_id) & (F.col("stage") == stage)).select("path").first()

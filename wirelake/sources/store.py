@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,23 +14,29 @@ from wirelake.functions.times import coerce_timestamp
 from wirelake.functions.words import label_as_list, label_list
 from wirelake.operators.keyed import first_per_key
 
-DAY = "day"
+@dataclass(frozen=True)
+class Table:
+    schema: T.StructType
+    time: str  # column that the partition is derived from
+    sort: str  # column that rows are sorted by within a file
+    period: str  # "day", or "month" for tables of a few rows a day
+
 
-# table -> (schema, time column of the day partition, column rows are sorted by)
 TABLES = {
-    "collected_articles": (schemas.ARTICLES, "collection_timestamp", "url"),
-    "article_enrichments": (schemas.ENRICHMENTS, "enrichment_timestamp", "url"),
-    "run_events": (schemas.RUN_EVENTS, "event_timestamp", "run_id"),
+    "collected_articles": Table(schemas.ARTICLES, "collection_timestamp", "url", "day"),
+    "article_enrichments": Table(schemas.ENRICHMENTS, "enrichment_timestamp", "url", "day"),
+    "run_events": Table(schemas.RUN_EVENTS, "event_timestamp", "run_id", "month"),
 }
 
 
-def write_by_day(df: DataFrame, path: str, time: str, sort: str, mode: str = "append") -> None:
-    """Day partitions sorted by key, so that row groups can be skipped.
+def write_partitioned(df: DataFrame, path: str, time: str, sort: str, period: str = "day", mode: str = "append") -> None:
+    """Partitions of a day or month, sorted by key, so that row groups can be skipped.
 
-    Rebalancing lets AQE cut a large day into several files and put small days together.
+    Rebalancing lets AQE cut a large partition into several files and write small ones together.
     """
-    days = df.withColumn(DAY, F.to_date(time)).hint("rebalance", F.col(DAY))
-    days.sortWithinPartitions(DAY, sort).write.mode(mode).partitionBy(DAY).parquet(path)
+    first_day = F.to_date(F.date_trunc(period, time))
+    parts = df.withColumn(period, first_day).hint("rebalance", F.col(period))
+    parts.sortWithinPartitions(period, sort).write.mode(mode).partitionBy(period).parquet(path)
 
 
 class NewsStore:
@@ -44,28 +51,33 @@ class NewsStore:
 
     def create_tables(self) -> None:
         """Writes each table that does not exist yet, without rows."""
-        for table, (schema, time, sort) in TABLES.items():
-            if not self._exists(table):
-                self._append(self.spark.createDataFrame([], schema), table)
+        for name, table in TABLES.items():
+            if not self._exists(name):
+                self._append(self.spark.createDataFrame([], table.schema), name)
 
-    def _exists(self, table: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(table))
+    def _exists(self, name: str) -> bool:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name))
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
-    def _append(self, df: DataFrame, table: str) -> None:
-        schema, time, sort = TABLES[table]
-        write_by_day(schemas.conform(df, schema), self.path(table), time, sort)
+    def _append(self, df: DataFrame, name: str) -> None:
+        table = TABLES[name]
+        write_partitioned(schemas.conform(df, table.schema), self.path(name), table.time, table.sort, table.period)
+
+    def read(self, name: str, first: date | str | None = None, last: date | str | None = None) -> DataFrame:
+        """A table, or its days from `first` to `last`.
 
-    def read(self, table: str, first: date | str | None = None, last: date | str | None = None) -> DataFrame:
-        """A table, or its days from `first` to `last`. The bounds are on the partition column, so other days are not read."""
-        schema, _, _ = TABLES[table]
-        with_day = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
-        df = self.spark.read.schema(with_day).parquet(self.path(table))
+        The bounds are put on the partition column too, so other partitions are not read.
+        """
+        table = TABLES[name]
+        stored = T.StructType([*table.schema.fields, T.StructField(table.period, T.DateType())])
+        df = self.spark.read.schema(stored).parquet(self.path(name))
+        part, at = F.col(table.period), F.to_date(table.time)
         if first is not None:
-            df = df.where(F.col(DAY) >= F.lit(str(first)).cast("date"))
+            day = F.lit(str(first)).cast("date")
+            df = df.where((part >= F.trunc(day, "month") if table.period == "month" else part >= day) & (at >= day))
         if last is not None:
-            df = df.where(F.col(DAY) <= F.lit(str(last)).cast("date"))
+            day = F.lit(str(last)).cast("date")
+            df = df.where((part <= day) & (at <= day))
         return df
 
     def append_articles(self, df: DataFrame, run_id: Column, at: Column) -> None:
@@ -104,7 +116,7 @@ def stamp_enrichments(df: DataFrame, run_id: Column, at: Column, version: str =
 
 def rewrite_without_duplicates(df: DataFrame, path: str, key: str, time: str, *order: Column) -> None:
     """Writes the first row of each key to a new path; the caller swaps the paths afterwards."""
-    write_by_day(first_per_key(df, key, *order), path, time, key, mode="errorifexists")
+    write_partitioned(first_per_key(df, key, *order), path, time, key, mode="errorifexists")
 
 
 def storage_size(df: DataFrame) -> DataFrame:
