@@ -166,6 +166,33 @@ def _scores(view: str, key: str, text: str) -> str:
       GROUP BY d.k) z"""
 
 
+def _words(text: str) -> str:
+    return rf"list_filter(regexp_split_to_array(lower({text}), '[^\p{{L}}]+'), lambda x: x <> '')"
+
+
+def _keywords(view: str, key: str, text: str, k: int, min_length: int) -> str:
+    return f"""
+    SELECT k, string_agg(word, ', ' ORDER BY rn) AS keywords FROM (
+      SELECT k, word, row_number() OVER (PARTITION BY k ORDER BY count(*) DESC, word) AS rn
+      FROM (SELECT {key} AS k, unnest({_words(text)}) AS word FROM {view}) t WHERE length(word) >= {min_length} GROUP BY k, word) r
+    WHERE rn <= {k} GROUP BY k"""
+
+
+def _summaries(view: str, key: str, text: str) -> str:
+    return rf"""
+    WITH s AS (SELECT k, unnest(ss) AS sentence, unnest(range(len(ss))) AS pos
+        FROM (SELECT {key} AS k, regexp_extract_all({text}, '[^.!?\n]+[.!?]*') AS ss FROM {view}) d),
+      w AS (SELECT k, pos, unnest({_words('sentence')}) AS word FROM s),
+      f AS (SELECT k, word, count(*) AS n FROM w GROUP BY k, word),
+      sc AS (SELECT k, pos, CAST(sum(n) AS DOUBLE) / count(*) AS score FROM w JOIN f USING (k, word) GROUP BY k, pos),
+      r AS (SELECT k, pos, row_number() OVER (PARTITION BY k ORDER BY score DESC, pos) AS rn FROM sc)
+    SELECT d.k, coalesce(string_agg(trim(sentence), ' ' ORDER BY s.pos), '') AS summary
+    FROM (SELECT {key} AS k FROM {view}) d LEFT JOIN (r JOIN s ON r.k = s.k AND r.pos = s.pos AND rn <= 3) ON d.k = r.k GROUP BY d.k"""
+
+
+VIEWS["told_pages"] = "SELECT page_id, article_text FROM extracted WHERE scraper_used = 'semantic'"
+VIEWS["page_keywords"] = _keywords("told_pages", "page_id", "article_text", 10, 1)
+VIEWS["page_summaries"] = _summaries("told_pages", "page_id", "article_text")
 VIEWS["titled"] = "SELECT page_id, link, title FROM serp_results"
 VIEWS["title_scores"] = _scores("titled", "page_id", "title")
 VIEWS["doc_scores"] = _scores("documents", "doc_id", "text")
@@ -183,7 +210,7 @@ VIEWS["fresh_links"] = """
 VIEWS["wanted_links"] = "SELECT * FROM fresh_links WHERE rule IS NULL"
 VIEWS["wanted_scores"] = _scores("wanted_links", "page_id", "description")
 VIEWS["page_texts"] = """
-    SELECT url, scraper_used FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id) AS rn FROM extracted
+    SELECT url, page_id, article_text, scraper_used FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id) AS rn FROM extracted
       WHERE scraper_used IS NOT NULL) x WHERE rn = 1"""
 
 
@@ -213,8 +240,6 @@ _SCORE = "round(sentiment_score, 6) AS sentiment_score"
 _RUN = "run_id, start_date, end_date, queries_count, urls_collected, articles_scraped, status, start_timestamp"
 _SEARCH = "concat('https://www.google.com/search?q=site:', {site}, '+before:1996-03-13+after:1995-01-01&gl=US&hl=en&brd_json=1')"
 _AS_OF = "(SELECT max(collection_timestamp) FROM collected_articles)"
-_WORDS = r"list_filter(regexp_split_to_array(lower({text}), '[^\p{{L}}]+'), lambda x: x <> '')"
-
 SQL: dict[str, str] = {
     # sources and sinks
     "reference_scan": "SELECT corporation, sector, newsroom_url FROM reference_data WHERE f100 AND newsroom_url IS NOT NULL",
@@ -425,6 +450,15 @@ SQL: dict[str, str] = {
           round(CAST(count(scraper_used) AS DOUBLE) / nullif(count(*) FILTER (WHERE rule IS NULL), 0) * 100, 1) AS scraped_pct
         FROM fresh_links LEFT JOIN wanted_scores ON page_id = k LEFT JOIN page_texts ON link = url AND rule IS NULL
         GROUP BY host""",
+    "recorded_articles": f"""
+        SELECT l.link AS url, title, t.scraper_used, CASE WHEN t.scraper_used = 'semantic' THEN coalesce(summary, '') WHEN t.scraper_used IS NOT NULL THEN '' END AS summary,
+          CASE WHEN t.scraper_used = 'semantic' THEN coalesce(keywords, '') WHEN t.scraper_used IS NOT NULL THEN '' END AS keywords,
+          length(t.article_text) AS n_chars, '20240301_000000' AS run_id
+        FROM wanted_links l LEFT JOIN page_texts t ON l.link = t.url LEFT JOIN page_summaries s ON s.k = t.page_id LEFT JOIN page_keywords w ON w.k = t.page_id""",
+    "recorded_run": """
+        SELECT '20240301_000000' AS run_id, 'completed' AS status, DATE '2024-02-20' AS start_date, DATE '2024-03-01' AS end_date,
+          CAST(7 AS BIGINT) AS queries_count, (SELECT count(*) FROM wanted_links) AS urls_collected,
+          (SELECT count(*) FROM wanted_links JOIN page_texts ON link = url) AS articles_scraped, (SELECT count(*) FROM wanted_links) AS enrichments""",
     # text
     "extract_semantic": f"SELECT page_id, {_SEMANTIC} AS article_text FROM (SELECT page_id, {_VISIBLE} AS body FROM pages) p",
     "extract_chain": "SELECT page_id, article_text, scraper_used FROM extracted",
@@ -441,20 +475,8 @@ SQL: dict[str, str] = {
         SELECT page_id, coalesce(scraper_used, CASE WHEN length(trim(f, E' \t\n\r\x0b\x0c')) >= 100 THEN 'footer' END) AS scraper_used,
           coalesce(length(article_text), CASE WHEN length(trim(f, E' \t\n\r\x0b\x0c')) >= 100 THEN length(f) END) AS n_chars
         FROM (SELECT *, regexp_extract(html, '(?s)<footer>(.*?)</footer>', 1) AS f FROM extracted) e""",
-    "keywords_topk": f"""
-        SELECT doc_id, string_agg(word, ', ' ORDER BY rn) AS keywords FROM (
-          SELECT doc_id, word, row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, word) AS rn
-          FROM (SELECT doc_id, unnest({_WORDS.format(text='text')}) AS word FROM documents) t WHERE length(word) >= 3 GROUP BY doc_id, word) r
-        WHERE rn <= 5 GROUP BY doc_id""",
-    "summary_topk": rf"""
-        WITH s AS (SELECT doc_id, unnest(ss) AS sentence, unnest(range(len(ss))) AS pos
-            FROM (SELECT doc_id, regexp_extract_all(text, '[^.!?\n]+[.!?]*') AS ss FROM documents) d),
-          w AS (SELECT doc_id, pos, unnest({_WORDS.format(text='sentence')}) AS word FROM s),
-          f AS (SELECT doc_id, word, count(*) AS n FROM w GROUP BY doc_id, word),
-          sc AS (SELECT doc_id, pos, CAST(sum(n) AS DOUBLE) / count(*) AS score FROM w JOIN f USING (doc_id, word) GROUP BY doc_id, pos),
-          r AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, pos) AS rn FROM sc)
-        SELECT d.doc_id, coalesce(string_agg(trim(sentence), ' ' ORDER BY s.pos), '') AS summary
-        FROM documents d LEFT JOIN (r JOIN s ON r.doc_id = s.doc_id AND r.pos = s.pos AND rn <= 3) ON d.doc_id = r.doc_id GROUP BY d.doc_id""",
+    "keywords_topk": f"SELECT k AS doc_id, keywords FROM ({_keywords('documents', 'doc_id', 'text', 5, 3)}) z",
+    "summary_topk": f"SELECT k AS doc_id, summary FROM ({_summaries('documents', 'doc_id', 'text')}) z",
     "sentiment": "SELECT k AS doc_id, score, sentiment FROM doc_scores",
     "refresh_enrichment": """
         SELECT k AS url, sentiment, score AS sentiment_score, 'v2.0' AS enrichment_version, '20240301_000000' AS run_id FROM unversioned_scores""",

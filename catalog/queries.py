@@ -606,11 +606,11 @@ def collection_plan(v: Views) -> DataFrame:
     return _plan(v).select("id", "newsroom_url", "start_date", "end_date", "query", "skip")
 
 
-def _collection(v: Views) -> collection.Collection:
+def _collection(v: Views, described: bool = False) -> collection.Collection:
     kept = stages.StageStore(v.spark, scratch_path(v.spark, "stages"))
     return collection.collect(
         v.serp_links(), v.processed_urls(), v.pages_mixed(), v.lexicon(), "page_id", stamp("2024-03-01 00:00:00"),
-        F.asc("page_id"), negators=NEGATORS, keep=kept.keeper("20240301_000000", "2024-03-01 00:00:00"))
+        F.asc("page_id"), negators=NEGATORS, keep=kept.keeper("20240301_000000", "2024-03-01 00:00:00"), described=described)
 
 
 @query
@@ -618,6 +618,29 @@ def collection_report(v: Views) -> DataFrame:
     return collection.collection_report(_collection(v))
 
 
+def _recorded(v: Views) -> store.NewsStore:
+    news = store.NewsStore(v.spark, scratch_path(v.spark, "store"))
+    collection.record(
+        _collection(v, described=True), news, "20240301_000000", date("2024-02-20"), date("2024-03-01"), stamp("2024-03-01 00:00:00"), 7)
+    return news
+
+
+@query
+def recorded_articles(v: Views) -> DataFrame:
+    """Article rows of a whole collection, as written to the store."""
+    rows = _recorded(v).read("collected_articles")
+    return rows.select("url", "title", "scraper_used", "summary", "keywords", F.length("article_text").cast("long").alias("n_chars"), "run_id")
+
+
+@query
+def recorded_run(v: Views) -> DataFrame:
+    """The run row of a whole collection, with its enrichments counted."""
+    news = _recorded(v)
+    labels = news.read("article_enrichments").select(F.count("*")).scalar()
+    return runs.run_rows(news.read("run_events")).select(
+        "run_id", "status", "start_date", "end_date", "queries_count", "urls_collected", "articles_scraped", labels.alias("enrichments"))
+
+
 # --- text ---------------------------------------------------------------------------------------
 
 
@@ -648,7 +671,7 @@ def custom_extractor(v: Views) -> DataFrame:
         return rest.partition("</footer>")[0] if found else None
 
     done = extraction.extract_then_python(v.pages_mixed(), {"footer": footer})
-    return done.select("page_id", "scraper_used", F.length("article_text").alias("n_chars"))
+    return done.select("page_id", "scraper_used", F.length("article_text").cast("long").alias("n_chars"))
 
 
 @query

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wirelake.functions.links import FILTER_REASON, host, rejection_rule
@@ -14,8 +14,9 @@ from wirelake.operators.keyed import first_per_key
 from wirelake.operators.shares import percent
 from wirelake.plans import extraction
 from wirelake.plans.reports import earliest_articles, urls_needing_enrichment
-from wirelake.plans.text import sentiment
-from wirelake.sources.store import stamp_enrichments
+from wirelake.plans.runs import end_events, start_events
+from wirelake.plans.text import keywords, sentiment, summaries
+from wirelake.sources.store import NewsStore, stamp_enrichments
 
 
 def split_links(results: DataFrame, link: str = "link") -> DataFrame:
@@ -61,12 +62,14 @@ class Collection:
 def collect(
     results: DataFrame, processed: DataFrame, pages: DataFrame, lexicon: DataFrame, id_col: str, at: Column,
     *page_order: Column, text_col: str = "description", negators: list[str] | None = None, keep: Keep | None = None,
+    described: bool = False,
 ) -> Collection:
     """New links, classified; text for the article links; sentiment of the description.
 
     Known and filtered links leave first, and only pages that a link asks for are extracted. The new links are
-    read three times: as rows, for their sentiment, and for the pages they ask for. `keep` writes them as a
-    stage, so that they are parsed and compared with the known links once.
+    read three times: as rows, for their sentiment, and for the pages they ask for. `keep` writes them and the
+    extracted texts as stages, so that links are compared with the known ones once and no page is extracted
+    twice. With `described`, articles get a summary and keywords, made once per url.
     """
     links = split_links(new_links(results, processed))
     if keep is not None:
@@ -74,14 +77,58 @@ def collect(
     wanted = links.where("rule IS NULL")
     asked = wanted.select(F.col("link").alias("url")).distinct()
     texts = extraction.extract(pages.join(asked, "url", "left_semi"))
+    if keep is not None:
+        texts = keep(texts, "page_texts")
+    content = extraction.contents(texts)
+    if described:
+        content = describe(first_per_key(content, "url", *page_order), "url")
     scores = sentiment(wanted, id_col, text_col, lexicon, negators)
     scored = links.join(scores, id_col, "left")
     # A filtered link finds no content: its page was not asked for unless another row asks for the same url,
     # and equal urls have equal rules.
-    joined = join_content(scored, extraction.contents(texts), "link", *page_order)
+    joined = join_content(scored, content, "link", *page_order)
     return Collection(joined, extraction.errors(texts, at))
 
 
+def describe(articles: DataFrame, id_col: str, by: str = "semantic", text_col: str = "article_text") -> DataFrame:
+    """Adds `summary` and `keywords` of the articles whose text the strategy `by` found.
+
+    Articles with another text have empty ones, articles without a text have nulls.
+    """
+    told = articles.where(F.col("scraper_used") == by)
+    found = summaries(told, id_col, text_col).join(keywords(told, id_col, text_col), id_col, "full")
+    joined = articles.join(found, id_col, "left")
+    for name in ("summary", "keywords"):
+        joined = joined.withColumn(name, F.when(F.col("scraper_used").isNotNull(), F.coalesce(name, F.lit(""))))
+    return joined
+
+
+def record(run: Collection, news: NewsStore, run_id: str, start: Column, end: Column, at: Column, queries: int) -> dict[str, int]:
+    """Writes a collection to the three tables and returns the row counts.
+
+    The run's start is logged first and its end last; a run that fails on the way is logged as failed.
+    """
+    this = news.spark.range(1).select(F.lit(run_id).alias("run_id"), start.alias("start_date"), end.alias("end_date"))
+    news.append_events(start_events(this, F.lit(None).cast("array<string>"), at))
+
+    def log_end(urls: int | None, scraped: int | None, error: str | None) -> None:
+        counts = {"queries_count": queries, "urls_collected": urls, "articles_scraped": scraped}
+        row = this.select("run_id", *[F.lit(n).cast("long").alias(c) for c, n in counts.items()], F.lit(error).alias("error_message"))
+        news.append_events(end_events(row, at))
+
+    try:
+        scraped = Observation()
+        rows = run.articles.observe(scraped, F.count("scraper_used").alias("n"))
+        urls = news.append_articles(rows, F.lit(run_id), at)
+        enriched = news.append_enrichments(
+            run.articles.select("url", "sentiment", F.col("score").alias("sentiment_score")), F.lit(run_id), at)
+    except Exception as error:
+        log_end(None, None, str(error))
+        raise
+    log_end(urls, scraped.get["n"], None)
+    return {"articles": urls, "scraped": scraped.get["n"], "enrichments": enriched}
+
+
 def collection_report(run: Collection) -> DataFrame:
     """One row per host: links found, filtered, attempted, with text, and the sentiment of the articles."""
     article = F.col("rule").isNull()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,14 +29,18 @@ TABLES = {
 }
 
 
-def write_partitioned(df: DataFrame, path: str, time: str, sort: str, period: str = "day", mode: str = "append") -> None:
+def write_partitioned(df: DataFrame, path: str, time: str, sort: str, period: str = "day", mode: str = "append") -> int:
     """Partitions of a day or month, sorted by key, so that row groups can be skipped.
 
-    Rebalancing lets AQE cut a large partition into several files and write small ones together.
+    Rebalancing lets AQE cut a large partition into several files and write small ones together. Returns the
+    number of rows, counted while they are written.
     """
     first_day = F.to_date(F.date_trunc(period, time))
     parts = df.withColumn(period, first_day).hint("rebalance", F.col(period))
-    parts.sortWithinPartitions(period, sort).write.mode(mode).partitionBy(period).parquet(path)
+    written = Observation()
+    counted = parts.sortWithinPartitions(period, sort).observe(written, F.count("*").alias("rows"))
+    counted.write.mode(mode).partitionBy(period).parquet(path)
+    return written.get["rows"]
 
 
 class NewsStore:
@@ -59,9 +63,9 @@ class NewsStore:
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name))
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
-    def _append(self, df: DataFrame, name: str) -> None:
+    def _append(self, df: DataFrame, name: str) -> int:
         table = TABLES[name]
-        write_partitioned(schemas.conform(df, table.schema), self.path(name), table.time, table.sort, table.period)
+        return write_partitioned(schemas.conform(df, table.schema), self.path(name), table.time, table.sort, table.period)
 
     def read(self, name: str, first: date | str | None = None, last: date | str | None = None) -> DataFrame:
         """A table, or its days from `first` to `last`.
@@ -80,14 +84,14 @@ class NewsStore:
             df = df.where((part <= day) & (at <= day))
         return df
 
-    def append_articles(self, df: DataFrame, run_id: Column, at: Column) -> None:
-        self._append(stamp_articles(df, run_id, at), "collected_articles")
+    def append_articles(self, df: DataFrame, run_id: Column, at: Column) -> int:
+        return self._append(stamp_articles(df, run_id, at), "collected_articles")
 
-    def append_enrichments(self, df: DataFrame, run_id: Column, at: Column, version: str = "v1.0") -> None:
-        self._append(stamp_enrichments(df, run_id, at, version), "article_enrichments")
+    def append_enrichments(self, df: DataFrame, run_id: Column, at: Column, version: str = "v1.0") -> int:
+        return self._append(stamp_enrichments(df, run_id, at, version), "article_enrichments")
 
-    def append_events(self, events: DataFrame) -> None:
-        self._append(events, "run_events")
+    def append_events(self, events: DataFrame) -> int:
+        return self._append(events, "run_events")
 
 
 def stamp_articles(df: DataFrame, run_id: Column, at: Column) -> DataFrame:
@@ -114,9 +118,9 @@ def stamp_enrichments(df: DataFrame, run_id: Column, at: Column, version: str =
     return schemas.conform(df, schemas.ENRICHMENTS)
 
 
-def rewrite_without_duplicates(df: DataFrame, path: str, key: str, time: str, *order: Column) -> None:
+def rewrite_without_duplicates(df: DataFrame, path: str, key: str, time: str, *order: Column) -> int:
     """Writes the first row of each key to a new path; the caller swaps the paths afterwards."""
-    write_partitioned(first_per_key(df, key, *order), path, time, key, mode="errorifexists")
+    return write_partitioned(first_per_key(df, key, *order), path, time, key, mode="errorifexists")
 
 
 def storage_size(df: DataFrame) -> DataFrame:
