@@ -355,7 +355,7 @@ def new_links(v: Views) -> DataFrame:
 
 @query
 def executed_queries(v: Views) -> DataFrame:
-    return planning.executed_queries(v.collection_runs(), v.run_queries(), date("1996-01-01"), date("1996-01-31"))
+    return planning.executed_queries(v.run_dates(), v.run_queries(), date("1996-01-01"), date("1996-01-31"))
 
 
 def _months(v: Views) -> DataFrame:
@@ -383,7 +383,7 @@ def queries_to_execute(v: Views) -> DataFrame:
     start, end = date(HISTORY[0]), date(HISTORY[1])
     companies = reference.with_usable_url(v.reference_data())
     generated = planning.generate_queries(companies.withColumn("start_date", start).withColumn("end_date", end))
-    done = planning.executed_queries(v.collection_runs(), v.run_queries(), start, end)
+    done = planning.executed_queries(v.run_dates(), v.run_queries(), start, end)
     return planning.queries_to_execute(generated, done).select("id", "query")
 
 
@@ -567,7 +567,7 @@ def dedup_effect(v: Views) -> DataFrame:
 
 @query
 def company_queries(v: Views) -> DataFrame:
-    return reports.company_queries(v.collection_runs(), v.run_queries(), "%site:https://www.corp7.example.com%")
+    return reports.company_queries(v.run_dates(), v.run_queries(), "%site:https://www.corp7.example.com%")
 
 
 # --- planning -----------------------------------------------------------------------------------
@@ -597,7 +597,7 @@ def effective_ranges_all(v: Views) -> DataFrame:
 
 def _plan(v: Views) -> DataFrame:
     return planning.collection_plan(
-        v.reference_data(), _known_newsrooms(v), v.collection_runs(), v.run_queries(),
+        v.reference_data(), _known_newsrooms(v), v.run_dates(), v.run_queries(),
         date("1995-01-01"), date(HISTORY[1]), BACKFILL)
 
 

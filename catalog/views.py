@@ -95,23 +95,26 @@ class Views:
             "'+after:1995-01-01&gl=US&hl=en&brd_json=1') AS query",
         )
 
-    def collection_runs(self) -> DataFrame:
-        """One row per run with its counts; the executed queries are rows of `run_queries`."""
-        counts = self.table("lineitem").groupBy("l_orderkey").agg(
-            F.count("*").alias("queries_count"),
-            F.sum("l_quantity").cast("long").alias("urls_collected"),
-            F.sum(F.when(F.col("l_returnflag") == "N", F.col("l_quantity")).otherwise(0)).cast("long").alias("articles_scraped"),
-        )
-        runs = self.table("orders").join(counts, F.col("o_orderkey") == F.col("l_orderkey"))
-        return runs.selectExpr(
+    def run_dates(self) -> DataFrame:
+        """Dates and state of each run; the executed queries are rows of `run_queries`."""
+        return self.table("orders").selectExpr(
             "CAST(o_orderkey AS STRING) AS run_id", "CAST(o_orderdate AS DATE) AS start_date",
             "date_add(CAST(o_orderdate AS DATE), CAST(o_orderkey % 10 AS INT)) AS end_date",
-            "queries_count", "urls_collected", "articles_scraped",
             "CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'started' ELSE 'failed' END AS status",
             "o_orderdate AS start_timestamp",
             "o_orderdate + make_dt_interval(0, 0, 0, CAST(o_orderkey % 3600 AS INT)) AS end_timestamp",
         )
 
+    def collection_runs(self) -> DataFrame:
+        """The runs that executed a query, with their counts."""
+        counts = self.table("lineitem").groupBy("l_orderkey").agg(
+            F.count("*").alias("queries_count"),
+            F.sum("l_quantity").cast("long").alias("urls_collected"),
+            F.sum(F.when(F.col("l_returnflag") == "N", F.col("l_quantity")).otherwise(0)).cast("long").alias("articles_scraped"),
+        )
+        counts = counts.withColumn("run_id", F.col("l_orderkey").cast("string")).drop("l_orderkey")
+        return self.run_dates().join(counts, "run_id")
+
     def run_events(self) -> DataFrame:
         orders = self.table("orders")
         started = orders.selectExpr(

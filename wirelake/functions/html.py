@@ -15,9 +15,10 @@ MIN_CHARS = 100  # Fixed value: shorter texts do not count as content.
 MIN_BLOCK = 500  # A single block this long is taken for the article.
 BLANKS = " \t\n\r\x0b\x0c"
 
-HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
+HIDDEN = r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->)"
 BLOCK_TAG = r"(?i)</?(?:p|div|article|section|main|header|footer|nav|aside|ul|ol|li|table|tr|td|h[1-6]|br|blockquote)\b[^>]*>"
 ANY_TAG = r"<[^>]*>"
+TAG_IN_LINE = r"<[^>\n]*>"
 
 # The common character references; the ampersand comes last.
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
@@ -34,11 +35,16 @@ def trimmed(text: Column) -> Column:
     return F.btrim(text, F.lit(BLANKS))
 
 
-def plain(markup: Column) -> Column:
-    """Markup as text: tags become blanks, references are resolved, blanks are folded."""
-    text = F.regexp_replace(markup, ANY_TAG, " ")
+def resolved(text: Column) -> Column:
+    """Text with its character references replaced."""
     for ref, char in ENTITIES:
         text = F.replace(text, F.lit(ref), F.lit(char))
+    return text
+
+
+def plain(markup: Column) -> Column:
+    """Markup as text: tags become blanks, references are resolved, blanks are folded."""
+    text = resolved(F.regexp_replace(markup, ANY_TAG, " "))
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
@@ -52,9 +58,14 @@ def semantic(body: Column) -> Column:
 
 
 def density(body: Column) -> Column:
-    """The longest run of text between two block tags, if it is long enough for an article."""
-    blocks = F.transform(F.split(body, BLOCK_TAG), plain)
-    longest = F.array_max(F.transform(blocks, lambda b: F.struct(F.length(b).alias("n"), b.alias("text"))))
+    """The longest run of text between two block tags, if it is long enough for an article.
+
+    Block tags become line ends in a page without other line ends, so the page is cleaned as a whole.
+    """
+    lines = F.regexp_replace(F.regexp_replace(body, r"\s+", " "), BLOCK_TAG, "\n")
+    text = resolved(F.regexp_replace(lines, TAG_IN_LINE, " "))
+    blocks = F.split(F.regexp_replace(text, " {2,}", " "), "\n")
+    longest = F.array_max(F.transform(blocks, lambda b: F.struct(F.length(F.trim(b)).alias("n"), F.trim(b).alias("text"))))
     return F.when(longest["n"] >= MIN_BLOCK, longest["text"])
 
 

@@ -77,10 +77,13 @@ def term_queries(terms: DataFrame, domains: list[str], start: Column, end: Colum
 
 
 def executed_queries(runs: DataFrame, run_queries: DataFrame, start: Column, end: Column) -> DataFrame:
-    """Distinct queries of completed runs whose range meets [start, end]."""
+    """Distinct queries of completed runs whose range meets [start, end].
+
+    The queries are not made distinct per run first: that would shuffle all of them even where the runs in
+    range are few enough for a broadcast, and AQE splits a run with very many queries.
+    """
     done = runs.where((F.col("status") == "completed") & (F.col("start_date") <= end) & (F.col("end_date") >= start))
-    pairs = run_queries.select("run_id", "query").distinct()
-    return pairs.join(done.select("run_id"), "run_id", "left_semi").select("query").distinct()
+    return run_queries.join(done.select("run_id"), "run_id", "left_semi").select("query").distinct()
 
 
 def executed_by_range(ranges: DataFrame, runs: DataFrame, run_queries: DataFrame) -> DataFrame:
@@ -91,7 +94,7 @@ def executed_by_range(ranges: DataFrame, runs: DataFrame, run_queries: DataFrame
     done = runs.where("status = 'completed'").select("run_id", "start_date", "end_date")
     met = overlapping(ranges, done, ("range_start", "range_end"), ("start_date", "end_date"))
     met = met.select("range_start", "range_end", "run_id")
-    by_query = run_queries.select("run_id", "query").distinct().join(met, "run_id")
+    by_query = run_queries.select("run_id", "query").join(met, "run_id")
     key = ["range_start", "range_end"]
     queries = by_query.select(*key, "query").distinct().groupBy(*key).agg(F.count("*").alias("n_queries"))
     met_runs = met.groupBy(*key).agg(F.count("*").alias("n_runs"))

@@ -222,7 +222,7 @@ def dedup_effect(runs: DataFrame, rows: int = 10) -> DataFrame:
 
 def company_queries(runs: DataFrame, run_queries: DataFrame, pattern: str) -> DataFrame:
     """Distinct queries of completed runs that match, sorted. The match is made before the join."""
-    hits = run_queries.where(F.col("query").like(pattern)).select("run_id", "query").distinct()
+    hits = run_queries.where(F.col("query").like(pattern)).select("run_id", "query")
     done = runs.where("status = 'completed'").select("run_id")
     return hits.join(done, "run_id", "left_semi").select("query").distinct().orderBy("query")
 
