@@ -107,12 +107,11 @@ class Views:
 
     def collection_runs(self) -> DataFrame:
         """The runs that executed a query, with their counts."""
-        counts = self.table("lineitem").groupBy("l_orderkey").agg(
+        counts = self.table("lineitem").groupBy(F.col("l_orderkey").cast("string").alias("run_id")).agg(
             F.count("*").alias("queries_count"),
             F.sum("l_quantity").cast("long").alias("urls_collected"),
             F.sum(F.when(F.col("l_returnflag") == "N", F.col("l_quantity")).otherwise(0)).cast("long").alias("articles_scraped"),
         )
-        counts = counts.withColumn("run_id", F.col("l_orderkey").cast("string")).drop("l_orderkey")
         return self.run_dates().join(counts, "run_id")
 
     def run_events(self) -> DataFrame:

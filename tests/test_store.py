@@ -33,9 +33,23 @@ def test_append_and_read_by_day(spark):
     assert "PartitionFilters: [isnotnull(day" in plan
 
 
-def test_layout_hint_reaches_the_plan(spark):
-    df = articles(spark, ("u1", "t", "2026-01-02", 1)).hint("rebalance", F.col("link"))
-    assert "RebalancePartitions" in df._jdf.queryExecution().analyzed().toString()
+def test_large_day_is_cut_into_files(spark):
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(0, 20_000, 1, 8).select(
+            F.sha2(F.col("id").cast("string"), 256).alias("url"), F.when(F.col("id") % 100 == 0, at("2026-01-02 00:00:00"))
+            .otherwise(at("2026-01-01 00:00:00")).alias("time"))
+        path = scratch_path(spark, "cut")
+        assert store.write_partitioned(rows, path, "time", "url") == 20_000
+        files_of = spark.read.parquet(path).groupBy("day").agg(F.count_distinct("_metadata.file_path").alias("n"))
+        counts = {str(r.day): r.n for r in files_of.collect()}
+        assert counts["2026-01-01"] > 4 and counts["2026-01-02"] == 1
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_rows_without_url_are_refused(spark):

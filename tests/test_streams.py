@@ -28,6 +28,7 @@ def test_runs_continue_where_the_last_one_ended(spark):
     def run():
         incremental.ingest(stream(spark, source), out, f"{base}/c1")
         incremental.ingest(incremental.new_keys(stream(spark, source), "url"), keys, f"{base}/c2")
+        incremental.ingest(incremental.new_keys(stream(spark, source), "url", F.col("n"), 3), f"{keys}2", f"{base}/c4")
         incremental.append_new(stream(spark, source), "url", once, table, f"{base}/c3")
 
     add(spark, source, ("a", 2), ("a", 1), ("b", 3))
@@ -38,5 +39,6 @@ def test_runs_continue_where_the_last_one_ended(spark):
     run()
     assert spark.read.parquet(out).count() == 6
     assert sorted(r.url for r in spark.read.parquet(keys).collect()) == ["a", "b", "c"]
+    assert sorted(r.url for r in spark.read.parquet(f"{keys}2").collect()) == ["a", "b", "c"]
     rows = spark.read.parquet(table)
     assert sorted((r.url, r.n, r.batch) for r in rows.collect()) == [("a", 1, 0), ("b", 3, 0), ("c", 5, 1)]

@@ -141,7 +141,8 @@ def articles_with_latest(articles: DataFrame, enrichments: DataFrame, as_of: Col
     newest = latest_enrichments(enrichments, tie, ["sentiment", "sentiment_score", "issue_labels", "entity_labels"])
     recent = since(articles, "collection_timestamp", as_of, days)
     recent = recent.select("url", "title", "article_text", "publish_date", "collection_timestamp")
-    return recent.join(newest, "url", "left").orderBy(F.desc("collection_timestamp"))
+    # The url is part of the order so that the rows of one run, which share their time, are spread over the sort's tasks.
+    return recent.join(newest, "url", "left").orderBy(F.desc("collection_timestamp"), "url")
 
 
 def table_rows(tables: dict[str, DataFrame]) -> DataFrame:
