@@ -45,6 +45,10 @@ def test_one_exchange(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     plan = text.keywords(docs, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+    told = text.summaries(docs, "doc_id", "text")
+    told.collect()
+    final = told._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
 
 
 LONG = "word " * 30

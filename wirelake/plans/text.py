@@ -1,6 +1,6 @@
 """Keywords, summaries and sentiment of texts.
 
-`id_col` is unique. Keywords and summaries move each text once, by its id; counting, ranking and scoring then
+`id_col` is unique and not null. Keywords and summaries move each text once, by its id; counting, ranking and scoring then
 stay inside the partitions. Sentiment moves only one partial sum per text.
 """
 
@@ -46,7 +46,8 @@ def keywords(docs: DataFrame, id_col: str, text_col: str, k: int = 10, min_lengt
 
 def summaries(docs: DataFrame, id_col: str, text_col: str, k: int = 3, min_length: int = 1) -> DataFrame:
     """The k sentences with the highest mean word frequency, in text order; an earlier sentence wins a tie."""
-    placed = docs.select(id_col, text_col).repartition(id_col)
+    # The join below would infer this filter for one side only, and the exchange could not be shared.
+    placed = docs.select(id_col, text_col).where(F.col(id_col).isNotNull()).repartition(id_col)
     sentence = placed.select(id_col, F.posexplode_outer(sentences(F.col(text_col))).alias("pos", "sentence"))
     word = _each_word(sentence, "sentence", min_length, id_col, "pos")
     often = word.withColumn("n", F.count("*").over(Window.partitionBy(id_col, "word")))
@@ -54,7 +55,7 @@ def summaries(docs: DataFrame, id_col: str, text_col: str, k: int = 3, min_lengt
     place = F.row_number().over(Window.partitionBy(id_col).orderBy(F.desc("score"), "pos"))
     best = scored.withColumn("place", place).where(F.col("place") <= k)
     chosen = best.groupBy(id_col).agg(F.array_sort(F.collect_list("pos")).alias("_chosen"))
-    # Both sides of the join have the partitioning by id, and the second read of the exchange is reused.
+    # Both sides of the join have the partitioning by id and read the same exchange.
     full = placed.join(chosen, id_col, "left").withColumn("_sentences", sentences(F.col(text_col)))
     text = F.array_join(F.transform("_chosen", lambda p: F.get("_sentences", p)), " ")
     return full.select(id_col, F.coalesce(text, F.lit("")).alias("summary"))
