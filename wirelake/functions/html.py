@@ -11,9 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wirelake.functions.words import trimmed
+
 MIN_CHARS = 100  # Fixed value: shorter texts do not count as content.
 MIN_BLOCK = 500  # A single block this long is taken for the article.
-BLANKS = " \t\n\r\x0b\x0c"
 
 HIDDEN = r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->)"
 BLOCK_TAG = r"(?i)</?(?:p|div|article|section|main|header|footer|nav|aside|ul|ol|li|table|tr|td|h[1-6]|br|blockquote)\b[^>]*>"
@@ -31,10 +32,6 @@ def visible(html: Column) -> Column:
     return F.regexp_replace(html, HIDDEN, " ")
 
 
-def trimmed(text: Column) -> Column:
-    return F.btrim(text, F.lit(BLANKS))
-
-
 def resolved(text: Column) -> Column:
     """Text with its character references replaced."""
     for ref, char in ENTITIES:

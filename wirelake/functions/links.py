@@ -8,6 +8,8 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wirelake.functions.words import trimmed
+
 # A link that shows one of these is a listing, not an article.
 PAGING_MARKS = ["?page=", "&page=", "/page/"]
 INDEX_NAMES = ["press", "newsroom", "news", "press-releases", "media", "press-release"]
@@ -52,7 +54,7 @@ def query_site(query: Column) -> Column:
 
 def usable_url(url: Column) -> Column:
     """The url without padding, or null where nothing is left."""
-    return F.nullif(F.trim(url), F.lit(""))
+    return F.nullif(trimmed(url), F.lit(""))
 
 
 def search_url(site: Column, start: Column, end: Column, term: Column | None = None, encode: bool = False) -> Column:

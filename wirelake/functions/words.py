@@ -1,14 +1,20 @@
-"""Words and sentences of a text."""
+"""Words, sentences and padding of a text."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+BLANKS = " \t\n\r\x0b\x0c"
 NOT_LETTERS = r"[^\p{L}]+"
 SENTENCE = r"[^.!?\n]+[.!?]*"
 
 
+def trimmed(text: Column) -> Column:
+    """The text without blanks of any kind at its ends."""
+    return F.btrim(text, F.lit(BLANKS))
+
+
 def words(text: Column) -> Column:
     """Lower-case words in text order."""
     return F.array_remove(F.split(F.lower(text), NOT_LETTERS), "")

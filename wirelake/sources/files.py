@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wirelake.functions.words import trimmed
+
 # Doubled quotes inside quoted fields, blanks kept as they are.
 CSV = {
     "header": "true", "quote": '"', "escape": '"',
@@ -23,8 +25,7 @@ def write_csv(df: DataFrame, path: str, **options: str) -> None:
 
 def read_lines(spark: SparkSession, path: str, name: str = "url") -> DataFrame:
     """Distinct non-blank lines without their padding."""
-    line = F.btrim(F.col("value"), F.lit(" \t\r\x0b\x0c"))
-    return spark.read.text(path).select(line.alias(name)).where(F.col(name) != "").distinct()
+    return spark.read.text(path).select(trimmed(F.col("value")).alias(name)).where(F.col(name) != "").distinct()
 
 
 def add_lines(old: DataFrame, new: DataFrame, path: str, name: str = "url") -> None:
