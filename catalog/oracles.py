@@ -457,8 +457,9 @@ SQL: dict[str, str] = {
         FROM wanted_links l LEFT JOIN page_texts t ON l.link = t.url LEFT JOIN page_summaries s ON s.k = t.page_id LEFT JOIN page_keywords w ON w.k = t.page_id""",
     "recorded_run": """
         SELECT '20240301_000000' AS run_id, 'completed' AS status, DATE '2024-02-20' AS start_date, DATE '2024-03-01' AS end_date,
-          CAST(7 AS BIGINT) AS queries_count, (SELECT count(*) FROM wanted_links) AS urls_collected,
+          (SELECT count(DISTINCT host) FROM serp_results) AS queries_count, (SELECT count(*) FROM wanted_links) AS urls_collected,
           (SELECT count(*) FROM wanted_links JOIN page_texts ON link = url) AS articles_scraped, (SELECT count(*) FROM wanted_links) AS enrichments""",
+    "recorded_queries": "SELECT DISTINCT query FROM serp_results",
     # text
     "extract_semantic": f"SELECT page_id, {_SEMANTIC} AS article_text FROM (SELECT page_id, {_VISIBLE} AS body FROM pages) p",
     "extract_chain": "SELECT page_id, article_text, scraper_used FROM extracted",

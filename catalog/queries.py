@@ -621,7 +621,8 @@ def collection_report(v: Views) -> DataFrame:
 def _recorded(v: Views) -> store.NewsStore:
     news = store.NewsStore(v.spark, scratch_path(v.spark, "store"))
     collection.record(
-        _collection(v, described=True), news, "20240301_000000", date("2024-02-20"), date("2024-03-01"), stamp("2024-03-01 00:00:00"), 7)
+        _collection(v, described=True), news, "20240301_000000", date("2024-02-20"), date("2024-03-01"), stamp("2024-03-01 00:00:00"),
+        v.serp_links().select(F.concat(F.lit("site:"), F.col("host")).alias("query")))
     return news
 
 
@@ -632,6 +633,13 @@ def recorded_articles(v: Views) -> DataFrame:
     return rows.select("url", "title", "scraper_used", "summary", "keywords", F.length("article_text").cast("long").alias("n_chars"), "run_id")
 
 
+@query
+def recorded_queries(v: Views) -> DataFrame:
+    """Queries of the recorded collection, found again as executed."""
+    news = _recorded(v)
+    return planning.executed_queries(runs.run_rows(news.read("run_events")), news.read("run_queries"), date("2024-02-25"), date("2024-04-01"))
+
+
 @query
 def recorded_run(v: Views) -> DataFrame:
     """The run row of a whole collection, with its enrichments counted."""

@@ -29,6 +29,10 @@ def inputs(spark):
     return results, processed, pages, lexicon
 
 
+def five(spark):
+    return spark.createDataFrame([(f"q{i % 5}",) for i in range(8)], "query string")
+
+
 def collected(spark, inputs, keep=True, **options):
     kept = StageStore(spark, scratch_path(spark, "stages")).keeper("r", "2026-02-01 00:00:00") if keep else None
     return collection.collect(*inputs, "id", at(), F.asc("page_id"), keep=kept, **options)
@@ -52,8 +56,8 @@ def test_rows_of_a_collection(spark, inputs, keep):
 def test_recorded_and_enriched_again(spark, inputs):
     news = NewsStore(spark, scratch_path(spark, "store"))
     counts = collection.record(
-        collected(spark, inputs, described=True), news, "r1", F.lit("2026-01-01").cast("date"), F.lit("2026-01-31").cast("date"), at(), 5)
-    assert counts == {"articles": 48, "scraped": 43, "enrichments": 48}
+        collected(spark, inputs, described=True), news, "r1", F.lit("2026-01-01").cast("date"), F.lit("2026-01-31").cast("date"), at(), five(spark))
+    assert counts == {"articles": 48, "scraped": 43, "enrichments": 48, "queries": 5}
     articles, labels = news.read("collected_articles"), news.read("article_enrichments")
     row = articles.where("url LIKE '%/n/3'").first()
     assert row.keywords.startswith("a, good") and row.summary.startswith("A good result")
@@ -75,7 +79,7 @@ def test_failing_run_is_logged(spark, inputs):
     run = collected(spark, inputs, keep=False)
     broken = collection.Collection(run.links.withColumn("title", F.raise_error(F.lit("disk full")).cast("string")), run.errors)
     with pytest.raises(Exception):
-        collection.record(broken, news, "r1", F.lit("2026-01-01").cast("date"), F.lit("2026-01-31").cast("date"), at(), 5)
+        collection.record(broken, news, "r1", F.lit("2026-01-01").cast("date"), F.lit("2026-01-31").cast("date"), at(), five(spark))
     state = runs.run_rows(news.read("run_events")).first()
     assert state.status == "failed" and "disk full" in state.error_message
 

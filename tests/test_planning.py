@@ -76,6 +76,13 @@ def test_scope_all_moves_every_start(spark):
     assert {str(r.start_date) for r in none.collect()} == {JAN[0]}
 
 
+def test_unanswered_queries_stay_open(spark):
+    p = plan(spark, ["a", "b", "b"], ["a", "b"], [("0", *JAN, "failed", ["x"])])
+    first, second = sorted(set(texts(p)))
+    resolved = spark.createDataFrame([(second, 0), (second, 1), (first, 1)], "query string, page_no int")
+    assert texts(planning.executed_now(p, resolved)) == [second]
+
+
 def test_date_ranges():
     today = date(2026, 2, 11)
     assert planning.DateRange.of(None, None, today) == planning.DateRange(date(2026, 2, 1), today)

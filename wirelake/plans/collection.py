@@ -103,16 +103,16 @@ def describe(articles: DataFrame, id_col: str, by: str = "semantic", text_col: s
     return joined
 
 
-def record(run: Collection, news: NewsStore, run_id: str, start: Column, end: Column, at: Column, queries: int) -> dict[str, int]:
-    """Writes a collection to the three tables and returns the row counts.
+def record(run: Collection, news: NewsStore, run_id: str, start: Column, end: Column, at: Column, queries: DataFrame) -> dict[str, int]:
+    """Writes a collection to the tables and returns the row counts. `queries` are the ones that got an answer.
 
     The run's start is logged first and its end last; a run that fails on the way is logged as failed.
     """
     this = news.spark.range(1).select(F.lit(run_id).alias("run_id"), start.alias("start_date"), end.alias("end_date"))
     news.append_events(start_events(this, F.lit(None).cast("array<string>"), at))
 
-    def log_end(urls: int | None, scraped: int | None, error: str | None) -> None:
-        counts = {"queries_count": queries, "urls_collected": urls, "articles_scraped": scraped}
+    def log_end(executed: int | None, urls: int | None, scraped: int | None, error: str | None) -> None:
+        counts = {"queries_count": executed, "urls_collected": urls, "articles_scraped": scraped}
         row = this.select("run_id", *[F.lit(n).cast("long").alias(c) for c, n in counts.items()], F.lit(error).alias("error_message"))
         news.append_events(end_events(row, at))
 
@@ -122,11 +122,12 @@ def record(run: Collection, news: NewsStore, run_id: str, start: Column, end: Co
         urls = news.append_articles(rows, F.lit(run_id), at)
         enriched = news.append_enrichments(
             run.articles.select("url", "sentiment", F.col("score").alias("sentiment_score")), F.lit(run_id), at)
+        executed = news.append_queries(queries, F.lit(run_id), at)
     except Exception as error:
-        log_end(None, None, str(error))
+        log_end(None, None, None, str(error))
         raise
-    log_end(urls, scraped.get["n"], None)
-    return {"articles": urls, "scraped": scraped.get["n"], "enrichments": enriched}
+    log_end(executed, urls, scraped.get["n"], None)
+    return {"articles": urls, "scraped": scraped.get["n"], "enrichments": enriched, "queries": executed}
 
 
 def collection_report(run: Collection) -> DataFrame:

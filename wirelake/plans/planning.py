@@ -150,6 +150,12 @@ def collection_plan(
     return queries.join(done, "query", "left").select(*queries.columns, F.coalesce("_done", F.lit(False)).alias("skip"))
 
 
+def executed_now(plan: DataFrame, resolved_pages: DataFrame) -> DataFrame:
+    """Planned queries that were run and got a first page; the others stay open for the next run."""
+    first = resolved_pages.where("page_no = 0").select("query")
+    return plan.where(~F.col("skip")).select("query").distinct().join(first, "query", "left_semi")
+
+
 def plan_counts(reference: DataFrame, plan: DataFrame, new: DataFrame) -> DataFrame:
     """One row: companies, queries generated, skipped and to execute, newsrooms to backfill."""
     return plan.agg(

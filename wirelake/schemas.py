@@ -37,7 +37,7 @@ RUN_EVENTS = _schema(
 )
 
 # Executed queries are rows, not an array in the run, so that a run can hold any number of them.
-RUN_QUERIES = _schema(("run_id", STRING, False), ("query", STRING, False))
+RUN_QUERIES = _schema(("run_id", STRING, False), ("query", STRING, False), ("event_timestamp", TS, False))
 
 ERRORS = _schema(("url", STRING), ("error_type", STRING), ("error_message", STRING), ("timestamp", TS))
 

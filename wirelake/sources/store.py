@@ -25,6 +25,7 @@ class Table:
 TABLES = {
     "collected_articles": Table(schemas.ARTICLES, "collection_timestamp", "url", "day"),
     "article_enrichments": Table(schemas.ENRICHMENTS, "enrichment_timestamp", "url", "day"),
+    "run_queries": Table(schemas.RUN_QUERIES, "event_timestamp", "query", "month"),
     "run_events": Table(schemas.RUN_EVENTS, "event_timestamp", "run_id", "month"),
 }
 
@@ -90,6 +91,11 @@ class NewsStore:
     def append_enrichments(self, df: DataFrame, run_id: Column, at: Column, version: str = "v1.0") -> int:
         return self._append(stamp_enrichments(df, run_id, at, version), "article_enrichments")
 
+    def append_queries(self, queries: DataFrame, run_id: Column, at: Column) -> int:
+        """Logs the queries that a run executed, each once."""
+        once = queries.select("query").distinct()
+        return self._append(once.withColumn("run_id", run_id).withColumn("event_timestamp", at), "run_queries")
+
     def append_events(self, events: DataFrame) -> int:
         return self._append(events, "run_events")
 
