@@ -38,9 +38,9 @@ def collected(spark, inputs, keep=True, **options):
     return collection.collect(*inputs, "id", at(), F.asc("page_id"), keep=kept, **options)
 
 
-@pytest.mark.parametrize("keep", [True, False])
-def test_rows_of_a_collection(spark, inputs, keep):
-    run = collected(spark, inputs, keep)
+@pytest.mark.parametrize("keep, move", [(True, True), (False, True), (True, False)])
+def test_rows_of_a_collection(spark, inputs, keep, move):
+    run = collected(spark, inputs, keep, move_pages=move)
     rows = run.links.collect()
     assert len(rows) == 51  # 53 found, 2 known
     assert sorted(r.rule for r in rows if r.rule) == ["index", "missing", "pagination"]

@@ -62,7 +62,7 @@ class Collection:
 def collect(
     results: DataFrame, processed: DataFrame, pages: DataFrame, lexicon: DataFrame, id_col: str, at: Column,
     *page_order: Column, text_col: str = "description", negators: list[str] | None = None, keep: Keep | None = None,
-    described: bool = False,
+    described: bool = False, move_pages: bool = True,
 ) -> Collection:
     """New links, classified; text for the article links; sentiment of the description.
 
@@ -70,13 +70,20 @@ def collect(
     read three times: as rows, for their sentiment, and for the pages they ask for. `keep` writes them and the
     extracted texts as stages, so that links are compared with the known ones once and no page is extracted
     twice. With `described`, articles get a summary and keywords, made once per url.
+
+    Pages are reduced to the asked ones before extraction, which moves them by url unless the asked urls are few
+    enough for a broadcast. Where most stored pages are asked for, `move_pages=False` extracts every page where it
+    is stored and moves the texts only.
     """
     links = split_links(new_links(results, processed))
     if keep is not None:
         links = keep(links, "new_links")
     wanted = links.where("rule IS NULL")
     asked = wanted.select(F.col("link").alias("url")).distinct()
-    texts = extraction.extract(pages.join(asked, "url", "left_semi"))
+    if move_pages:
+        texts = extraction.extract(pages.join(asked, "url", "left_semi"))
+    else:
+        texts = extraction.extract(pages).join(asked, "url", "left_semi")
     if keep is not None:
         texts = keep(texts, "page_texts")
     content = extraction.contents(texts)
