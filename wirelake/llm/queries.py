@@ -7,8 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from wirelake.llm.main_text import extract_main_text
 from wirelake.llm.repetition import repetition_signals
 from wirelake.llm.token_counts import count_tokens
+from wirelake.llm.url_filter import judge_urls
+from wirelake.llm.warc import read_archives, write_archives
+from wirelake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +35,23 @@ def op1_repetition(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = write_archives(table(spark, folder, "pages"), scratch_path(spark, "warc"))
+    return read_archives(spark, archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri")
+
+
+#: Rules of the url query.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+@query
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_urls(table(spark, folder, "pages"), URL_RULES)
+
+
+@query
+def op2_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_main_text(table(spark, folder, "pages"))
