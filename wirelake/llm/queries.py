@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from wirelake.llm.language import identify
 from wirelake.llm.main_text import extract_main_text
 from wirelake.llm.repetition import repetition_signals
 from wirelake.llm.token_counts import count_tokens
@@ -55,3 +56,8 @@ def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return extract_main_text(table(spark, folder, "pages"))
+
+
+@query
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    return identify(table(spark, folder, "documents"))
