@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from wirelake.llm.decontamination import judge_contamination
 from wirelake.llm.language import identify
 from wirelake.llm.main_text import extract_main_text
 from wirelake.llm.repetition import repetition_signals
@@ -61,3 +63,36 @@ def op2_main_text(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     return identify(table(spark, folder, "documents"))
+
+
+@query
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    judged = judge_contamination(docs, benchmark, scratch_path(spark, "index"))
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return judged.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
+ORACLES["op8_decontamination"] = r"""
+WITH item AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+    FROM benchmark
+), doc AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+    FROM documents
+), phrase AS (
+    SELECT DISTINCT item, list_slice(w, i, i + 12) AS p FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM item WHERE len(w) > 0)
+), place AS (
+    SELECT doc_id, list_slice(w, i, i + n - 1) AS p, i, n
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, (SELECT DISTINCT len(p) AS n FROM phrase) WHERE len(w) >= n)
+), hit AS (
+    SELECT doc_id, item, i, n FROM place JOIN phrase USING (p)
+), per_doc AS (
+    SELECT doc_id, count(DISTINCT item) AS n_items, sha256(string_agg(DISTINCT item, ',' ORDER BY item)) AS items_sha256 FROM hit GROUP BY doc_id
+), words_hit AS (
+    SELECT doc_id, count(DISTINCT place_hit) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS place_hit FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN per_doc USING (doc_id) LEFT JOIN words_hit USING (doc_id)
+"""
