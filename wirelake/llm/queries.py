@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wirelake.llm.decontamination import judge_contamination
 from wirelake.llm.language import identify
 from wirelake.llm.main_text import extract_main_text
+from wirelake.llm.near_duplicates import near_duplicates
 from wirelake.llm.repetition import repetition_signals
 from wirelake.llm.token_counts import count_tokens
 from wirelake.llm.url_filter import judge_urls
@@ -96,3 +97,31 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
     coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN per_doc USING (doc_id) LEFT JOIN words_hit USING (doc_id)
 """
+
+
+@query
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(table(spark, folder, "documents"), scratch_path(spark, "near"), size=4, percent=80)
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("doc_id").isNull())
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
+ORACLES["op6_near_duplicates"] = r"""
+WITH RECURSIVE doc AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+), shingle AS (
+    SELECT DISTINCT doc_id, list_slice(w, i, i + 3) AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM doc WHERE len(w) > 0)
+), size AS (
+    SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), pair AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), link AS (
+    SELECT a, b FROM pair JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM doc
+    UNION SELECT reach.a, e.b FROM reach JOIN (SELECT a, b FROM link UNION ALL SELECT b, a FROM link) e ON reach.b = e.a
+)
+SELECT doc.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(reach.b) AS component_id, doc.doc_id = min(reach.b) AS kept
+FROM doc LEFT JOIN size USING (doc_id) JOIN reach ON reach.a = doc.doc_id GROUP BY doc.doc_id
+"""
