@@ -122,17 +122,25 @@ def covered(size: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.cumsum(edge[:size]) > 0
 
 
-def joined(data: np.ndarray, words: Words, kept: np.ndarray) -> list[bytes]:
-    """Kept words of each text, with one space between them."""
-    size = np.where(kept, words.ends - words.starts + 1, 0)
-    place = np.zeros(len(size) + 1, np.int64)
-    np.cumsum(size, out=place[1:])
+def spaced(data: np.ndarray, words: Words, kept: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Kept words, a space after each, and the place of each word in them, and the end."""
+    place = np.zeros(len(kept) + 1, np.int64)
+    np.cumsum(np.where(kept, words.ends - words.starts + 1, 0), out=place[1:])
     out = np.full(place[-1], 32, np.uint8)
     length = (words.ends - words.starts)[kept]
-    into = np.repeat(place[:-1][kept] - np.cumsum(length) + length, length) + np.arange(length.sum())
-    from_ = np.repeat(words.starts[kept] - np.cumsum(length) + length, length) + np.arange(length.sum())
-    out[into] = data[from_]
-    whole, cut = out.tobytes(), place[words.of]
+    out[ranges(place[:-1][kept], length)] = data[ranges(words.starts[kept], length)]
+    return out.tobytes(), place
+
+
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its length, one after another."""
+    return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+
+
+def joined(data: np.ndarray, words: Words, kept: np.ndarray) -> list[bytes]:
+    """Kept words of each text, with one space between them."""
+    whole, place = spaced(data, words, kept)
+    cut = place[words.of]
     return [whole[a : max(a, b - 1)] for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 

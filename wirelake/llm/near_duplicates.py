@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wirelake.llm.arrays import Spans, find_words, map_batches, mix, text_slices
+from wirelake.llm.arrays import Spans, find_words, map_batches, mix, ranges, text_slices
 from wirelake.llm.components import components
 
 CHUNKS, WIDTH = 12, 5
@@ -222,8 +222,7 @@ def _compare_sets(percent: int) -> Callable:
             own = items[of[i] : of[i + 1]]
             marked[own] = True
             length = size[near]
-            at = np.repeat(of[near] - np.cumsum(length) + length, length) + np.arange(length.sum())
-            common = np.add.reduceat(marked[items[at]].astype(np.int64), np.cumsum(length) - length)
+            common = np.add.reduceat(marked[items[ranges(of[near], length)]].astype(np.int64), np.cumsum(length) - length)
             marked[own] = False
             near = near[100 * common >= percent * (size[i] + length - common)]
             if len(near):

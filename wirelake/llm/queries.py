@@ -13,6 +13,7 @@ from wirelake.llm.language import identify
 from wirelake.llm.main_text import extract_main_text
 from wirelake.llm.near_duplicates import near_duplicates
 from wirelake.llm.repetition import repetition_signals
+from wirelake.llm.substring_dedup import remove_repeats
 from wirelake.llm.token_counts import count_tokens
 from wirelake.llm.url_filter import judge_urls
 from wirelake.llm.warc import read_archives, write_archives
@@ -125,3 +126,30 @@ WITH RECURSIVE doc AS (
 SELECT doc.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(reach.b) AS component_id, doc.doc_id = min(reach.b) AS kept
 FROM doc LEFT JOIN size USING (doc_id) JOIN reach ON reach.a = doc.doc_id GROUP BY doc.doc_id
 """
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents"), size=35).drop("kept_text")
+
+
+ORACLES["op5_substring_dedup"] = r"""
+WITH doc AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), win AS (
+    SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 34), ' ')) AS h
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM doc WHERE len(w) >= 35)
+), rep AS (
+    SELECT doc_id, i FROM win WHERE h IN (SELECT h FROM win GROUP BY h HAVING count(*) > 1)
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM rep
+), word AS (
+    SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM doc
+), kept AS (
+    SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+), lost AS (
+    SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
+"""

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from wirelake.llm.arrays import Spans, covered, find_words, map_batches, mix, sums_by, text_slices
+from wirelake.llm.suffixes import common_prefixes, sort_suffixes, suffix_array
 
 SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
@@ -41,65 +42,16 @@ def repeats(words: np.ndarray, of: np.ndarray) -> np.ndarray:
 
     words: hashes of the words of all texts; of: first word of each text, and the end.
     """
-    n = len(words)
-    longest = np.zeros(n, np.int64)
-    if not n:
-        return longest
-    text = np.repeat(np.arange(len(of) - 1), np.diff(of))
-    end = of[1:][text]
-    key = mix(words + text.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))  # equal for the same word of the same text
-    order = np.argsort(key)
-    same = key[order][1:] == key[order][:-1]
-    rank = _ranks(order, same, n)
-    tied = _tied(order, same)
-    levels, length = [rank], 1
-    while len(tied):
-        # rank + 1 of the part that follows; 0 past the end of the text
-        after = tied + length
-        key = np.where(after < end[tied], rank[np.minimum(after, n - 1)] + 1, 0)
-        by = np.argsort(rank[tied] * (n + 1) + key)
-        tied, key = tied[by], key[by]
-        old = rank[tied]
-        group = old[1:] == old[:-1]
-        same = group & (key[1:] == key[:-1])
-        first = np.flatnonzero(np.r_[True, ~group])
-        within = np.arange(len(tied)) - np.repeat(first, np.diff(np.r_[first, len(tied)]))
-        place = old + within
-        head = np.maximum.accumulate(np.where(np.r_[True, ~same], np.arange(len(tied)), 0))
-        rank = rank.copy()
-        rank[tied] = place[head]
-        levels.append(rank)
-        tied = _tied(tied, same)
-        length *= 2
-    # neighbours in sorted order; each level at which the ranks agree adds its length to the common prefix
-    suffix = np.empty(n, np.int64)
-    suffix[rank] = np.arange(n)
-    pair = np.flatnonzero(levels[0][suffix[1:]] == levels[0][suffix[:-1]])
-    a, b = suffix[pair].copy(), suffix[pair + 1].copy()
-    lcp = np.zeros(len(pair), np.int64)
-    for level in range(len(levels) - 1, -1, -1):
-        step = 1 << level
-        here = levels[level]
-        inside = (a < end[suffix[pair]]) & (b < end[suffix[pair]])
-        agree = inside & (here[np.minimum(a, n - 1)] == here[np.minimum(b, n - 1)])
-        lcp += agree * step
-        a += agree * step
-        b += agree * step
-    np.maximum.at(longest, suffix[pair], lcp)
-    np.maximum.at(longest, suffix[pair + 1], lcp)
+    text = np.repeat(np.arange(len(of) - 1, dtype=np.uint64), np.diff(of))
+    # a word has a key of its own in each text, so that nothing agrees across two texts
+    levels = sort_suffixes(mix(words + text * np.uint64(0x9E3779B97F4A7C15)))
+    order = suffix_array(levels)
+    shared = common_prefixes(levels, order)
+    longest = np.zeros(len(words), np.int64)
+    longest[order] = np.maximum(shared, np.r_[shared[1:], 0])
     return longest
 
 
-def _ranks(order: np.ndarray, same: np.ndarray, n: int) -> np.ndarray:
-    rank = np.empty(n, np.int64)
-    rank[order] = np.maximum.accumulate(np.where(np.r_[True, ~same], np.arange(n), 0))
-    return rank
-
-
-def _tied(order: np.ndarray, same: np.ndarray) -> np.ndarray:
-    return order[np.r_[same, False] | np.r_[False, same]]
-
-
 def text_signals(data: np.ndarray, offsets: np.ndarray, limits: Limits) -> dict[str, np.ndarray]:
     """Counts and verdict of each text of a buffer."""
     found = find_words(data, offsets)
