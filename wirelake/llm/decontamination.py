@@ -147,6 +147,7 @@ def judge_contamination(docs: DataFrame, benchmark: DataFrame, folder: str, size
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, folder: str, size: int = 13, share: int = 20) -> DataFrame:
     """Documents that are not contaminated, with all their columns."""
-    hits = contamination(docs, benchmark, folder, size).select(F.col("key").alias("_key"), F.col("n_hit").alias("_hit"))
-    bad = docs.select(row_key(docs).alias("_key"), F.size(words_of(docs["text"])).alias("_words")).join(hits, "_key").where(share * F.col("_hit") >= F.col("_words"))
-    return docs.join(bad.select("_key").distinct(), row_key(docs) == F.col("_key"), "left_anti")
+    words = docs.select(row_key(docs).alias("key"), F.size(words_of(docs["text"])).alias("n_words"))
+    bad = words.join(contamination(docs, benchmark, folder, size), "key").where(share * F.col("n_hit") >= F.col("n_words"))
+    whole = docs.select(row_key(docs).alias("key"), F.struct("*").alias("doc"))
+    return whole.join(bad.select("key").distinct(), "key", "left_anti").select("doc.*")

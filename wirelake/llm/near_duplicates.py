@@ -284,6 +284,5 @@ def drop_near_duplicates(docs: DataFrame, folder: str, size: int = 5, percent: i
     found = near_duplicates(docs, folder, size, percent)
     first = found.where("component IS NOT NULL").groupBy("component").agg(F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("row"))
     stay = first.select("row").union(found.where("component IS NULL").select("row")).distinct()
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    kept = keyed.join(stay.withColumnRenamed("row", "_row"), "_row", "left_semi")
-    return kept.dropDuplicates(["_row"]).drop("_row")
+    whole = docs.select(F.xxhash64("doc_id", "text").alias("row"), F.struct("*").alias("doc"))
+    return whole.join(stay, "row", "left_semi").dropDuplicates(["row"]).select("doc.*")

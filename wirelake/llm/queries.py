@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wirelake.llm import pieces
 from wirelake.llm.decontamination import judge_contamination
 from wirelake.llm.language import identify
 from wirelake.llm.main_text import extract_main_text
@@ -153,3 +154,16 @@ WITH doc AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM doc LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
 """
+
+
+@query
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    blank = F.replace(F.coalesce("text", F.lit("")), F.lit("▁"), F.lit(" "))
+    docs = table(spark, folder, "documents").select("doc_id", "text", F.sha2(blank, 256).alias("text_sha256"))
+    back = pieces.decode(pieces.encode(docs, model, keep_text=False), model)
+    digest = F.sha2("decoded", 256)
+    return back.select(
+        "doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.xxhash64("token_ids").alias("ids_hash"), digest.alias("decoded_sha256"),
+        (digest == F.col("text_sha256")).alias("round_trip"),
+    )

@@ -255,3 +255,36 @@ def remove_repeats(docs: DataFrame, size: int = 35) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return map_batches(_with_removed(docs, size), remove, f"doc_id {kind}, n_words long, n_removed long, kept_text string, kept_sha256 string")
+
+
+def cut_repeats(docs: DataFrame, size: int = 35) -> DataFrame:
+    """All columns and rows of documents, with the repeated words cut out of ``text``, and ``n_chars``, if there, its new length.
+
+    What stays keeps its white space; a text without repeated words is not changed."""
+    keyed = _keyed(docs)
+    whole = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.struct("*").alias("doc"))
+    rows = whole.join(repeated_spans(keyed, size), "key", "left").select("doc.*", F.col("spans").alias("_repeated_spans"))
+
+    def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        names = batch.schema.names[:-1]
+        texts, lengths = [], []
+        at = names.index("text")
+        for row, end, data, offsets in text_slices(batch.column(at)):
+            found = find_words(data, offsets)
+            gone = _removed(batch.column(len(names)).slice(row, end - row), found)
+            last = np.repeat(offsets[1:], found.counts)
+            until = np.minimum(np.r_[found.starts[1:], len(data)], last)  # a word goes with the white space after it
+            stays = ~covered(len(data), found.starts[gone], until[gone])
+            cuts = np.r_[0, np.cumsum(stays)][offsets]
+            left = data[stays]
+            characters = np.r_[0, np.cumsum((left & 0xC0) != 0x80)]
+            lengths.append(characters[cuts[1:]] - characters[cuts[:-1]])
+            kept = left.tobytes()
+            texts += [kept[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        new = {"text": pa.array(texts, pa.binary(), mask=batch.column(at).is_null().to_numpy(zero_copy_only=False)).cast(pa.string())}
+        if "n_chars" in names:
+            old = batch.column(names.index("n_chars"))
+            new["n_chars"] = pc.if_else(batch.column(at).is_null(), old, pa.array(np.concatenate([np.zeros(0, np.int64), *lengths])).cast(old.type))
+        yield pa.RecordBatch.from_arrays([new.get(name, batch.column(i)) for i, name in enumerate(names)], names)
+
+    return map_batches(rows, cut, docs.schema)
