@@ -28,7 +28,7 @@ VIEWS: dict[str, str] = {
         FROM supplier CROSS JOIN (VALUES (0), (1), (2)) s(snap_id) WHERE s_suppkey % 3 <= snap_id""",
     "collected_articles": f"""
         SELECT concat('https://www.corp', CAST(k % 40 AS VARCHAR), '.example.com/news/', CAST(k AS VARCHAR)) AS url,
-          doc_id, substr(text, 1, 60) AS title, substr(text, 1, 160) AS description, doc_id % 10 + 1 AS rank,
+          doc_id, text AS title, text AS description, doc_id % 10 + 1 AS rank,
           concat('site:https://www.corp', CAST(k % 40 AS VARCHAR), '.example.com/newsroom before:2024-01-31 after:2024-01-01') AS query,
           CASE WHEN n_chars >= 100 THEN text END AS article_text,
           CASE WHEN doc_id % 4 <> 0 THEN ts - INTERVAL '1' DAY END AS publish_date,
@@ -60,7 +60,7 @@ VIEWS: dict[str, str] = {
         UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 1, CASE o_orderstatus WHEN 'F' THEN 'completed' ELSE 'failed' END, CAST(floor(o_totalprice) AS BIGINT)
         FROM orders WHERE o_orderstatus <> 'O'""",
     "serp_results": f"""
-        SELECT page_id, host, concat('site:', host) AS query, title, substr(CASE WHEN page_id % 5 <> 0 THEN title END, 1, 40) AS description,
+        SELECT page_id, host, concat('site:', host) AS query, title, CASE WHEN page_id % 5 <> 0 THEN title END AS description,
           {_LINK} AS link, row_number() OVER (PARTITION BY host ORDER BY page_id) AS rank,
           CAST(floor((row_number() OVER (PARTITION BY host ORDER BY page_id) - 1) / 10) AS INT) AS page_no
         FROM (SELECT *, regexp_replace(url, '[?#].*$', '') AS b, regexp_extract(url, '^https?://([^/]+)', 1) AS host,
@@ -72,11 +72,16 @@ VIEWS: dict[str, str] = {
     "resolved": """
         SELECT host, page_no, min(attempt) FILTER (WHERE status = 200) AS resolved_attempt FROM serp_attempts GROUP BY host, page_no""",
     "pages_mixed": """
-        SELECT page_id, url, CASE WHEN page_id % 5 = 0 THEN replace(h, '<meta charset="utf-8">', concat('<meta charset="utf-8"><meta name="description" content="',
-            repeat('About this page. ', 8), '"><meta name="keywords" content="news, page"><meta property="article:published_time" content="',
-            CASE WHEN page_id % 2 = 0 THEN '2024-02-03T04:05:06' ELSE 'Feb 3, 2024' END, '">')) ELSE h END AS html
-        FROM (SELECT page_id, url, CASE WHEN page_id % 3 = 0 THEN replace(replace(html, '<article>', '<div>'), '</article>', '</div>')
-          WHEN page_id % 7 = 0 THEN regexp_replace(html, '(?s)<article>.*?</article>', '') ELSE html END AS h FROM pages) p""",
+        SELECT page_id, url, CASE WHEN page_id % 10 = 0 THEN replace(h, '<meta charset="utf-8">', concat('<meta charset="utf-8"><meta name="description" content="',
+            about, '"><meta name="keywords" content="news, page"><meta property="article:published_time" content="', published, '">'))
+          WHEN page_id % 5 = 0 THEN replace(h, '<meta charset="utf-8">', concat('<meta charset="utf-8"><meta content=', chr(39), about, chr(39),
+            ' name=', chr(39), 'description', chr(39), '/><META CONTENT=', chr(39), 'news, page', chr(39), ' NAME=keywords><meta content=', chr(39), published,
+            chr(39), ' property=', chr(39), 'article:published_time', chr(39), '>'))
+          ELSE h END AS html
+        FROM (SELECT page_id, url, repeat('This page&#8217;s own &#x201C;news&rdquo;. ', 8) AS about,
+            CASE WHEN page_id % 2 = 0 THEN '2024-02-03T04:05:06' ELSE 'Feb 3, 2024' END AS published,
+            CASE WHEN page_id % 3 = 0 THEN replace(replace(html, '<article>', '<div>'), '</article>', '</div>')
+              WHEN page_id % 7 = 0 THEN regexp_replace(html, '(?s)<article>.*?</article>', '') ELSE html END AS h FROM pages) p""",
     "scrape_log": """
         SELECT page_id, url, CASE WHEN page_id % 13 = 0 THEN NULL WHEN page_id % 4 = 0 THEN 'density' WHEN page_id % 29 = 1 THEN 'readability' ELSE 'semantic' END AS scraper_used,
           CASE WHEN page_id % 26 = 0 THEN 'Timeout' WHEN page_id % 13 = 0 THEN 'All Scrapers Failed' END AS error_type,
@@ -117,7 +122,9 @@ VIEWS: dict[str, str] = {
 
 def _plain(markup: str) -> str:
     text = f"regexp_replace({markup}, '<[^>]*>', ' ', 'g')"
-    for ref, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
+    # The numbered references are those that the pages of the fixture have.
+    for ref, char in (("&#8217;", "’"), ("&#x201C;", "“"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&rdquo;", "”"),
+                      ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
         text = f"replace({text}, '{ref}', '{char}')"
     return f"trim(regexp_replace({text}, '\\s+', ' ', 'g'))"
 
@@ -128,18 +135,20 @@ _PARAGRAPHS = _plain(r"array_to_string(regexp_extract_all(body, '(?is)<p\b[^>]*>
 _BLOCK = r"(?i)</?(?:p|div|article|section|main|header|footer|nav|aside|ul|ol|li|table|tr|td|h[1-6]|br|blockquote)\b[^>]*>"
 
 
-def _meta(name: str) -> str:
-    return f"""regexp_extract(body, '(?is)<meta\\s+(?:name|property)="{name}"\\s+content="([^"]*)"', 1)"""
-
+# What the pages of the fixture state, by construction.
+_ABOUT = "CASE WHEN page_id % 5 = 0 THEN trim(repeat('This page’s own “news”. ', 8)) ELSE '' END"
+_LINKS = _plain(r"array_to_string(regexp_extract_all(piece, '(?is)<a\b[^>]*>(.*?)</a\s*>', 1), ' ')")
+_FRAME = r"(?is)<head\b.*?</head\s*>|<nav\b.*?</nav\s*>|<footer\b.*?</footer\s*>|<aside\b.*?</aside\s*>|<form\b.*?</form\s*>"
 
 VIEWS["blocks"] = f"""
-    SELECT page_id, max(struct_pack(n := length(t), t := t)) AS top
-    FROM (SELECT page_id, {_plain('piece')} AS t FROM (SELECT page_id, unnest(regexp_split_to_array({_VISIBLE}, '{_BLOCK}')) AS piece FROM pages_mixed) x) y
-    GROUP BY page_id"""
+    SELECT page_id, string_agg(t, ' ' ORDER BY i) AS density FROM (
+      SELECT page_id, i, {_plain('piece')} AS t, length(piece) - length(replace(piece, '<', '')) AS tags, {_LINKS} AS links
+      FROM (SELECT page_id, unnest(pieces) AS piece, unnest(range(len(pieces))) AS i FROM (
+        SELECT page_id, regexp_split_to_array(regexp_replace({_VISIBLE}, '{_FRAME}', '<p>', 'g'), '{_BLOCK}') AS pieces FROM pages_mixed) x) y) z
+    WHERE 2 * length(links) < length(t) AND length(t) >= 10 * tags GROUP BY page_id"""
 VIEWS["candidates"] = f"""
-    SELECT page_id, url, html, {_SEMANTIC} AS semantic, CASE WHEN top.n >= 500 THEN top.t END AS density,
-      {_PARAGRAPHS} AS readability, {_plain(_meta('description'))} AS meta
-    FROM (SELECT *, {_VISIBLE} AS body FROM pages_mixed) p JOIN blocks USING (page_id)"""
+    SELECT p.page_id, url, html, {_SEMANTIC} AS semantic, density, {_PARAGRAPHS} AS readability, {_ABOUT} AS meta
+    FROM (SELECT *, {_VISIBLE} AS body FROM pages_mixed) p LEFT JOIN blocks USING (page_id)"""
 VIEWS["extracted"] = """
     SELECT page_id, url, html,
       CASE WHEN length(semantic) >= 100 THEN semantic WHEN length(density) >= 100 THEN density
@@ -453,7 +462,7 @@ SQL: dict[str, str] = {
     "recorded_articles": f"""
         SELECT l.link AS url, title, t.scraper_used, CASE WHEN t.scraper_used = 'semantic' THEN coalesce(summary, '') WHEN t.scraper_used IS NOT NULL THEN '' END AS summary,
           CASE WHEN t.scraper_used = 'semantic' THEN coalesce(keywords, '') WHEN t.scraper_used IS NOT NULL THEN '' END AS keywords,
-          length(t.article_text) AS n_chars, '20240301_000000' AS run_id
+          t.article_text, '20240301_000000' AS run_id
         FROM wanted_links l LEFT JOIN page_texts t ON l.link = t.url LEFT JOIN page_summaries s ON s.k = t.page_id LEFT JOIN page_keywords w ON w.k = t.page_id""",
     "recorded_run": """
         SELECT '20240301_000000' AS run_id, 'completed' AS status, DATE '2024-02-20' AS start_date, DATE '2024-03-01' AS end_date,
@@ -468,13 +477,12 @@ SQL: dict[str, str] = {
         FROM extracted WHERE scraper_used IS NULL""",
     "page_metadata": f"""
         SELECT page_id, nullif({_plain(chr(39).join(["regexp_extract(body, ", r"(?is)<title\b[^>]*>(.*?)</title\s*>", ", 1)"]))}, '') AS title,
-          nullif({_plain(_meta('description'))}, '') AS description, nullif({_meta('keywords')}, '') AS tags,
-          CASE {_meta('article:published_time')} WHEN '2024-02-03T04:05:06' THEN TIMESTAMP '2024-02-03 04:05:06'
-            WHEN 'Feb 3, 2024' THEN TIMESTAMP '2024-02-03 00:00:00' END AS publish_date
-        FROM (SELECT page_id, {_VISIBLE} AS body FROM pages_mixed) p""",
+          nullif({_ABOUT}, '') AS description, CASE WHEN page_id % 5 = 0 THEN 'news, page' END AS tags,
+          CASE WHEN page_id % 10 = 0 THEN TIMESTAMP '2024-02-03 04:05:06' WHEN page_id % 5 = 0 THEN TIMESTAMP '2024-02-03 00:00:00' END AS publish_date
+        FROM (SELECT page_id, html, {_VISIBLE} AS body FROM pages_mixed) p""",
     "custom_extractor": r"""
         SELECT page_id, coalesce(scraper_used, CASE WHEN length(trim(f, E' \t\n\r\x0b\x0c')) >= 100 THEN 'footer' END) AS scraper_used,
-          coalesce(length(article_text), CASE WHEN length(trim(f, E' \t\n\r\x0b\x0c')) >= 100 THEN length(f) END) AS n_chars
+          coalesce(article_text, CASE WHEN length(trim(f, E' \t\n\r\x0b\x0c')) >= 100 THEN f END) AS article_text
         FROM (SELECT *, regexp_extract(html, '(?s)<footer>(.*?)</footer>', 1) AS f FROM extracted) e""",
     "keywords_topk": f"SELECT k AS doc_id, keywords FROM ({_keywords('documents', 'doc_id', 'text', 5, 3)}) z",
     "summary_topk": f"SELECT k AS doc_id, summary FROM ({_summaries('documents', 'doc_id', 'text')}) z",

@@ -630,7 +630,7 @@ def _recorded(v: Views) -> store.NewsStore:
 def recorded_articles(v: Views) -> DataFrame:
     """Article rows of a whole collection, as written to the store."""
     rows = _recorded(v).read("collected_articles")
-    return rows.select("url", "title", "scraper_used", "summary", "keywords", F.length("article_text").cast("long").alias("n_chars"), "run_id")
+    return rows.select("url", "title", "scraper_used", "summary", "keywords", "article_text", "run_id")
 
 
 @query
@@ -679,7 +679,7 @@ def custom_extractor(v: Views) -> DataFrame:
         return rest.partition("</footer>")[0] if found else None
 
     done = extraction.extract_then_python(v.pages_mixed(), {"footer": footer})
-    return done.select("page_id", "scraper_used", F.length("article_text").cast("long").alias("n_chars"))
+    return done.select("page_id", "scraper_used", "article_text")
 
 
 @query

@@ -58,8 +58,8 @@ class Views:
         return docs.select(
             F.expr(f"{corp}news/', CAST(k AS STRING))").alias("url"),
             "doc_id",
-            F.expr("substr(text, 1, 60)").alias("title"),
-            F.expr("substr(text, 1, 160)").alias("description"),
+            F.col("text").alias("title"),
+            F.col("text").alias("description"),
             F.expr("doc_id % 10 + 1").alias("rank"),
             F.expr(f"concat('site:', {corp}newsroom before:2024-01-31 after:2024-01-01'))").alias("query"),
             F.expr("CASE WHEN n_chars >= 100 THEN text END").alias("article_text"),
@@ -137,7 +137,7 @@ class Views:
         title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
         return self.table("pages").select(
             "page_id", host(F.col("url")).alias("host"), title.alias("title"), link.alias("link"),
-            F.when(F.col("page_id") % 5 != 0, F.substring(title, 1, 40)).alias("description"),
+            F.when(F.col("page_id") % 5 != 0, title).alias("description"),
         )
 
     def serp_results(self) -> DataFrame:
@@ -179,12 +179,15 @@ class Views:
         html = F.col("html")
         untagged = F.replace(F.replace(html, F.lit("<article>"), F.lit("<div>")), F.lit("</article>"), F.lit("</div>"))
         bare = F.regexp_replace(html, "(?s)<article>.*?</article>", "")
-        described = F.concat(
-            F.lit('<meta charset="utf-8"><meta name="description" content="'), F.repeat(F.lit("About this page. "), 8),
-            F.lit('"><meta name="keywords" content="news, page">'
-                  '<meta property="article:published_time" content="'),
-            F.when(F.col("page_id") % 2 == 0, "2024-02-03T04:05:06").otherwise("Feb 3, 2024"), F.lit('">'),
-        )
+        date = F.when(F.col("page_id") % 2 == 0, "2024-02-03T04:05:06").otherwise("Feb 3, 2024")
+        about = F.repeat(F.lit("This page&#8217;s own &#x201C;news&rdquo;. "), 8)
+        plain_order = F.concat(
+            F.lit('<meta name="description" content="'), about, F.lit('"><meta name="keywords" content="news, page">'
+                  '<meta property="article:published_time" content="'), date, F.lit('">'))
+        other_order = F.concat(
+            F.lit("<meta content='"), about, F.lit("' name='description'/><META CONTENT='news, page' NAME=keywords>"
+                  "<meta content='"), date, F.lit("' property='article:published_time'>"))
+        described = F.concat(F.lit('<meta charset="utf-8">'), F.when(F.col("page_id") % 10 == 0, plain_order).otherwise(other_order))
         changed = F.when(F.col("page_id") % 3 == 0, untagged).when(F.col("page_id") % 7 == 0, bare).otherwise(html)
         meta = F.replace(changed, F.lit('<meta charset="utf-8">'), described)
         return self.table("pages").select("page_id", "url", F.when(F.col("page_id") % 5 == 0, meta).otherwise(changed).alias("html"))

@@ -6,6 +6,7 @@ recursion and a long page cannot overflow a task's stack.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -14,15 +15,20 @@ from pyspark.sql import functions as F
 from wirelake.functions.words import trimmed
 
 MIN_CHARS = 100  # Fixed value: shorter texts do not count as content.
-MIN_BLOCK = 500  # A single block this long is taken for the article.
-
 HIDDEN = r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->)"
 BLOCK_TAG = r"(?i)</?(?:p|div|article|section|main|header|footer|nav|aside|ul|ol|li|table|tr|td|h[1-6]|br|blockquote)\b[^>]*>"
 ANY_TAG = r"<[^>]*>"
-TAG_IN_LINE = r"<[^>\n]*>"
-
-# The common character references; the ampersand comes last.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+# Parts of a page that are not its article.
+FRAME = r"(?is)<(?:head\b.*?</head\s*>|nav\b.*?</nav\s*>|footer\b.*?</footer\s*>|aside\b.*?</aside\s*>|form\b.*?</form\s*>)"
+LINK = r"(?is)<a\b[^>]*>(.*?)</a\s*>"
+TAG_WORTH = 10  # Characters of text that a block has for each of its inline tags, to count as text.
+
+# The common named character references; the ampersand comes last.
+ENTITIES = [
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "), ("&lsquo;", "‘"), ("&rsquo;", "’"),
+    ("&ldquo;", "“"), ("&rdquo;", "”"), ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"),
+    ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"), ("&middot;", "·"), ("&bull;", "•"), ("&amp;", "&"),
+]
 
 Strategy = Callable[[Column], Column]
 
@@ -33,12 +39,27 @@ def visible(html: Column) -> Column:
 
 
 def resolved(text: Column) -> Column:
-    """Text with its character references replaced."""
+    """Text with its character references replaced, numbered ones first."""
+    text = F.when(F.contains(text, F.lit("&#")), _numbered(text)).otherwise(text)
     for ref, char in ENTITIES:
         text = F.replace(text, F.lit(ref), F.lit(char))
     return text
 
 
+def _numbered(text: Column) -> Column:
+    """Text with its numbered references replaced; one that names no character stays as it is."""
+    def char(part: Column) -> Column:
+        hexed = F.regexp_extract(part, r"^[xX]([0-9a-fA-F]{1,6});", 1)
+        digits = F.regexp_extract(part, r"^([0-9]{1,7});", 1)
+        number = F.when(hexed != "", F.conv(hexed, 16, 10)).when(digits != "", digits).try_cast("int")
+        real = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
+        sign = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        return F.when(real, F.concat(sign, F.substr(part, F.instr(part, ";") + 1))).otherwise(F.concat(F.lit("&#"), part))
+
+    parts = F.split(text, "&#")
+    return F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), char), ""))
+
+
 def plain(markup: Column) -> Column:
     """Markup as text: tags become blanks, references are resolved, blanks are folded."""
     text = resolved(F.regexp_replace(markup, ANY_TAG, " "))
@@ -55,15 +76,21 @@ def semantic(body: Column) -> Column:
 
 
 def density(body: Column) -> Column:
-    """The longest run of text between two block tags, if it is long enough for an article.
+    """All blocks that are mainly text: under half of it in links, and TAG_WORTH characters or more for each inline tag.
 
-    Block tags become line ends in a page without other line ends, so the page is cleaned as a whole.
+    The parts between block tags are the blocks, joined in page order. No test is on the length of a block or of the page.
     """
-    lines = F.regexp_replace(F.regexp_replace(body, r"\s+", " "), BLOCK_TAG, "\n")
-    text = resolved(F.regexp_replace(lines, TAG_IN_LINE, " "))
-    blocks = F.split(F.regexp_replace(text, " {2,}", " "), "\n")
-    longest = F.array_max(F.transform(blocks, lambda b: F.struct(F.length(F.trim(b)).alias("n"), F.trim(b).alias("text"))))
-    return F.when(longest["n"] >= MIN_BLOCK, longest["text"])
+    def block(part: Column) -> Column:
+        tags = F.length(part) - F.length(F.replace(part, F.lit("<"), F.lit("")))
+        links = F.length(plain(F.array_join(F.regexp_extract_all(part, F.lit(LINK), F.lit(1)), " ")))
+        return F.struct(plain(part).alias("text"), tags.alias("tags"), links.alias("links"))
+
+    def is_text(b: Column) -> Column:
+        return (2 * b["links"] < F.length(b["text"])) & (F.length(b["text"]) >= TAG_WORTH * b["tags"])
+
+    parts = F.split(F.regexp_replace(body, FRAME, "<p>"), BLOCK_TAG)
+    kept = F.filter(F.transform(parts, block), is_text)
+    return F.array_join(F.transform(kept, lambda b: b["text"]), " ")
 
 
 def readability(body: Column) -> Column:
@@ -77,8 +104,15 @@ def meta(body: Column) -> Column:
 
 
 def meta_content(body: Column, name: str) -> Column:
-    pattern = rf'(?is)<meta\s+(?:name|property)="{name}"\s+content="([^"]*)"'
-    return F.regexp_extract(body, pattern, 1)
+    """Content of the page's first meta tag of that name; empty where there is none. Attributes come in any order and quotes."""
+    tags = F.regexp_extract_all(body, F.lit(r"(?is)<meta\b[^>]*>"), F.lit(0))
+    named = rf"""(?is)\s(?:name|property)\s*=\s*["']?{re.escape(name)}["'\s/>]"""
+    tag = F.get(F.filter(tags, lambda t: F.rlike(t, F.lit(named))), F.lit(0))
+
+    def content(value: str) -> Column:
+        return F.nullif(F.regexp_extract(tag, rf"(?is)\scontent\s*=\s*{value}", 1), F.lit(""))
+
+    return F.coalesce(content('"([^"]*)"'), content("'([^']*)'"), content(r"""([^"'\s/>]+)"""), F.lit(""))
 
 
 def title(body: Column) -> Column:

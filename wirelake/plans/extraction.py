@@ -95,7 +95,7 @@ def page_metadata(pages: DataFrame, html: str = "html") -> DataFrame:
     b = F.col("_body")
     published = F.coalesce(
         stated(H.meta_content(b, "article:published_time")),
-        stated(F.regexp_extract(b, r'(?is)<time\b[^>]*datetime="([^"]*)"', 1)),
+        stated(F.regexp_extract(b, r"""(?is)<time\b[^>]*\sdatetime\s*=\s*["']([^"']*)["']""", 1)),
     )
     found = body.select(
         *[c for c in pages.columns if c != html], stated(H.title(b)).alias("title"), published.alias("_published"),
