@@ -56,9 +56,11 @@ VIEWS: dict[str, str] = {
             CAST(sum(CASE WHEN l_returnflag = 'N' THEN l_quantity ELSE 0 END) AS BIGINT) AS scr
           FROM lineitem GROUP BY l_orderkey) l ON o_orderkey = l_orderkey""",
     "run_events": """
-        SELECT CAST(o_orderkey AS VARCHAR) AS run_id, 0 AS seq, 'started' AS status, CAST(0 AS BIGINT) AS urls_collected FROM orders
-        UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 1, CASE o_orderstatus WHEN 'F' THEN 'completed' ELSE 'failed' END, CAST(floor(o_totalprice) AS BIGINT)
-        FROM orders WHERE o_orderstatus <> 'O'""",
+        SELECT CAST(o_orderkey AS VARCHAR) AS run_id, 0 AS seq, 'started' AS status, CAST(0 AS BIGINT) AS urls_collected, o_orderdate AS event_timestamp FROM orders
+        UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 1, CASE o_orderstatus WHEN 'F' THEN 'completed' ELSE 'failed' END, CAST(floor(o_totalprice) AS BIGINT),
+          o_orderdate + to_seconds(o_orderkey % 3600) FROM orders WHERE o_orderstatus <> 'O'
+        UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 0, 'started', 0, o_orderdate + INTERVAL 1 DAY + to_seconds(o_orderkey % 3600) FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 5 = 0
+        UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 1, 'completed', 7, o_orderdate + INTERVAL 2 DAY + to_seconds(o_orderkey % 3600) FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 5 = 0""",
     "serp_results": f"""
         SELECT page_id, host, concat('site:', host) AS query, title, CASE WHEN page_id % 5 <> 0 THEN title END AS description,
           {_LINK} AS link, row_number() OVER (PARTITION BY host ORDER BY page_id) AS rank,
@@ -66,11 +68,18 @@ VIEWS: dict[str, str] = {
         FROM (SELECT *, regexp_replace(url, '[?#].*$', '') AS b, regexp_extract(url, '^https?://([^/]+)', 1) AS host,
           regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages) p""",
     "serp_attempts": """
-        SELECT host, page_no, attempt, CASE WHEN length(host) % 9 = 0 THEN 500 WHEN (page_no + length(host) + attempt) % 4 = 0 THEN 429
+        SELECT host, page_no, attempt, n, (page_no + length(host) + attempt) % 3 = 0 AS cut, CASE WHEN length(host) % 9 = 0 THEN 500 WHEN (page_no + length(host) + attempt) % 4 = 0 THEN 429
           WHEN (page_no + length(host) + attempt) % 7 = 0 THEN 504 ELSE 200 END AS status
-        FROM (SELECT DISTINCT host, page_no FROM serp_results) r CROSS JOIN (VALUES (0), (1), (2)) a(attempt)""",
+        FROM (SELECT host, page_no, count(*) AS n FROM serp_results GROUP BY ALL) r CROSS JOIN (VALUES (0), (1), (2)) a(attempt)""",
     "resolved": """
-        SELECT host, page_no, min(attempt) FILTER (WHERE status = 200) AS resolved_attempt FROM serp_attempts GROUP BY host, page_no""",
+        SELECT host, page_no, min(attempt) FILTER (WHERE status = 200 AND NOT cut) AS resolved_attempt,
+          CASE WHEN length(host) % 13 = 0 THEN 0 ELSE max(n) END AS n FROM serp_attempts GROUP BY host, page_no""",
+    "chain": """
+        SELECT host AS query, page_no, n AS n_results,
+          CASE WHEN n = 10 THEN concat('https://search.example.com/?start=', (page_no + 1) * 10, '&brd_json=1') END AS next_request,
+          count(*) OVER (PARTITION BY host ORDER BY page_no) AS seen,
+          coalesce(min(n) OVER (PARTITION BY host ORDER BY page_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 10) AS least_n
+        FROM resolved WHERE resolved_attempt IS NOT NULL AND n > 0""",
     "pages_mixed": """
         SELECT page_id, url, CASE WHEN page_id % 10 = 0 THEN replace(h, '<meta charset="utf-8">', concat('<meta charset="utf-8"><meta name="description" content="',
             about, '"><meta name="keywords" content="news, page"><meta property="article:published_time" content="', published, '">'))
@@ -252,49 +261,43 @@ _AS_OF = "(SELECT max(collection_timestamp) FROM collected_articles)"
 SQL: dict[str, str] = {
     # sources and sinks
     "reference_scan": "SELECT corporation, sector, newsroom_url FROM reference_data WHERE f100 AND newsroom_url IS NOT NULL",
+    "csv_texts": "SELECT doc_id, concat(chr(34), text, chr(34), ',', chr(10), chr(92)) AS text FROM documents",
     "csv_roundtrip": "SELECT id, corporation, sector, newsroom_url FROM reference_data",
     "reference_snapshot": """
         SELECT * FROM reference_snapshots WHERE snap_id = (SELECT max(snap_id) FROM reference_snapshots
           WHERE loaded_at <= TIMESTAMP '2024-01-01 21:00:00' AND loaded_at > TIMESTAMP '2024-01-01 21:00:00' - INTERVAL 24 HOUR)""",
     "reference_snapshot_stale": "SELECT * FROM reference_snapshots WHERE snap_id = (SELECT max(snap_id) FROM reference_snapshots)",
-    "serp_parse": "SELECT page_no, query, title, description, link, rank FROM serp_results WHERE length(host) % 9 <> 0",
-    "fetch_resolution": """
-        SELECT r.host, r.page_no, resolved_attempt, CAST(coalesce(sum(CASE WHEN status = 429 THEN 10 * (attempt + 1) ELSE power(2, attempt) END)
-          FILTER (WHERE attempt < 2 AND attempt < coalesce(resolved_attempt, 3)), 0) AS BIGINT) AS wait_s
-        FROM resolved r JOIN serp_attempts a ON r.host = a.host AND r.page_no = a.page_no GROUP BY r.host, r.page_no, resolved_attempt""",
-    "serp_page_chain": """
-        SELECT query, page_no, n_results, next_request FROM (
-          SELECT host AS query, page_no, n AS n_results,
-            CASE WHEN n = 10 THEN concat('https://search.example.com/?start=', (page_no + 1) * 10, '&brd_json=1') END AS next_request,
-            count(*) OVER (PARTITION BY host ORDER BY page_no) AS seen,
-            coalesce(min(n) OVER (PARTITION BY host ORDER BY page_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 10) AS least_n
-          FROM (SELECT s.host, s.page_no, count(*) AS n FROM serp_results s JOIN resolved r ON s.host = r.host AND s.page_no = r.page_no
-            WHERE resolved_attempt IS NOT NULL AND length(s.host) % 9 <> 0 GROUP BY s.host, s.page_no) p) q
-        WHERE page_no < 2 AND seen = page_no + 1 AND least_n = 10""",
-    "failed_queries": "SELECT host AS query FROM resolved GROUP BY host HAVING count(*) FILTER (WHERE page_no = 0 AND resolved_attempt IS NOT NULL) = 0",
+    "serp_parse": "SELECT page_no, query, title, description, link, CASE WHEN length(host) % 2 = 0 AND rank = 7 THEN NULL ELSE rank END AS rank FROM serp_results",
+    "fetch_resolution": "SELECT host, page_no, resolved_attempt FROM resolved",
+    "serp_page_chain": "SELECT query, page_no, n_results, next_request FROM chain WHERE page_no < 2 AND seen = page_no + 1 AND least_n = 10",
+    "serp_page_chain_all": "SELECT query, page_no, n_results, next_request FROM chain WHERE seen = page_no + 1 AND least_n = 10",
+    "failed_queries": "SELECT host AS query FROM resolved GROUP BY host HAVING count(*) FILTER (WHERE page_no = 0 AND resolved_attempt IS NOT NULL AND n > 0) = 0",
     "union_pages": "SELECT page_id, CASE WHEN page_no > 0 THEN page_no END AS page_no, query, title, link, rank FROM serp_results",
     "processed_scan": "SELECT DISTINCT link AS url FROM processed_urls",
     "processed_count": "SELECT count(DISTINCT link) AS processed FROM processed_urls",
     "processed_union": "SELECT DISTINCT link FROM serp_results WHERE page_id % 3 = 0 OR page_id % 2 = 0",
-    "stage_roundtrip": "SELECT run_id, seq, status, urls_collected FROM run_events",
+    "stage_roundtrip": "SELECT run_id, seq, status, urls_collected, event_timestamp FROM run_events",
     "latest_run_stages": "SELECT run_id, status AS stage FROM run_events WHERE run_id = (SELECT max(run_id) FROM run_events)",
     "store_layout": """
-        SELECT CAST(collection_timestamp AS DATE) AS day, count(*) AS n, count(DISTINCT url) AS urls FROM collected_articles
-        WHERE CAST(collection_timestamp AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-12' GROUP BY 1""",
+        SELECT CAST(collection_timestamp AS DATE) AS day, count(*) AS n, count(DISTINCT url) AS urls FROM collected_articles GROUP BY 1""",
     "write_articles": """
-        SELECT url, title, rank, query, CAST(NULL AS VARCHAR) AS summary, CAST(NULL AS VARCHAR) AS keywords,
+        SELECT url, title, description, article_text, rank, query, CAST(NULL AS VARCHAR) AS summary, CAST(NULL AS VARCHAR) AS keywords,
           CASE WHEN doc_id % 3 = 0 THEN CAST(CAST(publish_date AS DATE) AS TIMESTAMP) ELSE publish_date END AS publish_date,
           scraper_used, TIMESTAMP '2024-03-01 00:00:00' AS collection_timestamp, '20240301_000000' AS run_id FROM collected_articles""",
     "write_enrichments": f"""
         SELECT url, sentiment, {_SCORE}, CASE WHEN event_id % 5 = 0 THEN '' ELSE array_to_string(issue_labels, '|') END AS issue_labels,
           array_to_string(entity_labels, '|') AS entity_labels, enrichment_timestamp, 'v3.0' AS enrichment_version, '20240301_000000' AS run_id
         FROM article_enrichments""",
-    "run_state": "SELECT run_id, max_by(status, seq) AS status, max_by(urls_collected, seq) AS urls_collected FROM run_events GROUP BY run_id",
+    "run_state": """
+        SELECT run_id, status, urls_collected FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY event_timestamp DESC, seq DESC, status DESC) AS rn
+          FROM run_events) e WHERE rn = 1""",
     "run_log": """
-        SELECT run_id, start_date, end_date, status, start_timestamp, CASE WHEN status <> 'started' THEN queries_count END AS queries_count,
-          CASE WHEN status <> 'started' THEN urls_collected END AS urls_collected, CASE WHEN status <> 'started' THEN articles_scraped END AS articles_scraped,
-          CASE WHEN status <> 'started' THEN end_timestamp END AS end_timestamp, CASE WHEN status = 'failed' THEN 'out of quota' END AS error_message
-        FROM collection_runs""",
+        SELECT run_id, start_date, end_date, CASE WHEN again THEN 'completed' ELSE status END AS status, start_timestamp,
+          CASE WHEN status <> 'started' THEN queries_count END AS queries_count,
+          CASE WHEN again THEN 7 WHEN status <> 'started' THEN urls_collected END AS urls_collected, CASE WHEN status <> 'started' THEN articles_scraped END AS articles_scraped,
+          CASE WHEN again THEN end_timestamp + INTERVAL 1 DAY WHEN status <> 'started' THEN end_timestamp END AS end_timestamp,
+          CASE WHEN status = 'failed' AND NOT again THEN 'out of quota' END AS error_message
+        FROM (SELECT *, status = 'failed' AND CAST(run_id AS BIGINT) % 5 = 0 AS again FROM collection_runs) c""",
     "dedup_rewrite": "SELECT url, doc_id, title, run_id, collection_timestamp FROM earliest",
     # projections and filters
     "conform_schema": "SELECT CAST(NULL AS BIGINT) AS id, corporation, sector, newsroom_url FROM reference_data",
@@ -333,7 +336,6 @@ SQL: dict[str, str] = {
         FROM article_enrichments""",
     # joins and set operations
     "join_content": "SELECT page_id, link, title, scraper_used, processing_time_s FROM serp_results LEFT JOIN content_once ON link = url",
-    "join_content_salted": "SELECT page_id, link, title, scraper_used, processing_time_s FROM serp_results LEFT JOIN content_once ON link = url",
     "new_links": "SELECT page_id, link FROM serp_results WHERE link NOT IN (SELECT link FROM processed_urls)",
     "executed_queries": """
         SELECT DISTINCT query FROM run_queries JOIN collection_runs USING (run_id)
@@ -406,6 +408,7 @@ SQL: dict[str, str] = {
     "table_rows": """
         SELECT 'collected_articles' AS table_name, count(*) AS row_count FROM collected_articles
         UNION ALL SELECT 'article_enrichments', count(*) FROM article_enrichments UNION ALL SELECT 'collection_runs', count(*) FROM collection_runs""",
+    "table_bytes": "SELECT count(*) AS n_rows, true AS has_bytes, true AS has_files FROM events",
     "run_stats": """
         SELECT (SELECT count(*) FROM reference_data) AS companies_count, (SELECT count(*) FROM plan) AS queries_generated,
           (SELECT count(*) FROM plan WHERE skip) AS queries_skipped, (SELECT count(*) FROM plan WHERE NOT skip) AS queries_executed,
@@ -426,6 +429,11 @@ SQL: dict[str, str] = {
           round(CAST(articles_scraped AS DOUBLE) / nullif(urls_collected, 0) * 100, 2) AS scrape_success_rate,
           date_diff('second', start_timestamp, end_timestamp) AS duration_seconds
         FROM collection_runs ORDER BY start_timestamp DESC, run_id LIMIT 10""",
+    "recent_runs_days": """
+        SELECT run_id, start_date, end_date, status, urls_collected, articles_scraped,
+          round(CAST(articles_scraped AS DOUBLE) / nullif(urls_collected, 0) * 100, 2) AS scrape_success_rate,
+          date_diff('second', start_timestamp, end_timestamp) AS duration_seconds
+        FROM collection_runs WHERE start_timestamp >= (SELECT max(start_timestamp) FROM collection_runs) - INTERVAL 60 DAY""",
     "urls_per_query": """
         SELECT run_id, start_date, end_date, queries_count AS executed, urls_collected, round(CAST(urls_collected AS DOUBLE) / queries_count, 2) AS urls_per_query
         FROM collection_runs WHERE status = 'completed' AND queries_count > 0 ORDER BY start_timestamp DESC, run_id LIMIT 10""",
@@ -460,10 +468,21 @@ SQL: dict[str, str] = {
         FROM fresh_links LEFT JOIN wanted_scores ON page_id = k LEFT JOIN page_texts ON link = url AND rule IS NULL
         GROUP BY host""",
     "recorded_articles": f"""
-        SELECT l.link AS url, title, t.scraper_used, CASE WHEN t.scraper_used = 'semantic' THEN coalesce(summary, '') WHEN t.scraper_used IS NOT NULL THEN '' END AS summary,
-          CASE WHEN t.scraper_used = 'semantic' THEN coalesce(keywords, '') WHEN t.scraper_used IS NOT NULL THEN '' END AS keywords,
+        SELECT l.link AS url, title, t.scraper_used,
+          CASE t.scraper_used WHEN 'semantic' THEN coalesce(summary, '') WHEN 'meta' THEN {_ABOUT.replace('page_id', 't.page_id')} ELSE t.other END AS summary,
+          CASE t.scraper_used WHEN 'semantic' THEN coalesce(keywords, '') WHEN 'meta' THEN 'news, page' ELSE t.other END AS keywords,
+          CASE WHEN t.page_id % 10 = 0 THEN TIMESTAMP '2024-02-03 04:05:06' WHEN t.page_id % 5 = 0 THEN TIMESTAMP '2024-02-03 00:00:00' END AS publish_date,
           t.article_text, '20240301_000000' AS run_id
-        FROM wanted_links l LEFT JOIN page_texts t ON l.link = t.url LEFT JOIN page_summaries s ON s.k = t.page_id LEFT JOIN page_keywords w ON w.k = t.page_id""",
+        FROM wanted_links l LEFT JOIN (SELECT *, '' AS other FROM page_texts) t ON l.link = t.url LEFT JOIN page_summaries s ON s.k = t.page_id
+          LEFT JOIN page_keywords w ON w.k = t.page_id""",
+    "recorded_errors": """
+        SELECT DISTINCT link AS url, 'All Scrapers Failed' AS error_type, 'All scrapers failed' AS error_message, TIMESTAMP '2024-03-01 00:00:00' AS timestamp,
+          '20240301_000000' AS run_id FROM wanted_links WHERE link NOT IN (SELECT url FROM page_texts)""",
+    "recorded_filtered": """
+        SELECT link AS url, rule, 'Non-article URL (pagination/index/home page)' AS reason, TIMESTAMP '2024-03-01 00:00:00' AS timestamp,
+          '20240301_000000' AS run_id FROM fresh_links WHERE rule IS NOT NULL""",
+    "recorded_companies": """
+        SELECT DISTINCT '20240301_000000' AS run_id, corporation AS company, TIMESTAMP '2024-03-01 00:00:00' AS event_timestamp FROM reference_data""",
     "recorded_run": """
         SELECT '20240301_000000' AS run_id, 'completed' AS status, DATE '2024-02-20' AS start_date, DATE '2024-03-01' AS end_date,
           (SELECT count(DISTINCT host) FROM serp_results) AS queries_count, (SELECT count(*) FROM wanted_links) AS urls_collected,
@@ -497,4 +516,7 @@ SQL: dict[str, str] = {
           FROM article_enrichments) e WHERE rn = 1""",
 }
 
+SQL.update({f"stored_{name}": SQL[name] for name in (
+    "urls_in_range", "urls_lookback", "title_search", "collected_on_day", "daily_collection", "coverage", "articles_latest", "recent_articles")})
+
 ORACLES = {name: _with_views(sql) for name, sql in SQL.items()}

@@ -7,8 +7,9 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from catalog.views import NEGATORS, Views
+from catalog.views import NEGATORS, StoredViews, Views
 from wirelake import schemas
 from wirelake.functions import links, times, words
 from wirelake.functions.html import has_content, semantic, visible
@@ -61,6 +62,15 @@ def csv_roundtrip(v: Views) -> DataFrame:
     return files.read_csv(v.spark, path, schemas.REFERENCE)
 
 
+@query
+def csv_texts(v: Views) -> DataFrame:
+    """Whole texts, with their line breaks and quotes."""
+    path = scratch_path(v.spark, "csv")
+    quoted = F.concat(F.lit('"'), F.col("text"), F.lit('",\n\\'))
+    files.write_csv(v.table("documents").select("doc_id", quoted.alias("text")), path)
+    return files.read_csv(v.spark, path, T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())]))
+
+
 @query
 def reference_snapshot(v: Views) -> DataFrame:
     return reference.choose_snapshot(v.reference_snapshots(), stamp("2024-01-01 21:00:00"))
@@ -77,29 +87,36 @@ def serp_parse(v: Views) -> DataFrame:
     return rows.select("page_no", "query", "title", "description", "link", "rank")
 
 
+ATTEMPTS, PAGES = 3, 2  # attempts per page and pages per query of the search jobs
+
+
+def _resolved(v: Views) -> DataFrame:
+    return search.resolve_fetches(v.serp_attempts(), "host", "page_no", max_attempts=ATTEMPTS)
+
+
 @query
 def fetch_resolution(v: Views) -> DataFrame:
-    return search.resolve_fetches(v.serp_attempts(), "host", "page_no")
+    return _resolved(v).drop("payload")
 
 
 def _fetched_pages(v: Views) -> DataFrame:
-    resolved = search.resolve_fetches(v.serp_attempts(), "host", "page_no").where("resolved_attempt IS NOT NULL")
-    read = search.read_payloads(v.serp_payloads()).withColumn("n_results", F.size("organic").cast("long"))
-    return resolved.join(read, ["host", "page_no"]).select(
-        F.col("host").alias("query"), "page_no", "n_results", "next_page_link"
-    )
+    read = search.read_payloads(_resolved(v).where("resolved_attempt IS NOT NULL"))
+    return read.select(F.col("host").alias("query"), "page_no", F.size("organic").cast("long").alias("n_results"), "next_page_link")
 
 
 @query
 def serp_page_chain(v: Views) -> DataFrame:
-    return search.chained_pages(_fetched_pages(v))
+    return search.chained_pages(_fetched_pages(v), max_pages=PAGES)
+
+
+@query
+def serp_page_chain_all(v: Views) -> DataFrame:
+    return search.chained_pages(_fetched_pages(v), max_pages=None)
 
 
 @query
 def failed_queries(v: Views) -> DataFrame:
-    attempts = v.serp_attempts()
-    resolved = search.resolve_fetches(attempts, "host", "page_no").where("resolved_attempt IS NOT NULL")
-    return search.failed_queries(attempts.select(F.col("host").alias("query")), resolved.withColumnRenamed("host", "query"))
+    return search.failed_queries(v.serp_attempts().select(F.col("host").alias("query")), _fetched_pages(v))
 
 
 @query
@@ -153,7 +170,7 @@ def store_layout(v: Views) -> DataFrame:
     news = store.NewsStore(v.spark, scratch_path(v.spark, "store"))
     news.create_tables()
     news.append_articles(v.collected_articles(), F.col("run_id"), F.col("collection_timestamp"))
-    return news.read("collected_articles", "2024-01-03", "2024-01-12").groupBy("day").agg(
+    return news.read("collected_articles").groupBy("day").agg(
         F.count("*").alias("n"), F.count_distinct("url").alias("urls")
     )
 
@@ -165,7 +182,7 @@ def write_articles(v: Views) -> DataFrame:
         F.date_format("publish_date", "yyyy-MM-dd HH:mm:ss"))
     rows = v.collected_articles().withColumnRenamed("url", "link").withColumn("publish_date", dated)
     news.append_articles(rows, F.lit("20240301_000000"), stamp("2024-03-01 00:00:00"))
-    return news.read("collected_articles").drop("day", "article_text", "description")
+    return news.read("collected_articles").drop("day")
 
 
 @query
@@ -191,12 +208,15 @@ def run_log(v: Views) -> DataFrame:
     news = store.NewsStore(v.spark, scratch_path(v.spark, "store"))
     table = v.collection_runs()
     started = table.select("run_id", "start_date", "end_date", "start_timestamp")
-    news.append_events(runs.start_events(started, F.array(F.lit("a"), F.lit("b")), F.col("start_timestamp")))
+    news.append_events(runs.start_events(started, F.col("start_timestamp")))
     ended = table.where("status <> 'started'").select(
         "run_id", "queries_count", "urls_collected", "articles_scraped", "end_timestamp",
         F.when(F.col("status") == "failed", F.lit("out of quota")).alias("error_message"),
     )
     news.append_events(runs.end_events(ended, F.col("end_timestamp")))
+    # some of the failed runs complete at a second try
+    again = ended.where("error_message IS NOT NULL AND run_id % 5 = 0").drop("error_message").withColumn("urls_collected", F.lit(7))
+    news.append_events(runs.end_events(again.withColumn("error_message", F.lit(None)), F.col("end_timestamp") + F.expr("INTERVAL '1' DAY")))
     return runs.run_rows(news.read("run_events"))
 
 
@@ -342,12 +362,6 @@ def join_content(v: Views) -> DataFrame:
     return joined.select("page_id", "link", "title", "scraper_used", "processing_time_s")
 
 
-@query
-def join_content_salted(v: Views) -> DataFrame:
-    joined = collection.join_content(v.serp_links(), _scraped(v), "link", F.asc("page_id"), salts=8)
-    return joined.select("page_id", "link", "title", "scraper_used", "processing_time_s")
-
-
 @query
 def new_links(v: Views) -> DataFrame:
     return collection.new_links(v.serp_links(), v.processed_urls()).select("page_id", "link")
@@ -501,7 +515,9 @@ def table_rows(v: Views) -> DataFrame:
 
 @query
 def table_bytes(v: Views) -> DataFrame:
-    return store.storage_size(v.table("events"))
+    """Rows behind the files of a table, and whether the files are as large as their rows make them at least."""
+    size = store.storage_size(v.table("events"))
+    return size.select("n_rows", (F.col("n_bytes") > F.col("n_rows")).alias("has_bytes"), (F.col("n_files") > 0).alias("has_files"))
 
 
 @query
@@ -550,6 +566,12 @@ def recent_runs(v: Views) -> DataFrame:
     return reports.recent_runs(v.collection_runs())
 
 
+@query
+def recent_runs_days(v: Views) -> DataFrame:
+    table = v.collection_runs()
+    return reports.recent_runs(table, rows=None, as_of=v.latest(table, "start_timestamp"), days=60)
+
+
 @query
 def urls_per_query(v: Views) -> DataFrame:
     return reports.urls_per_query(v.collection_runs())
@@ -622,7 +644,7 @@ def _recorded(v: Views) -> store.NewsStore:
     news = store.NewsStore(v.spark, scratch_path(v.spark, "store"))
     collection.record(
         _collection(v, described=True), news, "20240301_000000", date("2024-02-20"), date("2024-03-01"), stamp("2024-03-01 00:00:00"),
-        v.serp_links().select(F.concat(F.lit("site:"), F.col("host")).alias("query")))
+        v.serp_links().select(F.concat(F.lit("site:"), F.col("host")).alias("query")), v.reference_data().select(F.col("corporation").alias("company")))
     return news
 
 
@@ -630,7 +652,23 @@ def _recorded(v: Views) -> store.NewsStore:
 def recorded_articles(v: Views) -> DataFrame:
     """Article rows of a whole collection, as written to the store."""
     rows = _recorded(v).read("collected_articles")
-    return rows.select("url", "title", "scraper_used", "summary", "keywords", "article_text", "run_id")
+    return rows.select("url", "title", "scraper_used", "summary", "keywords", "article_text", "publish_date", "run_id")
+
+
+@query
+def recorded_errors(v: Views) -> DataFrame:
+    """Wanted urls without text, those without a stored page among them."""
+    return _recorded(v).read("scrape_errors").drop("day")
+
+
+@query
+def recorded_filtered(v: Views) -> DataFrame:
+    return _recorded(v).read("filtered_links").drop("day")
+
+
+@query
+def recorded_companies(v: Views) -> DataFrame:
+    return _recorded(v).read("run_companies").drop("month")
 
 
 @query
@@ -741,3 +779,14 @@ def stream_append(v: Views) -> DataFrame:
     for _ in range(2):
         incremental.append_new(_enrichment_stream(v), "url", once, f"{base}/table", f"{base}/checkpoint")
     return v.spark.read.parquet(f"{base}/table").select("event_id", "url", "sentiment", "enrichment_timestamp")
+
+
+# --- reports over the store ---------------------------------------------------------------------
+
+
+def _over_store(job: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, folder: job.__wrapped__(StoredViews(spark, folder))
+
+
+STORED = ["urls_in_range", "urls_lookback", "title_search", "collected_on_day", "daily_collection", "coverage", "articles_latest", "recent_articles"]
+QUERIES.update({f"stored_{name}": _over_store(QUERIES[name]) for name in STORED})

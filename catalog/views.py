@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from wirelake.functions.links import host
 from wirelake.operators.keyed import numbered
+from wirelake.session import scratch_path
+from wirelake.sources.store import NewsStore
 
 LEXICON = [("the", 1.9), ("of", -1.5), ("and", 0.8), ("that", -2.1), ("der", -0.9), ("une", 1.2)]
 NEGATORS = ["in", "en", "no", "nicht"]
@@ -115,15 +117,17 @@ class Views:
         return self.run_dates().join(counts, "run_id")
 
     def run_events(self) -> DataFrame:
+        """Starts and ends; every fifth failed run was repeated and completed."""
         orders = self.table("orders")
-        started = orders.selectExpr(
-            "CAST(o_orderkey AS STRING) AS run_id", "0 AS seq", "'started' AS status", "CAST(0 AS BIGINT) AS urls_collected"
-        )
+        run_id = "CAST(o_orderkey AS STRING) AS run_id"
+        end = "o_orderdate + make_dt_interval({days}, 0, 0, CAST(o_orderkey % 3600 AS INT)) AS event_timestamp"
+        started = orders.selectExpr(run_id, "0 AS seq", "'started' AS status", "CAST(0 AS BIGINT) AS urls_collected", "o_orderdate AS event_timestamp")
         ended = orders.where("o_orderstatus <> 'O'").selectExpr(
-            "CAST(o_orderkey AS STRING)", "1", "CASE o_orderstatus WHEN 'F' THEN 'completed' ELSE 'failed' END",
-            "CAST(floor(o_totalprice) AS BIGINT)",
+            run_id, "1", "CASE o_orderstatus WHEN 'F' THEN 'completed' ELSE 'failed' END", "CAST(floor(o_totalprice) AS BIGINT)", end.format(days=0),
         )
-        return started.union(ended)
+        again = orders.where("o_orderstatus = 'P' AND o_orderkey % 5 = 0")
+        return started.union(ended).union(again.selectExpr(run_id, "0", "'started'", "0L", end.format(days=1))).union(
+            again.selectExpr(run_id, "1", "'completed'", "7L", end.format(days=2)))
 
     # --- search results and pages ---
 
@@ -148,7 +152,7 @@ class Views:
         )
 
     def serp_payloads(self) -> DataFrame:
-        """The same rows as stored JSON, ten to a page; payloads of some hosts are cut off."""
+        """The same rows as stored JSON, ten to a page; some hosts spell the rank in another type."""
         rows = self.serp_results()
         fields = F.struct("rank", "title", "description", "link")
         pages = rows.groupBy("host", "page_no").agg(
@@ -159,17 +163,20 @@ class Views:
             F.struct(F.concat(F.lit("site:"), F.col("host")).alias("query")).alias("general"),
             "organic", F.struct(next_link.alias("next_page_link")).alias("pagination"),
         ))
-        cut = F.when(F.length("host") % 9 == 0, F.substring(payload, 1, 60)).otherwise(payload)
-        return pages.select("host", "page_no", cut.alias("payload"))
+        # Ranks of some hosts are texts or fractions, and one of them none at all.
+        odd = F.regexp_replace(payload, r'"rank":(\d+)', F.when(F.length("host") % 4 == 0, '"rank":"$1"').otherwise('"rank":$1.0'))
+        odd = F.regexp_replace(odd, r'"rank":"?7(\.0)?"?,', '"rank":"seventh",')
+        return pages.select("host", "page_no", F.when(F.length("host") % 2 == 0, odd).otherwise(payload).alias("payload"))
 
     def serp_attempts(self) -> DataFrame:
-        """Fetch log: three attempts per page, some failing first, and hosts that never succeed."""
-        pages = self.serp_results().select("host", "page_no").distinct()
+        """Fetch log: three attempts per page, some failing first or answered by a text that is cut off or by an empty
+        list, and hosts that never succeed."""
+        pages = self.serp_payloads()
         tries = pages.withColumn("attempt", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
         turn = F.col("page_no") + F.length("host") + F.col("attempt")
-        return tries.withColumn(
-            "status", F.when(F.length("host") % 9 == 0, 500).when(turn % 4 == 0, 429).when(turn % 7 == 0, 504).otherwise(200)
-        )
+        status = F.when(F.length("host") % 9 == 0, 500).when(turn % 4 == 0, 429).when(turn % 7 == 0, 504).otherwise(200)
+        body = F.when(turn % 3 == 0, F.substring("payload", 1, 60)).when(F.length("host") % 13 == 0, '{"organic": []}').otherwise(F.col("payload"))
+        return tries.select("host", "page_no", "attempt", status.alias("status"), F.when(status == 200, body).alias("payload"))
 
     def pages(self) -> DataFrame:
         return self.table("pages")
@@ -207,3 +214,12 @@ class Views:
     def lexicon(self) -> DataFrame:
         values = ", ".join(f"('{word}', {val}D)" for word, val in LEXICON)
         return self.spark.sql(f"SELECT * FROM VALUES {values} AS l(word, val)")
+
+
+class StoredViews(Views):
+    """The same views, with the articles written to a store and read from there."""
+
+    def collected_articles(self) -> DataFrame:
+        news = NewsStore(self.spark, scratch_path(self.spark, "store"))
+        news.append_articles(super().collected_articles(), F.col("run_id"), F.col("collection_timestamp"))
+        return news.read("collected_articles")

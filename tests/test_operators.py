@@ -45,21 +45,6 @@ def test_partial_limit_before_the_shuffle(rows):
     assert "row_number(), 1, Partial" in plan
 
 
-@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_salted_join(spark, rows, how):
-    right = spark.createDataFrame([("hot", "a"), ("k1", "b"), ("k2", "c"), ("k2", "d"), ("none", "e"), (None, "f")], "key string, w string")
-    copies = rows.union(rows)  # exact copies must stay
-    plain = copies.join(right, "key", how).select(*(["key", "id", "v"] + (["w"] if how in ("left", "inner") else [])))
-    salted = joins.salted_join(copies, right, "key", how, salts=5, min_rows=20).select(*plain.columns)
-    assert as_set(salted) == as_set(plain)
-    assert {r.key for r in joins.hot_keys(rows, "key", 100).collect()} == {"hot"}
-
-
-def test_salted_join_refuses_right_joins(rows):
-    with pytest.raises(ValueError):
-        joins.salted_join(rows, rows, "key", "full")
-
-
 def test_without(spark, rows):
     known = spark.createDataFrame([("hot",), ("k3",), (None,)], "k string")
     got = sorted(r.id for r in joins.without(rows, known, "key", "k").collect())

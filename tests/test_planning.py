@@ -97,12 +97,15 @@ def test_run_events(spark):
     ids = spark.createDataFrame([("1", date(2026, 1, 1), date(2026, 1, 2)), ("2", date(2026, 1, 1), date(2026, 1, 2)), ("3", date(2026, 1, 1), date(2026, 1, 2))],
                                 "run_id string, start_date date, end_date date")
     at = F.lit("2026-01-03 10:00:00").cast("timestamp_ntz")
-    names = F.array(*[F.lit(f"c{i}") for i in range(150)])
-    started = runs.start_events(ids, names, at)
-    assert started.select(F.size("companies_processed")).distinct().collect() == [(100,)]
+    started = runs.start_events(ids, at)
     ends = spark.createDataFrame([("1", 5, None), ("2", None, "it's 'broken'; DROP")], "run_id string, urls_collected long, error_message string")
     events = started.union(runs.end_events(ends, at))
     rows = {r.run_id: (r.status, r.urls_collected, r.error_message) for r in runs.run_rows(events).collect()}
     assert rows == {"1": ("completed", 5, None), "2": ("failed", None, "it's 'broken'; DROP"), "3": ("started", None, None)}
     states = {r.run_id: r.status for r in runs.run_states(events, "status").collect()}
     assert states == {"1": "completed", "2": "failed", "3": "started"}
+    later = F.lit("2026-01-04 10:00:00").cast("timestamp_ntz")
+    again = spark.createDataFrame([("2", 7, None)], "run_id string, urls_collected long, error_message string")
+    events = events.union(runs.start_events(ids.where("run_id = '2'"), later)).union(runs.end_events(again, later))
+    row = runs.run_rows(events).where("run_id = '2'").first()
+    assert (row.status, row.urls_collected, row.error_message) == ("completed", 7, None)

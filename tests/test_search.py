@@ -6,21 +6,19 @@ from wirelake.sources import search
 
 
 def test_resolution_against_a_retry_loop(spark):
-    cases = list(itertools.product([200, 0, 429, 500], repeat=3))
-    log = [(n, a, s) for n, case in enumerate(cases) for a, s in enumerate(case)]
-    df = spark.createDataFrame(log, "page int, attempt int, status int")
-    got = {r.page: (r.resolved_attempt, r.wait_s) for r in search.resolve_fetches(df, "page").collect()}
-    for n, case in enumerate(cases):
-        good, waited = None, 0
-        for attempt, status in enumerate(case):
-            if status == 200:
-                good = attempt
-                break
-            if status == 0:
-                break
-            if attempt < 2:
-                waited += 10 * (attempt + 1) if status == 429 else 2**attempt
-        assert got[n] == (good, waited), case
+    cases = list(itertools.product([(200, "{}"), (200, "{"), (200, None), (0, None), (429, "{}"), (500, None)], repeat=3))
+    log = [(n, a, s, p) for n, case in enumerate(cases) for a, (s, p) in enumerate(case)]
+    df = spark.createDataFrame(log, "page int, attempt int, status int, payload string")
+    for limit in (1, 2, None):
+        got = {r.page: (r.resolved_attempt, r.payload) for r in search.resolve_fetches(df, "page", max_attempts=limit).collect()}
+        for n, case in enumerate(cases):
+            wanted = (None, None)
+            for attempt, (status, payload) in enumerate(case[:limit]):
+                if status == 200 and payload == "{}":
+                    wanted = (attempt, payload)
+                if wanted[0] is not None or status == 0:
+                    break
+            assert got[n] == wanted, case
 
 
 def test_chain_against_a_reader(spark):
@@ -28,12 +26,12 @@ def test_chain_against_a_reader(spark):
     pages = {f"q{q}": {n: (rng.choice([0, 3, 3, 3]), rng.choice([None, "next", "next"])) for n in range(6) if rng.random() < 0.9} for q in range(60)}
     df = spark.createDataFrame(
         [(q, n, c, link) for q, p in pages.items() for n, (c, link) in p.items()], "query string, page_no int, n_results int, next_page_link string")
-    for limit in (1, 2, 4, 10):
+    for limit in (1, 2, 4, None):
         got = sorted((r.query, r.page_no) for r in search.chained_pages(df, limit).collect())
         wanted = []
         for q, p in pages.items():
             n = 0
-            while n < limit and p.get(n, (0, None))[0] > 0:
+            while (limit is None or n < limit) and p.get(n, (0, None))[0] > 0:
                 wanted.append((q, n))
                 if p[n][1] is None:
                     break
@@ -50,9 +48,16 @@ def test_payloads(spark):
     assert pages.count() == 6
 
 
+def test_fields_of_another_type(spark):
+    payload = {"general": {"query": 7}, "organic": [{"rank": "2", "title": 5}, {"rank": 1.0, "link": "l"}, {"rank": "x"}, {"rank": [1], "title": {"a": 1}}]}
+    rows = search.result_rows(search.read_payloads(spark.createDataFrame([(json.dumps(payload),)], "payload string"))).collect()
+    assert [(r.query, r["title"], r.link, r["rank"]) for r in rows] == [
+        ("7", "5", None, 2), ("7", None, "l", 1), ("7", None, None, None), ("7", '{"a":1}', None, None)]
+
+
 def test_failed_queries_and_union(spark):
     queries = spark.createDataFrame([("a",), ("a",), ("b",), ("c",)], "query string")
-    resolved = spark.createDataFrame([("a", 0), ("b", 1)], "query string, page_no int")
+    resolved = spark.createDataFrame([("a", 0, 3), ("b", 1, 3), ("c", 0, 0)], "query string, page_no int, n_results long")
     assert sorted(r.query for r in search.failed_queries(queries, resolved).collect()) == ["b", "c"]
     both = search.union_pages(queries, resolved)
-    assert both.count() == 6 and both.where("page_no IS NULL").count() == 4
+    assert both.count() == 7 and both.where("page_no IS NULL").count() == 4

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from wirelake import schemas
 from wirelake.session import scratch_path
+from wirelake.plans import reports
 from wirelake.sources import files, reference, stages, store
 
 
@@ -81,6 +82,37 @@ def test_csv_quotes_and_blanks(spark):
     assert sorted(files.read_csv(spark, path, schemas.REFERENCE).collect())[0] == rows[0]
 
 
+def test_csv_line_breaks(spark):
+    path = scratch_path(spark, "csv")
+    rows = [(1, 'a\n"b",\r\nc', "\n", "\\"), (2, "x", None, "y\n")]
+    files.write_csv(spark.createDataFrame(rows, schemas.REFERENCE), path)
+    assert sorted(files.read_csv(spark, path, schemas.REFERENCE).collect()) == rows
+
+
+def test_reports_read_the_partitions_in_question(spark):
+    news = store.NewsStore(spark, scratch_path(spark, "t"))
+    for day in range(1, 9):
+        news.append_articles(articles(spark, (f"u{day}", "the title", None, 1)), F.lit("r"), at(f"2026-01-0{day} 10:00:00"))
+    news.append_enrichments(spark.createDataFrame([("u8", "neutral")], "url string, sentiment string"), F.lit("r"), at("2026-01-08 11:00:00"))
+    table, now = news.read("collected_articles"), at("2026-01-08 12:00:00")
+    labels = news.read("article_enrichments").withColumn("tie", F.lit(0))
+    asked = {
+        "urls_in_range": (reports.urls_in_range(table, F.lit("2026-01-03"), F.lit("2026-01-04")), 2),
+        "urls_since": (reports.urls_since(table, now, 2), 2),
+        "title_search": (reports.title_search(table, "%the%", at("2026-01-07 00:00:00")), 2),
+        "collected_on_day": (reports.collected_on_day(table, F.lit("2026-01-05").cast("date")), 1),
+        "daily_collection": (reports.daily_collection(table, now, 3), 3),
+        "coverage": (reports.coverage(table, labels, now, 3), 1),
+        "articles_with_latest": (reports.articles_with_latest(table, labels, now, "tie", 3), 3),
+        "recent_articles": (reports.recent_articles(table, now, 3), 3),
+    }
+    for name, (report, rows) in asked.items():
+        assert report.count() == rows, name
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(day" in plan, name
+    assert asked["collected_on_day"][0].first().articles == 1 and asked["coverage"][0].first().total_articles == 3
+
+
 def test_line_list(spark):
     old = spark.createDataFrame([("b",), ("a",)], "url string")
     new = spark.createDataFrame([("a",), ("c",), (None,)], "url string")
@@ -98,6 +130,9 @@ def test_stages(spark):
     assert kept.load("20260101_000000", "other") is None
     assert stages.latest_run_stages(kept.registry()).select("run_id", "stage", "description").collect() == [("20260102_000000", "rows", "one row")]
     assert stages.run_stages(kept.registry(), F.lit("20260101_000000")).count() == 1
+    keep = kept.keeper("20260102_000000", "2026-01-02 00:00:00")
+    assert keep(frame, "rows").count() == 1  # the run has this stage already
+    assert keep(frame, "more").count() == 3
 
 
 @pytest.mark.parametrize("now, force, fresh, wanted", [

@@ -42,3 +42,16 @@ def test_runs_continue_where_the_last_one_ended(spark):
     assert sorted(r.url for r in spark.read.parquet(f"{keys}2").collect()) == ["a", "b", "c"]
     rows = spark.read.parquet(table)
     assert sorted((r.url, r.n, r.batch) for r in rows.collect()) == [("a", 1, 0), ("b", 3, 0), ("c", 5, 1)]
+    whole = {r.url: r.n for r in spark.read.parquet(keys).collect()}
+    assert whole["a"] in (1, 2) and whole["b"] in (3, 4) and whole["c"] in (5, 6)
+
+
+def test_new_checkpoint_keeps_the_table(spark):
+    base = scratch_path(spark, "s")
+    source, table = f"{base}/in", f"{base}/table"
+    add(spark, source, ("a", 2), ("b", 3))
+    incremental.append_new(stream(spark, source), "url", once, table, f"{base}/c1")
+    add(spark, source, ("z", 9), ("a", 1))
+    # the checkpoint is lost: all files are read again, by batches that are numbered from 0
+    incremental.append_new(stream(spark, source), "url", once, table, f"{base}/c2")
+    assert sorted((r.url, r.n) for r in spark.read.parquet(table).collect()) == [("a", 2), ("b", 3), ("z", 9)]

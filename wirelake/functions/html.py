@@ -40,7 +40,9 @@ def visible(html: Column) -> Column:
 
 def resolved(text: Column) -> Column:
     """Text with its character references replaced, numbered ones first."""
-    text = F.when(F.contains(text, F.lit("&#")), _numbered(text)).otherwise(text)
+    # through a list of one, so that the text is computed once
+    once = F.transform(F.array(text), lambda t: F.when(F.contains(t, F.lit("&#")), _numbered(t)).otherwise(t))
+    text = F.get(once, F.lit(0))
     for ref, char in ENTITIES:
         text = F.replace(text, F.lit(ref), F.lit(char))
     return text

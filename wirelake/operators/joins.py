@@ -1,4 +1,4 @@
-"""Joins on a key that may be hot."""
+"""Anti joins, and joins on overlapping ranges."""
 
 from __future__ import annotations
 
@@ -7,39 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Keys that get salted; the list of hot keys is cut here, so its broadcast has a fixed size bound.
-# A key outside the list is joined as it is: with n rows in all, it has at most n / HOT_KEYS rows.
-HOT_KEYS = 1000
-
-
-def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
-    """At most HOT_KEYS keys with `min_rows` rows or more, the most frequent first."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
-    return counts.where(F.col("_rows") >= min_rows).orderBy(F.desc("_rows"), key).limit(HOT_KEYS).select(key)
-
-
-def salted_join(
-    left: DataFrame, right: DataFrame, key: str, how: str, salts: int = 64, min_rows: int = 1_000_000
-) -> DataFrame:
-    """`left.join(right, key, how)` for how = left, left_semi, left_anti or inner, with hot left keys spread.
-
-    Rows of a hot key on the left go to one of `salts` places, and the matching right rows to all of them.
-    AQE splits skewed joins by itself from measured sizes; this form is for plans where it cannot, such as
-    a join inside a stage whose other inputs fix the partitioning. It reads the left key one more time.
-    """
-    if how not in ("left", "left_semi", "left_anti", "inner"):
-        raise ValueError(f"a right row would be repeated under how={how}")
-    hot = F.broadcast(hot_keys(left, key, min_rows).withColumn("_hot", F.lit(True)))
-    others = [F.col(c) for c in left.columns if c != key] or [F.lit(0)]
-    # The partition id spreads exact copies; it does not depend on the row order, so a task that is
-    # run again gives the same salts.
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *others), F.lit(salts)).cast("int")
-    salted_left = left.join(hot, key, "left").withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(0)).drop("_hot")
-    places = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = right.join(hot, key, "left").withColumn("_salt", F.explode(places)).drop("_hot")
-    return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
-
-
 def without(df: DataFrame, known: DataFrame, key: str, known_key: str | None = None) -> DataFrame:
     """Rows whose key is not among the known keys; repeated rows stay repeated. A null key is never known."""
     keys = known.select(F.col(known_key or key).alias(key))

@@ -18,7 +18,11 @@ def first_per_key(df: DataFrame, key: str, *order: Column) -> DataFrame:
 
 
 def latest_value(df: DataFrame, key: str, at: Column, *values: Column) -> DataFrame:
-    """Values of the row with the greatest `at` per key, by partial aggregation."""
+    """Values of the row with the greatest `at` per key.
+
+    Aggregated before the shuffle: one row per key and map task moves. Spark sorts for it, since the values are not of
+    fixed width; a window with a group limit sorts as much.
+    """
     picked = F.max_by(F.struct(*values), at).alias("_picked")
     return df.groupBy(key).agg(picked).select(key, "_picked.*")
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wirelake.functions.links import FILTER_REASON, host, rejection_rule
-from wirelake.operators.joins import salted_join, without
+from wirelake.operators.joins import without
 from wirelake.operators.keyed import first_per_key
 from wirelake.operators.shares import percent
 from wirelake.plans import extraction
@@ -30,17 +30,16 @@ def new_links(results: DataFrame, processed: DataFrame, link: str = "link") -> D
     return without(results, processed, link) if link in results.columns else results
 
 
-def join_content(results: DataFrame, content: DataFrame, link: str, *order: Column, salts: int = 0) -> DataFrame:
+def join_content(results: DataFrame, content: DataFrame, link: str, *order: Column) -> DataFrame:
     """Search rows with the content of their url; every row is kept, unscraped ones with nulls.
 
     Content is reduced to its first row per url in the given order; on a column that both sides have, the
-    search row's value wins. A link on very many search rows is split by AQE from the measured sizes; with
-    `salts` it is spread explicitly.
+    search row's value wins. A link on very many search rows is split by AQE from the measured sizes.
     """
     taken = set(results.columns) - {link}
     once = first_per_key(content, "url", *order).withColumnRenamed("url", link)
     once = once.select(link, *[c for c in once.columns if c != link and c not in taken])
-    return salted_join(results, once, link, "left", salts) if salts else results.join(once, link, "left")
+    return results.join(once, link, "left")
 
 
 # Writes a frame under a stage name and reads it back.
@@ -51,41 +50,39 @@ Keep = Callable[[DataFrame, str], DataFrame]
 class Collection:
     """Frames of one collection; nothing runs until one of them is used."""
 
-    links: DataFrame  # new search rows with rule and reason, and text and sentiment for the article links
-    errors: DataFrame  # wanted pages without text
+    links: DataFrame  # new search rows with rule and reason, and text, publish date and sentiment for the article links
+    errors: DataFrame  # wanted urls without text
 
     @property
     def articles(self) -> DataFrame:
         return self.links.where("rule IS NULL").drop("rule", "reason").withColumnRenamed("link", "url")
 
+    @property
+    def filtered(self) -> DataFrame:
+        return self.links.where("rule IS NOT NULL").select(F.col("link").alias("url"), "rule", "reason")
+
 
 def collect(
     results: DataFrame, processed: DataFrame, pages: DataFrame, lexicon: DataFrame, id_col: str, at: Column,
-    *page_order: Column, text_col: str = "description", negators: list[str] | None = None, keep: Keep | None = None,
-    described: bool = False, move_pages: bool = True,
+    *page_order: Column, keep: Keep, text_col: str = "description", negators: list[str] | None = None,
+    described: bool = False, move_pages: bool = False,
 ) -> Collection:
-    """New links, classified; text for the article links; sentiment of the description.
+    """New links, classified; text and metadata for the article links; sentiment of the description.
 
-    Known and filtered links leave first, and only pages that a link asks for are extracted. The new links are
-    read three times: as rows, for their sentiment, and for the pages they ask for. `keep` writes them and the
-    extracted texts as stages, so that links are compared with the known ones once and no page is extracted
-    twice. With `described`, articles get a summary and keywords, made once per url.
+    `keep` writes the new links, the extracted texts and the joined rows as stages, so that each is made once, however
+    often it is read. With `described`, articles get a summary and keywords, made once per url.
 
-    Pages are reduced to the asked ones before extraction, which moves them by url unless the asked urls are few
-    enough for a broadcast. Where most stored pages are asked for, `move_pages=False` extracts every page where it
-    is stored and moves the texts only.
+    Pages are extracted where they are stored, and only their texts move. Where few of the stored pages are asked for,
+    `move_pages=True` reduces the pages to those first, which moves them by url unless the asked urls fit a broadcast.
     """
-    links = split_links(new_links(results, processed))
-    if keep is not None:
-        links = keep(links, "new_links")
+    links = keep(split_links(new_links(results, processed)), "new_links")
     wanted = links.where("rule IS NULL")
     asked = wanted.select(F.col("link").alias("url")).distinct()
     if move_pages:
-        texts = extraction.extract(pages.join(asked, "url", "left_semi"))
+        texts = extraction.extract_described(pages.join(asked, "url", "left_semi"))
     else:
-        texts = extraction.extract(pages).join(asked, "url", "left_semi")
-    if keep is not None:
-        texts = keep(texts, "page_texts")
+        texts = extraction.extract_described(pages).join(asked, "url", "left_semi")
+    texts = keep(texts, "page_texts")
     content = extraction.contents(texts)
     if described:
         content = describe(first_per_key(content, "url", *page_order), "url")
@@ -93,48 +90,63 @@ def collect(
     scored = links.join(scores, id_col, "left")
     # A filtered link finds no content: its page was not asked for unless another row asks for the same url,
     # and equal urls have equal rules.
-    joined = join_content(scored, content, "link", *page_order)
-    return Collection(joined, extraction.errors(texts, at))
+    joined = keep(join_content(scored, content.drop("page_description", "page_tags"), "link", *page_order), "joined_rows")
+    return Collection(joined, extraction.errors_of(asked, texts, at))
 
 
 def describe(articles: DataFrame, id_col: str, by: str = "semantic", text_col: str = "article_text") -> DataFrame:
     """Adds `summary` and `keywords` of the articles whose text the strategy `by` found.
 
-    Articles with another text have empty ones, articles without a text have nulls.
+    For the strategy "meta" they are the page's own description and tags. Articles with another text have empty ones,
+    articles without a text have nulls.
     """
     told = articles.where(F.col("scraper_used") == by)
     found = summaries(told, id_col, text_col).join(keywords(told, id_col, text_col), id_col, "full")
     joined = articles.join(found, id_col, "left")
-    for name in ("summary", "keywords"):
-        joined = joined.withColumn(name, F.when(F.col("scraper_used").isNotNull(), F.coalesce(name, F.lit(""))))
+    for name, own in (("summary", "page_description"), ("keywords", "page_tags")):
+        stated = F.when(F.col("scraper_used") == "meta", F.col(own)) if own in articles.columns else F.lit(None)
+        joined = joined.withColumn(name, F.when(F.col("scraper_used").isNotNull(), F.coalesce(name, stated, F.lit(""))))
     return joined
 
 
-def record(run: Collection, news: NewsStore, run_id: str, start: Column, end: Column, at: Column, queries: DataFrame) -> dict[str, int]:
-    """Writes a collection to the tables and returns the row counts. `queries` are the ones that got an answer.
+def record(
+    run: Collection, news: NewsStore, run_id: str, start: Column, end: Column, at: Column, queries: DataFrame, companies: DataFrame
+) -> dict[str, int]:
+    """Writes a collection to the tables and returns the row counts. `queries` are the ones that got an answer, `companies`
+    (`company`) those that were asked for.
 
-    The run's start is logged first and its end last; a run that fails on the way is logged as failed.
+    The run's start is logged first and its end last; a run that fails on the way is logged as failed. Each table gets the
+    rows of a run in one commit, and one that has them already is left as it is, so a run may be recorded again.
     """
     this = news.spark.range(1).select(F.lit(run_id).alias("run_id"), start.alias("start_date"), end.alias("end_date"))
-    news.append_events(start_events(this, F.lit(None).cast("array<string>"), at))
+    news.append_events(start_events(this, at))
 
     def log_end(executed: int | None, urls: int | None, scraped: int | None, error: str | None) -> None:
         counts = {"queries_count": executed, "urls_collected": urls, "articles_scraped": scraped}
         row = this.select("run_id", *[F.lit(n).cast("long").alias(c) for c, n in counts.items()], F.lit(error).alias("error_message"))
         news.append_events(end_events(row, at))
 
+    def once(table: str, write: Callable[[], int]) -> int:
+        stored = news.rows_of_run(table, run_id)
+        return stored if stored else write()
+
+    this_run = F.lit(run_id)
+    scores = run.articles.select("url", "sentiment", F.col("score").alias("sentiment_score"))
     try:
-        scraped = Observation()
-        rows = run.articles.observe(scraped, F.count("scraper_used").alias("n"))
-        urls = news.append_articles(rows, F.lit(run_id), at)
-        enriched = news.append_enrichments(
-            run.articles.select("url", "sentiment", F.col("score").alias("sentiment_score")), F.lit(run_id), at)
-        executed = news.append_queries(queries, F.lit(run_id), at)
+        counts = {
+            "companies": once("run_companies", lambda: news.append_companies(companies, this_run, at)),
+            "articles": once("collected_articles", lambda: news.append_articles(run.articles, this_run, at)),
+            "enrichments": once("article_enrichments", lambda: news.append_enrichments(scores, this_run, at)),
+            "errors": once("scrape_errors", lambda: news.append_errors(run.errors, this_run)),
+            "filtered": once("filtered_links", lambda: news.append_filtered(run.filtered, this_run, at)),
+            "queries": once("run_queries", lambda: news.append_queries(queries, this_run, at)),
+        }
+        counts["scraped"] = news.rows_of_run("collected_articles", run_id, "scraper_used IS NOT NULL")
     except Exception as error:
         log_end(None, None, None, str(error))
         raise
-    log_end(executed, urls, scraped.get["n"], None)
-    return {"articles": urls, "scraped": scraped.get["n"], "enrichments": enriched, "queries": executed}
+    log_end(counts["queries"], counts["articles"], counts["scraped"], None)
+    return counts
 
 
 def collection_report(run: Collection) -> DataFrame:

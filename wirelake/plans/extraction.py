@@ -79,10 +79,26 @@ def contents(extracted: DataFrame) -> DataFrame:
 
 def errors(extracted: DataFrame, at: Column) -> DataFrame:
     """Error rows of the pages without text."""
-    failed = extracted.where("scraper_used IS NULL").select(
+    return _error_rows(extracted.where("scraper_used IS NULL"), at)
+
+
+def errors_of(asked: DataFrame, extracted: DataFrame, at: Column) -> DataFrame:
+    """Error rows of the asked urls none of whose pages gave a text, those without a stored page among them."""
+    return _error_rows(asked.join(contents(extracted).select("url"), "url", "left_anti"), at)
+
+
+def _error_rows(failed: DataFrame, at: Column) -> DataFrame:
+    rows = failed.select(
         "url", F.lit(ERROR_TYPE).alias("error_type"), F.lit(ERROR_MESSAGE).alias("error_message"), at.alias("timestamp")
     )
-    return schemas.conform(failed, schemas.ERRORS)
+    return schemas.conform(rows, schemas.ERRORS)
+
+
+def extract_described(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Text as by `extract`, with the publish date, description and tags that the page states."""
+    stated = page_metadata(pages.withColumn("_page", F.col(html)), html)
+    stated = stated.withColumnsRenamed({"description": "page_description", "tags": "page_tags"}).drop("title")
+    return extract(stated, html="_page")
 
 
 def page_metadata(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -87,18 +87,20 @@ def executed_queries(runs: DataFrame, run_queries: DataFrame, start: Column, end
 
 
 def executed_by_range(ranges: DataFrame, runs: DataFrame, run_queries: DataFrame) -> DataFrame:
-    """For each requested range, the number of runs that meet it and of distinct queries they executed.
+    """For each requested range, the number of completed runs that meet it and of distinct queries they executed.
 
-    `ranges` has `range_start` and `range_end`.
+    `ranges` has `range_start` and `range_end`. Runs are first counted by their dates, and queries made distinct by the
+    dates of their runs, so the ranges meet pairs of days, of which a calendar has few, however many runs there are.
     """
     done = runs.where("status = 'completed'").select("run_id", "start_date", "end_date")
-    met = overlapping(ranges, done, ("range_start", "range_end"), ("start_date", "end_date"))
-    met = met.select("range_start", "range_end", "run_id")
-    by_query = run_queries.select("run_id", "query").join(met, "run_id")
+    days = done.groupBy("start_date", "end_date").agg(F.count("*").alias("n"))
+    met = overlapping(ranges.distinct(), days, ("range_start", "range_end"), ("start_date", "end_date"))
     key = ["range_start", "range_end"]
-    queries = by_query.select(*key, "query").distinct().groupBy(*key).agg(F.count("*").alias("n_queries"))
-    met_runs = met.groupBy(*key).agg(F.count("*").alias("n_runs"))
-    return met_runs.join(queries, key, "left").select(*key, "n_runs", F.coalesce("n_queries", F.lit(0)).alias("n_queries"))
+    n_runs = met.groupBy(*key).agg(F.sum("n").alias("n_runs"))
+    dated = run_queries.join(done, "run_id").select("query", "start_date", "end_date").distinct()
+    asked = dated.join(met.select(*key, "start_date", "end_date"), ["start_date", "end_date"])
+    queries = asked.select(*key, "query").distinct().groupBy(*key).agg(F.count("*").alias("n_queries"))
+    return n_runs.join(queries, key, "left").select(*key, "n_runs", F.coalesce("n_queries", F.lit(0)).alias("n_queries"))
 
 
 def backfill_urls(reference: DataFrame, known: DataFrame, start: str = BACKFILL_START) -> DataFrame:

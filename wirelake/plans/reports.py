@@ -14,18 +14,33 @@ from wirelake.operators.shares import counts_with_share, percent, ratio
 # --- articles -----------------------------------------------------------------------------------
 
 
+def between(df: DataFrame, time: str, first: Column | None = None, after: Column | None = None) -> DataFrame:
+    """Rows from the time `first` up to, but not including, `after`.
+
+    Frames of the store have a partition column, `day` or `month`; the bounds are put on it too, so that only the
+    partitions in question are read.
+    """
+    period = next((p for p in ("day", "month") if p in df.columns), None)
+    if first is not None:
+        df = df.where(F.col(time) >= first)
+        df = df if period is None else df.where(F.col(period) >= F.to_date(F.date_trunc(period, first)))
+    if after is not None:
+        df = df.where(F.col(time) < after)
+        df = df if period is None else df.where(F.col(period) <= F.to_date(F.date_trunc(period, after)))
+    return df
+
+
 def since(df: DataFrame, time: str, as_of: Column, days: int) -> DataFrame:
-    return df.where(F.col(time) >= days_before(as_of, days))
+    return between(df, time, days_before(as_of, days))
 
 
-def urls_in_range(articles: DataFrame, start: Column, end: Column) -> DataFrame:
-    """Distinct urls collected from day `start` to day `end`, both included.
+def _midnight(day: Column, later: int = 0) -> Column:
+    return F.date_add(day.cast("date"), later).cast("timestamp_ntz")
 
-    The bounds are on the stored time, so they reach the file scan.
-    """
-    time = F.col("collection_timestamp")
-    first, after = start.cast("date").cast("timestamp_ntz"), F.date_add(end.cast("date"), 1).cast("timestamp_ntz")
-    return articles.where((time >= first) & (time < after)).select("url").distinct()
+
+def urls_in_range(articles: DataFrame, start: Column, end: Column) -> DataFrame:
+    """Distinct urls collected from day `start` to day `end`, both included."""
+    return between(articles, "collection_timestamp", _midnight(start), _midnight(end, 1)).select("url").distinct()
 
 
 def urls_since(articles: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
@@ -37,12 +52,12 @@ def all_urls(articles: DataFrame) -> DataFrame:
 
 
 def title_search(articles: DataFrame, pattern: str, start: Column) -> DataFrame:
-    hits = articles.where((F.col("collection_timestamp") >= start) & F.col("title").like(pattern))
+    hits = between(articles, "collection_timestamp", start).where(F.col("title").like(pattern))
     return hits.select("url", "title", "collection_timestamp")
 
 
 def collected_on_day(articles: DataFrame, day: Column) -> DataFrame:
-    return articles.where(F.to_date("collection_timestamp") == day).agg(F.count("*").alias("articles"))
+    return between(articles, "collection_timestamp", _midnight(day), _midnight(day, 1)).agg(F.count("*").alias("articles"))
 
 
 def recent_articles(articles: DataFrame, as_of: Column, days: int = 7, rows: int = 100) -> DataFrame:
@@ -187,8 +202,11 @@ def range_runs(runs: DataFrame) -> DataFrame:
     return runs.where("status = 'completed'").groupBy("start_date", "end_date").agg(F.count("*").alias("runs"))
 
 
-def recent_runs(runs: DataFrame, rows: int = 10) -> DataFrame:
-    return _newest(runs, rows).select(
+def recent_runs(runs: DataFrame, rows: int | None = 10, as_of: Column | None = None, days: int = 7) -> DataFrame:
+    """The newest runs: `rows` of them, and with `as_of` only those of the last `days` days (all of these with rows=None)."""
+    if as_of is not None:
+        runs = since(runs, "start_timestamp", as_of, days)
+    return (runs if rows is None else _newest(runs, rows)).select(
         "run_id", "start_date", "end_date", "status", "urls_collected", "articles_scraped",
         percent(F.col("articles_scraped"), F.col("urls_collected")).alias("scrape_success_rate"),
         F.timestamp_diff("SECOND", "start_timestamp", "end_timestamp").alias("duration_seconds"),

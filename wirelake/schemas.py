@@ -28,10 +28,10 @@ ENRICHMENTS = _schema(
     ("enrichment_version", STRING), ("run_id", STRING),
 )
 
-# One row per state change of a run; the current state is the row with the highest seq.
+# One row per state change of a run; the current state is the last row.
 RUN_EVENTS = _schema(
     ("run_id", STRING, False), ("seq", T.IntegerType(), False), ("status", STRING, False),
-    ("start_date", T.DateType()), ("end_date", T.DateType()), ("companies_processed", LABELS),
+    ("start_date", T.DateType()), ("end_date", T.DateType()),
     ("queries_count", LONG), ("urls_collected", LONG), ("articles_scraped", LONG),
     ("event_timestamp", TS, False), ("error_message", STRING),
 )
@@ -39,8 +39,14 @@ RUN_EVENTS = _schema(
 # Executed queries are rows, not an array in the run, so that a run can hold any number of them.
 RUN_QUERIES = _schema(("run_id", STRING, False), ("query", STRING, False), ("event_timestamp", TS, False))
 
+RUN_COMPANIES = _schema(("run_id", STRING, False), ("company", STRING, False), ("event_timestamp", TS, False))
+
 ERRORS = _schema(("url", STRING), ("error_type", STRING), ("error_message", STRING), ("timestamp", TS))
 
+# The same list, and the links that were left out, as tables.
+SCRAPE_ERRORS = _schema(("url", STRING), ("error_type", STRING), ("error_message", STRING), ("timestamp", TS, False), ("run_id", STRING))
+FILTERED_LINKS = _schema(("url", STRING), ("rule", STRING), ("reason", STRING), ("timestamp", TS, False), ("run_id", STRING))
+
 # Other spellings under which a column may arrive.
 ALIASES = {
     "Company": "corporation",

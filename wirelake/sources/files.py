@@ -8,9 +8,10 @@ from pyspark.sql import types as T
 
 from wirelake.functions.words import trimmed
 
-# Doubled quotes inside quoted fields, blanks kept as they are.
+# Doubled quotes inside quoted fields, blanks and line breaks kept as they are. A field may hold line breaks, so one
+# task reads a file whole: write tables of long texts in many files, as `write_csv` does, or keep them as Parquet.
 CSV = {
-    "header": "true", "quote": '"', "escape": '"',
+    "header": "true", "quote": '"', "escape": '"', "multiLine": "true",
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
 

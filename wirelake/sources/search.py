@@ -3,37 +3,40 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import add
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_PAGES = 2  # Fixed values: pages per query and attempts per page.
-MAX_ATTEMPTS = 3
-
 PAYLOAD = T.StructType([
     T.StructField("general", T.StructType([T.StructField("query", T.StringType())])),
     T.StructField("organic", T.ArrayType(T.StructType([
         T.StructField("title", T.StringType()),
         T.StructField("description", T.StringType()),
         T.StructField("link", T.StringType()),
-        T.StructField("rank", T.LongType()),
+        T.StructField("rank", T.StringType()),
     ]))),
     T.StructField("pagination", T.StructType([T.StructField("next_page_link", T.StringType())])),
-    T.StructField("_broken", T.StringType()),
 ])
 
 
+def is_json(payload: Column) -> Column:
+    return F.try_parse_json(payload).isNotNull()
+
+
 def read_payloads(raw: DataFrame, payload: str = "payload") -> DataFrame:
-    """Adds `echoed_query`, `organic` and `next_page_link`; a payload that is not valid JSON has no results."""
-    parsed = F.from_json(payload, PAYLOAD, {"columnNameOfCorruptRecord": "_broken"})
-    whole = F.col("_parsed._broken").isNull()
+    """Adds `echoed_query`, `organic` and `next_page_link`; a text that is not JSON has no results.
+
+    Fields are read as text and cast one by one, so a field of another type is null and costs nothing else.
+    """
+    parsed = F.when(is_json(F.col(payload)), F.from_json(payload, PAYLOAD))
+    rank = "CAST(try_cast(r.rank AS DOUBLE) AS BIGINT)"
+    results = F.expr(f"transform(_parsed.organic, r -> struct(r.title, r.description, r.link, {rank} AS rank))")
     return (
         raw.withColumn("_parsed", parsed)
-        .withColumn("echoed_query", F.when(whole, F.col("_parsed.general.query")))
-        .withColumn("organic", F.when(whole, F.col("_parsed.organic")))
-        .withColumn("next_page_link", F.when(whole, F.col("_parsed.pagination.next_page_link")))
+        .withColumn("echoed_query", F.col("_parsed.general.query"))
+        .withColumn("organic", results)
+        .withColumn("next_page_link", F.col("_parsed.pagination.next_page_link"))
         .drop("_parsed", payload)
     )
 
@@ -46,36 +49,30 @@ def result_rows(pages: DataFrame) -> DataFrame:
     )
 
 
-def resolve_fetches(attempts: DataFrame, *keys: str, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
-    """Outcome of each page from the log of its attempts (`attempt` from 0, `status`).
+def resolve_fetches(attempts: DataFrame, *keys: str, max_attempts: int | None) -> DataFrame:
+    """Outcome of each page from the log of its attempts (`attempt` from 0, `status`, `payload`): the resolved one, and its payload.
 
-    The first attempt with status 200 counts. Status 0 stands for an error that is not retried. Before each
-    retry the caller waits 2^n seconds, or 10 (n + 1) after status 429.
+    The first attempt with status 200 and a payload that is JSON counts; one that is not is tried again like an error.
+    Status 0 stands for an error that is not retried. Attempts from `max_attempts` on don't count; None: all count.
     """
-    tried = attempts.where(F.col("attempt") < max_attempts)
-    waits = [
-        F.max(F.when(F.col("attempt") == n, F.when(F.col("status") == 429, 10 * (n + 1)).otherwise(2**n))).alias(f"_wait{n}")
-        for n in range(max_attempts - 1)
-    ]
+    tried = attempts if max_attempts is None else attempts.where(F.col("attempt") < max_attempts)
+    good = (F.col("status") == 200) & is_json(F.col("payload"))
     pages = tried.groupBy(*keys).agg(
-        F.min(F.when(F.col("status") == 200, F.col("attempt"))).alias("_good"),
+        F.min(F.when(good, F.struct("attempt", "payload"))).alias("_good"),
         F.min(F.when(F.col("status") == 0, F.col("attempt"))).alias("_fatal"),
-        *waits,
     )
-    last = F.least(F.coalesce("_good", F.lit(max_attempts)), F.coalesce("_fatal", F.lit(max_attempts)))
-    waited = reduce(add, [F.coalesce(F.when(F.lit(n) < last, F.col(f"_wait{n}")), F.lit(0)) for n in range(max_attempts - 1)])
-    resolved = F.when(F.col("_good").isNotNull() & (F.col("_good") == last), F.col("_good"))
-    return pages.select(*keys, resolved.alias("resolved_attempt"), waited.cast("long").alias("wait_s"))
+    in_time = F.col("_fatal").isNull() | (F.col("_good.attempt") < F.col("_fatal"))
+    return pages.select(*keys, *[F.when(in_time, F.col(f"_good.{c}")).alias(name) for c, name in (("attempt", "resolved_attempt"), ("payload", "payload"))])
 
 
-def chained_pages(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
-    """Pages that a reader following next links would see, up to `max_pages` per query.
+def chained_pages(pages: DataFrame, max_pages: int | None) -> DataFrame:
+    """Pages that a reader following next links would see, up to `max_pages` per query (None: all).
 
     `pages` has `query`, `page_no`, `n_results` (null or 0 for an empty or unresolved page) and `next_page_link`.
     Page n + 1 is read only if page n has results and a next link; an empty page ends the chain.
-    Only pages below the limit enter the window, so it holds at most `max_pages` rows per query.
     """
-    near = pages.where((F.col("page_no") < max_pages) & (F.col("n_results") > 0))
+    near = pages.where(F.col("n_results") > 0)
+    near = near if max_pages is None else near.where(F.col("page_no") < max_pages)
     near = near.groupBy("query", "page_no").agg(
         F.max("n_results").alias("n_results"), F.max("next_page_link").alias("next_page_link")
     )
@@ -89,9 +86,9 @@ def chained_pages(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
     )
 
 
-def failed_queries(queries: DataFrame, resolved_pages: DataFrame) -> DataFrame:
-    """Queries without a first page."""
-    first = resolved_pages.where("page_no = 0").select("query")
+def failed_queries(queries: DataFrame, pages: DataFrame) -> DataFrame:
+    """Queries whose first page was not resolved or has no results. `pages` as in `chained_pages`."""
+    first = pages.where((F.col("page_no") == 0) & (F.col("n_results") > 0)).select("query")
     return queries.select("query").distinct().join(first, "query", "left_anti")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,16 +37,28 @@ class StageStore:
         row.write.mode("append").parquet(f"{self.root}/registry")
 
     def keeper(self, run_id: str, at: str) -> Callable[[DataFrame, str], DataFrame]:
-        """A function that saves a frame as a stage of the run and reads it back."""
+        """A function that saves a frame as a stage of the run and reads it back.
+
+        A stage that the run has already is read and not made again, so a run that is repeated goes on where it ended.
+        """
         def keep(df: DataFrame, stage: str) -> DataFrame:
-            self.save(df, run_id, stage, at)
-            return self.load(run_id, stage)
+            kept = self.load(run_id, stage)
+            if kept is None:
+                self.save(df, run_id, stage, at)
+                kept = self.load(run_id, stage)
+            return kept
 
         return keep
 
     def load(self, run_id: str, stage: str) -> DataFrame | None:
         """The stage as last saved, or None if the run has no such stage."""
-        entry = self.registry().where((F.col("run_id") == run_id) & (F.col("stage") == stage)).select("path").first()
+        try:
+            entries = self.registry()
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":  # nothing was kept yet
+                return None
+            raise
+        entry = entries.where((F.col("run_id") == run_id) & (F.col("stage") == stage)).select("path").first()
         return None if entry is None else self.spark.read.parquet(entry.path)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +27,9 @@ TABLES = {
     "collected_articles": Table(schemas.ARTICLES, "collection_timestamp", "url", "day"),
     "article_enrichments": Table(schemas.ENRICHMENTS, "enrichment_timestamp", "url", "day"),
     "run_queries": Table(schemas.RUN_QUERIES, "event_timestamp", "query", "month"),
+    "run_companies": Table(schemas.RUN_COMPANIES, "event_timestamp", "company", "month"),
+    "scrape_errors": Table(schemas.SCRAPE_ERRORS, "timestamp", "url", "day"),
+    "filtered_links": Table(schemas.FILTERED_LINKS, "timestamp", "url", "day"),
     "run_events": Table(schemas.RUN_EVENTS, "event_timestamp", "run_id", "month"),
 }
 
@@ -61,8 +65,21 @@ class NewsStore:
                 self._append(self.spark.createDataFrame([], table.schema), name)
 
     def _exists(self, name: str) -> bool:
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+        try:
+            self.spark.read.schema(TABLES[name].schema).parquet(self.path(name)).schema
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return False
+            raise
+        return True
+
+    def rows_of_run(self, name: str, run_id: str, where: str = "true") -> int:
+        """Rows that a run wrote to a table; 0 for a table that is not there yet. Partitions before its first start are not read."""
+        if not self._exists(name):
+            return 0
+        begun = self.read("run_events").where(F.col("run_id") == run_id).agg(F.min("event_timestamp").alias("t")).first()["t"]
+        rows = self.read(name) if begun is None else self.read(name, begun.date())
+        return rows.where(F.col("run_id") == run_id).where(where).count()
 
     def _append(self, df: DataFrame, name: str) -> int:
         table = TABLES[name]
@@ -96,6 +113,17 @@ class NewsStore:
         once = queries.select("query").distinct()
         return self._append(once.withColumn("run_id", run_id).withColumn("event_timestamp", at), "run_queries")
 
+    def append_companies(self, companies: DataFrame, run_id: Column, at: Column) -> int:
+        """Logs the companies of a run, each once and all of them."""
+        once = companies.select("company").where("company IS NOT NULL").distinct()
+        return self._append(once.withColumn("run_id", run_id).withColumn("event_timestamp", at), "run_companies")
+
+    def append_errors(self, errors: DataFrame, run_id: Column) -> int:
+        return self._append(errors.withColumn("run_id", run_id), "scrape_errors")
+
+    def append_filtered(self, links: DataFrame, run_id: Column, at: Column) -> int:
+        return self._append(links.withColumn("run_id", run_id).withColumn("timestamp", at), "filtered_links")
+
     def append_events(self, events: DataFrame) -> int:
         return self._append(events, "run_events")
 

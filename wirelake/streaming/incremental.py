@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def read_new_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Stream over the Parquet files under a path."""
     return spark.readStream.schema(schema).parquet(path)
@@ -24,15 +27,16 @@ def ingest(stream: DataFrame, out: str, checkpoint: str) -> None:
 
 
 def new_keys(stream: DataFrame, key: str, spread: Column | None = None, places: int = 16) -> DataFrame:
-    """Each key once over all runs. The state keeps every key for good, on disk with the RocksDB state store.
+    """The first row of each key over all runs, whole. The state keeps every key for good, on disk with RocksDB.
 
     A stream has no map-side combine and no adaptive split. Where one key may be on very many rows, give `spread`, a
-    column that differs between them: rows of a key then go to `places` tasks first, which pass it on once each.
+    column that differs between them: rows of a key then go to `places` tasks first, which pass on one each.
     """
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     if spread is None:
-        return stream.select(key).dropDuplicates([key])
-    place = F.pmod(F.xxhash64(spread), F.lit(places)).alias("_place")
-    return stream.select(key, place).dropDuplicates([key, "_place"]).select(key).dropDuplicates([key])
+        return stream.dropDuplicates([key])
+    place = F.pmod(F.xxhash64(spread), F.lit(places))
+    return stream.withColumn("_place", place).dropDuplicates([key, "_place"]).drop("_place").dropDuplicates([key])
 
 
 def append_new(
@@ -40,17 +44,21 @@ def append_new(
 ) -> None:
     """Appends rows whose key the table does not have yet.
 
-    `once` reduces a batch to one row per key. A batch writes to a partition of its own and replaces it if it
-    runs again; earlier batches alone count as known, so a repeated batch gives the same rows.
+    `once` reduces a batch to one row per key. A batch writes to a partition of its own, named by the stream (the id in
+    its checkpoint) and the batch, and replaces it if it runs again. The keys of all other partitions are known, so a
+    repeated batch gives the same rows, and a stream with a new checkpoint neither replaces nor repeats any.
+    Only the key column of the table is read.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = once(batch)
-        if batch_id > 0:
-            stored = T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])
-            known = spark.read.schema(stored).parquet(table).where(F.col("batch") < batch_id).select(key)
-            rows = rows.join(known, key, "left_anti").select(*batch.columns)
-        rows.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
+        stream_id = spark.read.json(f"{checkpoint}/metadata").first()["id"]
+        own = f"{table}/stream={stream_id}/batch={batch_id}"
+        here = (F.col("stream") == stream_id) & (F.col("batch") == batch_id)
+        known = spark.read.schema(stored).parquet(table).where(~here).select(key)
+        once(batch).join(known, key, "left_anti").select(*batch.columns).write.mode("overwrite").parquet(own)
 
+    stored = T.StructType([*stream.schema.fields, T.StructField("stream", T.StringType()), T.StructField("batch", T.LongType())])
+    # an empty table to begin with
+    stream.sparkSession.createDataFrame([], stored).write.mode("append").partitionBy("stream", "batch").parquet(table)
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
