@@ -19,7 +19,7 @@ from hypothesis import strategies as st
 from sentencepiece import sentencepiece_model_pb2 as model_files
 from tokenizers import Tokenizer
 
-from wirelake.llm import pieces
+from wirelake.llm import pieces, substring_dedup
 from wirelake.llm.arrays import text_slices
 from wirelake.llm.components import components
 from wirelake.llm.decontamination import build_postings, judge_contamination, phrases, proximity_matches, rarest_terms, term_counts
@@ -220,8 +220,10 @@ def repeated_words(given_texts: list[str | None], size: int) -> list[tuple[list[
     return out
 
 
+@pytest.mark.parametrize("hot", [0, 20_000])
 @pytest.mark.parametrize(("seed", "size", "vocabulary"), [(1, 3, 6), (2, 5, 3), (3, 14, 2), (4, 35, 1), (5, 20, 400)])
-def test_repeats(spark, seed, size, vocabulary):
+def test_repeats(spark, monkeypatch, seed, size, vocabulary, hot):
+    monkeypatch.setattr(substring_dedup, "PART_ROWS", hot)  # 0: all anchors are cut into windows
     given_texts = texts(seed, 40, vocabulary)
     base = " ".join(f"p{i}" for i in range(200))
     given_texts += [base, base + " tail", "head " + base[200:], base.replace("p50 ", "q "), "same " * 300, base]

@@ -7,8 +7,11 @@ read in parts of bounded size, cut between anchors. Each part is indexed (distin
 streamed through the index: where the matching statistic reaches ``size``, a window occurs at another place. A segment that
 itself comes more than once needs no search. The spans found go back to their documents.
 
-Copies are combined inside each task before they are sent, anchors are counted before their rows are joined, and a frequent
-anchor is an ordinary skewed join key.
+Hot groups: anchors are counted before their rows are joined, so a frequent one is an ordinary skewed join key. Shards get
+each distinct segment of a batch once, with its number of copies and without their places, and collapse equal ones as they
+read; the spans found are joined back to the places by the segment's name, again a skewed join key. An anchor with more
+rows than PART_ROWS, which near copies of one text may give it, is not kept together: its segments are cut into single
+windows, each of which is an anchor of its own.
 
 Defined results: a null or empty text has no words; texts with fewer than ``size`` words lose nothing; repeated rows, also
 of one doc_id, are documents of their own and lose all that they share; windows overlap freely, also with themselves; texts
@@ -32,6 +35,8 @@ from wirelake.llm.fm_index import FMIndex
 ANCHOR = 12  # words of a run
 SEGMENT = 64  # most windows of a segment
 PART_BYTES = 6_000_000  # text of the segments that are indexed together
+PART_ROWS = 20_000  # segments of one anchor that are kept together; about as many fill a part
+HOT = 128  # mark in the packed place of a segment whose anchor has more
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -97,33 +102,55 @@ def _segment_rows(docs: DataFrame, size: int) -> DataFrame:
     return map_batches(docs.select("key", "text"), cut, "anchor long, key long, place long, occurs long")
 
 
+def _cut_segments(batch: pa.RecordBatch, size: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """anchor, name (hash of its words), key and first word of the segments at the wanted places, and their texts on call.
+
+    batch: key, text, places. A segment of a hot anchor comes as single windows."""
+    keys = batch.column(0).to_numpy(zero_copy_only=False)
+    for row, end, data, offsets in text_slices(batch.column(1)):
+        found = find_words(data, offsets)
+        words = Spans(data).hash(found.starts, found.ends)
+        anchor, text, first, windows, _ = segments(words, found.of, size)
+        places = batch.column(2).slice(row, end - row)
+        wanted = np.concatenate([np.zeros(0, np.int64), places.flatten().to_numpy(zero_copy_only=False)])
+        owner = np.repeat(np.arange(end - row), places.value_lengths().to_numpy(zero_copy_only=False))
+        # a segment is known by its text and its place, as it was when it was counted
+        mine, place = _pair(text, (first << 8) | windows), _pair(owner, wanted & ~HOT)
+        hot = np.isin(mine, place[wanted & HOT > 0])
+        parts = np.where(hot, windows, 1)[keep := np.isin(mine, place)]
+        anchor, text, first, windows, hot = (np.repeat(v[keep], parts) for v in (anchor, text, first, windows, hot))
+        first = first + ranges(np.zeros(len(parts), np.int64), parts)
+        a = found.of[text] + first
+        b = a + np.where(hot, 1, windows) + size - 1
+        name = _Sequence(words).hash(a, b)
+
+        def texts(which: np.ndarray, data=data, found=found, a=a, b=b) -> list[bytes]:
+            whole, at = spaced(data, found, np.ones(len(found.starts), bool))
+            return [whole[i : j - 1] for i, j in zip(at[a[which]], at[b[which]], strict=True)]
+
+        yield np.where(hot, name, anchor).view(np.int64), name.view(np.int64), keys[row + text], first, texts
+
+
 def _segment_texts(rows: DataFrame, size: int) -> DataFrame:
-    """anchor, segment (its words), at (places of its copies in this batch: key, first word) for rows with their places."""
+    """anchor, name, segment (its words) and copies: the distinct segments of each batch."""
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        keys = batch.column(0).to_numpy(zero_copy_only=False)
-        for row, end, data, offsets in text_slices(batch.column(1)):
-            found = find_words(data, offsets)
-            words = Spans(data).hash(found.starts, found.ends)
-            anchor, text, first, windows, _ = segments(words, found.of, size)
-            places = batch.column(2).slice(row, end - row)
-            wanted = np.concatenate([np.zeros(0, np.int64), places.flatten().to_numpy(zero_copy_only=False)])
-            owner = np.repeat(np.arange(end - row), places.value_lengths().to_numpy(zero_copy_only=False))
-            # a segment is known by its text and its place, as it was when it was counted
-            mine = np.isin(_pair(text, (first << 8) | windows), _pair(owner, wanted))
-            anchor, text, first, windows = anchor[mine], text[mine], first[mine], windows[mine]
-            a = found.of[text] + first
-            b = a + windows + size - 1
-            whole, at = spaced(data, found, np.ones(len(words), bool))
-            names = _Sequence(words).hash(a, b)
-            _, one, of = np.unique(names, return_index=True, return_inverse=True)
-            order = np.argsort(of, kind="stable")
-            cuts = np.r_[0, np.cumsum(np.bincount(of, minlength=len(one)))]
-            texts = [whole[i : j - 1] for i, j in zip(at[a[one]], at[b[one]], strict=True)]
-            lists = [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(v[order], pa.int64())) for v in (keys[row + text], first)]
-            yield pa.RecordBatch.from_arrays([pa.array(anchor[one].view(np.int64)), pa.array(texts, pa.binary()).cast(pa.string()), *lists], ["anchor", "segment", "keys", "firsts"])
-
-    return map_batches(rows, cut, "anchor long, segment string, keys array<long>, firsts array<long>")
+        for anchor, name, _, _, texts in _cut_segments(batch, size):
+            _, one, copies = np.unique(name, return_index=True, return_counts=True)
+            columns = [pa.array(anchor[one]), pa.array(name[one]), pa.array(texts(one), pa.binary()).cast(pa.string()), pa.array(copies)]
+            yield pa.RecordBatch.from_arrays(columns, ["anchor", "name", "segment", "copies"])
+
+    return map_batches(rows, cut, "anchor long, name long, segment string, copies long")
+
+
+def _segment_places(rows: DataFrame, size: int) -> DataFrame:
+    """name, key, start: where the segments are."""
+
+    def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for _, name, key, first, _ in _cut_segments(batch, size):
+            yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(key), pa.array(first)], ["name", "key", "start"])
+
+    return map_batches(rows, cut, "name long, key long, start long")
 
 
 def _pair(text: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -146,21 +173,16 @@ class _Sequence:
 
 
 def _search(table: pa.Table, size: int) -> Iterator[pa.RecordBatch]:
-    """key, first, last: the repeated words of all segments of a part of a shard."""
+    """name, first, last: the repeated words of the distinct segments of a part of a shard (name, segment, copies)."""
     data, offsets = _buffer(table.column("segment"))
     found = find_words(data, offsets)
     words = Spans(data).hash(found.starts, found.ends)
-    names = _Sequence(words).hash(found.of[:-1], found.of[1:])
-    _, one, of = np.unique(names, return_index=True, return_inverse=True)
-    copies = table.column("keys").combine_chunks()
-    places = copies.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    several = np.bincount(of, weights=places, minlength=len(one)) > 1.5
-    length = found.counts[one]
-    _, number = np.unique(words[ranges(found.of[:-1][one], length)], return_inverse=True)
-    number += 1
-    begin = np.r_[0, np.cumsum(length)]
+    several = table.column("copies").to_numpy() > 1
+    length, begin = found.counts, found.of
+    _, number = np.unique(words, return_inverse=True)
     repeated = np.repeat(several, length)
     if not several.all():
+        number = number + 1
         index = FMIndex(number, begin)
         single = np.flatnonzero(~several)
         own = ranges(begin[single], length[single])
@@ -169,61 +191,72 @@ def _search(table: pa.Table, size: int) -> Iterator[pa.RecordBatch]:
     repeated &= np.arange(len(number)) + size <= np.repeat(begin[1:], length)  # a window starts here and is repeated
     change = np.diff(np.r_[False, repeated, False].astype(np.int8))
     start, stop = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
-    home = np.searchsorted(begin, start, "right") - 1  # the distinct segment; its last window starts before its end
-    start, stop = start - begin[home], stop - begin[home] + size - 1
-    # each copy of a segment gets the spans of the segment
-    keys, firsts = (table.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("keys", "firsts"))
-    copy_of = np.repeat(of, places)
-    n = np.bincount(home, minlength=len(one))
-    into = np.r_[0, np.cumsum(n)]
-    each = n[copy_of]
-    span = ranges(into[copy_of], each)
-    base = np.repeat(firsts, each)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.repeat(keys, each), pa.int64()), pa.array(base + start[span], pa.int64()), pa.array(base + stop[span], pa.int64())], ["key", "first", "last"]
-    )
+    home = np.searchsorted(begin, start, "right") - 1  # the segment; its last window starts before its end
+    spans = [pa.array(start - begin[home], pa.int64()), pa.array(stop - begin[home] + size - 1, pa.int64())]
+    yield pa.RecordBatch.from_arrays([table.column("name").combine_chunks().take(pa.array(home)), *spans], ["name", "first", "last"])
 
 
 def _buffer(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return next(((data, offsets) for _, _, data, offsets in text_slices(column.combine_chunks(), 1 << 62)), (np.zeros(0, np.uint8), np.zeros(1, np.int64)))
 
 
+def _collapsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by anchor and name, each name once with all its copies."""
+    last: pa.RecordBatch | None = None  # the last name may go on in the next batch
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if last is not None:
+            batch = pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
+        names = batch.column("name").to_numpy(zero_copy_only=False)
+        first = np.flatnonzero(np.r_[True, names[1:] != names[:-1]])
+        copies = np.add.reduceat(batch.column("copies").to_numpy(zero_copy_only=False), first)
+        batch = batch.take(pa.array(first)).set_column(3, "copies", pa.array(copies))
+        last = batch.slice(batch.num_rows - 1)
+        if batch.num_rows > 1:
+            yield batch.slice(0, batch.num_rows - 1)
+    if last is not None:
+        yield last
+
+
 def _shards(rows: DataFrame, size: int) -> DataFrame:
     """Searches each shard in parts that end between two anchors."""
-    placed = rows.repartition("anchor").sortWithinPartitions("anchor")
+    placed = rows.repartition("anchor").sortWithinPartitions("anchor", "name")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         weight = 0
-        for batch in batches:
+        for batch in _collapsed(batches):
             anchors = batch.column(0).to_numpy(zero_copy_only=False)
-            cuts = np.r_[0, np.flatnonzero(anchors[1:] != anchors[:-1]) + 1, len(anchors)]
-            bytes_ = np.r_[0, np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False))]
+            cuts = np.r_[0, np.flatnonzero(anchors[1:] != anchors[:-1]) + 1]
+            total = np.r_[0, np.cumsum(pc.binary_length(batch.column(2)).to_numpy(zero_copy_only=False))]
             begin = 0
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                fresh = a > 0 or not held or held[-1].column(0)[-1].as_py() != anchors[a]
-                if fresh and held and weight + bytes_[a] - bytes_[begin] >= PART_BYTES or fresh and not held and bytes_[a] - bytes_[begin] >= PART_BYTES:
+            for a in cuts:
+                fresh = a > 0 or not held or held[-1].column(0)[-1].as_py() != anchors[0]
+                if fresh and weight + total[a] - total[begin] >= PART_BYTES:
                     if a > begin:
                         held.append(batch.slice(begin, a - begin))
                     yield from _search(pa.Table.from_batches(held), size)
                     held, weight, begin = [], 0, a
-            if begin < len(anchors):
-                held.append(batch.slice(begin))
-                weight += int(bytes_[-1] - bytes_[begin])
+            held.append(batch.slice(begin))
+            weight += int(total[-1] - total[begin])
         if held:
             yield from _search(pa.Table.from_batches(held), size)
 
-    return placed.mapInArrow(run, "key long, first long, last long")
+    return placed.mapInArrow(run, "name long, first long, last long")
 
 
 def repeated_spans(docs: DataFrame, size: int) -> DataFrame:
     """key and spans (first word, end; as a flat list) of each document (doc_id, key, text) with repeated windows."""
     rows = _segment_rows(docs, size)
-    recurring = rows.groupBy("anchor").agg(F.sum("occurs").alias("n")).where("n > 1").select("anchor")
-    places = rows.select("anchor", "key", "place").join(recurring, "anchor").groupBy("key").agg(F.collect_set("place").alias("places"))
-    texts = docs.join(places, "key").select("key", "text", "places", "doc_id")
+    recurring = rows.groupBy("anchor").agg(F.sum("occurs").alias("n")).where("n > 1")
+    mark = F.when(F.col("n") > PART_ROWS, HOT).otherwise(0)
+    places = rows.select("anchor", "key", "place").join(recurring, "anchor").select("key", F.col("place").bitwiseOR(mark).alias("place"))
+    texts = docs.join(places.groupBy("key").agg(F.collect_set("place").alias("places")), "key").select("key", "text", "places", "doc_id")
     spans = _shards(_segment_texts(texts, size), size)
-    return spans.groupBy("key").agg(F.flatten(F.collect_set(F.array("first", "last"))).alias("spans"))
+    found = _segment_places(texts, size).join(spans, "name")
+    found = found.select("key", F.array(F.col("start") + F.col("first"), F.col("start") + F.col("last")).alias("span"))
+    return found.groupBy("key").agg(F.flatten(F.collect_set("span")).alias("spans"))
 
 
 def _with_removed(docs: DataFrame, size: int) -> DataFrame:
