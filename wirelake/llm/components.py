@@ -11,9 +11,14 @@ def components(links: DataFrame, folder: str) -> DataFrame:
 
     The links of a round are a table under ``folder``, which all executors share, so a lost executor costs one round at
     most. Links of a node with itself and repeated links change nothing; no links give an empty result. Minima are combined
-    before the shuffle; a node with many links is an ordinary skewed join key."""
+    before the shuffle and stored before they are joined, so that both sides of the join are plain exchanges and Spark can
+    split a node with many links."""
     spark = links.sparkSession
 
+    def least(pairs: DataFrame, name: str) -> DataFrame:
+        pairs.groupBy("a").agg(F.min("b").alias("m")).write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
     def stored(frame: DataFrame, round_: int) -> tuple[DataFrame, tuple]:
         frame.where("a <> b").distinct().write.parquet(f"{folder}/round-{round_}")
         table = spark.read.parquet(f"{folder}/round-{round_}")
@@ -24,10 +29,9 @@ def components(links: DataFrame, folder: str) -> DataFrame:
     while True:
         round_ += 1
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
+        near = least(both, f"large-{round_}").select("a", F.least("a", "m").alias("m"))
+        large = both.where("b > a").join(near, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = large.join(least(large, f"small-{round_}"), "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
         before = state
         edges, state = stored(small.select("e.a", "e.b"), round_)
         if state == before:
