@@ -22,7 +22,7 @@ from tokenizers import Tokenizer
 from wirelake.llm import pieces, substring_dedup
 from wirelake.llm.arrays import text_slices
 from wirelake.llm.components import components
-from wirelake.llm.decontamination import build_postings, judge_contamination, phrases, proximity_matches, rarest_terms, term_counts
+from wirelake.llm.decontamination import build_postings, by_term, judge_contamination, phrases, proximity_matches, rarest_terms, term_counts
 from wirelake.llm.fm_index import FMIndex, WaveletMatrix
 from wirelake.llm.main_text import main_text
 from wirelake.llm.near_duplicates import CHUNKS, PARTS, index_entries, near_duplicates, shingle_sets, signatures
@@ -378,7 +378,7 @@ def test_proximity(spark):
     counts = term_counts(docs, spark.createDataFrame([("b",), ("c",), ("rare",)], "term string"))
     chosen = rarest_terms(tests, counts)
     assert chosen.first()["term"] == "rare"
-    found = proximity_matches(build_postings(docs, chosen.select("term"), 4), chosen)
+    found = proximity_matches(build_postings(docs, chosen.select("term"), 4), by_term(chosen))
     keys = docs.selectExpr("doc_id", "xxhash64(doc_id, text) AS key")
     assert sorted(r["doc_id"] for r in found.join(keys, "key").collect()) == [1, 2]
 

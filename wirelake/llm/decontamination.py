@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from wirelake.llm.url_filter import lower_ascii
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Test terms up to which their list is broadcast (some tens of bytes each); beyond, the join is left to Spark.
-BROADCAST_TERMS = 200_000
+#: Test terms (some tens of bytes each) and phrases (some hundreds) up to which their list is broadcast; beyond, the join is
+#: left to Spark, which splits the postings of a frequent term, since the list is a table and both sides are plain exchanges.
+BROADCAST_TERMS, BROADCAST_PHRASES = 200_000, 50_000
 
 
 def words_of(text: Column) -> Column:
@@ -81,27 +82,33 @@ def build_postings(docs: DataFrame, terms: DataFrame, reach: int) -> DataFrame:
     )
 
 
-def _looked_up(postings: DataFrame, tests: DataFrame) -> DataFrame:
+def by_term(tests: DataFrame) -> DataFrame:
+    """term, tests: the phrases that are looked up by each term."""
+    return tests.groupBy("term").agg(F.collect_list(F.struct("phrase", "place", "items")).alias("tests"))
+
+
+def _looked_up(postings: DataFrame, listed: DataFrame) -> DataFrame:
     """Postings, each with all phrases that are looked up by its term."""
-    return postings.join(tests.groupBy("term").agg(F.collect_list(F.struct("phrase", "place", "items")).alias("tests")), "term")
+    few = (listed.agg(F.sum(F.size("tests"))).first()[0] or 0) <= BROADCAST_PHRASES
+    return postings.join(F.broadcast(listed) if few else listed, "term")
 
 
-def phrase_matches(postings: DataFrame, tests: DataFrame) -> DataFrame:
-    """key, start, size, items: where a phrase occurs word for word."""
+def phrase_matches(postings: DataFrame, listed: DataFrame) -> DataFrame:
+    """key, start, size, items: where a phrase of the list (`by_term`) occurs word for word."""
     def fits(test: Column) -> Column:
         start = F.col("at_around") - test["place"]
         return (start >= 0) & (F.slice("around", F.greatest(start, F.lit(0)) + 1, F.size(test["phrase"])) == test["phrase"])
 
-    found = _looked_up(postings, tests).select("key", "at", F.explode(F.filter("tests", fits)).alias("test"))
+    found = _looked_up(postings, listed).select("key", "at", F.explode(F.filter("tests", fits)).alias("test"))
     return found.select("key", (F.col("at") - F.col("test.place")).alias("start"), F.size("test.phrase").alias("size"), "test.items")
 
 
-def proximity_matches(postings: DataFrame, tests: DataFrame) -> DataFrame:
+def proximity_matches(postings: DataFrame, listed: DataFrame) -> DataFrame:
     """key, at, items: where all terms of a phrase occur, in any order, within the reach of the index around the rarest."""
     def near(test: Column) -> Column:
         return F.size(F.array_except(test["phrase"], F.col("around"))) == 0
 
-    found = _looked_up(postings, tests).select("key", "at", F.explode(F.filter("tests", near)).alias("test"))
+    found = _looked_up(postings, listed).select("key", "at", F.explode(F.filter("tests", near)).alias("test"))
     return found.select("key", "at", "test.items")
 
 
@@ -113,10 +120,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, folder: str, size: int
     terms = tests.select(F.explode(F.transform("phrase", F.lower)).alias("term")).distinct()
     counts = _stored(term_counts(docs, _stored(terms, f"{folder}/terms")), f"{folder}/counts")
     tests = _stored(rarest_terms(tests, counts), f"{folder}/tests")
-    chosen = _stored(tests.select("term").distinct(), f"{folder}/chosen")
-    postings = _stored(build_postings(docs, chosen, size - 1), f"{folder}/postings")
+    listed = _stored(by_term(tests), f"{folder}/listed")
+    postings = _stored(build_postings(docs, listed.select("term"), size - 1), f"{folder}/postings")
     end = F.col("start") + F.col("size")
-    return phrase_matches(postings, tests).groupBy("key").agg(
+    return phrase_matches(postings, listed).groupBy("key").agg(
         F.array_sort(F.collect_set(F.struct("start", end.alias("end")))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     ).select("key", _union_length("spans").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), "items")
