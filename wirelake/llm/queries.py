@@ -38,6 +38,40 @@ def op1_repetition(spark: SparkSession, folder: str) -> DataFrame:
     return repetition_signals(table(spark, folder, "documents"))
 
 
+ORACLES["op1_repetition"] = r"""
+WITH doc AS (
+    SELECT doc_id, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), word AS (
+    SELECT doc_id, unnest(w) AS x, unnest(range(len(w))) AS i FROM doc
+), pair AS (
+    SELECT a.doc_id, a.i, b.i AS j FROM word a JOIN word b ON a.doc_id = b.doc_id AND a.x = b.x AND a.i < b.i
+), run AS (
+    SELECT doc_id, j - i AS d, min(i) AS i, count(*) AS n FROM (
+        SELECT *, i - row_number() OVER (PARTITION BY doc_id, j - i ORDER BY i) AS g FROM pair) p GROUP BY doc_id, j - i, g
+), spot AS (
+    SELECT doc_id, n, unnest([i, i + d]) AS i FROM run WHERE n >= 3
+), hit AS (
+    SELECT doc_id, p, max(n) AS n FROM (SELECT doc_id, n, unnest(range(i, i + n)) AS p FROM spot) s GROUP BY doc_id, p
+), cover AS (
+    SELECT doc_id, count(*) AS n_repeat_words, count(*) FILTER (WHERE n >= 8) AS n_covered FROM hit GROUP BY doc_id
+), longest AS (
+    SELECT doc_id, max(n) AS n FROM run GROUP BY doc_id
+), line AS (
+    SELECT doc_id, count(*) - count(DISTINCT l) AS n_dup_lines FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM doc) s
+    WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), c AS (
+    SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+        CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+        coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_covered, 0) AS n_covered, coalesce(longest.n, 0) AS longest_repeat
+    FROM doc LEFT JOIN cover USING (doc_id) LEFT JOIN longest USING (doc_id) LEFT JOIN line USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * n_covered <= 45 * n_words AND longest_repeat <= 100 AS kept,
+    CAST(n_covered AS DOUBLE) / greatest(n_words, 1) AS covered_share, longest_repeat
+FROM c
+"""
+
+
 @query
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -49,6 +83,15 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return read_archives(spark, archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri")
 
 
+ORACLES["op10_warc"] = r"""
+SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+    list_aggregate(list_transform(range(8), lambda g: list_aggregate(list_transform([15, 10, 5, 0], lambda s:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || substr(sha1(coalesce(html, '')), 5 * g + 1, 5) AS BIGINT) >> s) & 31) + 1, 1)), 'string_agg', '')), 'string_agg', '') AS payload_digest,
+    CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to, url AS target_uri
+FROM (SELECT *, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top FROM pages) p
+"""
+
+
 #: Rules of the url query.
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
