@@ -131,6 +131,8 @@ def test_repetition_signals():
     ("<script>var a='<p>no</p>';</script><style>p{}</style><!-- <p>no</p> --><p>x &lt;b&gt; 1 < 2</p><p>cut &#8217; off</p", "x <b> 1 < 2\n\ncut ’ off"),
     ("<body><div><ul>" + "<li><a href=x>link</a></li>" * 9 + "</ul></div><div id=story><p>" + "Long sentence. " * 9 + "</p><p>More of it.</p></div></body>", "Long sentence. " * 8 + "Long sentence.\n\nMore of it."),
     ("<table><tr><td>a<td>b<tr><td>c</table>", "a\n\nb\n\nc"),
+    ("<p title='1 > 0' data-x=\"<b>\">in</p><p title=\"5\" tall\">a \"quote\" and it's more</p><script/>x='<p>no</p>'</script><p>end", "in\n\na \"quote\" and it's more\n\nend"),
+    ("<P CLASS=Advert>x<p>y</P></p><p id='with-sidebar'>z&nbsp;&nbsp;&amp;lt;</p>", "y\n\nz &lt;"),
 ])
 def test_main_text(page, text):
     assert main_text(page) == text

@@ -51,7 +51,8 @@ HINTS = frozenset(
 COMMENT_HINTS = frozenset("comment comments disqus replies reply respond discussion reactions commentlist".split())
 WRAPPER = frozenset("has with no without".split())
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
+# A quote opens a value only after an equals sign, so a stray one does not swallow the page.
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:"[^"]*"|'[^']*')?|[^>=])*+)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true""", re.I)
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
@@ -103,7 +104,7 @@ class Tree:
                 place = page.find(">", cut) + 1 or size
                 continue
             place = found.end()
-            slash, name, attributes = (found[1], found[2], found[3]) if found[2] else (found[4], found[5], found[6])
+            slash, name, attributes = found.groups()
             if name is None:
                 continue
             tag = name.lower()
@@ -112,7 +113,7 @@ class Tree:
                 continue
             if tag in RAW:
                 end = re.compile(f"</{re.escape(tag)}[^>]*(?:>|\\Z)", re.I).search(page, place)
-                if not attributes.endswith("/"):
+                if tag not in ("svg", "math") or not attributes.endswith("/"):
                     place = end.end() if end else size
                 self._text(stack[-1][1], " ")
                 continue
