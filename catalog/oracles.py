@@ -298,6 +298,7 @@ SQL: dict[str, str] = {
           CASE WHEN again THEN end_timestamp + INTERVAL 1 DAY WHEN status <> 'started' THEN end_timestamp END AS end_timestamp,
           CASE WHEN status = 'failed' AND NOT again THEN 'out of quota' END AS error_message
         FROM (SELECT *, status = 'failed' AND CAST(run_id AS BIGINT) % 5 = 0 AS again FROM collection_runs) c""",
+    "run_ids": "SELECT run_id, strftime(end_timestamp, '%Y%m%d_%H%M%S') AS new_id FROM collection_runs",
     "dedup_rewrite": "SELECT url, doc_id, title, run_id, collection_timestamp FROM earliest",
     # projections and filters
     "conform_schema": "SELECT CAST(NULL AS BIGINT) AS id, corporation, sector, newsroom_url FROM reference_data",

@@ -220,6 +220,11 @@ def run_log(v: Views) -> DataFrame:
     return runs.run_rows(news.read("run_events"))
 
 
+@query
+def run_ids(v: Views) -> DataFrame:
+    return v.collection_runs().select("run_id", times.run_id_of(F.col("end_timestamp")).alias("new_id"))
+
+
 @query
 def dedup_rewrite(v: Views) -> DataFrame:
     path = scratch_path(v.spark, "rewrite")
