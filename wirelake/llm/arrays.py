@@ -6,6 +6,8 @@ slices of bounded size, so that a batch needs a few tens of MB at any length of
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -15,7 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
+BATCH_SETTING, DEFAULT_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"  # the default is 64 MB
+BATCH_BYTES = 8_000_000
 
 BLANK = np.zeros(256, dtype=bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -144,6 +148,33 @@ def joined(data: np.ndarray, words: Words, kept: np.ndarray) -> list[bytes]:
     return [whole[a : max(a, b - 1)] for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
+def map_in_tasks(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType | str) -> DataFrame:
+    """``mapInArrow`` with batches of BATCH_BYTES, unless the session has a setting of its own, and without idle memory.
+
+    A Python worker lives on after its task; what its allocators keep is given back after each batch and at the end."""
+    spark = df.sparkSession
+    if spark.conf.get(BATCH_SETTING, DEFAULT_BATCH) == DEFAULT_BATCH:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def released() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch
+                del batch
+                release_memory()
+
+        yield from function(released())
+        release_memory()
+
+    return df.mapInArrow(run, schema)
+
+
+def release_memory() -> None:
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: StructType | str) -> DataFrame:
     """Applies ``function`` to each Arrow batch inside the tasks."""
 
@@ -151,4 +182,4 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.
         for batch in batches:
             yield from function(batch)
 
-    return df.mapInArrow(run, schema)
+    return map_in_tasks(df, run, schema)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wirelake.llm.arrays import Spans, find_words, map_batches, mix, ranges, text_slices
+from wirelake.llm.arrays import Spans, find_words, map_batches, map_in_tasks, mix, ranges, text_slices
 from wirelake.llm.components import components
 
 CHUNKS, WIDTH = 12, 5
@@ -156,7 +156,7 @@ def by_group(rows: DataFrame, keys: list[str], payload: list[str], compare: Call
         if held:
             yield from compare(last, pa.Table.from_batches(held))
 
-    return sorted_.mapInArrow(run, schema)
+    return map_in_tasks(sorted_, run, schema)
 
 
 class Forest:

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wirelake.llm.arrays import Spans, Words, covered, find_words, joined, map_batches, mix, ranges, spaced, text_slices
+from wirelake.llm.arrays import Spans, Words, covered, find_words, joined, map_batches, map_in_tasks, mix, ranges, spaced, text_slices
 from wirelake.llm.fm_index import FMIndex
 
 ANCHOR = 12  # words of a run
@@ -243,7 +243,7 @@ def _shards(rows: DataFrame, size: int) -> DataFrame:
         if held:
             yield from _search(pa.Table.from_batches(held), size)
 
-    return placed.mapInArrow(run, "name long, first long, last long")
+    return map_in_tasks(placed, run, "name long, first long, last long")
 
 
 def repeated_spans(docs: DataFrame, size: int) -> DataFrame:

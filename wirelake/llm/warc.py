@@ -27,6 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wirelake.llm.arrays import map_in_tasks
+
 MAGIC = b"\x1f\x8b\x08"
 CHUNK = 1 << 20
 RECORDS = (
@@ -62,7 +64,7 @@ def write_archives(pages: DataFrame, folder: str, at: str = "2026-01-01T00:00:00
             where.move(own, f"{base}/{final}")
             yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{final}"]), pa.array([size]), pa.array([count])], ["path", "bytes", "records"])
 
-    rows.mapInArrow(write, "path string, bytes long, records long").write.parquet(f"{folder}/_archives")
+    map_in_tasks(rows, write, "path string, bytes long, records long").write.parquet(f"{folder}/_archives")
     return pages.sparkSession.read.parquet(f"{folder}/_archives")
 
 
@@ -115,7 +117,7 @@ def read_archives(spark: SparkSession, archives: DataFrame, split_bytes: int = 8
                 if rows:
                     yield _rows(rows, names)
 
-    return splits.mapInArrow(read, schema)
+    return map_in_tasks(splits, read, schema)
 
 
 def _rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
