@@ -138,6 +138,16 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_main_text_keeps_linked_blocks_of_an_article(tag):
+    parts = ["<h1><a href=x>Headline</a></h1>", "<p>" + "Long sentence here. " * 12 + "</p>", "<h2><a href=y>Second head</a></h2>", "<p><a href=z>A paragraph that is one link</a></p>"]
+    parts += ["<p>" + "Another sentence. " * 12 + "</p>", "<ul><li><a href=1>First source</a><li><a href=2>Second source</a></ul>"]
+    page = f"<body><ul><li><a href=n>Elsewhere</a></ul><{tag}>" + "".join(parts) + f"</{tag}></body>"
+    assert main_text(page).split("\n\n") == [
+        "Headline", ("Long sentence here. " * 12).strip(), "Second head", "A paragraph that is one link", ("Another sentence. " * 12).strip(), "First source", "Second source",
+    ]
+
+
 # --- 3 ------------------------------------------------------------------------------------------
 
 

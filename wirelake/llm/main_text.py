@@ -1,9 +1,8 @@
 """Main text of web pages by composite text density.
 
 For each DOM node: the characters per tag, lowered by the share of characters and tags that belong to links. The node whose
-children have the largest sum of densities holds the article; the smallest density on its way up to the body is the page's
-threshold. Parts that are boilerplate by their element, role or class never enter the tree. Inside the chosen subtree, a
-part that consists mainly of links and is less dense than the threshold is dropped; everything else is kept, however short.
+children have the largest sum of densities holds the article. Parts that are boilerplate by their element, role or class
+never enter the tree. Everything inside the chosen subtree is kept, however short, linked headlines and lists of sources too.
 Where the chosen node stands inside an article or main element, the subtree is that of the element, so that headings beside
 the text body are kept.
 
@@ -165,8 +164,8 @@ class Tree:
                 return closed
         return 0
 
-    def densities(self) -> tuple[list[float], list[float], list[float]]:
-        """Composite density, sum of the children's densities, and share of characters in links, of each node."""
+    def densities(self) -> list[float]:
+        """Sum of the children's composite densities of each node."""
         n = len(self.tags)
         chars, link_chars, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
         for node, text in self.texts:
@@ -181,32 +180,28 @@ class Tree:
             tags[up] += tags[node] + 1
             link_tags[up] += link_tags[node] + (self.tags[node] == "a")
         ratio = link_chars[0] / max(chars[0], 1)
-        density, sums, share = [0.0] * n, [0.0] * n, [0.0] * n
+        density, sums = [0.0] * n, [0.0] * n
         for node in range(n - 1, -1, -1):
             c, lc, t, lt = chars[node], link_chars[node], max(tags[node], 1), max(link_tags[node], 1)
             if c:
                 base = math.log(c / max(c - lc, 1) * lc + ratio * c + math.e)
                 density[node] = max(c / t * math.log(c / max(lc, 1) * t / lt + 1e-9) / max(math.log(base), 1.0), 0.0)
-                share[node] = lc / c
             if node:
                 sums[self.parents[node]] += density[node]
-        return density, sums, share
+        return sums
 
     def blocks(self) -> list[str]:
-        density, sums, share = self.densities()
+        sums = self.densities()
         best = max(range(len(sums)), key=lambda i: (sums[i], -i))
         path, node = [], best
         while node > 0:
             path.append(node)
             node = self.parents[node]
-        inner = [i for i in path if self.tags[i] not in ("html", "body")]
-        threshold = min((density[i] for i in inner), default=0.0)
         top = next((i for i in path if self.tags[i] in ("article", "main")), best)
         kept, kin = [False] * len(self.tags), [0] * len(self.tags)  # kin: the innermost block around a node
         for i in range(len(self.tags)):
             up = self.parents[i]
-            inside = i == top or up >= 0 and kept[up]
-            kept[i] = inside and (i == top or not (self.tags[i] in BLOCKS and share[i] > 0.5 and density[i] < threshold))
+            kept[i] = i == top or up >= 0 and kept[up]
             kin[i] = i if self.tags[i] in BLOCKS or up < 0 else kin[up]
         out: list[str] = []
         last, parts = -1, []
