@@ -148,6 +148,27 @@ def test_main_text_keeps_linked_blocks_of_an_article(tag):
     ]
 
 
+LONG = ("Long sentence here. " * 12).strip()
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<article><h2 id='share-of-revenue'>Shares</h2><section id='search-and-rescue'><h3 id=social-effects>Effects</h3><p>One.</p></section><div id='notice-period'>Two.</div></article>", "Shares\n\nEffects\n\nOne.\n\nTwo."),
+    ("<article><h2 id=discussion>Discussion</h2><section id=related><p>Work.</p></section></article>", "Discussion\n\nWork."),
+    ("<div><h2 id='social'>Social</h2><p title='the hidden cost'>" + LONG + "</p><p data-id='share' data-class='ad' title=\"aria-hidden='true'\">Kept.</p></div>", "Social\n\n" + LONG + "\n\nKept."),
+    ("<article><p>Kept.</p><p hidden>a</p><p HIDDEN=''>b</p><p class=x aria-hidden='true'>c</p><div role=form>d</div></article>", "Kept."),
+    ("<div id=cookie-banner>Cookies</div><div id=site-footer>Foot</div><div id=sidebar>Side</div><article><p>Kept.</p><div id=share>Share</div><section id=comments><p>Nice!</p></section><p class='share-buttons'>Tell</p></article>", "Kept."),
+    ("<body><form id=aspnetForm action='x'><div id=content><h1>Head</h1><p>" + LONG + "</p><form role=search><p>Find</p></form></div></form></body>", "Head\n\n" + LONG),
+    ("<form><nav>menu</nav><main><p>Short.</p></main></form><p>" + LONG + "</p>", "Short.\n\n" + LONG),
+    ("<div><p>" + LONG + "</p><form><p>Mail us</p></form><p>End.</p></div>", LONG + "\n\nEnd."),
+])
+def test_main_text_hints(page, text):
+    assert main_text(page) == text
+
+
+def test_main_text_of_deep_pages():
+    assert main_text("<b id=x>" * 100_000 + "text" + "<form>" * 50_000 + "no") == "text"
+
+
 # --- 3 ------------------------------------------------------------------------------------------
 
 

@@ -1,10 +1,13 @@
 """Main text of web pages by composite text density.
 
 For each DOM node: the characters per tag, lowered by the share of characters and tags that belong to links. The node whose
-children have the largest sum of densities holds the article. Parts that are boilerplate by their element, role or class
-never enter the tree. Everything inside the chosen subtree is kept, however short, linked headlines and lists of sources too.
-Where the chosen node stands inside an article or main element, the subtree is that of the element, so that headings beside
-the text body are kept.
+children have the largest sum of densities holds the article. Everything inside the chosen subtree is kept, however short,
+linked headlines and lists of sources too. Where the chosen node stands inside an article or main element, the subtree is
+that of the element, so that headings beside the text body are kept.
+
+Parts that are boilerplate by their element, role, class or id never enter the tree. Words of a class count wherever they
+stand in it; an id counts as a whole only, and not at a heading or at a section of an article, where it may be made from a
+title (comments excepted). A form is boilerplate unless it holds an article or main, or most of the page's text.
 
 Defined results: null, empty or tagless-but-blank html has an empty text; html without tags is one block; a page cut off in
 a tag loses only that tag; repeated rows are extracted one by one; pages are read to their end at any length; columns other
@@ -30,8 +33,8 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes svg math".split())
-DROPPED = frozenset("nav footer aside form head button select dialog menu object label option optgroup".split())
-ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
+DROPPED = frozenset("nav footer aside head button select dialog menu object label option optgroup".split())
+ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar".split())
 #: An element closes open ones of these kinds, up to the first of the others.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -40,7 +43,7 @@ CLOSES = {
 }
 WHOLE = frozenset("html body main article".split())
 
-#: Words in a class or id that mark boilerplate.
+#: Words in a class that mark boilerplate.
 HINTS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar navigation menu "
     "breadcrumb breadcrumbs masthead footer sidebar widget widgets cookie cookies consent gdpr notice notices alert popup modal "
@@ -49,32 +52,56 @@ HINTS = frozenset(
 )
 COMMENT_HINTS = frozenset("comment comments disqus replies reply respond discussion reactions commentlist".split())
 WRAPPER = frozenset("has with no without".split())
+#: Words that may stand beside those in an id. Any other word makes it the slug of a heading, which says nothing of the part.
+LAYOUT = frozenset("site page main global primary secondary top bottom left right inner outer container wrapper wrap box bar slot block".split())
+NAMED_BY_TITLE = frozenset("h1 h2 h3 h4 h5 h6 section".split())
 
 # A quote opens a value only after an equals sign, so a stray one does not swallow the page.
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:"[^"]*"|'[^']*')?|[^>=])*+)(?:>|\Z)""", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+MARKS = re.compile("class|id|role|hidden", re.I)
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
-def _is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
+def _attributes(text: str) -> dict[str, str]:
+    """Values by name in lower case; of equal names the first counts."""
+    found: dict[str, str] = {}
+    for name, *values in ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), "".join(values))
+    return found
+
+
+def _words(value: str) -> set[str]:
+    return {name.lower() for name in NAME.findall(value)}
+
+
+def _is_boilerplate(tag: str, attributes: str, in_article: bool, in_text: bool) -> bool:
+    """in_article: inside an article; in_text: inside an article or main."""
     if tag in DROPPED or tag == "header" and not in_article:
         return True
-    if not attributes or "=" not in attributes and "hidden" not in attributes:
+    if not attributes or not MARKS.search(attributes):
         return False
-    if HIDDEN.search(attributes):
+    given = _attributes(attributes)
+    if "hidden" in given or given.get("aria-hidden", "").strip().lower() == "true":
+        return True
+    if given.get("role", "").strip().lower() in ROLES:
         return True
-    names: set[str] = set()
-    for kind, *values in ATTRIBUTE.findall(attributes):
-        value = "".join(values)
-        if kind.lower() == "role":
-            if value.strip().lower() in ROLES:
-                return True
-        else:
-            names.update(name.lower() for name in NAME.findall(value))
+    hints = COMMENT_HINTS if tag in WHOLE else HINTS
+    header = {"header"} if not in_article and tag not in WHOLE else set()
+    names = _words(given.get("class", ""))
     if names & WRAPPER:
         return False
-    return bool(names & (COMMENT_HINTS if tag in WHOLE else HINTS)) or ("header" in names and not in_article and tag not in WHOLE)
+    if names & (hints | header):
+        return True
+    # an id counts as a whole only: all its words are hints, and outside of articles also places of the layout
+    name = {word for word in _words(given.get("id", "")) if not word.isdigit()}
+    if tag in NAMED_BY_TITLE and (in_text or tag != "section"):
+        return tag == "section" and name <= {"comment", "comments", "disqus", "commentlist"} and bool(name)
+    return bool(name & (hints | header)) and name <= hints | header | (set() if in_text else LAYOUT)
+
+
+def _is_form(tag: str, attributes: str) -> bool:
+    return tag == "form" or "role" in attributes.lower() and _attributes(attributes).get("role", "").strip().lower() == "form"
 
 
 class Tree:
@@ -82,8 +109,10 @@ class Tree:
 
     def __init__(self, page: str):
         self.tags, self.parents, self.texts = ["#"], [-1], []  # texts: (node, text, inside a link)
-        self.links = [False]
+        self.links, self.inside = [False], [False]  # inside a link; inside an article or main
+        self.forms: list[int] = []
         self._read(page)
+        self._drop_forms()
 
     def _read(self, page: str) -> None:
         stack: list[tuple[str, int]] = [("#", 0)]  # dropped elements have node -1, as have all inside them
@@ -127,7 +156,12 @@ class Tree:
                     self._add(tag, node)
                 continue
             if node >= 0:
-                node = -1 if _is_boilerplate(tag, attributes, articles > 0) else self._add(tag, node)
+                if _is_boilerplate(tag, attributes, articles > 0, self.inside[node]):
+                    node = -1
+                else:
+                    node = self._add(tag, node)
+                    if _is_form(tag, attributes):
+                        self.forms.append(node)
             stack.append((tag, node))
             articles += tag == "article"
 
@@ -135,12 +169,39 @@ class Tree:
         self.tags.append(tag)
         self.parents.append(parent)
         self.links.append(tag == "a" or self.links[parent])
+        self.inside.append(tag in ("article", "main") or self.inside[parent])
         return len(self.tags) - 1
 
     def _text(self, node: int, text: str) -> None:
         if node >= 0:
             self.texts.append((node, references.unescape(text) if "&" in text else text))
 
+    def _drop_forms(self) -> None:
+        """Takes out the forms, but for those that hold an article or main, or most of the page's text."""
+        if not self.forms:
+            return
+        n = len(self.tags)
+        chars, holds = [0] * n, [tag in ("article", "main") for tag in self.tags]
+        for node, text in self.texts:
+            chars[node] += len(text.strip())
+        for node in range(n - 1, 0, -1):
+            chars[self.parents[node]] += chars[node]
+            holds[self.parents[node]] |= holds[node]
+        gone = {node for node in self.forms if not holds[node] and 2 * chars[node] <= chars[0]}
+        if not gone:
+            return
+        new = [0] * n  # numbers of the nodes that stay; -1 for the others
+        stay = [0]
+        for node in range(1, n):
+            if node in gone or new[self.parents[node]] < 0:
+                new[node] = -1
+            else:
+                new[node] = len(stay)
+                stay.append(node)
+        self.texts = [(new[node], text) for node, text in self.texts if new[node] >= 0]
+        self.parents = [new[self.parents[node]] if node else -1 for node in stay]
+        self.tags, self.links, self.inside = ([values[node] for node in stay] for values in (self.tags, self.links, self.inside))
+
     @staticmethod
     def _close(stack: list[tuple[str, int]], tag: str, within: bool = False) -> int:
         """Closes the innermost ``tag``; gives the number of articles closed. within: not beyond the innermost block."""
