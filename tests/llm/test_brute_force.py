@@ -165,6 +165,16 @@ def test_main_text_hints(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("links", ["", "<div><ul>" + "<li><a href=q>Another story</a>" * 8 + "</ul></div>"])
+def test_main_text_spread_over_containers(links):
+    first, second = ([f"{name}{i} " + "x" * 196 for i in range(n)] for name, n in (("a", 5), ("b", 3)))
+    parts = "".join("<div>" + "".join(f"<p>{p}</p>" for p in part) + "</div>" for part in (first, second))
+    whole = ["Headline", "Before a link.", *first, *second, "Linked", "End."]
+    inner = f"<div><h1>Headline</h1></div>Before <a href=x>a link</a>.{parts}<h2><a href=y>Linked</a></h2><div><p>End.</p></div>"
+    for page in (f"<body>{links}<div id=content>{inner}</div>{links}</body>", f"<body><div>{links}<div>{inner}</div></div></body>", f"<body>{links}{inner}</body>"):
+        assert main_text(page).split("\n\n") == whole
+
+
 def test_main_text_of_deep_pages():
     assert main_text("<b id=x>" * 100_000 + "text" + "<form>" * 50_000 + "no") == "text"
 

@@ -3,7 +3,10 @@
 For each DOM node: the characters per tag, lowered by the share of characters and tags that belong to links. The node whose
 children have the largest sum of densities holds the article. Everything inside the chosen subtree is kept, however short,
 linked headlines and lists of sources too. Where the chosen node stands inside an article or main element, the subtree is
-that of the element, so that headings beside the text body are kept.
+that of the element, so that headings beside the text body are kept. Elsewhere an article may be spread over containers:
+the smallest density on the way from the chosen node up to the body is the page's threshold, and of the parts beside that
+way only those containers go that consist mainly of links, are less dense than the threshold and hold no h1. Headings,
+paragraphs and running text there are kept.
 
 Parts that are boilerplate by their element, role, class or id never enter the tree. Words of a class count wherever they
 stand in it; an id counts as a whole only, and not at a heading or at a section of an article, where it may be made from a
@@ -31,6 +34,7 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+CONTAINERS = BLOCKS - frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes svg math".split())
 DROPPED = frozenset("nav footer aside head button select dialog menu object label option optgroup".split())
@@ -225,8 +229,8 @@ class Tree:
                 return closed
         return 0
 
-    def densities(self) -> list[float]:
-        """Sum of the children's composite densities of each node."""
+    def densities(self) -> tuple[list[float], list[float], list[float]]:
+        """Composite density, sum of the children's densities, and share of characters in links, of each node."""
         n = len(self.tags)
         chars, link_chars, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
         for node, text in self.texts:
@@ -241,28 +245,36 @@ class Tree:
             tags[up] += tags[node] + 1
             link_tags[up] += link_tags[node] + (self.tags[node] == "a")
         ratio = link_chars[0] / max(chars[0], 1)
-        density, sums = [0.0] * n, [0.0] * n
+        density, sums, share = [0.0] * n, [0.0] * n, [0.0] * n
         for node in range(n - 1, -1, -1):
             c, lc, t, lt = chars[node], link_chars[node], max(tags[node], 1), max(link_tags[node], 1)
             if c:
                 base = math.log(c / max(c - lc, 1) * lc + ratio * c + math.e)
                 density[node] = max(c / t * math.log(c / max(lc, 1) * t / lt + 1e-9) / max(math.log(base), 1.0), 0.0)
+                share[node] = lc / c
             if node:
                 sums[self.parents[node]] += density[node]
-        return sums
+        return density, sums, share
 
     def blocks(self) -> list[str]:
-        sums = self.densities()
+        density, sums, share = self.densities()
         best = max(range(len(sums)), key=lambda i: (sums[i], -i))
         path, node = [], best
         while node > 0:
             path.append(node)
             node = self.parents[node]
-        top = next((i for i in path if self.tags[i] in ("article", "main")), best)
+        threshold = min((density[i] for i in path if self.tags[i] not in ("html", "body")), default=0.0)
+        top = next((i for i in path if self.tags[i] in ("article", "main")), 0)
+        way = set() if top else {0, *path} - {best}  # above the chosen node; what hangs there is kept or dropped as a whole
+        headed = [tag == "h1" for tag in self.tags]
+        for i in range(len(self.tags) - 1, 0, -1):
+            headed[self.parents[i]] |= headed[i]
         kept, kin = [False] * len(self.tags), [0] * len(self.tags)  # kin: the innermost block around a node
         for i in range(len(self.tags)):
             up = self.parents[i]
             kept[i] = i == top or up >= 0 and kept[up]
+            if up in way and i not in way and i != best and self.tags[i] in CONTAINERS and not headed[i]:
+                kept[i] = kept[i] and not (share[i] > 0.5 and density[i] < threshold)
             kin[i] = i if self.tags[i] in BLOCKS or up < 0 else kin[up]
         out: list[str] = []
         last, parts = -1, []
