@@ -16,10 +16,11 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_files
 from tokenizers import Tokenizer
 
-from wirelake.llm import pieces, substring_dedup
+from wirelake.llm import pieces, substring_dedup, url_filter
 from wirelake.llm.arrays import text_slices
 from wirelake.llm.components import components
 from wirelake.llm.decontamination import build_postings, by_term, judge_contamination, phrases, proximity_matches, rarest_terms, term_counts
@@ -212,6 +213,30 @@ def test_trees_learn_held_out_urls(spark):
     assert sum((r["verdict"] == "block") == (r["page_id"] % 2 == 1) for r in held) / len(held) > 0.95
 
 
+def test_url_sample_is_bounded_and_keeps_both_kinds(spark):
+    """One url is a third of the labelled rows, and one label in a thousand is rare; the result has both and their weights."""
+    rows = [("http://x.com/fr/common", 0.0)] * 2000 + [(f"http://x.com/fr/{i * 7919}", 0.0) for i in range(4000)] + [(f"http://x.com/de/{i}", 1.0) for i in range(6)]
+    urls = spark.createDataFrame(rows, "url string, label double")
+    urls = urls.withColumns({name: F.abs(F.xxhash64("url", F.lit(i))) % 1000 / 1.0 for i, name in enumerate(url_filter.FEATURES)})
+    for bound in (40, 400, 10_000):
+        got = url_filter._sampled(urls, {0.0: 6000, 1.0: 6}, bound).collect()
+        kinds = Counter(r["label"] for r in got)
+        assert len(got) <= bound and kinds[1.0] == 6 and kinds[0.0] >= min(4001, 0.8 * (bound - 6))
+        assert sum(r["weight"] for r in got if r["label"] == 0) == pytest.approx(6000)
+        assert max(r["weight"] for r in got) == 2000
+
+
+def test_few_distinct_and_rare_labelled_urls(spark):
+    """Fewer distinct labelled urls than parts of the old sample; then a rare kind among many rows."""
+    rules = [("block", "x.com/bad/"), ("allow", "x.com/good/")]
+    few = [(i, f"http://x.com/{'bad' if i % 2 else 'good'}/") for i in range(500)] + [(500, "http://new.org/")]
+    assert judge_urls(spark.createDataFrame(few, "page_id long, url string"), rules, sample_rows=5, rounds=2).count() == 501
+    rare = [(i, f"http://x.com/good/{'abcdefgh'[i % 8]}{i}") for i in range(3000)] + [(3000 + i, f"http://x.com/bad/{'9' * 60}{i}") for i in range(3)]
+    rare += [(4000, f"http://new.org/{'8' * 62}"), (4001, "http://new.org/good/a17")]
+    got = {r["page_id"]: r["verdict"] for r in judge_urls(spark.createDataFrame(rare, "page_id long, url string"), rules, sample_rows=100, rounds=5).collect()}
+    assert (got[4000], got[4001]) == ("block", "allow")
+
+
 # --- 4 ------------------------------------------------------------------------------------------
 
 SENTENCES = st.lists(st.sampled_from(["hello", "the", " ", "  ", "\n", "中文", "é", "▁", "ing", "unbelievable", "<s>", "123", "🙂", "x" * 30, " " * 20]), max_size=25).map("".join)

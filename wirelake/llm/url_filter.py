@@ -1,6 +1,8 @@
 """URL filter: path rules first, then gradient-boosted trees on lexical features, all as DataFrame functions.
 
-The rules label the urls that they fit; the trees learn from a bounded sample of those (``sample_rows``) and judge the rest.
+The rules label the urls that they fit; the trees learn from those and judge the rest. Labelled rows are counted by their
+features, and the counts are weights. Above ``sample_rows`` distinct ones, each kind has a bound of its own: rows that are a
+large part of their kind stay, the others are drawn by a hash, and stand for all of their kind.
 Suffix statistics (how common the last one and two host labels are, and the smoothed share of blocked urls among the
 labelled ones) are counted over all rows.
 
@@ -12,7 +14,7 @@ not looked at, whatever their names; urls of any length are judged whole.
 
 from __future__ import annotations
 
-import math
+from collections import defaultdict
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789-._/?&=%#:~+"
 SAMPLE_ROWS = 20_000
+SAMPLE_PARTS = 8  # partitions of the sample, which is bounded
 FEATURES = [
     "length", "host_length", "path_length", "host_depth", "path_depth", "digit_ratio", "entropy", "parameters", "query_length",
     "hyphens", "escapes", "suffix_rows", "domain_rows", "suffix_blocked", "domain_blocked",
@@ -93,13 +96,42 @@ def _with_statistics(urls: DataFrame, kind: str) -> DataFrame:
     return urls.join(counted, kind)
 
 
+def _sampled(labelled: DataFrame, known: dict[float, int], sample_rows: int) -> DataFrame:
+    """label, features and weight: at most ``sample_rows`` distinct rows, some of each kind, whose weights sum up to all rows of it.
+
+    known: rows by label, both of them."""
+    half = sample_rows // 2
+    large = F.create_map(*[F.lit(v) for label, n in known.items() for v in (label, 2 * n / max(half, 1))])
+    rows = labelled.groupBy("label", *FEATURES).agg(F.count("*").alias("n"))
+    # large: at most half of a bound. draw: 64 steps for each doubling, so any number of rows is met to about a hundredth
+    rows = rows.withColumn("large", F.col("n") >= large[F.col("label")])
+    rows = rows.withColumn("draw", F.floor(64 * F.log2(F.shiftrightunsigned(F.xxhash64(*FEATURES), 11) + 1)))
+    steps: dict[float, list] = defaultdict(list)
+    for row in rows.groupBy("label", "large", "draw").agg(F.count("*").alias("rows"), F.sum("n").alias("n")).collect():
+        steps[row["label"]].append((not row["large"], row["draw"], row["rows"], row["n"]))
+    sizes = {label: sum(step[2] for step in found) for label, found in steps.items()}
+    chosen, scale = F.col("large"), F.lit(1.0)
+    for label, found in steps.items():
+        room = max(half, sample_rows - (sum(sizes.values()) - sizes[label]))
+        last, drawn = -1, 0
+        for small, draw, size, n in sorted(found):
+            if size > room:
+                break
+            room -= size
+            if small:
+                last, drawn = draw, drawn + n
+        light = sum(n for small, _, _, n in found if small)
+        chosen |= (F.col("label") == label) & (F.col("draw") <= last)
+        scale = F.when((F.col("label") == label) & ~F.col("large"), F.lit(light / max(drawn, 1))).otherwise(scale)
+    return rows.where(chosen).select("label", *FEATURES, (F.col("n") * scale).alias("weight")).repartition(SAMPLE_PARTS)
+
+
 def judge_urls(
     pages: DataFrame, rules: Sequence[tuple[str, str]], sample_rows: int = SAMPLE_ROWS, rounds: int = 20, depth: int = 4, seed: int = 7
 ) -> DataFrame:
     """page_id, host, path, rule, verdict and the trees' score (probability of block) of every row.
 
-    rules: (allow or block, host and start of path). sample_rows: about so many labelled urls are learnt from; above
-    that, a share chosen by a hash of the url."""
+    rules: (allow or block, host and start of path). sample_rows: at most so many distinct labelled rows are learnt from."""
     host, path = url_parts(F.col("url"))
     urls = pages.select("page_id", "url").withColumns({"host": host, "path": path})
     urls = urls.withColumn("found", rule_for(F.col("host"), F.col("path"), rules)).withColumn("label", F.col("found.block").cast("double"))
@@ -107,10 +139,12 @@ def judge_urls(
     if len(known) < 2:
         return _verdicts(urls.withColumn("score", F.lit(max(known, default=0.0))))
     urls = _with_statistics(_with_statistics(_lexical(urls), "suffix"), "domain")
-    every = math.ceil(sum(known.values()) / sample_rows)
-    sample = urls.where(F.col("label").isNotNull() & (F.pmod(F.xxhash64("url"), F.lit(every)) == 0))
-    trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=rounds, maxDepth=depth, seed=seed, maxMemoryInMB=64)
-    model = Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), trees]).fit(sample.select("label", *FEATURES))
+    sample = _sampled(urls.where("label IS NOT NULL"), known, sample_rows).persist()
+    trees = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=rounds, maxDepth=depth, seed=seed, maxMemoryInMB=64)
+    try:
+        model = Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), trees]).fit(sample)
+    finally:
+        sample.unpersist()
     return _verdicts(model.transform(urls).withColumn("score", vector_to_array("probability")[1]))
 
 
