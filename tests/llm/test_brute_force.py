@@ -451,6 +451,16 @@ def test_proximity(spark):
     assert sorted(r["doc_id"] for r in found.join(keys, "key").collect()) == [1, 2]
 
 
+def test_contamination_with_proximity(spark, tmp_path):
+    rows = [(1, "x rare b c x"), (2, "c x b rare"), (3, "rare " + "x " * 9 + "b c"), (4, "b c rare - c b rare"), (5, None), (6, "b c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tests = spark.createDataFrame([(1, "rare b c"), (2, "c b rare")], "item_id long, text string")
+    got = {r["doc_id"]: r for r in judge_contamination(docs, tests, f"file://{tmp_path}/w", size=5).collect()}
+    assert {i: (r["n_hit"], r["items"]) for i, r in got.items()} == {1: (3, ["1"]), 2: (0, []), 3: (0, []), 4: (3, ["2"]), 5: (0, []), 6: (0, [])}
+    assert {i: (r["n_near"], r["near_items"]) for i, r in got.items()} == {1: (1, ["1", "2"]), 2: (1, ["1", "2"]), 3: (0, []), 4: (2, ["1", "2"]), 5: (0, []), 6: (0, [])}
+    assert not got[2]["contaminated"] and got[1]["contaminated"]
+
+
 # --- 10 -----------------------------------------------------------------------------------------
 
 

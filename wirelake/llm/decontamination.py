@@ -93,40 +93,58 @@ def _looked_up(postings: DataFrame, listed: DataFrame) -> DataFrame:
     return postings.join(F.broadcast(listed) if few else listed, "term")
 
 
+def _fits(test: Column) -> Column:
+    start = F.col("at_around") - test["place"]
+    return (start >= 0) & (F.slice("around", F.greatest(start, F.lit(0)) + 1, F.size(test["phrase"])) == test["phrase"])
+
+
 def phrase_matches(postings: DataFrame, listed: DataFrame) -> DataFrame:
     """key, start, size, items: where a phrase of the list (`by_term`) occurs word for word."""
-    def fits(test: Column) -> Column:
-        start = F.col("at_around") - test["place"]
-        return (start >= 0) & (F.slice("around", F.greatest(start, F.lit(0)) + 1, F.size(test["phrase"])) == test["phrase"])
-
-    found = _looked_up(postings, listed).select("key", "at", F.explode(F.filter("tests", fits)).alias("test"))
+    found = _looked_up(postings, listed).select("key", "at", F.explode(F.filter("tests", _fits)).alias("test"))
     return found.select("key", (F.col("at") - F.col("test.place")).alias("start"), F.size("test.phrase").alias("size"), "test.items")
 
 
+def _near(test: Column) -> Column:
+    return F.size(F.array_except(test["phrase"], F.col("around"))) == 0
+
+
 def proximity_matches(postings: DataFrame, listed: DataFrame) -> DataFrame:
     """key, at, items: where all terms of a phrase occur, in any order, within the reach of the index around the rarest."""
-    def near(test: Column) -> Column:
-        return F.size(F.array_except(test["phrase"], F.col("around"))) == 0
-
-    found = _looked_up(postings, listed).select("key", "at", F.explode(F.filter("tests", near)).alias("test"))
+    found = _looked_up(postings, listed).select("key", "at", F.explode(F.filter("tests", _near)).alias("test"))
     return found.select("key", "at", "test.items")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, folder: str, size: int = 13) -> DataFrame:
+def all_matches(postings: DataFrame, listed: DataFrame) -> DataFrame:
+    """key, at, start, size, items, exact: proximity matches, of which phrase matches are the exact ones; one lookup for both."""
+    found = _looked_up(postings, listed).select("key", "at", "at_around", "around", F.explode(F.filter("tests", _near)).alias("test"))
+    return found.select(
+        "key", "at", (F.col("at") - F.col("test.place")).alias("start"), F.size("test.phrase").alias("size"), "test.items", _fits(F.col("test")).alias("exact")
+    )
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, folder: str, size: int = 13, proximity: bool = True) -> DataFrame:
     """key with n_hit, n_items and the sorted items of each document in which a phrase of the benchmark occurs.
 
-    Terms and postings are stored under ``folder``, which all executors share."""
+    proximity: also n_near (places with a proximity match, exact ones too) and near_items; a document with proximity matches
+    only has n_hit 0 and no items. Terms and postings are stored under ``folder``, which all executors share."""
     tests = _stored(phrases(benchmark, size), f"{folder}/phrases")
     terms = tests.select(F.explode(F.transform("phrase", F.lower)).alias("term")).distinct()
     counts = _stored(term_counts(docs, _stored(terms, f"{folder}/terms")), f"{folder}/counts")
     tests = _stored(rarest_terms(tests, counts), f"{folder}/tests")
     listed = _stored(by_term(tests), f"{folder}/listed")
     postings = _stored(build_postings(docs, listed.select("term"), size - 1), f"{folder}/postings")
-    end = F.col("start") + F.col("size")
-    return phrase_matches(postings, listed).groupBy("key").agg(
-        F.array_sort(F.collect_set(F.struct("start", end.alias("end")))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-    ).select("key", _union_length("spans").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), "items")
+    found = all_matches(postings, listed) if proximity else phrase_matches(postings, listed).withColumn("exact", F.lit(True))
+    span = F.struct("start", (F.col("start") + F.col("size")).alias("end"))
+    near = [
+        F.size(F.collect_set("at")).cast("long").alias("n_near"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("near_items"),
+    ] if proximity else []
+    return found.groupBy("key").agg(
+        F.array_sort(F.collect_set(F.when(F.col("exact"), span))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("exact"), F.col("items")))))).alias("items"), *near,
+    ).select(
+        "key", _union_length("spans").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), "items",
+        *(["n_near", "near_items"] if proximity else []),
+    )
 
 
 def _union_length(spans: str) -> Column:
@@ -141,13 +159,15 @@ def _union_length(spans: str) -> Column:
 
 
 def judge_contamination(docs: DataFrame, benchmark: DataFrame, folder: str, size: int = 13, share: int = 20) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items and contaminated (one word in ``share`` or more is hit) of each document."""
+    """doc_id, n_words, n_hit, n_items, items, n_near, near_items and contaminated (one word in ``share`` or more is hit) of each
+    document. Proximity matches are reported and do not count as hits."""
     hits = contamination(docs, benchmark, folder, size)
     texts = docs.select("doc_id", row_key(docs).alias("key"), F.size(words_of(docs["text"])).cast("long").alias("n_words"))
     none = F.lit(0).cast("long")
     return texts.join(hits, "key", "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", none).alias("n_hit"), F.coalesce("n_items", none).alias("n_items"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        F.coalesce("n_near", none).alias("n_near"), F.coalesce("near_items", F.array().cast("array<string>")).alias("near_items"),
         (F.coalesce("n_hit", none) > 0).alias("_hit"),
     ).withColumn("contaminated", F.col("_hit") & (share * F.col("n_hit") >= F.col("n_words"))).drop("_hit")
 
@@ -155,6 +175,6 @@ def judge_contamination(docs: DataFrame, benchmark: DataFrame, folder: str, size
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, folder: str, size: int = 13, share: int = 20) -> DataFrame:
     """Documents that are not contaminated, with all their columns."""
     words = docs.select(row_key(docs).alias("key"), F.size(words_of(docs["text"])).alias("n_words"))
-    bad = words.join(contamination(docs, benchmark, folder, size), "key").where(share * F.col("n_hit") >= F.col("n_words"))
+    bad = words.join(contamination(docs, benchmark, folder, size, proximity=False), "key").where(share * F.col("n_hit") >= F.col("n_words"))
     whole = docs.select(row_key(docs).alias("key"), F.struct("*").alias("doc"))
     return whole.join(bad.select("key").distinct(), "key", "left_anti").select("doc.*")
