@@ -308,6 +308,24 @@ def test_repeats(spark, monkeypatch, seed, size, vocabulary, hot):
             assert cut[i] == given_texts[i]
 
 
+def test_repeats_longer_than_254_words(spark):
+    base = [f"p{i}" for i in range(700)]
+    given_texts = [" ".join(base), " ".join(["head", *base[100:420], "tail"]), " ".join(base[300:590]), " ".join(["x", *base[380:690]])]
+    docs = spark.createDataFrame(list(enumerate(given_texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in remove_repeats(docs, 300).collect()}
+    for i, (words, gone) in enumerate(repeated_words(given_texts, 300)):
+        assert got[i]["kept_text"] == " ".join(w for w, g in zip(words, gone, strict=True) if not g)
+    assert [got[i]["n_removed"] for i in range(4)] == [590, 320, 0, 310]
+
+
+def test_matches_longer_than_254_words_are_not_cut():
+    """The first match of 400 words cannot be extended by the word before it; the one of 300 words can."""
+    body, before = np.arange(2, 402), [1]
+    sequences = [np.r_[before, body], body, np.r_[before, body[:300]]]
+    flat, of = np.concatenate(sequences).astype(np.int64), np.r_[0, np.cumsum([len(s) for s in sequences])].astype(np.int64)
+    assert FMIndex(flat, of).matching_statistics(flat, of)[:2].tolist() == [301, 400]
+
+
 # --- 6 ------------------------------------------------------------------------------------------
 
 

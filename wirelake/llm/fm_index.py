@@ -62,12 +62,13 @@ class FMIndex:
         self.size = len(symbols)
         self.smaller = np.r_[0, np.cumsum(np.bincount(symbols, minlength=top + 1))]
         self.tree = WaveletMatrix(symbols[order - 1], top)
-        shared = np.r_[np.minimum(common_prefixes(levels, order), 254).astype(np.uint8), np.uint8(0)]
+        shared = np.r_[common_prefixes(levels, order), 0]
+        shared = shared.astype(np.min_scalar_type(int(shared.max(initial=0))))  # uint8 as a rule, wider for longer prefixes
         self.shared = [shared]  # smallest of 1, 2, 4, ... common prefixes from a place on
         step = 1
         while step < self.size:
             last = self.shared[-1]
-            self.shared.append(np.minimum(last, np.r_[last[step:], np.zeros(min(step, len(last)), np.uint8)]))
+            self.shared.append(np.minimum(last, np.r_[last[step:], np.zeros(min(step, len(last)), last.dtype)]))
             step *= 2
 
     def extend(self, word: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
