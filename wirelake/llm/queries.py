@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wirelake.llm import pieces
+from wirelake.llm.collocations import collocations
+from wirelake.llm.content_sort import exact_copies
 from wirelake.llm.decontamination import judge_contamination
+from wirelake.llm.filter_audit import audit
 from wirelake.llm.language import identify
 from wirelake.llm.main_text import extract_main_text
 from wirelake.llm.near_duplicates import near_duplicates
@@ -210,3 +213,89 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.xxhash64("token_ids").alias("ids_hash"), digest.alias("decoded_sha256"),
         (digest == F.col("text_sha256")).alias("round_trip"),
     )
+
+
+@query
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"), scratch_path(spark, "phrases"))
+
+
+ORACLES["op11_collocations"] = r"""
+WITH piece AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+    FROM documents
+), words AS (
+    SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM piece
+), f AS (
+    SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase, any_value(list_slice(w, i, i + m - 1)) AS w, count(*) AS f
+    FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM words, (SELECT unnest([1, 2, 3]) AS m) WHERE len(w) >= m) GROUP BY ALL
+), total AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang
+), candidate AS (
+    SELECT * FROM f WHERE m > 1 AND f >= 10
+), cut AS (
+    SELECT c.lang, c.phrase, c.w, c.m, c.f AS a, k, x.f AS l, y.f AS r, (1000000::HUGEINT * c.f * c.f) // (x.f::HUGEINT * y.f) AS score
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM candidate) c
+    JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(list_slice(c.w, 1, k), ' ')
+    JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(list_slice(c.w, k + 1, c.m), ' ')
+), best AS (
+    SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_part AS (
+    SELECT lang, phrase, max(f) AS f FROM (
+        SELECT lang, f, unnest([array_to_string(list_slice(w, 1, 2), ' '), array_to_string(list_slice(w, 2, 3), ' ')]) AS phrase FROM candidate WHERE m = 3) GROUP BY ALL
+), ranked AS (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+    FROM best LEFT JOIN inner_part USING (lang, phrase) WHERE f IS NULL OR 100 * f < 50 * a
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
+@query
+def op12_content_sort(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_copies(table(spark, folder, "documents"), scratch_path(spark, "copies"))
+
+
+ORACLES["op12_content_sort"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+@query
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit(table(spark, folder, "documents"), table(spark, folder, "labels"), scratch_path(spark, "audit"))
+
+
+ORACLES["op13_filter_audit"] = r"""
+WITH doc AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), label AS (
+    SELECT doc_id, max(coalesce(quality = 1, false)) AS good, max(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id
+), judged AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, {'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w),
+        'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t), 'D': regexp_matches(t, '[#$%&*|]'),
+        'E': coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)} AS fails
+    FROM doc LEFT JOIN label USING (doc_id)
+), kind AS (
+    SELECT part, good, toxic, list_filter(['A', 'B', 'C', 'D', 'E'], lambda x: CASE x WHEN 'A' THEN fails.A WHEN 'B' THEN fails.B WHEN 'C' THEN fails.C WHEN 'D' THEN fails.D ELSE fails.E END) AS failed, count(*) AS n
+    FROM judged GROUP BY ALL
+), letter AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), step AS (
+    SELECT filter_order, CAST(unnest(range(1, 6)) AS INTEGER) AS step FROM orders
+), told AS (
+    SELECT part, filter_order, step, good, toxic, n, failed, substr(filter_order, step, 1) AS own,
+        list_has_any(failed, string_split(substr(filter_order, 1, step - 1), '')) AS before, list_has_any(failed, string_split(substr(filter_order, 1, step), '')) AS after
+    FROM kind, step
+), row AS (
+    SELECT part, filter_order, step, own, sum(CASE WHEN NOT after THEN n ELSE 0 END)::BIGINT AS kept, sum(CASE WHEN after AND NOT before THEN n ELSE 0 END)::BIGINT AS removed,
+        sum(CASE WHEN before AND list_contains(failed, own) THEN n ELSE 0 END)::BIGINT AS redundant, sum(CASE WHEN failed = [own] THEN n ELSE 0 END)::BIGINT AS unique_fails,
+        sum(CASE WHEN after AND NOT before AND good THEN n ELSE 0 END)::BIGINT AS good_lost, sum(CASE WHEN after AND NOT before AND toxic THEN n ELSE 0 END)::BIGINT AS toxic_lost
+    FROM told GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, sum(removed) OVER (PARTITION BY part, own)::BIGINT AS shapley FROM row
+"""
