@@ -31,6 +31,7 @@ from wirelake.llm.arrays import Spans, find_words, map_batches, map_in_tasks, mi
 
 SLICE_BYTES = 16_000_000
 BUCKET_BYTES = 8_000_000
+HASHED_BYTES = 1_000_000
 SLICES_PER_GROUP = 4  # of rows of a Parquet row group, which a reader holds whole
 UNKNOWN = "und"
 
@@ -70,6 +71,19 @@ def text_slices_by_language(docs: DataFrame) -> DataFrame:
     return map_in_tasks(rows, cut, "lang string, text binary")
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent fingerprints of each word, HASHED_BYTES of text at a time."""
+    keys, checks = np.zeros(len(starts), np.uint64), np.zeros(len(starts), np.uint64)
+    a = 0
+    while a < len(starts):
+        b = max(a + 1, int(np.searchsorted(ends, starts[a] + HASHED_BYTES)))
+        base, part = starts[a], data[starts[a] : ends[b - 1]]
+        keys[a:b] = Spans(part).hash(starts[a:b] - base, ends[a:b] - base)
+        checks[a:b] = mix(keys[a:b] * _CHECK_STEP ^ Spans(~part).hash(starts[a:b] - base, ends[a:b] - base))
+        a = b
+    return keys, checks
+
+
 class Grams:
     """Fingerprints of the n-grams of a slice; an n-gram lies within one piece."""
 
@@ -80,10 +94,8 @@ class Grams:
         np.cumsum(_STOP[data], out=stops[1:])
         #: words that follow each word in its piece without a stop
         self.joined = stops[starts[1:]] == stops[ends[:-1]]
-        first = Spans(data).hash(starts, ends)
-        self.keys, self.checks = first, mix(first * _CHECK_STEP ^ Spans(~data).hash(starts, ends))
+        self.one = self.keys, self.checks = word_hashes(data, starts, ends)
         self.valid = np.ones(len(starts), bool)
-        self.one = first, self.checks
         self.size = 1
 
     def grow(self) -> None:
