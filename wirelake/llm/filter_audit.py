@@ -6,8 +6,8 @@ adders, whole arrays at a time, and Spark sums the 32 counts per part and label.
 is a difference of such counts, so the number of orders never multiplies the documents.
 
 Spread: texts are read once where they lie; rows of (doc_id, part, digest, fails) go to a table. Copies are found by the
-least doc_id per SHA-256 digest (combined before the shuffle) and joined back, labels by doc_id; Spark splits a hot digest
-in both joins. Only counts per part leave the tasks.
+least doc_id per SHA-256 digest (combined before the shuffle, then a table) and joined back, labels by doc_id; Spark splits a
+hot digest in the join. Only counts per part leave the tasks.
 
 Defined results: a null text is empty, a null part is the empty string; repeated rows count each; a null doc_id has no label,
 is no one's smaller doc_id and has none itself; of several label rows of a document, any 1 counts; an empty table gives no
@@ -64,11 +64,15 @@ def text_failures(docs: DataFrame, part: str = "source") -> DataFrame:
     return map_batches(rows, judge, "doc_id long, part string, digest binary, fails int")
 
 
-def with_copies(failures: DataFrame, bit: int = 4) -> DataFrame:
-    """The failures with one more bit: an equal text has a smaller doc_id. ``failures`` is read twice: pass a stored table."""
+def with_copies(failures: DataFrame, folder: str, bit: int = 4) -> DataFrame:
+    """The failures with one more bit: an equal text has a smaller doc_id.
+
+    ``failures`` is read twice: pass a stored table. The least doc_ids are stored too, as Spark splits the rows of a hot digest
+    only in a join of two tables, not where one side is an aggregate on the same exchange."""
     copied = failures.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    copied.select("digest", "first").write.parquet(f"{folder}/copies")
     later = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
-    marked = failures.join(copied.select("digest", "first"), "digest", "left")
+    marked = failures.join(failures.sparkSession.read.parquet(f"{folder}/copies"), "digest", "left")
     return marked.select("doc_id", "part", F.col("fails").bitwiseOR(later.cast("int") * (1 << bit)).alias("fails"))
 
 
@@ -168,4 +172,4 @@ def audit(docs: DataFrame, labels: DataFrame, folder: str, part: str = "source")
     """The report over whole ``docs``; ``folder`` is a shared one for the table of failures."""
     text_failures(docs, part).write.parquet(f"{folder}/failures")
     failures = docs.sparkSession.read.parquet(f"{folder}/failures")
-    return order_report(survivors(with_labels(with_copies(failures), labels)))
+    return order_report(survivors(with_labels(with_copies(failures, folder), labels)))
