@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from catalog.views import LEXICON, NEGATORS
+from catalog.views import LEXICON, NEGATORS, REFERENCES, RULES, STATED
 
 # --- input views --------------------------------------------------------------------------------
 
@@ -129,12 +129,28 @@ VIEWS: dict[str, str] = {
 }
 
 
+# The named references that the pages of the fixture have; those without a semicolon count at the beginning of a longer word too.
+_NAMED = {"amp;": "&", "lt;": "<", "gt;": ">", "quot;": '"', "nbsp;": " ", "rdquo;": "”", "copy;": "©", "middot;": "·", "hellip;": "…", "eacute;": "é",
+          "euro;": "€", "notin;": "∉"}
+_BARE = {"amp": "&", "copy": "©", "not": "¬", "Aacute": "Á", "lt": "<", "gt": ">", "quot": '"'}
+
+
+def _decoded(text: str) -> str:
+    """Character references of a text, each read once."""
+    names = ", ".join(f"'{n}'" for n in (*_NAMED, *_BARE))
+    chars = ", ".join(f"'{c}'" for c in (*_NAMED.values(), *_BARE.values()))
+    bare = "|".join(sorted(_BARE, key=len, reverse=True))
+    name = "regexp_extract(p, '^[A-Za-z][A-Za-z0-9]*;', 0)"
+    return f"""array_to_string(list_transform(string_split({text}, '&'), lambda p, i: CASE WHEN i = 1 THEN p
+        WHEN regexp_matches(p, '^#[xX][0-9a-fA-F]+') THEN chr(CAST('0x' || regexp_extract(p, '^#[xX]([0-9a-fA-F]+)', 1) AS INT)) || regexp_replace(p, '^#[xX][0-9a-fA-F]+;?', '')
+        WHEN regexp_matches(p, '^#[0-9]+') THEN replace(chr(CAST(regexp_extract(p, '^#([0-9]+)', 1) AS INT)), chr(150), '–') || regexp_replace(p, '^#[0-9]+;?', '')
+        WHEN list_contains([{names}], {name}) THEN list_extract([{chars}], list_position([{names}], {name})) || substr(p, length({name}) + 1)
+        WHEN regexp_matches(p, '^({bare})') THEN list_extract([{chars}], list_position([{names}], regexp_extract(p, '^({bare})', 0))) || regexp_replace(p, '^({bare})', '')
+        ELSE '&' || p END), '')"""
+
+
 def _plain(markup: str) -> str:
-    text = f"regexp_replace({markup}, '<[^>]*>', ' ', 'g')"
-    # The numbered references are those that the pages of the fixture have.
-    for ref, char in (("&#8217;", "’"), ("&#x201C;", "“"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&rdquo;", "”"),
-                      ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        text = f"replace({text}, '{ref}', '{char}')"
+    text = _decoded(f"regexp_replace({markup}, '<[^>]*>', ' ', 'g')")
     return f"trim(regexp_replace({text}, '\\s+', ' ', 'g'))"
 
 
@@ -166,6 +182,52 @@ VIEWS["extracted"] = """
            WHEN length(readability) >= 100 THEN 'readability' WHEN length(meta) >= 100 THEN 'meta' END AS scraper_used
     FROM candidates"""
 
+# Nested elements, by the depth of their tags.
+_SAID = " ".join(f"WHEN {k} THEN '{h}' || day || '{t}'" for k, (h, t) in enumerate((a.replace("'", "''"), b.replace("'", "''")) for a, b in STATED))
+VIEWS["pages_stated"] = f"""
+    SELECT page_id, url, replace(CASE WHEN page_id % 4 = 0 THEN html ELSE regexp_replace(html, '<title>[^<]*</title>', '', 'g') END, '</head>', CASE page_id % 6 {_SAID} ELSE '' END || '</head>') AS html
+    FROM (SELECT *, '2024-03-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') AS day FROM pages) p"""
+VIEWS["pages_nested"] = f"""
+    SELECT page_id, url, CASE page_id % 4
+        WHEN 0 THEN replace(h, '<article>', '<article><h2>{REFERENCES}</h2><article class=quote>Inner <article>innermost</article> text</article>')
+        WHEN 1 THEN replace(h, '<article>', '<ARTICLE id=a>Begin <article>never closed<p>')
+        WHEN 2 THEN replace(replace(h, '<article>', '<aside>Ad <aside>inner ad</aside> rest of the ad<nav>x</nav></aside></form><div>{REFERENCES}'), '</article>', '</div><form><p>Never closed')
+        ELSE h END AS html
+    FROM (SELECT page_id, url, replace(html, '</title>', ' {REFERENCES}</title>') AS h FROM pages) p"""
+VIEWS["nested_bodies"] = f"SELECT page_id, {_VISIBLE} AS body FROM pages_nested"
+
+
+def _parts(body: str, tag: str) -> str:
+    """The parts of a page between tags, with the depth of each."""
+    return f"""
+    SELECT page_id, i, part, s - least(0, min(s) OVER (PARTITION BY page_id ORDER BY i)) AS depth, step FROM (
+      SELECT *, sum(step) OVER (PARTITION BY page_id ORDER BY i) AS s FROM (
+        SELECT page_id, unnest(regexp_split_to_array(body, '{tag}')) AS part, unnest(range(len(regexp_extract_all(body, '{tag}')) + 1)) AS i,
+          unnest([0] || list_transform(regexp_extract_all(body, '{tag}'), lambda t: CASE WHEN t LIKE '</%' THEN -1 ELSE 1 END)) AS step
+        FROM (SELECT page_id, {body} AS body FROM nested_bodies) b) x) y"""
+
+
+VIEWS["article_parts"] = _parts("body", r"(?i)</?article\b[^>]*>")
+VIEWS["first_articles"] = """
+    SELECT page_id, string_agg(part, ' ' ORDER BY i) AS inside
+    FROM article_parts JOIN (SELECT b.page_id, b.begin, min(z.i) AS stop FROM (SELECT page_id, min(i) AS begin FROM article_parts WHERE step = 1 GROUP BY page_id) b
+      LEFT JOIN article_parts z ON z.page_id = b.page_id AND z.depth = 0 AND z.i > b.begin GROUP BY ALL) e USING (page_id)
+    WHERE i >= begin AND (stop IS NULL OR i < stop) GROUP BY page_id"""
+VIEWS["framed_parts"] = _parts(r"regexp_replace(body, '(?is)<head\b.*?</head\s*>', '<p>', 'g')", r"(?i)</?(?:nav|footer|aside|form)\b[^>]*>")
+VIEWS["outside_frames"] = """
+    SELECT page_id, string_agg(part, '<p>' ORDER BY i) AS body
+    FROM (SELECT *, min(depth) OVER (PARTITION BY page_id ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS least FROM framed_parts) f
+    WHERE depth <= least GROUP BY page_id"""
+VIEWS["nested_blocks"] = f"""
+    SELECT page_id, string_agg(t, ' ' ORDER BY i) AS density FROM (
+      SELECT page_id, i, {_plain('piece')} AS t, length(piece) - length(replace(piece, '<', '')) AS tags, {_LINKS} AS links
+      FROM (SELECT page_id, unnest(pieces) AS piece, unnest(range(len(pieces))) AS i FROM (
+        SELECT page_id, regexp_split_to_array(body, '{_BLOCK}') AS pieces FROM outside_frames) x) y) z
+    WHERE 2 * length(links) < length(t) AND length(t) >= 10 * tags GROUP BY page_id"""
+VIEWS["nested_candidates"] = f"""
+    SELECT page_id, {_plain("coalesce(inside, '')")} AS semantic, density, {_PARAGRAPHS} AS readability
+    FROM nested_bodies LEFT JOIN first_articles USING (page_id) LEFT JOIN nested_blocks USING (page_id)"""
+
 _NEG = "(" + ", ".join(f"'{n}'" for n in NEGATORS) + ")"
 
 
@@ -208,6 +270,29 @@ def _summaries(view: str, key: str, text: str) -> str:
     FROM (SELECT {key} AS k FROM {view}) d LEFT JOIN (r JOIN s ON r.k = s.k AND r.pos = s.pos AND rn <= 3) ON d.k = r.k GROUP BY d.k"""
 
 
+_FACTOR = " + ".join(
+    f"CASE lag(word, {n}) OVER w " + " ".join(f"WHEN '{b}' THEN {v}" for b, v in RULES.boosters.items()) + f" ELSE 0 END * {d}" for n, d in enumerate(RULES.decay, 1))
+VIEWS["told_texts"] = """
+    SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN translate(substr(text, 1, 60), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') || substr(text, 61) || ' !! now!'
+        WHEN 1 THEN text || repeat('?', doc_id % 7) ELSE text END AS text FROM documents"""
+VIEWS["word_values"] = rf"""
+    SELECT word, CAST((ascii(word) * 31 + ascii(substr(word, 2, 1)) * 17 + length(word) * 7) % 81 - 40 AS DOUBLE) / 10 AS val
+    FROM (SELECT DISTINCT unnest({_words('text')}) AS word FROM documents) d WHERE length(word) > 1 AND (length(word) * 7 + ascii(word)) % 5 = 0"""
+VIEWS["told_words"] = rf"""
+    SELECT doc_id, unnest(ws) AS cased, lower(unnest(ws)) AS word, unnest(range(1, len(ws) + 1)) AS i
+    FROM (SELECT doc_id, list_filter(regexp_split_to_array(text, '[^\p{{L}}]+'), lambda x: x <> '') AS ws FROM told_texts) t"""
+VIEWS["told_values"] = rf"""
+    SELECT doc_id, i, val + CASE WHEN shouted AND mixed THEN sign(val) * {RULES.capitals} ELSE 0 END AS strong, boost, neg, CASE WHEN turn IS NULL OR i = turn THEN 1.0
+        WHEN i < turn THEN {RULES.before_contrast} ELSE {RULES.after_contrast} END AS side
+    FROM (SELECT doc_id, word, i, regexp_matches(cased, '^\p{{Lu}}{{2,}}$') AS shouted, min(i) FILTER (WHERE word = '{RULES.contrast}') OVER (PARTITION BY doc_id) AS turn,
+        bool_or(regexp_matches(cased, '^\p{{Lu}}{{2,}}$')) OVER (PARTITION BY doc_id) AND bool_or(NOT regexp_matches(cased, '^\p{{Lu}}{{2,}}$')) OVER (PARTITION BY doc_id) AS mixed,
+        {_FACTOR} AS boost, coalesce(lag(word, 1) OVER w IN {_NEG}, false) OR coalesce(lag(word, 2) OVER w IN {_NEG}, false) OR coalesce(lag(word, 3) OVER w IN {_NEG}, false) AS neg
+      FROM told_words WINDOW w AS (PARTITION BY doc_id ORDER BY i)) t JOIN word_values USING (word)"""
+VIEWS["told_sums"] = f"""
+    SELECT doc_id, coalesce(s, 0) + sign(coalesce(s, 0)) * (least(bangs, {RULES.most_exclamations}) * {RULES.exclamation}
+        + CASE WHEN asks > 3 THEN {RULES.many_questions} WHEN asks > 1 THEN asks * {RULES.question} ELSE 0 END) AS s
+    FROM (SELECT doc_id, length(text) - length(replace(text, '!', '')) AS bangs, length(text) - length(replace(text, '?', '')) AS asks FROM told_texts) d
+    LEFT JOIN (SELECT doc_id, sum((strong + sign(strong) * boost) * CASE WHEN neg THEN -0.74 ELSE 1 END * side) AS s FROM told_values GROUP BY doc_id) v USING (doc_id)"""
 VIEWS["told_pages"] = "SELECT page_id, article_text FROM extracted WHERE scraper_used = 'semantic'"
 VIEWS["page_keywords"] = _keywords("told_pages", "page_id", "article_text", 10, 1)
 VIEWS["page_summaries"] = _summaries("told_pages", "page_id", "article_text")
@@ -500,6 +585,20 @@ SQL: dict[str, str] = {
           nullif({_ABOUT}, '') AS description, CASE WHEN page_id % 5 = 0 THEN 'news, page' END AS tags,
           CASE WHEN page_id % 10 = 0 THEN TIMESTAMP '2024-02-03 04:05:06' WHEN page_id % 5 = 0 THEN TIMESTAMP '2024-02-03 00:00:00' END AS publish_date
         FROM (SELECT page_id, html, {_VISIBLE} AS body FROM pages_mixed) p""",
+    "extract_nested": """
+        SELECT page_id, CASE WHEN length(semantic) >= 100 THEN semantic WHEN length(density) >= 100 THEN density WHEN length(readability) >= 100 THEN readability END AS article_text,
+          CASE WHEN length(semantic) >= 100 THEN 'semantic' WHEN length(density) >= 100 THEN 'density' WHEN length(readability) >= 100 THEN 'readability' END AS scraper_used
+        FROM nested_candidates""",
+    # What the pages state, by construction.
+    "structured_metadata": f"""
+        SELECT page_id, CASE WHEN page_id % 4 = 0 THEN nullif({_plain(chr(39).join(["regexp_extract(html, ", r"(?is)<title\b[^>]*>(.*?)</title\s*>", ", 1)"]))}, '')
+            ELSE CASE page_id % 6 WHEN 0 THEN 'Said &amp; done' WHEN 2 THEN '7' WHEN 3 THEN 'Item é head' END END AS title,
+          CASE page_id % 6 WHEN 1 THEN 'One.' END AS description, CASE page_id % 6 WHEN 0 THEN 'a, b c' WHEN 1 THEN 'd, e' WHEN 3 THEN 'f, g' END AS tags,
+          CASE WHEN page_id % 6 < 4 THEN CAST(make_date(2024, 3, CAST(page_id % 28 + 1 AS INT)) AS TIMESTAMP) END AS publish_date
+        FROM pages_stated""",
+    "sentiment_rules": """
+        SELECT doc_id, round(s / sqrt(s * s + 15), 6) + 0.0 AS score, CASE WHEN round(s / sqrt(s * s + 15), 6) > 0.1 THEN 'positive'
+          WHEN round(s / sqrt(s * s + 15), 6) < -0.1 THEN 'negative' ELSE 'neutral' END AS sentiment FROM told_sums""",
     "custom_extractor": r"""
         SELECT page_id, coalesce(scraper_used, CASE WHEN length(trim(f, E' \t\n\r\x0b\x0c')) >= 100 THEN 'footer' END) AS scraper_used,
           coalesce(article_text, CASE WHEN length(trim(f, E' \t\n\r\x0b\x0c')) >= 100 THEN f END) AS article_text

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalog.views import NEGATORS, StoredViews, Views
+from catalog.views import NEGATORS, RULES, StoredViews, Views
 from wirelake import schemas
 from wirelake.functions import links, times, words
 from wirelake.functions.html import has_content, semantic, visible
@@ -705,6 +705,16 @@ def extract_chain(v: Views) -> DataFrame:
     return extraction.extract(v.pages_mixed()).select("page_id", "article_text", "scraper_used")
 
 
+@query
+def extract_nested(v: Views) -> DataFrame:
+    return extraction.extract(v.pages_nested()).select("page_id", "article_text", "scraper_used")
+
+
+@query
+def structured_metadata(v: Views) -> DataFrame:
+    return extraction.page_metadata(v.pages_stated()).select("page_id", "title", "description", "tags", "publish_date")
+
+
 @query
 def extract_errors(v: Views) -> DataFrame:
     return extraction.errors(extraction.extract(v.pages_mixed()), stamp("2024-03-01 00:00:00"))
@@ -740,6 +750,11 @@ def sentiment(v: Views) -> DataFrame:
     return text.sentiment(v.table("documents"), "doc_id", "text", v.lexicon(), NEGATORS)
 
 
+@query
+def sentiment_rules(v: Views) -> DataFrame:
+    return text.sentiment_by_rules(v.told_texts(), "doc_id", "text", v.word_values(), RULES)
+
+
 @query
 def refresh_enrichment(v: Views) -> DataFrame:
     rows = collection.refresh_enrichments(

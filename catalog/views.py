@@ -2,16 +2,32 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wirelake.functions.links import host
+from wirelake.functions.words import words
 from wirelake.operators.keyed import numbered
+from wirelake.plans.text import Rules
 from wirelake.session import scratch_path
 from wirelake.sources.store import NewsStore
 
 LEXICON = [("the", 1.9), ("of", -1.5), ("and", 0.8), ("that", -2.1), ("der", -0.9), ("une", 1.2)]
 NEGATORS = ["in", "en", "no", "nicht"]
+RULES = Rules(boosters={"the": 0.293, "of": -0.293, "is": 0.4}, negators=tuple(NEGATORS), contrast="or")
+# References with and without semicolon, numbered ones, ones that must not be read twice, and what is none.
+REFERENCES = "caf&eacute; &euro;5 &#38;lt; &amp;amp; &copy2024 &notit; &notin; &#x41;&#66 &#150; &bogus; AT&T &; &Aacute&nbsp;x &hellip;"
+
+# What the pages of `pages_stated` say before and after their date.
+STATED = [
+    ('<script type="application/ld+json">{"headline": "Said &amp; done", "datePublished": "', '", "keywords": ["a", "b c"]}</script>'),
+    ("<script type='application/ld+json' id=x>[1, {\"name\": \"site\"}, {\"datePublished\": \"", '", "keywords": "d, e", "description": " One. "}]</script>'),
+    ('<script async type=application/ld+json>{"@graph": [{"x": {"headline": "no"}}, {"headline": 7, "datePublished": "', '"}]}</script>'),
+    ('<meta itemprop="datePublished" content="', '"><h3 itemprop=\'headline\'>Item &eacute; <b>head</b></h3><p itemprop=keywords>f, g</p>'),
+    ('<script type="application/ld+json">{broken "datePublished": "', '"</script>'),
+]
 
 
 class Views:
@@ -199,6 +215,40 @@ class Views:
         meta = F.replace(changed, F.lit('<meta charset="utf-8">'), described)
         return self.table("pages").select("page_id", "url", F.when(F.col("page_id") % 5 == 0, meta).otherwise(changed).alias("html"))
 
+    def pages_nested(self) -> DataFrame:
+        """Pages with articles inside articles, some never closed, with boilerplate inside boilerplate, and with all kinds of references."""
+        html = F.replace(F.col("html"), F.lit("</title>"), F.lit(f" {REFERENCES}</title>"))
+        inner = F.lit(f"<article><h2>{REFERENCES}</h2><article class=quote>Inner <article>innermost</article> text</article>")
+        open_end = F.lit("<ARTICLE id=a>Begin <article>never closed<p>")
+        frame = F.lit(f"<aside>Ad <aside>inner ad</aside> rest of the ad<nav>x</nav></aside></form><div>{REFERENCES}")
+        turned = F.replace(F.replace(html, F.lit("<article>"), frame), F.lit("</article>"), F.lit("</div><form><p>Never closed"))
+        changed = F.when(F.col("page_id") % 4 == 0, F.replace(html, F.lit("<article>"), inner)).when(
+            F.col("page_id") % 4 == 1, F.replace(html, F.lit("<article>"), open_end)).when(F.col("page_id") % 4 == 2, turned).otherwise(html)
+        return self.table("pages").select("page_id", "url", changed.alias("html"))
+
+    def pages_stated(self) -> DataFrame:
+        """Pages that state their metadata as a JSON-LD object, list or graph, as microdata, or as JSON that is broken."""
+        day = F.concat(F.lit("2024-03-"), F.lpad((F.col("page_id") % 28 + 1).cast("string"), 2, "0"))
+        stated = F.lit("")
+        for k, (head, tail) in enumerate(STATED):
+            stated = F.when(F.col("page_id") % 6 == k, F.concat(F.lit(head), day, F.lit(tail))).otherwise(stated)
+        untitled = F.regexp_replace("html", "<title>[^<]*</title>", "")
+        html = F.when(F.col("page_id") % 4 == 0, F.col("html")).otherwise(untitled)
+        return self.table("pages").select("page_id", "url", F.replace(html, F.lit("</head>"), F.concat(stated, F.lit("</head>"))).alias("html"))
+
+    def told_texts(self) -> DataFrame:
+        """Documents of which some shout and some end with marks."""
+        upper = F.translate(F.substring("text", 1, 60), ascii_lowercase, ascii_uppercase)
+        shouted = F.concat(upper, F.expr("substring(text, 61)"), F.lit(" !! now!"))
+        return self.table("documents").select("doc_id", F.when(F.col("doc_id") % 4 == 0, shouted).when(
+            F.col("doc_id") % 4 == 1, F.concat("text", F.repeat(F.lit("?"), (F.col("doc_id") % 7).cast("int")))).otherwise(F.col("text")).alias("text"))
+
+    def word_values(self) -> DataFrame:
+        """A lexicon of a fifth of all words of the documents, with values from -4 to 4 by their letters."""
+        word = self.table("documents").select(F.explode(words(F.col("text"))).alias("word")).distinct()
+        code = "(ascii(word) * 31 + ascii(substring(word, 2, 1)) * 17 + length(word) * 7)"
+        return word.where("length(word) > 1 AND (length(word) * 7 + ascii(word)) % 5 = 0").selectExpr("word", f"CAST({code} % 81 - 40 AS DOUBLE) / 10 AS val")
+
     def scrape_log(self) -> DataFrame:
         return self.table("pages").selectExpr(
             "page_id", "url",

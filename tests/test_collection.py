@@ -45,9 +45,8 @@ def record(spark, run, news, day="2026-02-01"):
     return collection.record(run, news, "r1", F.lit("2026-01-01").cast("date"), F.lit("2026-01-31").cast("date"), at(f"{day} 00:00:00"), five(spark), companies)
 
 
-@pytest.mark.parametrize("move", [True, False])
-def test_rows_of_a_collection(spark, inputs, move):
-    run = collected(spark, inputs, move_pages=move)
+def test_rows_of_a_collection(spark, inputs):
+    run = collected(spark, inputs)
     rows = run.links.collect()
     assert len(rows) == 51  # 53 found, 2 known
     assert sorted(r.rule for r in rows if r.rule) == ["index", "missing", "pagination"]

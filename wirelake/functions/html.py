@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wirelake.functions.elements import first_element, outside
+from wirelake.functions.references import resolved
 from wirelake.functions.words import trimmed
 
 MIN_CHARS = 100  # Fixed value: shorter texts do not count as content.
@@ -19,17 +21,11 @@ HIDDEN = r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->)"
 BLOCK_TAG = r"(?i)</?(?:p|div|article|section|main|header|footer|nav|aside|ul|ol|li|table|tr|td|h[1-6]|br|blockquote)\b[^>]*>"
 ANY_TAG = r"<[^>]*>"
 # Parts of a page that are not its article.
-FRAME = r"(?is)<(?:head\b.*?</head\s*>|nav\b.*?</nav\s*>|footer\b.*?</footer\s*>|aside\b.*?</aside\s*>|form\b.*?</form\s*>)"
+HEAD = r"(?is)<head\b.*?</head\s*>"
+FRAME = ["nav", "footer", "aside", "form"]
 LINK = r"(?is)<a\b[^>]*>(.*?)</a\s*>"
 TAG_WORTH = 10  # Characters of text that a block has for each of its inline tags, to count as text.
 
-# The common named character references; the ampersand comes last.
-ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "), ("&lsquo;", "‘"), ("&rsquo;", "’"),
-    ("&ldquo;", "“"), ("&rdquo;", "”"), ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"),
-    ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"), ("&middot;", "·"), ("&bull;", "•"), ("&amp;", "&"),
-]
-
 Strategy = Callable[[Column], Column]
 
 
@@ -38,30 +34,6 @@ def visible(html: Column) -> Column:
     return F.regexp_replace(html, HIDDEN, " ")
 
 
-def resolved(text: Column) -> Column:
-    """Text with its character references replaced, numbered ones first."""
-    # through a list of one, so that the text is computed once
-    once = F.transform(F.array(text), lambda t: F.when(F.contains(t, F.lit("&#")), _numbered(t)).otherwise(t))
-    text = F.get(once, F.lit(0))
-    for ref, char in ENTITIES:
-        text = F.replace(text, F.lit(ref), F.lit(char))
-    return text
-
-
-def _numbered(text: Column) -> Column:
-    """Text with its numbered references replaced; one that names no character stays as it is."""
-    def char(part: Column) -> Column:
-        hexed = F.regexp_extract(part, r"^[xX]([0-9a-fA-F]{1,6});", 1)
-        digits = F.regexp_extract(part, r"^([0-9]{1,7});", 1)
-        number = F.when(hexed != "", F.conv(hexed, 16, 10)).when(digits != "", digits).try_cast("int")
-        real = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
-        sign = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-        return F.when(real, F.concat(sign, F.substr(part, F.instr(part, ";") + 1))).otherwise(F.concat(F.lit("&#"), part))
-
-    parts = F.split(text, "&#")
-    return F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), char), ""))
-
-
 def plain(markup: Column) -> Column:
     """Markup as text: tags become blanks, references are resolved, blanks are folded."""
     text = resolved(F.regexp_replace(markup, ANY_TAG, " "))
@@ -73,8 +45,8 @@ def has_content(text: Column) -> Column:
 
 
 def semantic(body: Column) -> Column:
-    """Text of the first article element."""
-    return plain(F.regexp_extract(body, r"(?is)<article\b[^>]*>(.*?)</article\s*>", 1))
+    """Text of the first article element, with the articles inside it."""
+    return plain(F.coalesce(first_element(body, "article"), F.lit("")))
 
 
 def density(body: Column) -> Column:
@@ -84,13 +56,14 @@ def density(body: Column) -> Column:
     """
     def block(part: Column) -> Column:
         tags = F.length(part) - F.length(F.replace(part, F.lit("<"), F.lit("")))
-        links = F.length(plain(F.array_join(F.regexp_extract_all(part, F.lit(LINK), F.lit(1)), " ")))
-        return F.struct(plain(part).alias("text"), tags.alias("tags"), links.alias("links"))
+        linked = F.array_join(F.regexp_extract_all(part, F.lit(LINK), F.lit(1)), " ")
+        texts = F.transform(F.array(part, linked), plain)
+        return F.struct(F.get(texts, F.lit(0)).alias("text"), tags.alias("tags"), F.length(F.get(texts, F.lit(1))).alias("links"))
 
     def is_text(b: Column) -> Column:
         return (2 * b["links"] < F.length(b["text"])) & (F.length(b["text"]) >= TAG_WORTH * b["tags"])
 
-    parts = F.split(F.regexp_replace(body, FRAME, "<p>"), BLOCK_TAG)
+    parts = F.split(outside(F.regexp_replace(body, HEAD, "<p>"), FRAME, "<p>"), BLOCK_TAG)
     kept = F.filter(F.transform(parts, block), is_text)
     return F.array_join(F.transform(kept, lambda b: b["text"]), " ")
 
@@ -111,14 +84,19 @@ def meta_content(body: Column, name: str) -> Column:
     named = rf"""(?is)\s(?:name|property)\s*=\s*["']?{re.escape(name)}["'\s/>]"""
     tag = F.get(F.filter(tags, lambda t: F.rlike(t, F.lit(named))), F.lit(0))
 
-    def content(value: str) -> Column:
-        return F.nullif(F.regexp_extract(tag, rf"(?is)\scontent\s*=\s*{value}", 1), F.lit(""))
+    return F.coalesce(attribute(tag, "content"), F.lit(""))
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """Value of a tag's attribute, in either kind of quotes or none; null where it is missing or empty."""
+    def value(pattern: str) -> Column:
+        return F.nullif(F.regexp_extract(tag, rf"(?is)\s{name}\s*=\s*{pattern}", 1), F.lit(""))
 
-    return F.coalesce(content('"([^"]*)"'), content("'([^']*)'"), content(r"""([^"'\s/>]+)"""), F.lit(""))
+    return F.coalesce(value('"([^"]*)"'), value("'([^']*)'"), value(r"""([^"'\s/>]+)"""))
 
 
-def title(body: Column) -> Column:
-    return plain(F.regexp_extract(body, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1))
+def title_markup(body: Column) -> Column:
+    return F.regexp_extract(body, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
 
 
 # Cheap and precise first; a text found by one strategy stops the chain.

@@ -20,6 +20,11 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), NOT_LETTERS), "")
 
 
+def cased_words(text: Column) -> Column:
+    """Words in text order as they are written."""
+    return F.array_remove(F.split(text, NOT_LETTERS), "")
+
+
 def sentences(text: Column) -> Column:
     """Sentences in text order, without padding; blank ones are kept so that positions stay stable."""
     return F.transform(F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0)), lambda s: F.trim(s))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+
 def without(df: DataFrame, known: DataFrame, key: str, known_key: str | None = None) -> DataFrame:
     """Rows whose key is not among the known keys; repeated rows stay repeated. A null key is never known."""
     keys = known.select(F.col(known_key or key).alias(key))
@@ -22,8 +23,8 @@ def overlapping(
     bucket. A pair that shares several buckets is kept only in the first of them, so no distinct is needed.
     Column names of the two sides must differ.
     """
-    def bucket(date: str):
-        return F.floor(F.unix_date(F.col(date).cast("date")) / F.lit(bucket_days)).cast("int")
+    def bucket(date: str) -> Column:
+        return _bucket(date, bucket_days)
 
     def entered(df: DataFrame, bounds: tuple[str, str], first: str) -> DataFrame:
         ordered = df.where(F.col(bounds[0]) <= F.col(bounds[1]))
@@ -38,3 +39,22 @@ def overlapping(
         F.col("_bucket") == F.greatest("_left_first", "_right_first"),
     ]
     return a.join(b, "_bucket").where(reduce(lambda x, y: x & y, tests)).drop("_bucket", "_left_first", "_right_first")
+
+
+def contained(
+    outer: DataFrame, inner: DataFrame, outer_range: tuple[str, str], inner_range: tuple[str, str], bucket_days: int = 31
+) -> DataFrame:
+    """Pairs of rows whose inner closed date range lies inside the outer one. Column names of the two sides must differ.
+
+    The outer range is entered under every bucket of days that it touches, the inner one under that of its first day, so a
+    pair meets once.
+    """
+    buckets = F.sequence(_bucket(outer_range[0], bucket_days), _bucket(outer_range[1], bucket_days))
+    a = outer.where(F.col(outer_range[0]) <= F.col(outer_range[1])).withColumn("_bucket", F.explode(buckets))
+    b = inner.where(F.col(inner_range[0]) <= F.col(inner_range[1])).withColumn("_bucket", _bucket(inner_range[0], bucket_days))
+    inside = (F.col(outer_range[0]) <= F.col(inner_range[0])) & (F.col(inner_range[1]) <= F.col(outer_range[1]))
+    return a.join(b, "_bucket").where(inside).drop("_bucket")
+
+
+def _bucket(date: str, days: int) -> Column:
+    return F.floor(F.unix_date(F.col(date).cast("date")) / F.lit(days)).cast("int")

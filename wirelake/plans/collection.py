@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wirelake.functions.links import FILTER_REASON, host, rejection_rule
+from wirelake.operators.filters import may_be_among
 from wirelake.operators.joins import without
 from wirelake.operators.keyed import first_per_key
 from wirelake.operators.shares import percent
@@ -65,24 +66,21 @@ class Collection:
 def collect(
     results: DataFrame, processed: DataFrame, pages: DataFrame, lexicon: DataFrame, id_col: str, at: Column,
     *page_order: Column, keep: Keep, text_col: str = "description", negators: list[str] | None = None,
-    described: bool = False, move_pages: bool = False,
+    described: bool = False,
 ) -> Collection:
     """New links, classified; text and metadata for the article links; sentiment of the description.
 
     `keep` writes the new links, the extracted texts and the joined rows as stages, so that each is made once, however
     often it is read. With `described`, articles get a summary and keywords, made once per url.
 
-    Pages are extracted where they are stored, and only their texts move. Where few of the stored pages are asked for,
-    `move_pages=True` reduces the pages to those first, which moves them by url unless the asked urls fit a broadcast.
+    Pages are extracted where they are stored, and only their texts move. A Bloom filter of the asked urls, which the tasks
+    that read the pages get with the plan, leaves about the asked pages to be extracted; the join with the asked urls decides.
     """
     links = keep(split_links(new_links(results, processed)), "new_links")
     wanted = links.where("rule IS NULL")
     asked = wanted.select(F.col("link").alias("url")).distinct()
-    if move_pages:
-        texts = extraction.extract_described(pages.join(asked, "url", "left_semi"))
-    else:
-        texts = extraction.extract_described(pages).join(asked, "url", "left_semi")
-    texts = keep(texts, "page_texts")
+    near = pages.where(may_be_among("url", asked, "url", wanted.count()))
+    texts = keep(extraction.extract_described(near).join(asked, "url", "left_semi"), "page_texts")
     content = extraction.contents(texts)
     if described:
         content = describe(first_per_key(content, "url", *page_order), "url")

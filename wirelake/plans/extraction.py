@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wirelake import schemas
 from wirelake.functions import html as H
+from wirelake.functions import structured
 from wirelake.functions.times import coerce_timestamp
 
 ERROR_TYPE = "All Scrapers Failed"  # Fixed values of the error rows.
@@ -22,14 +23,25 @@ def extract(pages: DataFrame, strategies: dict[str, H.Strategy] | None = None, h
     Each strategy sits in a projection of its own behind a test on the result so far, so it is evaluated once
     per page and only for the pages that the earlier ones left open.
     """
-    df = pages.withColumn("_body", H.visible(F.col(html))).drop(html)
-    df = df.withColumn("article_text", F.lit(None).cast("string")).withColumn("scraper_used", F.lit(None).cast("string"))
+    return _extracted(pages.withColumn("_body", H.visible(F.col(html))).drop(html), strategies)
+
+
+def _extracted(df: DataFrame, strategies: dict[str, H.Strategy] | None = None) -> DataFrame:
+    """The same for pages whose visible markup is in `_body`."""
+    df = df.withColumns({c: F.lit(None).cast("string") for c in ("article_text", "scraper_used")})
     for name, strategy in (strategies or H.STRATEGIES).items():
         df = df.withColumn("_found", F.when(F.col("scraper_used").isNull(), strategy(F.col("_body"))))
-        df = df.withColumn("_ok", H.has_content(F.col("_found")))
-        df = df.withColumn("article_text", F.when(F.col("_ok"), F.col("_found")).otherwise(F.col("article_text")))
-        df = df.withColumn("scraper_used", F.when(F.col("_ok"), F.lit(name)).otherwise(F.col("scraper_used")))
-    return _settled(df.drop("_body", "_found", "_ok"))
+        df = df.withColumns(_outcome(name))
+    return _settled(df.drop("_body", "_found"))
+
+
+def _outcome(name: str) -> dict[str, Column]:
+    """Text and strategy after the strategy `name` gave `_found`, which is null where an earlier one had a text."""
+    ok = H.has_content(F.col("_found"))
+    return {
+        "article_text": F.when(ok, F.col("_found")).otherwise(F.col("article_text")),
+        "scraper_used": F.when(ok, F.lit(name)).otherwise(F.col("scraper_used")),
+    }
 
 
 def _settled(df: DataFrame) -> DataFrame:
@@ -67,10 +79,8 @@ def extract_then_python(
     for name, find in extractors.items():
         df = df.withColumn("_open", F.when(F.col("scraper_used").isNull(), F.col("_page")))
         df = df.withColumn("_found", python_strategy(find)(F.col("_open")))
-        df = df.withColumn("_ok", H.has_content(F.col("_found")))
-        df = df.withColumn("article_text", F.when(F.col("_ok"), F.col("_found")).otherwise(F.col("article_text")))
-        df = df.withColumn("scraper_used", F.when(F.col("_ok"), F.lit(name)).otherwise(F.col("scraper_used")))
-    return _settled(df.drop("_page", "_open", "_found", "_ok"))
+        df = df.withColumns(_outcome(name))
+    return _settled(df.drop("_page", "_open", "_found"))
 
 
 def contents(extracted: DataFrame) -> DataFrame:
@@ -96,25 +106,39 @@ def _error_rows(failed: DataFrame, at: Column) -> DataFrame:
 
 def extract_described(pages: DataFrame, html: str = "html") -> DataFrame:
     """Text as by `extract`, with the publish date, description and tags that the page states."""
-    stated = page_metadata(pages.withColumn("_page", F.col(html)), html)
+    stated = _described(pages.withColumn("_body", H.visible(F.col(html))), html, keep=["_body"])
     stated = stated.withColumnsRenamed({"description": "page_description", "tags": "page_tags"}).drop("title")
-    return extract(stated, html="_page")
+    return _extracted(stated)
 
 
 def page_metadata(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Title, publish date, description and tags as the page states them; null where it does not."""
-    body = pages.withColumn("_body", H.visible(F.col(html)))
+    """Title, publish date, description and tags as the page states them; null where it does not.
 
+    Meta tags and the title element come first, then microdata, then JSON-LD blocks, and for the date any other `<time>`."""
+    return _described(pages.withColumn("_body", H.visible(F.col(html))), html)
+
+
+def _described(body: DataFrame, html: str, keep: list[str] | None = None) -> DataFrame:
+    """Metadata of pages (`html`) whose visible markup is in `_body`; the page itself is dropped."""
     def stated(text: Column) -> Column:
         return F.nullif(text, F.lit(""))
 
     b = F.col("_body")
+    linked = body.withColumn("_linked", structured.linked_nodes(F.col(html)))
+
+    def first(markup: Column, name: str) -> Column:
+        own = H.plain(F.coalesce(stated(markup), structured.item_markup(b, name)))
+        return F.coalesce(stated(own), structured.linked_value(F.col("_linked"), name))
+
     published = F.coalesce(
-        stated(H.meta_content(b, "article:published_time")),
+        stated(H.meta_content(b, "article:published_time")), structured.item_markup(b, "datePublished"),
+        structured.linked_value(F.col("_linked"), "datePublished"),
         stated(F.regexp_extract(b, r"""(?is)<time\b[^>]*\sdatetime\s*=\s*["']([^"']*)["']""", 1)),
     )
-    found = body.select(
-        *[c for c in pages.columns if c != html], stated(H.title(b)).alias("title"), published.alias("_published"),
-        stated(H.meta(b)).alias("description"), stated(H.meta_content(b, "keywords")).alias("tags"),
+    others = [c for c in body.columns if c not in (html, "_body")]
+    found = linked.select(
+        *others, *(keep or []), first(H.title_markup(b), "headline").alias("title"), published.alias("_published"),
+        first(H.meta_content(b, "description"), "description").alias("description"),
+        first(H.meta_content(b, "keywords"), "keywords").alias("tags"),
     )
     return found.withColumn("publish_date", coerce_timestamp(F.col("_published"))).drop("_published")

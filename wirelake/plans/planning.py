@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wirelake.functions.links import search_url
 from wirelake.functions.times import days_before
-from wirelake.operators.joins import overlapping, without
+from wirelake.operators.joins import contained, without
 from wirelake.sources.reference import with_usable_url
 
 DEFAULT_DAYS = 10  # Fixed values: days of a request without dates, and first day of a backfill.
@@ -89,18 +90,54 @@ def executed_queries(runs: DataFrame, run_queries: DataFrame, start: Column, end
 def executed_by_range(ranges: DataFrame, runs: DataFrame, run_queries: DataFrame) -> DataFrame:
     """For each requested range, the number of completed runs that meet it and of distinct queries they executed.
 
-    `ranges` has `range_start` and `range_end`. Runs are first counted by their dates, and queries made distinct by the
-    dates of their runs, so the ranges meet pairs of days, of which a calendar has few, however many runs there are.
+    `ranges` has `range_start` and `range_end`. No range meets a run: a range meets what began by its last day, less what
+    ended before its first, and both are running sums over the days. For queries, the runs of a query are merged to pieces
+    that do not overlap. The pieces that meet a range follow each other, so of a query with several of them all but one are
+    taken off by the gaps between them that lie inside the range. Pieces and gaps are counted by their days, of which a
+    calendar has few, however many runs and queries there are. Runs that end before they begin count nowhere.
     """
-    done = runs.where("status = 'completed'").select("run_id", "start_date", "end_date")
-    days = done.groupBy("start_date", "end_date").agg(F.count("*").alias("n"))
-    met = overlapping(ranges.distinct(), days, ("range_start", "range_end"), ("start_date", "end_date"))
-    key = ["range_start", "range_end"]
-    n_runs = met.groupBy(*key).agg(F.sum("n").alias("n_runs"))
-    dated = run_queries.join(done, "run_id").select("query", "start_date", "end_date").distinct()
-    asked = dated.join(met.select(*key, "start_date", "end_date"), ["start_date", "end_date"])
-    queries = asked.select(*key, "query").distinct().groupBy(*key).agg(F.count("*").alias("n_queries"))
-    return n_runs.join(queries, key, "left").select(*key, "n_runs", F.coalesce("n_queries", F.lit(0)).alias("n_queries"))
+    done = runs.where("status = 'completed' AND start_date <= end_date").select("run_id", "start_date", "end_date")
+    # the days of a query once, combined before the shuffle; the window has the same partitioning
+    dated = run_queries.join(done, "run_id").groupBy("query").agg(F.collect_set(F.struct("start_date", "end_date")).alias("days"))
+    of_query = Window.partitionBy("query").orderBy("start_date", "end_date")
+    before = F.max("end_date").over(of_query.rowsBetween(Window.unboundedPreceding, -1))
+    reach = F.max("end_date").over(of_query.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    steps = dated.select("query", F.inline("days")).select("start_date", before.alias("reached"), reach.alias("reach"), F.lead("query").over(of_query).isNull().alias("last"))
+    gap = F.col("reached") < F.col("start_date")
+    # one row for each piece's begin, with the end of the piece before it, and one for the last end of the query
+    edges = steps.select(F.inline(F.array(
+        F.struct(F.when(F.col("reached").isNull() | gap, F.col("start_date")).alias("begin"), F.when(gap, F.col("reached")).alias("end")),
+        F.struct(F.lit(None).cast("date").alias("begin"), F.when(F.col("last"), F.col("reach")).alias("end")),
+    ))).where("begin IS NOT NULL OR end IS NOT NULL")
+    pieces = edges.groupBy("begin", "end").agg(F.count("*").alias("n"))
+    asked = ranges.select("range_start", "range_end").distinct().where("range_start <= range_end")
+    met = _met(asked, done.groupBy("start_date", "end_date").agg(F.count("*").alias("n")), pieces)
+    inside = contained(asked, pieces.where("begin IS NOT NULL AND end IS NOT NULL"), ("range_start", "range_end"), ("end", "begin"))
+    extra = inside.groupBy("range_start", "range_end").agg(F.sum("n").alias("extra"))
+    rows = met.join(extra, ["range_start", "range_end"], "left").where("n_runs > 0")
+    return rows.select("range_start", "range_end", "n_runs", (F.col("n_pieces") - F.coalesce("extra", F.lit(0))).alias("n_queries"))
+
+
+def _met(ranges: DataFrame, runs: DataFrame, pieces: DataFrame) -> DataFrame:
+    """The ranges with the runs (`start_date`, `end_date`, `n`) and pieces (`begin`, `end`, `n`) that meet each of them."""
+    kinds = ["runs_begun", "runs_ended", "pieces_begun", "pieces_ended"]
+
+    def days(df: DataFrame, day: Column, kind: str | None) -> DataFrame:
+        return df.select(day.alias("day"), *[(F.col("n") if k == kind else F.lit(0).cast("long")).alias(k) for k in kinds])
+
+    bounds = ranges.select(F.explode(F.array("range_end", F.date_sub("range_start", 1))).alias("day"))
+    events = [
+        days(runs, F.col("start_date"), "runs_begun"), days(runs, F.col("end_date"), "runs_ended"), days(pieces, F.col("begin"), "pieces_begun"),
+        days(pieces, F.col("end"), "pieces_ended"), days(bounds, F.col("day"), None),
+    ]
+    daily = reduce(DataFrame.union, events).where("day IS NOT NULL").groupBy("day").agg(*[F.sum(k).alias(k) for k in kinds])
+    # one row for each day at most
+    until = daily.select("day", *[F.sum(k).over(Window.orderBy("day")).alias(k) for k in kinds])
+    last = until.select(F.col("day").alias("range_end"), "runs_begun", "pieces_begun")
+    first = until.select(F.date_add("day", 1).alias("range_start"), "runs_ended", "pieces_ended")
+    return ranges.join(last, "range_end").join(first, "range_start").select(
+        "range_start", "range_end", (F.col("runs_begun") - F.col("runs_ended")).alias("n_runs"),
+        (F.col("pieces_begun") - F.col("pieces_ended")).alias("n_pieces"))
 
 
 def backfill_urls(reference: DataFrame, known: DataFrame, start: str = BACKFILL_START) -> DataFrame:

@@ -7,13 +7,14 @@ interprets functions of list items.) Sentiment moves only one partial sum per te
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wirelake.functions.words import sentences, words
+from wirelake.functions.words import cased_words, sentences, words
 
 # Published method (rule-based social-media sentiment, 2014): weight of a negated word, and the constant that
 # maps a sum of word values into [-1, 1].
@@ -24,6 +25,37 @@ THRESHOLD = 0.1
 NEGATORS = ["not", "no", "never", "none", "nobody", "nothing", "neither", "nor", "cannot", "without"]
 
 
+# Fixed values of the same method: what a degree adverb adds, and how much of it is left one and two words further off.
+BOOST = 0.293
+DECAY = (1.0, 0.95, 0.9)
+STRONGER = [
+    "absolutely", "amazingly", "completely", "considerably", "decidedly", "deeply", "enormously", "entirely", "especially", "exceptionally",
+    "extremely", "fully", "greatly", "highly", "hugely", "incredibly", "intensely", "major", "majorly", "more", "most", "particularly",
+    "purely", "quite", "really", "remarkably", "so", "substantially", "thoroughly", "totally", "tremendously", "unusually", "utterly", "very",
+]
+WEAKER = ["almost", "barely", "hardly", "kind", "less", "little", "marginally", "occasionally", "partly", "scarcely", "slightly", "somewhat", "sort"]
+
+
+@dataclass(frozen=True)
+class Rules:
+    """The rule table of `sentiment_by_rules`. Words are in lower case."""
+
+    boosters: dict[str, float] = field(default_factory=lambda: {**dict.fromkeys(STRONGER, BOOST), **dict.fromkeys(WEAKER, -BOOST)})
+    decay: tuple[float, ...] = DECAY
+    negators: tuple[str, ...] = tuple(NEGATORS)
+    contrast: str = "but"
+    before_contrast: float = 0.5
+    after_contrast: float = 1.5
+    capitals: float = 0.733
+    exclamation: float = 0.292
+    most_exclamations: int = 4
+    question: float = 0.18
+    many_questions: float = 0.96
+
+
+RULES = Rules()
+
+
 def _each_word(df: DataFrame, text_col: str, min_length: int, *keep: str) -> DataFrame:
     """One row per word of at least `min_length` letters.
 
@@ -84,5 +116,56 @@ def sentiment(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, n
     return sums.select(id_col, F.round(score, 6).alias("score")).withColumn("sentiment", sentiment_label(F.col("score")))
 
 
+def sentiment_by_rules(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, rules: Rules = RULES) -> DataFrame:
+    """`score` and `sentiment` as by `sentiment`, with the modifiers of a rule table.
+
+    A word's value grows if the word stands in capitals in a text that is not all capitals. A booster among the words before
+    it moves the value away from zero or, with a negative weight, towards it; the further off, the less. A negator among them
+    turns it round, once. Values before the first contrast word count less, those after it more. Exclamation marks, up to a
+    number, and repeated question marks strengthen the sum of the text. Each word carries the words before it along, so
+    nothing but one partial sum per text is shuffled. A missing or empty text, and one without a known word, is neutral.
+    """
+    reach = len(rules.decay)
+    text = F.col(text_col)
+    lists = docs.select(
+        id_col, cased_words(text).alias("word"),
+        (F.least(_number_of(text, "!"), F.lit(rules.most_exclamations)) * rules.exclamation + F.when(_number_of(text, "?") > 3, rules.many_questions)
+            .when(_number_of(text, "?") > 1, _number_of(text, "?") * rules.question).otherwise(0.0)).alias("_marks"),
+    )
+    lists = lists.select(
+        "*", F.array_position(F.transform("word", F.lower), rules.contrast).alias("_turn"),
+        (F.exists("word", _in_capitals) & F.exists("word", lambda w: ~_in_capitals(w))).alias("_mixed"),
+        *[F.concat(F.array_repeat(F.lit(None).cast("string"), n), F.col("word")).alias(f"p{n}") for n in range(1, reach + 1)],
+    )
+    names = [f"p{n}" for n in range(1, reach + 1)]
+    # The padded rows past the end have no word.
+    tokens = lists.select(id_col, "_marks", "_turn", "_mixed", F.posexplode_outer(F.arrays_zip("word", *names)).alias("_place", "_token"))
+    tokens = tokens.select(
+        id_col, "_marks", "_turn", "_mixed", (F.col("_place") + 1).alias("_place"), F.col("_token.word").alias("_cased"),
+        F.lower("_token.word").alias("word"), *[F.lower(f"_token.{p}").alias(p) for p in names])
+    known = tokens.join(lexicon.select("word", "val"), "word", "left")
+
+    table = F.map_from_arrays(F.array(*[F.lit(w) for w in rules.boosters]), F.array(*[F.lit(float(x)) for x in rules.boosters.values()]))
+    boosts = [F.coalesce(F.try_element_at(table, F.col(p)), F.lit(0.0)) * weight for p, weight in zip(names, rules.decay, strict=True)]
+    strong = F.col("val") + F.when(F.col("_mixed") & _in_capitals(F.col("_cased")), F.signum("val") * rules.capitals).otherwise(0.0)
+    moved = strong + F.signum(strong) * reduce(add, boosts)
+    negated = reduce(or_, [F.coalesce(F.col(p).isin(*rules.negators), F.lit(False)) for p in names])
+    turned = F.when(negated, moved * NEGATED).otherwise(moved)
+    side = F.when((F.col("_turn") == 0) | (F.col("_place") == F.col("_turn")), 1.0).when(
+        F.col("_place") < F.col("_turn"), rules.before_contrast).otherwise(rules.after_contrast)
+    sums = known.groupBy(id_col, "_marks").agg(F.coalesce(F.sum(F.when(F.col("val").isNotNull(), turned * side)), F.lit(0.0)).alias("_sum"))
+    total = F.col("_sum") + F.signum("_sum") * F.coalesce("_marks", F.lit(0.0))
+    scored = sums.select(id_col, F.round(total / F.sqrt(total * total + SPREAD), 6).alias("score"))
+    return scored.withColumn("sentiment", sentiment_label(F.col("score")))
+
+
+def _in_capitals(word: Column) -> Column:
+    return F.rlike(word, F.lit(r"^\p{Lu}{2,}$"))
+
+
+def _number_of(text: Column, mark: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+
+
 def sentiment_label(score: Column) -> Column:
     return F.when(score > THRESHOLD, "positive").when(score < -THRESHOLD, "negative").otherwise("neutral")
