@@ -6,7 +6,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from wirelake.operators import joins, keyed
+from wirelake.operators import filters, joins, keyed
 
 RNG = random.Random(7)
 ROWS = [(i, "hot" if RNG.random() < 0.35 else f"k{RNG.randrange(40)}" if RNG.random() < 0.95 else None, RNG.randrange(5)) for i in range(600)]
@@ -67,6 +67,35 @@ def test_overlapping(spark, bucket):
     assert got == sorted((x[0], y[0]) for x in a for y in b if x[1] <= y[2] and x[2] >= y[1] and x[1] <= x[2] and y[1] <= y[2])
 
 
+@pytest.mark.parametrize("bucket", [1, 10, 31])
+def test_contained(spark, bucket):
+    day = date(2023, 12, 1)
+    def ranges(n, longest):
+        starts = [day + timedelta(days=RNG.randrange(90)) for _ in range(n)]
+        return [(i, s, s + timedelta(days=RNG.randrange(-1, longest))) for i, s in enumerate(starts)]
+    a, b = ranges(30, 70), ranges(80, 12)
+    outer, inner = spark.createDataFrame(a, "a long, a1 date, a2 date"), spark.createDataFrame(b, "b long, b1 date, b2 date")
+    got = sorted((r.a, r.b) for r in joins.contained(outer, inner, ("a1", "a2"), ("b1", "b2"), bucket).collect())
+    assert got == sorted((x[0], y[0]) for x in a for y in b if x[1] <= y[1] <= y[2] <= x[2])
+
+
+@pytest.mark.parametrize("n", [0, 1, 5000])
+def test_bloom_filter(spark, n):
+    """No key is lost, and few others pass."""
+    keys = spark.range(n).select(F.concat(F.lit("k"), F.col("id") * 7).alias("k")).union(spark.createDataFrame([(None,)], "k string"))
+    rows = spark.range(100_000).select(F.concat(F.lit("k"), "id").alias("url")).union(spark.createDataFrame([(None,)], "url string"))
+    passed = rows.where(filters.may_be_among("url", keys, "k", n + 1))
+    assert passed.join(keys.withColumnRenamed("k", "url"), "url", "left_semi").count() == min(n, 100_000 // 7 + 1)
+    assert passed.count() <= n + 1000 and passed.where("url IS NULL").count() == 0
+
+
+def test_bloom_filter_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(filters, "MOST_BITS", 1 << 12)
+    keys = spark.range(20_000).select(F.col("id").alias("k"))
+    assert filters.bloom_filter(keys, "k", filters.filter_bits(20_000)).select(F.size("filter")).first()[0] == 64
+    assert spark.range(20_000).where(filters.may_be_among("id", keys, "k", 20_000)).count() == 20_000
+
+
 def final_plan(df):
     df.collect()
     return df._jdf.queryExecution().executedPlan().toString()

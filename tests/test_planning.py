@@ -1,4 +1,5 @@
-from datetime import date
+import random
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,3 +110,24 @@ def test_run_events(spark):
     events = events.union(runs.start_events(ids.where("run_id = '2'"), later)).union(runs.end_events(again, later))
     row = runs.run_rows(events).where("run_id = '2'").first()
     assert (row.status, row.urls_collected, row.error_message) == ("completed", 7, None)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_ranges_against_all_pairs(spark, seed):
+    """Runs that overlap, touch, lie inside others, and leave gaps inside and outside of the ranges; a query of a third of all runs."""
+    pick = random.Random(seed)
+    day = date(2024, 1, 1)
+    runs = [(f"r{i}", s := day + timedelta(days=pick.randrange(120)), s + timedelta(days=pick.randrange(-1, 12)), pick.choice(["completed"] * 4 + ["failed"])) for i in range(150)]
+    queries = [(r[0], f"q{k}") for r in runs for k in {pick.randrange(12), pick.randrange(40), 0 if pick.random() < 0.33 else 1}]
+    queries += queries[:50] + [("unknown", "q0")]
+    ranges = [(s := day + timedelta(days=pick.randrange(-5, 130)), s + timedelta(days=pick.randrange(-1, 60))) for _ in range(120)]
+    got = {tuple(r)[:2]: tuple(r)[2:] for r in planning.executed_by_range(
+        spark.createDataFrame(ranges + ranges[:5], "range_start date, range_end date"),
+        spark.createDataFrame(runs, "run_id string, start_date date, end_date date, status string"),
+        spark.createDataFrame(queries, "run_id string, query string")).collect()}
+    wanted = {}
+    for a, b in ranges:
+        met = {r[0] for r in runs if r[3] == "completed" and r[1] <= r[2] and r[1] <= b and r[2] >= a and a <= b}
+        if met:
+            wanted[a, b] = len(met), len({q for run, q in queries if run in met})
+    assert got == wanted
