@@ -114,8 +114,8 @@ def test_chain(spark):
     assert got["semantic"].article_text == (LONG + "& more").strip()
     at = F.lit("2026-01-01").cast("timestamp_ntz")
     assert [(r.url, r.error_type) for r in extraction.errors(extraction.extract(pages), at).collect()] == [("none", "All Scrapers Failed")]
-    plan = extraction.errors(extraction.extract(pages), at)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("(?:article)") == 2  # where a page is cut and where its tags are listed: the filter does not repeat the chain
+    chain, failed = (df._jdf.queryExecution().optimizedPlan().toString() for df in (extraction.extract(pages), extraction.errors(extraction.extract(pages), at)))
+    assert failed.count("(?:article)") == chain.count("(?:article)") > 0  # the filter does not repeat the chain
 
 
 def test_density_keeps_all_blocks(spark):

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -97,19 +96,20 @@ def executed_by_range(ranges: DataFrame, runs: DataFrame, run_queries: DataFrame
     calendar has few, however many runs and queries there are. Runs that end before they begin count nowhere.
     """
     done = runs.where("status = 'completed' AND start_date <= end_date").select("run_id", "start_date", "end_date")
-    # the days of a query once, combined before the shuffle; the window has the same partitioning
-    dated = run_queries.join(done, "run_id").groupBy("query").agg(F.collect_set(F.struct("start_date", "end_date")).alias("days"))
+    # the days of a query once, combined before the shuffle, so that a query of very many runs is as many rows as it has days
+    dated = run_queries.join(done, "run_id").select("query", "start_date", "end_date").distinct()
     of_query = Window.partitionBy("query").orderBy("start_date", "end_date")
     before = F.max("end_date").over(of_query.rowsBetween(Window.unboundedPreceding, -1))
     reach = F.max("end_date").over(of_query.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    steps = dated.select("query", F.inline("days")).select("start_date", before.alias("reached"), reach.alias("reach"), F.lead("query").over(of_query).isNull().alias("last"))
+    steps = dated.select("start_date", before.alias("reached"), reach.alias("reach"), F.lead("query").over(of_query).isNull().alias("last"))
     gap = F.col("reached") < F.col("start_date")
     # one row for each piece's begin, with the end of the piece before it, and one for the last end of the query
     edges = steps.select(F.inline(F.array(
         F.struct(F.when(F.col("reached").isNull() | gap, F.col("start_date")).alias("begin"), F.when(gap, F.col("reached")).alias("end")),
         F.struct(F.lit(None).cast("date").alias("begin"), F.when(F.col("last"), F.col("reach")).alias("end")),
     ))).where("begin IS NOT NULL OR end IS NOT NULL")
-    pieces = edges.groupBy("begin", "end").agg(F.count("*").alias("n"))
+    # behind a generator, so that the filters of those who read it are not pushed into it and all of them share one exchange
+    pieces = edges.groupBy("begin", "end").agg(F.count("*").alias("n")).select(F.inline(F.array(F.struct("begin", "end", "n"))))
     asked = ranges.select("range_start", "range_end").distinct().where("range_start <= range_end")
     met = _met(asked, done.groupBy("start_date", "end_date").agg(F.count("*").alias("n")), pieces)
     inside = contained(asked, pieces.where("begin IS NOT NULL AND end IS NOT NULL"), ("range_start", "range_end"), ("end", "begin"))
@@ -122,17 +122,18 @@ def _met(ranges: DataFrame, runs: DataFrame, pieces: DataFrame) -> DataFrame:
     """The ranges with the runs (`start_date`, `end_date`, `n`) and pieces (`begin`, `end`, `n`) that meet each of them."""
     kinds = ["runs_begun", "runs_ended", "pieces_begun", "pieces_ended"]
 
-    def days(df: DataFrame, day: Column, kind: str | None) -> DataFrame:
-        return df.select(day.alias("day"), *[(F.col("n") if k == kind else F.lit(0).cast("long")).alias(k) for k in kinds])
-
-    bounds = ranges.select(F.explode(F.array("range_end", F.date_sub("range_start", 1))).alias("day"))
-    events = [
-        days(runs, F.col("start_date"), "runs_begun"), days(runs, F.col("end_date"), "runs_ended"), days(pieces, F.col("begin"), "pieces_begun"),
-        days(pieces, F.col("end"), "pieces_ended"), days(bounds, F.col("day"), None),
-    ]
-    daily = reduce(DataFrame.union, events).where("day IS NOT NULL").groupBy("day").agg(*[F.sum(k).alias(k) for k in kinds])
-    # one row for each day at most
-    until = daily.select("day", *[F.sum(k).over(Window.orderBy("day")).alias(k) for k in kinds])
+    def days(df: DataFrame, first: str, last: str, what: str) -> DataFrame:
+        def event(day: str, kind: str) -> Column:
+            return F.struct(F.col(day).alias("day"), *[(F.col("n") if k == kind else F.lit(0).cast("long")).alias(k) for k in kinds])
+
+        return df.select(F.inline(F.array(event(first, f"{what}_begun"), event(last, f"{what}_ended"))))
+
+    bounds = ranges.select(F.explode(F.array("range_end", F.date_sub("range_start", 1))).alias("day"), *[F.lit(0).cast("long").alias(k) for k in kinds])
+    events = days(runs, "start_date", "end_date", "runs").union(days(pieces, "begin", "end", "pieces")).union(bounds)
+    daily = events.where("day IS NOT NULL").groupBy("day").agg(*[F.sum(k).alias(k) for k in kinds])
+    # one row for each day at most; behind a generator, so that both joins read one and the same exchange
+    sums = daily.select("day", *[F.sum(k).over(Window.orderBy("day")).alias(k) for k in kinds])
+    until = sums.select(F.inline(F.array(F.struct("day", *kinds))))
     last = until.select(F.col("day").alias("range_end"), "runs_begun", "pieces_begun")
     first = until.select(F.date_add("day", 1).alias("range_start"), "runs_ended", "pieces_ended")
     return ranges.join(last, "range_end").join(first, "range_start").select(

@@ -123,7 +123,7 @@ def sentiment_by_rules(docs: DataFrame, id_col: str, text_col: str, lexicon: Dat
     it moves the value away from zero or, with a negative weight, towards it; the further off, the less. A negator among them
     turns it round, once. Values before the first contrast word count less, those after it more. Exclamation marks, up to a
     number, and repeated question marks strengthen the sum of the text. Each word carries the words before it along, so
-    nothing but one partial sum per text is shuffled. A missing or empty text, and one without a known word, is neutral.
+    with a lexicon that Spark broadcasts, nothing but one partial sum per text is shuffled. A missing or empty text, and one without a known word, is neutral.
     """
     reach = len(rules.decay)
     text = F.col(text_col)
