@@ -8,9 +8,10 @@ the smallest density on the way from the chosen node up to the body is the page'
 way only those containers go that consist mainly of links, are less dense than the threshold and hold no h1. Headings,
 paragraphs and running text there are kept.
 
-Parts that are boilerplate by their element, role, class or id never enter the tree. Words of a class count wherever they
-stand in it; an id counts as a whole only, and not at a heading or at a section of an article, where it may be made from a
-title (comments excepted). A form is boilerplate unless it holds an article or main, or most of the page's text.
+Parts that are boilerplate by their element, role, class or id never enter the tree. Outside of articles any word of a class
+counts, inside them a class counts only if it is made of such words and of words for parts of a page ("social-share", not
+"share-price"); an id counts as a whole only, and not at a heading or at a section of an article, where it may be made from
+a title (comments excepted). A header or label inside an article or main belongs to it. A form is boilerplate unless it holds an article or main, or most of the page's text.
 
 Defined results: null, empty or tagless-but-blank html has an empty text; html without tags is one block; a page cut off in
 a tag loses only that tag; repeated rows are extracted one by one; pages are read to their end at any length; columns other
@@ -37,7 +38,8 @@ BLOCKS = frozenset(
 CONTAINERS = BLOCKS - frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes svg math".split())
-DROPPED = frozenset("nav footer aside head button select dialog menu object label option optgroup".split())
+DROPPED = frozenset("nav footer aside head button select dialog menu object option optgroup".split())
+DROPPED_OUTSIDE = frozenset("header label".split())  # outside of articles and main
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar".split())
 #: An element closes open ones of these kinds, up to the first of the others.
 CLOSES = {
@@ -58,6 +60,8 @@ COMMENT_HINTS = frozenset("comment comments disqus replies reply respond discuss
 WRAPPER = frozenset("has with no without".split())
 #: Words that may stand beside those in an id. Any other word makes it the slug of a heading, which says nothing of the part.
 LAYOUT = frozenset("site page main global primary secondary top bottom left right inner outer container wrapper wrap box bar slot block".split())
+#: Words that stand beside a hint in the classes of boilerplate inside an article.
+PARTS = LAYOUT | frozenset("list lists item items area areas button buttons icon icons link links articles posts stories unit units header title".split())
 NAMED_BY_TITLE = frozenset("h1 h2 h3 h4 h5 h6 section".split())
 
 # A quote opens a value only after an equals sign, so a stray one does not swallow the page.
@@ -79,9 +83,20 @@ def _words(value: str) -> set[str]:
     return {name.lower() for name in NAME.findall(value)}
 
 
-def _is_boilerplate(tag: str, attributes: str, in_article: bool, in_text: bool) -> bool:
-    """in_article: inside an article; in_text: inside an article or main."""
-    if tag in DROPPED or tag == "header" and not in_article:
+def _class_marks(value: str, hints: frozenset[str] | set[str], in_text: bool) -> bool:
+    """Whether a class, taken by itself, names boilerplate: by any of its words, inside an article or main by all of them.
+
+    A class with a word like "has" or "no" tells something of the part that it stands at, not what the part is."""
+    for token in value.split():
+        words = _words(token)
+        if words & hints and not words & WRAPPER and (not in_text or words <= hints | PARTS):
+            return True
+    return False
+
+
+def _is_boilerplate(tag: str, attributes: str, in_text: bool) -> bool:
+    """in_text: inside an article or main."""
+    if tag in DROPPED or tag in DROPPED_OUTSIDE and not in_text:
         return True
     if not attributes or not MARKS.search(attributes):
         return False
@@ -90,18 +105,14 @@ def _is_boilerplate(tag: str, attributes: str, in_article: bool, in_text: bool)
         return True
     if given.get("role", "").strip().lower() in ROLES:
         return True
-    hints = COMMENT_HINTS if tag in WHOLE else HINTS
-    header = {"header"} if not in_article and tag not in WHOLE else set()
-    names = _words(given.get("class", ""))
-    if names & WRAPPER:
-        return False
-    if names & (hints | header):
+    hints = COMMENT_HINTS if tag in WHOLE else HINTS if in_text else HINTS | {"header"}
+    if _class_marks(given.get("class", ""), hints, in_text):
         return True
     # an id counts as a whole only: all its words are hints, and outside of articles also places of the layout
     name = {word for word in _words(given.get("id", "")) if not word.isdigit()}
     if tag in NAMED_BY_TITLE and (in_text or tag != "section"):
         return tag == "section" and name <= {"comment", "comments", "disqus", "commentlist"} and bool(name)
-    return bool(name & (hints | header)) and name <= hints | header | (set() if in_text else LAYOUT)
+    return bool(name & hints) and name <= hints | (set() if in_text else LAYOUT)
 
 
 def _is_form(tag: str, attributes: str) -> bool:
@@ -112,7 +123,8 @@ class Tree:
     """Elements in page order, without boilerplate, and the texts between their tags."""
 
     def __init__(self, page: str):
-        self.tags, self.parents, self.texts = ["#"], [-1], []  # texts: (node, text, inside a link)
+        self.tags, self.parents = ["#"], [-1]
+        self.texts: list[tuple[int, str | None]] = []  # (node, text), None where a block begins or ends
         self.links, self.inside = [False], [False]  # inside a link; inside an article or main
         self.forms: list[int] = []
         self._read(page)
@@ -120,7 +132,7 @@ class Tree:
 
     def _read(self, page: str) -> None:
         stack: list[tuple[str, int]] = [("#", 0)]  # dropped elements have node -1, as have all inside them
-        place, size, articles = 0, len(page), 0
+        place, size = 0, len(page)
         while place < size:
             cut = page.find("<", place)
             while cut >= 0 and cut + 1 < size and not (page[cut + 1].isalpha() or page[cut + 1] in "/!?"):
@@ -141,7 +153,8 @@ class Tree:
                 continue
             tag = name.lower()
             if slash:
-                articles -= self._close(stack, tag)
+                if self._close(stack, tag):
+                    self._break(stack[-1][1])
                 continue
             if tag in RAW:
                 end = re.compile(f"</{re.escape(tag)}[^>]*(?:>|\\Z)", re.I).search(page, place)
@@ -150,9 +163,10 @@ class Tree:
                 self._text(stack[-1][1], " ")
                 continue
             if tag in BLOCKS:
-                articles -= self._close(stack, "p", within=True)
+                self._close(stack, "p", within=True)
                 if tag in CLOSES:
-                    articles -= self._close_kinds(stack, *CLOSES[tag])
+                    self._close_kinds(stack, *CLOSES[tag])
+                self._break(stack[-1][1])
             node = stack[-1][1]
             if tag in VOID:
                 self._text(node, " ")
@@ -160,14 +174,13 @@ class Tree:
                     self._add(tag, node)
                 continue
             if node >= 0:
-                if _is_boilerplate(tag, attributes, articles > 0, self.inside[node]):
+                if _is_boilerplate(tag, attributes, self.inside[node]):
                     node = -1
                 else:
                     node = self._add(tag, node)
                     if _is_form(tag, attributes):
                         self.forms.append(node)
             stack.append((tag, node))
-            articles += tag == "article"
 
     def _add(self, tag: str, parent: int) -> int:
         self.tags.append(tag)
@@ -180,6 +193,11 @@ class Tree:
         if node >= 0:
             self.texts.append((node, references.unescape(text) if "&" in text else text))
 
+    def _break(self, node: int) -> None:
+        """A block begins or ends here, a dropped one too."""
+        if node >= 0:
+            self.texts.append((node, None))
+
     def _drop_forms(self) -> None:
         """Takes out the forms, but for those that hold an article or main, or most of the page's text."""
         if not self.forms:
@@ -187,7 +205,7 @@ class Tree:
         n = len(self.tags)
         chars, holds = [0] * n, [tag in ("article", "main") for tag in self.tags]
         for node, text in self.texts:
-            chars[node] += len(text.strip())
+            chars[node] += len(text.strip()) if text else 0
         for node in range(n - 1, 0, -1):
             chars[self.parents[node]] += chars[node]
             holds[self.parents[node]] |= holds[node]
@@ -207,34 +225,32 @@ class Tree:
         self.tags, self.links, self.inside = ([values[node] for node in stay] for values in (self.tags, self.links, self.inside))
 
     @staticmethod
-    def _close(stack: list[tuple[str, int]], tag: str, within: bool = False) -> int:
-        """Closes the innermost ``tag``; gives the number of articles closed. within: not beyond the innermost block."""
+    def _close(stack: list[tuple[str, int]], tag: str, within: bool = False) -> bool:
+        """Closes the innermost ``tag``; whether a block was closed. within: not beyond the innermost block."""
         for at in range(len(stack) - 1, 0, -1):
             if stack[at][0] == tag:
-                closed = sum(t == "article" for t, _ in stack[at:])
+                blocks = any(t in BLOCKS for t, _ in stack[at:])
                 del stack[at:]
-                return closed
+                return blocks
             if within and stack[at][0] in BLOCKS:
-                return 0
-        return 0
+                return False
+        return False
 
     @staticmethod
-    def _close_kinds(stack: list[tuple[str, int]], kinds: set[str], within: set[str]) -> int:
+    def _close_kinds(stack: list[tuple[str, int]], kinds: set[str], within: set[str]) -> None:
         for at in range(len(stack) - 1, 0, -1):
             if stack[at][0] in within:
-                return 0
+                return
             if stack[at][0] in kinds:
-                closed = sum(t == "article" for t, _ in stack[at:])
                 del stack[at:]
-                return closed
-        return 0
+                return
 
     def densities(self) -> tuple[list[float], list[float], list[float]]:
         """Composite density, sum of the children's densities, and share of characters in links, of each node."""
         n = len(self.tags)
         chars, link_chars, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
         for node, text in self.texts:
-            size = len(text.strip())
+            size = len(text.strip()) if text else 0
             chars[node] += size
             if self.links[node]:
                 link_chars[node] += size
@@ -281,10 +297,10 @@ class Tree:
         for node, text in self.texts:
             if not kept[node]:
                 continue
-            if kin[node] != last:
+            if kin[node] != last or text is None:
                 out.append("".join(parts))
                 last, parts = kin[node], []
-            parts.append(text)
+            parts.append(text or "")
         out.append("".join(parts))
         return [block for block in (" ".join(part.split()) for part in out) if block]
 
