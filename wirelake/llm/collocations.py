@@ -1,6 +1,6 @@
 """Phrases whose words occur together, from Rabin-Karp fingerprints of every n-gram.
 
-Texts are first stored in slices: the lower-cased texts of one language, about SLICE_BYTES of them, a line end between two
+Texts are first stored in slices: the lower-cased texts of one language, about ``slice_bytes`` of them, a line end between two
 (a line end ends a phrase anyway). Each slice is hashed at once: prefix polynomials give the 64-bit fingerprint of every
 n-gram of a slice, and a second polynomial a check of 16 bits more. A slice counts its own n-grams, comparing the check of
 every occurrence, and sends one block per bucket of fingerprints: sorted fingerprints as differences, checks, counts, and the
@@ -9,9 +9,10 @@ equal fingerprint and check; what is below ``least`` goes. The phrases that stay
 with the slices: the words at the first and at the last place of each fingerprint are compared, and unlike ones are an error
 (two phrases would have to agree in all 80 bits).
 
-Spread: the number of buckets follows the stored bytes (BUCKET_BYTES of text each), and as an n-gram is counted inside its
-slice first, a frequent one is as many entries as there are slices. Ranks are cut per task before they are merged. A block has
-about 200,000 n-grams over the number of buckets; beyond a few TB larger slices and buckets keep blocks worth their row.
+Spread: the number of buckets follows the stored bytes (``bucket_bytes`` of text each), and as an n-gram is counted inside its
+slice first, a frequent one is as many entries as there are slices. Ranks are cut per task and per part of a language before
+they are merged. A block has a million n-grams over the number of buckets; beyond a TB or so, larger slices and buckets
+(``slice_bytes``, ``bucket_bytes``; a task takes about 30 bytes of memory for a byte of either) keep blocks worth their rows.
 
 Defined results: a null text is empty; a null lang is ``und``; repeated rows count each; an empty table gives no rows; a text
 longer than a slice is a slice of its own; extra columns and doc_id are never read; of cuts with equal scores the one after
@@ -29,8 +30,9 @@ from pyspark.sql import functions as F
 
 from wirelake.llm.arrays import Spans, find_words, map_batches, map_in_tasks, mix, text_buffer
 
-SLICE_BYTES = 16_000_000
-BUCKET_BYTES = 8_000_000
+SLICE_BYTES = 8_000_000
+BUCKET_BYTES = 4_000_000
+RANK_PARTS = 16
 HASHED_BYTES = 1_000_000
 SLICES_PER_GROUP = 4  # of rows of a Parquet row group, which a reader holds whole
 UNKNOWN = "und"
@@ -43,29 +45,32 @@ _STEP = np.uint64(0xD6E8FEB86659FD93)
 _CHECK_STEP = np.uint64(0xA0761D6478BD642F)
 
 
-def text_slices_by_language(docs: DataFrame) -> DataFrame:
-    """lang, text of the slices: texts of a language in lower case, each followed by a line end."""
+def text_slices_by_language(docs: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """lang, text of the slices: texts of a language in lower case, each followed by a line end.
+
+    A task holds two slices' worth of bytes at most while it fills the slices of all languages."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = {}
-        size = 0
+        size: dict[str, int] = {}
 
-        def flushed() -> Iterator[pa.RecordBatch]:
-            for lang in sorted(held):
-                yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([b"".join(held[lang])], pa.binary())], ["lang", "text"])
-            held.clear()
+        def flushed(lang: str) -> pa.RecordBatch:
+            size.pop(lang)
+            return pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([b"".join(held.pop(lang))], pa.binary())], ["lang", "text"])
 
         for batch in batches:
             data, offsets = text_buffer(batch.column(1))
             whole = _LOWER[data].tobytes()
             for row, lang in enumerate(batch.column(0).to_pylist()):
                 text = whole[offsets[row] : offsets[row + 1]]
-                if held and size + len(text) > SLICE_BYTES:
-                    yield from flushed()
-                    size = 0
+                if lang in held and size[lang] + len(text) > slice_bytes:
+                    yield flushed(lang)
                 held.setdefault(lang, []).extend((text, b"\n"))
-                size += len(text) + 1
-        yield from flushed()
+                size[lang] = size.get(lang, 0) + len(text) + 1
+                if sum(size.values()) > 2 * slice_bytes:
+                    yield flushed(max(size, key=size.__getitem__))
+        for lang in sorted(held):
+            yield flushed(lang)
 
     rows = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
     return map_in_tasks(rows, cut, "lang string, text binary")
@@ -88,12 +93,13 @@ class Grams:
     """Fingerprints of the n-grams of a slice; an n-gram lies within one piece."""
 
     def __init__(self, data: np.ndarray):
-        self.words = find_words(data, np.array([0, len(data)]), _BLANK | _STOP)
-        starts, ends = self.words.starts, self.words.ends
+        words = find_words(data, np.array([0, len(data)]), _BLANK | _STOP)
+        starts, ends = words.starts, words.ends
         stops = np.zeros(len(data) + 1, np.int32)
         np.cumsum(_STOP[data], out=stops[1:])
         #: words that follow each word in its piece without a stop
         self.joined = stops[starts[1:]] == stops[ends[:-1]]
+        self.starts = starts.astype(np.uint32)
         self.one = self.keys, self.checks = word_hashes(data, starts, ends)
         self.valid = np.ones(len(starts), bool)
         self.size = 1
@@ -109,7 +115,7 @@ class Grams:
     def entries(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start of each n-gram, fingerprint and check."""
         at = np.flatnonzero(self.valid)
-        return self.words.starts[at], mix(self.keys[at]), (mix(self.checks[at]) >> np.uint64(48)).astype(np.uint16)
+        return self.starts[at], mix(self.keys[at]), (mix(self.checks[at]) >> np.uint64(48)).astype(np.uint16)
 
 
 def grouped(keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -155,7 +161,8 @@ def blocks(slices: DataFrame, buckets: int, longest: int) -> DataFrame:
                     continue
                 counts = np.diff(np.r_[new, len(order)]).astype(np.uint32)
                 first = order[new]
-                keys, checks, places = keys[first], checks[first], starts[first].astype(np.uint32)
+                keys, checks, places = keys[first], checks[first], starts[first]
+                del order, starts, first
                 bucket = (keys // width).astype(np.int64)
                 cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
                 rows: list[list] = [[] for _ in range(8)]
@@ -270,22 +277,28 @@ def without_inner(candidates: DataFrame, longest: int, percent: int) -> DataFram
     return candidates.join(most, ["lang", "phrase"], "left").where(kept).drop("longer")
 
 
-def collocations(docs: DataFrame, folder: str, longest: int = 3, least: int = 10, percent: int = 50, top: int = 2000) -> DataFrame:
+def collocations(
+    docs: DataFrame, folder: str, longest: int = 3, least: int = 10, percent: int = 50, top: int = 2000,
+    slice_bytes: int = SLICE_BYTES, bucket_bytes: int = BUCKET_BYTES,
+) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the ``top`` phrases of 2 to ``longest`` words of each language.
 
     ``folder`` is a shared one for the slices and the phrases found."""
     spark = docs.sparkSession
-    stored = text_slices_by_language(docs).select(F.monotonically_increasing_id().alias("slice"), "lang", "text")
+    stored = text_slices_by_language(docs, slice_bytes).select(F.monotonically_increasing_id().alias("slice"), "lang", "text")
     stored.write.option("compression", "zstd").option("parquet.block.row.count.limit", SLICES_PER_GROUP).parquet(f"{folder}/slices")
     slices = spark.read.parquet(f"{folder}/slices")
-    buckets = 2 + (slices.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES
+    buckets = 2 + (slices.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // bucket_bytes
     frequent(blocks(slices, buckets, longest), buckets, least).write.parquet(f"{folder}/found")
     found = spark.read.parquet(f"{folder}/found")
     materialise(found, slices).write.parquet(f"{folder}/phrases")
     phrases = spark.read.parquet(f"{folder}/phrases")
     words = found.where("n = 0").groupBy("lang").agg(F.sum("words").alias("all_words"))
     ranked = without_inner(cuts(phrases, longest), longest, percent)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    best = ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    by = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    # first the best of each of RANK_PARTS parts of a language, so that no task gets the best of all tasks
+    first = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))).orderBy(*by)
+    some = ranked.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= top)
+    best = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*by))).where(F.col("rank") <= top)
     return best.join(words, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", F.col("all_words").alias("n"), "score")
