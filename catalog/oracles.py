@@ -503,6 +503,12 @@ SQL: dict[str, str] = {
           (SELECT count(*) FROM wanted_links) AS enriched""",
     # windows, sorts, limits
     "latest_enrichment": f"SELECT url, sentiment, {_SCORE}, {_EL}, enrichment_timestamp, enrichment_version FROM latest_e",
+    "dedup_in_place": """
+        SELECT url, title, run_id, collection_timestamp
+        FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY collection_timestamp, title NULLS FIRST, doc_id) AS rn FROM collected_articles) a WHERE rn = 1""",
+    "url_sketches": """
+        SELECT CAST(date_trunc('month', collection_timestamp) AS DATE) AS month, count(*) AS articles, count(DISTINCT url) AS urls, true AS close
+        FROM collected_articles GROUP BY 1""",
     "earliest_article": "SELECT url, doc_id, title, collection_timestamp FROM earliest",
     "drop_duplicates": """
         SELECT count(*) AS kept, CAST(sum(d) AS BIGINT) AS sum_doc_id, CAST(sum(n) AS BIGINT) - count(*) AS removed
@@ -604,6 +610,14 @@ SQL: dict[str, str] = {
           coalesce(article_text, CASE WHEN length(trim(f, E' \t\n\r\x0b\x0c')) >= 100 THEN f END) AS article_text
         FROM (SELECT *, regexp_extract(html, '(?s)<footer>(.*?)</footer>', 1) AS f FROM extracted) e""",
     "keywords_topk": f"SELECT k AS doc_id, keywords FROM ({_keywords('documents', 'doc_id', 'text', 5, 3)}) z",
+    "summary_central": rf"""
+        WITH s AS (SELECT doc_id, unnest(ss) AS sentence, unnest(range(len(ss))) AS pos FROM (SELECT doc_id, regexp_extract_all(text, '[^.!?\n]+[.!?]*') AS ss FROM documents) d),
+          w AS (SELECT DISTINCT doc_id, pos, unnest({_words('sentence')}) AS word FROM s),
+          links AS (SELECT a.doc_id, a.pos, count(b.pos) AS n FROM w a LEFT JOIN w b ON a.doc_id = b.doc_id AND a.word = b.word AND a.pos <> b.pos GROUP BY ALL),
+          size AS (SELECT doc_id, pos, count(*) AS n_words FROM w GROUP BY ALL),
+          r AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY doc_id ORDER BY n / sqrt(n_words) DESC, pos) AS rn FROM links JOIN size USING (doc_id, pos))
+        SELECT d.doc_id, coalesce(string_agg(trim(sentence), ' ' ORDER BY s.pos), '') AS summary
+        FROM documents d LEFT JOIN (r JOIN s ON r.doc_id = s.doc_id AND r.pos = s.pos AND rn <= 3) ON d.doc_id = r.doc_id GROUP BY d.doc_id""",
     "summary_topk": f"SELECT k AS doc_id, summary FROM ({_summaries('documents', 'doc_id', 'text')}) z",
     "sentiment": "SELECT k AS doc_id, score, sentiment FROM doc_scores",
     "refresh_enrichment": """
@@ -611,6 +625,7 @@ SQL: dict[str, str] = {
     # streams
     "stream_ingest": "SELECT event_id, url, sentiment, enrichment_timestamp, enrichment_version FROM article_enrichments",
     "stream_dedup": "SELECT DISTINCT url FROM article_enrichments",
+    "stream_dedup_bounded": "SELECT DISTINCT url FROM article_enrichments",
     "stream_append": """
         SELECT event_id, url, sentiment, enrichment_timestamp FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY enrichment_timestamp, event_id) AS rn
           FROM article_enrichments) e WHERE rn = 1""",

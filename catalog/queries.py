@@ -233,6 +233,17 @@ def dedup_rewrite(v: Views) -> DataFrame:
     return v.spark.read.parquet(path).select("url", "doc_id", "title", "run_id", "collection_timestamp")
 
 
+@query
+def dedup_in_place(v: Views) -> DataFrame:
+    """Articles stored in two runs, of which the second repeats urls of the first; duplicates leave the days that hold them."""
+    news = store.NewsStore(v.spark, scratch_path(v.spark, "store"))
+    table = v.collected_articles()
+    for part in ("doc_id % 3 <> 0", "doc_id % 3 = 0"):
+        news.append_articles(table.where(part), F.col("run_id"), F.col("collection_timestamp"))
+        news.remove_duplicates("collected_articles", "url", "collection_timestamp", "title")
+    return news.read("collected_articles").select("url", "title", "run_id", "collection_timestamp")
+
+
 # --- projections and filters --------------------------------------------------------------------
 
 
@@ -448,6 +459,18 @@ def coverage(v: Views) -> DataFrame:
     return reports.coverage(articles, v.article_enrichments(), v.latest(articles, "collection_timestamp"), 20)
 
 
+@query
+def url_sketches(v: Views) -> DataFrame:
+    """Distinct urls of each month from stored daily sketches, beside the exact number, and whether they agree to 3 %."""
+    path = scratch_path(v.spark, "sketches")
+    reports.daily_sketches(v.collected_articles()).write.parquet(path)
+    month = F.trunc("day", "month")
+    found = reports.distinct_urls(v.spark.read.parquet(path), month)
+    exact = v.collected_articles().groupBy(F.trunc(F.to_date("collection_timestamp"), "month").alias("span")).agg(F.count_distinct("url").alias("urls"))
+    close = F.abs(F.col("distinct_urls") - F.col("urls")) <= 0.03 * F.col("urls")
+    return found.join(exact, "span").select(F.col("span").alias("month"), "articles", "urls", close.alias("close"))
+
+
 @query
 def daily_runs(v: Views) -> DataFrame:
     table = v.collection_runs()
@@ -745,6 +768,11 @@ def summary_topk(v: Views) -> DataFrame:
     return text.summaries(v.table("documents"), "doc_id", "text")
 
 
+@query
+def summary_central(v: Views) -> DataFrame:
+    return text.central_summaries(v.table("documents"), "doc_id", "text")
+
+
 @query
 def sentiment(v: Views) -> DataFrame:
     return text.sentiment(v.table("documents"), "doc_id", "text", v.lexicon(), NEGATORS)
@@ -789,6 +817,16 @@ def stream_dedup(v: Views) -> DataFrame:
     return v.spark.read.parquet(f"{base}/out").select("url")  # which of a url's rows comes first is up to the stream
 
 
+@query
+def stream_dedup_bounded(v: Views) -> DataFrame:
+    """Keys once within a delay that all events lie in, so each key once."""
+    base = scratch_path(v.spark, "stream")
+    for _ in range(2):
+        found = incremental.new_keys_within(_enrichment_stream(v), "url", "enrichment_timestamp", "3650 days")
+        incremental.ingest(found, f"{base}/out", f"{base}/checkpoint")
+    return v.spark.read.parquet(f"{base}/out").select("url")
+
+
 @query
 def stream_append(v: Views) -> DataFrame:
     base = scratch_path(v.spark, "stream")

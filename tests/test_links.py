@@ -3,21 +3,28 @@ from pyspark.sql import functions as F
 
 from wirelake.functions import links
 
+# One invented url for each rule and place where its mark may stand, and others that come close to a rule.
 LISTINGS = {
-    "https://corporate.example.com/press?page=3": "pagination",
-    "https://www.example.com/news/press-releases": "index",
-    "https://www.example.org/newsroom": "index",
-    "https://www.example.org/newsroom/media": "index",
-    "https://www.example.net/ir/news/2026": "year_archive",
-    "https://news.example.net/news/latest?page=2": "pagination",
+    "https://alpha.test/updates?page=7": "pagination",
+    "https://alpha.test/updates?sort=old&page=2": "pagination",
+    "https://alpha.test/page/12/": "pagination",
+    "https://beta.test/press": "index",
+    "https://beta.test/about/press-release//": "index",
+    "https://beta.test/en/MEDIA": "index",
+    "https://gamma.test/tag/turbines": "section",
+    "https://gamma.test/x/archive/y": "section",
+    "https://delta.test/find?search=turbine": "search",
+    "https://delta.test/find?lang=de&search=turbine": "search",
+    "https://epsilon.test/reports/1987/": "year_archive",
 }
 ARTICLES = [
-    "https://news.example.com/en-us/2026/01/05/some-new-game/",
-    "https://www.example.com/news/press-releases/financial/2026/new-operating-model",
-    "https://www.example.org/newsroom/media/publications/highlights",
-    "https://www.example.net/company/news/product-releases/63876",
-    "https://www.example.com/en-us/dt/corporate/newsroom.htm",
-    "https://www.example.org/public/about/news-press/press-releases/2026/01-05",
+    "https://alpha.test/homepage=2",
+    "https://beta.test/newsroom/turbine-opens",
+    "https://beta.test/pressroom",
+    "https://gamma.test/category",
+    "https://delta.test/research?topic=wind",
+    "https://epsilon.test/reports/1987/summary",
+    "https://epsilon.test/reports/19870",
 ]
 OTHERS = {
     "HTTPS://X.COM/NEWS///": "index",

@@ -150,3 +150,76 @@ def test_snapshot_choice(spark, now, force, fresh, wanted):
     live = None if fresh is None else spark.createDataFrame([(f,) for f in fresh], "corporation string")
     got = reference.choose_snapshot(snaps, at(now), fresh=live, force=force)
     assert {r.corporation for r in got.collect()} == wanted
+
+
+def test_storage_size_is_that_of_the_files(spark, tmp_path):
+    """Bytes, files and rows against the file system; a filter reads the same files."""
+    path = tmp_path / "table"
+    spark.range(0, 5000, 1, 3).select("id", F.sha2(F.col("id").cast("string"), 256).alias("pad")).write.parquet(str(path))
+    files = [f.stat().st_size for f in path.glob("*.parquet")]
+    df = spark.read.parquet(str(path))
+    assert tuple(store.storage_size(df).select("n_files", "n_bytes", "n_rows").first()) == (3, sum(files), 5000)
+
+
+def article_rows(spark, rows):
+    return spark.createDataFrame([(u, t, datetime(2026, 1, d, h)) for u, t, d, h in rows], "url string, title string, collection_timestamp timestamp_ntz")
+
+
+def stored_files(path):
+    return sorted(str(f.relative_to(path)) for f in path.rglob("*.parquet"))
+
+
+def test_duplicates_leave_their_days_only(spark, tmp_path):
+    """Readers before, during and after a rewrite; files of other days; rows appended later; a second rewrite."""
+    news = store.NewsStore(spark, f"file://{tmp_path}")
+    table = tmp_path / "collected_articles"
+
+    def append(rows):
+        df = article_rows(spark, rows)
+        news.append_articles(df, F.lit("r"), F.col("collection_timestamp"))
+
+    def rows():
+        return sorted((r.url, r.title, r.collection_timestamp.day) for r in news.read("collected_articles").collect())
+
+    append([("a", "first", 1, 1), ("a", "later", 1, 2), ("b", "b", 1, 3), ("c", "c", 2, 1), ("a", "again", 3, 1), ("d", "d", 3, 2), ("e", "only copies", 4, 1)])
+    append([("e", "only copies", 4, 1)])
+    before, old = rows(), news.read("collected_articles")
+    files = stored_files(table)
+    assert news.remove_duplicates("collected_articles", "url", "collection_timestamp", "title") == 3
+    assert rows() == [("a", "first", 1), ("b", "b", 1), ("c", "c", 2), ("d", "d", 3), ("e", "only copies", 4)]
+    assert stored_files(table) == files  # nothing is changed or deleted
+    assert sorted((r.url, r.title, r.collection_timestamp.day) for r in old.collect()) == before  # a reader from before sees the old rows
+    written = {p.split("/")[1] for p in stored_files(tmp_path / "collected_articles.rewrites")}
+    assert written == {"day=2026-01-01", "day=2026-01-03", "day=2026-01-04"}
+    assert news.remove_duplicates("collected_articles", "url", "collection_timestamp", "title") == 0
+
+    append([("a", "third", 1, 9), ("f", "f", 1, 9), ("c", "earlier", 1, 0)])
+    assert len(rows()) == 8
+    # a rewrite that ends before its commit is never seen
+    broken = tmp_path / "collected_articles.rewrites" / "rewrite=2" / "day=2026-01-01"
+    article_rows(spark, [("x", "never seen", 1, 1)]).write.parquet(f"file://{broken}")
+    assert news.remove_duplicates("collected_articles", "url", "collection_timestamp", "title") == 2
+    assert rows() == [("a", "first", 1), ("b", "b", 1), ("c", "earlier", 1), ("d", "d", 3), ("e", "only copies", 4), ("f", "f", 1)]
+    assert [r.url for r in news.read("collected_articles", "2026-01-03", "2026-01-03").collect()] == ["d"]
+
+
+def test_days_are_pruned_after_a_rewrite(spark, tmp_path):
+    news = store.NewsStore(spark, f"file://{tmp_path}")
+    df = article_rows(spark, [("a", "x", d, h) for d in range(1, 6) for h in (1, 2)])
+    news.append_articles(df, F.lit("r"), F.col("collection_timestamp"))
+    news.remove_duplicates("collected_articles", "url", "collection_timestamp")
+    plan = news.read("collected_articles", "2026-01-02", "2026-01-02")._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan" in line and "collection_timestamp" in line]
+    assert len(scans) == 2 and all("day" in line.split("PartitionFilters: [")[1].split("]")[0] for line in scans)
+
+
+def test_sketches_of_days(spark):
+    """Merged sketches stay within their error bound, whatever the days share."""
+    rows = spark.range(60_000).select(
+        F.concat(F.lit("u"), F.col("id") % 20_000).alias("url"), F.expr("TIMESTAMP_NTZ '2026-01-01' + make_dt_interval(CAST(id % 45 AS INT))").alias("collection_timestamp"))
+    daily = reports.daily_sketches(rows)
+    assert daily.count() == 45
+    got = {r.span.month: (r.articles, r.distinct_urls) for r in reports.distinct_urls(daily, F.trunc("day", "month")).collect()}
+    exact = {r.m: r.n for r in rows.groupBy(F.month("collection_timestamp").alias("m")).agg(F.count_distinct("url").alias("n")).collect()}
+    assert sum(n for n, _ in got.values()) == 60_000
+    assert all(abs(found - exact[m]) <= 0.03 * exact[m] for m, (_, found) in got.items())

@@ -55,3 +55,25 @@ def test_new_checkpoint_keeps_the_table(spark):
     # the checkpoint is lost: all files are read again, by batches that are numbered from 0
     incremental.append_new(stream(spark, source), "url", once, table, f"{base}/c2")
     assert sorted((r.url, r.n) for r in spark.read.parquet(table).collect()) == [("a", 2), ("b", 3), ("z", 9)]
+
+
+def test_keys_within_a_delay(spark):
+    """A key counts once within the delay, again after it, and its state goes; late rows are dropped."""
+    base = scratch_path(spark, "s")
+    source, out = f"{base}/in", f"{base}/out"
+
+    def run(*rows):
+        add(spark, source, *rows)
+        found = incremental.new_keys_within(stream(spark, source), "url", "at", "3 days")
+        query = found.writeStream.format("parquet").option("checkpointLocation", f"{base}/c").trigger(availableNow=True).start(out)
+        query.awaitTermination()
+        return sorted((r.url, r.n) for r in spark.read.parquet(out).collect()), [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]]
+
+    rows, _ = run(("a", 1), ("b", 2), ("c", 2))
+    assert rows == [("a", 1), ("b", 2), ("c", 2)]
+    rows, _ = run(("a", 3))  # within the delay
+    assert rows == [("a", 1), ("b", 2), ("c", 2)]
+    _, state = run(("d", 20))  # the watermark passes all others
+    assert state[-1] == 1
+    rows, _ = run(("a", 21), ("late", 5))
+    assert rows == [("a", 1), ("a", 21), ("b", 2), ("c", 2), ("d", 20)]

@@ -87,6 +87,26 @@ def test_keywords_and_summary(spark):
     assert found == {1: "Rain falls. Rain and rain on hills!", 2: "", 3: "", 4: "one"}
 
 
+def plain_central(t, k):
+    found = [s.strip() for s in re.findall(r"[^.!?\n]+[.!?]*", t or "")]
+    sets = [set(w.lower() for w in re.findall(r"[^\W\d_]+", s)) for s in found]
+    score = [sum(len(a & b) for j, b in enumerate(sets) if j != i) / math.sqrt(len(a)) if a else None for i, a in enumerate(sets)]
+    best = sorted((i for i, s in enumerate(score) if s is not None), key=lambda i: (-score[i], i))[:k]
+    return " ".join(found[i] for i in sorted(best))
+
+
+def test_central_summaries(spark):
+    pick = random.Random(9)
+    words = "rain hill green wind sea stone bird late early north".split()
+    texts = [" ".join(" ".join(pick.choice(words) for _ in range(pick.randrange(9))) + pick.choice([".", "!", "?", "\n", ". "]) for _ in range(pick.randrange(12))) for _ in range(120)]
+    texts += ["", None, "one", "Rain. Rain falls on the hills and on the sea. The hills are green. Sea and hills and rain.", "12. 13."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    got = {r.id: r.summary for r in text.central_summaries(docs, "id", "t", k=2).collect()}
+    assert [got[i] for i in range(len(texts))] == [plain_central(t, 2) for t in texts]
+    # a sentence of one frequent word does not come before one that shares several
+    assert got[len(texts) - 2] == "Rain falls on the hills and on the sea. Sea and hills and rain."
+
+
 def test_one_exchange(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     plan = text.keywords(docs, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()

@@ -87,6 +87,11 @@ def summaries(docs: DataFrame, id_col: str, text_col: str, k: int = 3, min_lengt
     scored = often.groupBy(id_col, "pos").agg((F.sum("n") / F.count("*")).alias("score"))
     place = F.row_number().over(Window.partitionBy(id_col).orderBy(F.desc("score"), "pos"))
     best = scored.withColumn("place", place).where(F.col("place") <= k)
+    return _chosen_sentences(placed, best, id_col, text_col)
+
+
+def _chosen_sentences(placed: DataFrame, best: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The sentences of each text at the places `pos` of `best`, joined in text order; both are partitioned by the id."""
     chosen = best.groupBy(id_col).agg(F.array_sort(F.collect_list("pos")).alias("_chosen"))
     # Both sides of the join have the partitioning by id and read the same exchange.
     full = placed.join(chosen, id_col, "left").withColumn("_sentences", sentences(F.col(text_col)))
@@ -94,6 +99,24 @@ def summaries(docs: DataFrame, id_col: str, text_col: str, k: int = 3, min_lengt
     return full.select(id_col, F.coalesce(text, F.lit("")).alias("summary"))
 
 
+def central_summaries(docs: DataFrame, id_col: str, text_col: str, k: int = 3, min_length: int = 1) -> DataFrame:
+    """The k most central sentences of each text, in text order; an earlier sentence wins a tie.
+
+    Sentences are the nodes of a graph, and two of them are linked by the distinct words that they share. A sentence's
+    centrality is the sum of its links' weights over the root of its number of distinct words: neither a sentence of one
+    frequent word nor a mere long one comes first. The sum of a sentence's links is the sum over its words of the number of
+    other sentences with the word, so the links themselves are never listed, and the work grows with the words of a text.
+    """
+    # The join below would infer this filter for one side only, and the exchange could not be shared.
+    placed = docs.select(id_col, text_col).where(F.col(id_col).isNotNull()).repartition(id_col)
+    sentence = placed.select(id_col, F.posexplode_outer(sentences(F.col(text_col))).alias("pos", "sentence"))
+    word = _each_word(sentence, "sentence", min_length, id_col, "pos").distinct()
+    shared = word.withColumn("n", F.count("*").over(Window.partitionBy(id_col, "word")) - 1)
+    scored = shared.groupBy(id_col, "pos").agg((F.sum("n") / F.sqrt(F.count("*"))).alias("score"))
+    place = F.row_number().over(Window.partitionBy(id_col).orderBy(F.desc("score"), "pos"))
+    return _chosen_sentences(placed, scored.withColumn("place", place).where(F.col("place") <= k), id_col, text_col)
+
+
 def sentiment(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, negators: list[str] | None = None) -> DataFrame:
     """`score` in [-1, 1] and `sentiment` of each text from the word values of `lexicon (word, val)`.
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -14,6 +16,7 @@ from wirelake import schemas
 from wirelake.functions.times import coerce_timestamp
 from wirelake.functions.words import label_as_list, label_list
 from wirelake.operators.keyed import first_per_key
+from wirelake.sources.rewrites import read_current, rewrite_days
 
 @dataclass(frozen=True)
 class Table:
@@ -91,8 +94,7 @@ class NewsStore:
         The bounds are put on the partition column too, so other partitions are not read.
         """
         table = TABLES[name]
-        stored = T.StructType([*table.schema.fields, T.StructField(table.period, T.DateType())])
-        df = self.spark.read.schema(stored).parquet(self.path(name))
+        df = read_current(self.spark, self.path(name), self._stored(name))
         part, at = F.col(table.period), F.to_date(table.time)
         if first is not None:
             day = F.lit(str(first)).cast("date")
@@ -102,6 +104,38 @@ class NewsStore:
             df = df.where((part <= day) & (at <= day))
         return df
 
+    def _stored(self, name: str) -> T.StructType:
+        table = TABLES[name]
+        return T.StructType([*table.schema.fields, T.StructField(table.period, T.DateType())])
+
+    def remove_duplicates(self, name: str, key: str, *order: str) -> int:
+        """Leaves the first row of each key in the order of these columns; returns the number of rows taken out.
+
+        Only days that hold a row to be taken out are written anew, and readers see the old rows or the new ones. Keys and
+        order columns of the whole table are read, whole rows only of those days. Equal rows count as repeated."""
+        table = TABLES[name]
+        period = table.period
+        columns = [F.col(c) for c in order]
+        narrow = self.read(name).select(key, *order, period)
+        firsts = first_per_key(narrow, key, *columns, F.col(period))
+        sizes = narrow.groupBy(period).agg(F.count("*").alias("n"))
+        left = firsts.groupBy(period).agg(F.count("*").alias("m"))
+        short = sizes.join(left, period, "left").where("n > coalesce(m, 0)").select(period, F.expr("n - coalesce(m, 0) AS gone")).collect()
+        if not short:
+            return 0
+        days = [row[period] for row in short]
+        taken = firsts.select(*[F.col(c).alias(f"first {c}") for c in (key, *order, period)])
+
+        def keep(rows: DataFrame) -> DataFrame:
+            same = [F.col(c).eqNullSafe(F.col(f"first {c}")) for c in (key, *order, period)]
+            return first_per_key(rows.join(taken, reduce(and_, same), "left_semi"), key, *columns)
+
+        def write(rows: DataFrame, path: str) -> int:
+            return write_partitioned(rows.drop(period), path, table.time, table.sort, period)
+
+        rewrite_days(self.spark, self.path(name), self._stored(name), period, days, keep, write)
+        return sum(row["gone"] for row in short)
+
     def append_articles(self, df: DataFrame, run_id: Column, at: Column) -> int:
         return self._append(stamp_articles(df, run_id, at), "collected_articles")
 

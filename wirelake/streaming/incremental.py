@@ -39,6 +39,18 @@ def new_keys(stream: DataFrame, key: str, spread: Column | None = None, places:
     return stream.withColumn("_place", place).dropDuplicates([key, "_place"]).drop("_place").dropDuplicates([key])
 
 
+def new_keys_within(stream: DataFrame, key: str, time: str, delay: str) -> DataFrame:
+    """The first row of each key within ``delay`` (like "30 days") of its time, with a state that is bounded by it.
+
+    A key is forgotten once the watermark (the newest time seen, less the delay) has passed its row's time plus the delay; a
+    row of the key that comes after that counts as new. Rows whose own time is behind the watermark are dropped. A null time
+    is dropped by no watermark, but the key is then never forgotten, so rows without a time are left out.
+    """
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    timed = stream.where(F.col(time).isNotNull()).withColumn("_event_time", F.col(time).cast("timestamp"))
+    return timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark([key]).drop("_event_time")
+
+
 def append_new(
     stream: DataFrame, key: str, once: Callable[[DataFrame], DataFrame], table: str, checkpoint: str
 ) -> None:
