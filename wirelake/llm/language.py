@@ -74,7 +74,8 @@ def learn_profiles(docs: DataFrame, profile: int = 400) -> DataFrame:
 
     counted = map_batches(docs.select("lang", "text"), count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    return counted.withColumn("place", place - 1).where(F.col("place") < profile).drop("n")
+    # the bare row number, for which Spark keeps ``profile`` rows of a language in each task before it sorts them together
+    return counted.withColumn("place", place).where(F.col("place") <= profile).withColumn("place", F.col("place") - 1).drop("n")
 
 
 class Profiles:
