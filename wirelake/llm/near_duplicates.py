@@ -12,7 +12,7 @@ forest of what it has found. Sets travel only for classes that have a near neigh
 
 Defined results: a null text, or one without words, has no shingles and is its own component; a text with fewer words than
 a shingle is one shingle; repeated rows are linked; a null doc_id never names a component that has another, and is kept
-only as its first row in a component of null ids; sets whose 64-bit hashes are equal are taken as equal. Other columns are
+only as its first row in a component of null ids; sets are told apart by two 64-bit hashes, rows by two others. Other columns are
 not looked at.
 """
 
@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wirelake.llm import rows as names
 from wirelake.llm.arrays import Spans, find_words, map_batches, map_in_tasks, mix, ranges, text_slices
 from wirelake.llm.components import components
 
@@ -89,8 +90,12 @@ def index_entries(signature: np.ndarray) -> np.ndarray:
 
 
 def _set_ids(hashes: np.ndarray, of: np.ndarray) -> np.ndarray:
+    return _set_hash(hashes, of, np.uint64(0xA5A5A5A5A5A5A5A5))
+
+
+def _set_hash(hashes: np.ndarray, of: np.ndarray, flip: np.uint64) -> np.ndarray:
     total = np.zeros(len(hashes) + 1, np.uint64)
-    np.cumsum(mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)), out=total[1:])
+    np.cumsum(mix(hashes ^ flip), out=total[1:])
     return mix(total[of[1:]] - total[of[:-1]] + np.diff(of).astype(np.uint64)).view(np.int64)
 
 
@@ -99,19 +104,30 @@ def _blobs(values: np.ndarray) -> pa.Array:
 
 
 def _describe(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, row (hash of id and text), n_shingles, set (its hash; null if empty), signature of each row."""
+    """doc_id, row (its name), n_shingles, set and check (two hashes of the set; null if empty), signature of each row."""
 
     def describe(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for row, end, data, offsets in text_slices(batch.column(2)):
             hashes, of = shingle_sets(data, offsets, size)
             n = np.diff(of)
-            ids = pa.array(_set_ids(hashes, of), mask=n == 0)
-            columns = [batch.column(0).slice(row, end - row), batch.column(1).slice(row, end - row), pa.array(n), ids, _blobs(signatures(hashes, of))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n_shingles", "set", "signature"])
+            ids = [pa.array(v, mask=n == 0) for v in (_set_ids(hashes, of), _set_hash(hashes, of, np.uint64(0x3C3C3C3C3C3C3C3C)))]
+            columns = [batch.column(0).slice(row, end - row), batch.column(1).slice(row, end - row), pa.array(n), *ids, _blobs(signatures(hashes, of))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n_shingles", "set", "check", "signature"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
-    return map_batches(rows, describe, f"doc_id {kind}, row long, n_shingles long, set long, signature binary")
+    rows = docs.select("doc_id", names.row_key(docs).alias("row"), "text")
+    return map_batches(rows, describe, f"doc_id {kind}, row {names.KEY}, n_shingles long, set long, check long, signature binary")
+
+
+def _told_apart(rows: DataFrame, folder: str) -> DataFrame:
+    """Rows whose ``set`` differs for unlike sets: of those with one hash, the least ``check`` keeps it, others get one of both.
+
+    The table of hashes that several sets have is all but empty, so Spark broadcasts it by its size."""
+    clash = rows.where("set IS NOT NULL").groupBy("set").agg(F.min("check").alias("least"), F.max("check").alias("most"))
+    clash.where("least < most").select("set", "least").write.parquet(f"{folder}/clashes")
+    known = rows.sparkSession.read.parquet(f"{folder}/clashes")
+    own = F.when(F.col("least") < F.col("check"), F.xxhash64("set", "check")).otherwise(F.col("set"))
+    return rows.join(known, "set", "left").withColumn("set", own).drop("check", "least")
 
 
 def _entries(sets: DataFrame) -> DataFrame:
@@ -237,7 +253,7 @@ def linked_sets(docs: DataFrame, folder: str, size: int, percent: int) -> tuple[
     """Described rows (``_describe``), and set, root of the sets that are linked with others."""
     spark = docs.sparkSession
     _describe(docs, size).write.parquet(f"{folder}/rows")
-    rows = spark.read.parquet(f"{folder}/rows")
+    rows = _told_apart(spark.read.parquet(f"{folder}/rows"), folder)
     sets = rows.where("set IS NOT NULL").groupBy("set").agg(
         F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"), F.min("row").alias("row")
     )
@@ -252,7 +268,7 @@ def linked_sets(docs: DataFrame, folder: str, size: int, percent: int) -> tuple[
     count = groups.groupBy("group").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("items"))
     count = count.select("group", F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.col("items") / BLOCK_ITEMS)).alias("blocks"))
     wanted = groups.join(count, "group").select("row", "set", "group", "blocks")
-    texts = docs.select(F.xxhash64("doc_id", "text").alias("row"), "text").join(wanted, "row")
+    texts = docs.select(names.row_key(docs).alias("row"), "text").join(wanted, "row")
 
     def shingles(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for row, end, data, offsets in text_slices(batch.column(0)):
@@ -280,9 +296,13 @@ def near_duplicates(docs: DataFrame, folder: str, size: int = 5, percent: int =
 
 
 def drop_near_duplicates(docs: DataFrame, folder: str, size: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each component, that with the smallest doc_id, with all columns. Texts without words stay; equal rows once."""
+    """One row of each component, that with the smallest doc_id, with all columns. Texts without words stay.
+
+    Of rows with equal doc_id and text one stays, that whose other columns come first as JSON."""
     found = near_duplicates(docs, folder, size, percent)
     first = found.where("component IS NOT NULL").groupBy("component").agg(F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("row"))
     stay = first.select("row").union(found.where("component IS NULL").select("row")).distinct()
-    whole = docs.select(F.xxhash64("doc_id", "text").alias("row"), F.struct("*").alias("doc"))
-    return whole.join(stay, "row", "left_semi").dropDuplicates(["row"]).select("doc.*")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    order = F.to_json(F.struct(*[docs[c] for c in others])) if others else F.lit("")
+    whole = docs.select(names.row_key(docs).alias("row"), order.alias("order"), F.struct("*").alias("doc"))
+    return whole.join(stay, "row", "left_semi").groupBy("row").agg(F.min_by("doc", "order").alias("doc")).select("doc.*")
