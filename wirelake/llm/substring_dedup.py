@@ -15,7 +15,7 @@ windows, each of which is an anchor of its own.
 
 Defined results: a null or empty text has no words; texts with fewer than ``size`` words lose nothing; repeated rows, also
 of one doc_id, are documents of their own and lose all that they share; windows overlap freely, also with themselves; texts
-are read whole; words are compared by a 64-bit hash; columns other than doc_id and text are not looked at.
+are read whole; words are compared by a 64-bit hash, rows and segments by two; columns other than doc_id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wirelake.llm import rows as names
 from wirelake.llm.arrays import Spans, Words, covered, find_words, joined, map_batches, map_in_tasks, mix, ranges, spaced, text_slices
 from wirelake.llm.fm_index import FMIndex
 
@@ -85,7 +86,8 @@ def segments(words: np.ndarray, of: np.ndarray, size: int) -> tuple[np.ndarray,
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
+    """key names a row until its segments are found, where a clash of two rows costs work only; key and check name its spans."""
+    return docs.select("doc_id", names.first_hash(docs).alias("key"), names.second_hash(docs).alias("check"), "text")
 
 
 def _segment_rows(docs: DataFrame, size: int) -> DataFrame:
@@ -103,15 +105,14 @@ def _segment_rows(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _cut_segments(batch: pa.RecordBatch, size: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """anchor, name (hash of its words), key and first word of the segments at the wanted places, and their texts on call.
+    """anchor, name (hash of its words), row and first word of the segments at the wanted places, and their texts on call.
 
-    batch: key, text, places. A segment of a hot anchor comes as single windows."""
-    keys = batch.column(0).to_numpy(zero_copy_only=False)
-    for row, end, data, offsets in text_slices(batch.column(1)):
+    batch: text, places. A segment of a hot anchor comes as single windows."""
+    for row, end, data, offsets in text_slices(batch.column(0)):
         found = find_words(data, offsets)
         words = Spans(data).hash(found.starts, found.ends)
         anchor, text, first, windows, _ = segments(words, found.of, size)
-        places = batch.column(2).slice(row, end - row)
+        places = batch.column(1).slice(row, end - row)
         wanted = np.concatenate([np.zeros(0, np.int64), places.flatten().to_numpy(zero_copy_only=False)])
         owner = np.repeat(np.arange(end - row), places.value_lengths().to_numpy(zero_copy_only=False))
         # a segment is known by its text and its place, as it was when it was counted
@@ -128,7 +129,7 @@ def _cut_segments(batch: pa.RecordBatch, size: int) -> Iterator[tuple[np.ndarray
             whole, at = spaced(data, found, np.ones(len(found.starts), bool))
             return [whole[i : j - 1] for i, j in zip(at[a[which]], at[b[which]], strict=True)]
 
-        yield np.where(hot, name, anchor).view(np.int64), name.view(np.int64), keys[row + text], first, texts
+        yield np.where(hot, name, anchor).view(np.int64), name.view(np.int64), row + text, first, texts
 
 
 def _segment_texts(rows: DataFrame, size: int) -> DataFrame:
@@ -144,13 +145,14 @@ def _segment_texts(rows: DataFrame, size: int) -> DataFrame:
 
 
 def _segment_places(rows: DataFrame, size: int) -> DataFrame:
-    """name, key, start: where the segments are."""
+    """anchor, name, key, check, start: where the segments are."""
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for _, name, key, first, _ in _cut_segments(batch, size):
-            yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(key), pa.array(first)], ["name", "key", "start"])
+        for anchor, name, row, first, _ in _cut_segments(batch, size):
+            columns = [pa.array(anchor), pa.array(name), batch.column(2).take(pa.array(row)), batch.column(3).take(pa.array(row)), pa.array(first)]
+            yield pa.RecordBatch.from_arrays(columns, ["anchor", "name", "key", "check", "start"])
 
-    return map_batches(rows, cut, "name long, key long, start long")
+    return map_batches(rows, cut, "anchor long, name long, key long, check long, start long")
 
 
 def _pair(text: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -173,7 +175,7 @@ class _Sequence:
 
 
 def _search(table: pa.Table, size: int) -> Iterator[pa.RecordBatch]:
-    """name, first, last: the repeated words of the distinct segments of a part of a shard (name, segment, copies)."""
+    """anchor, name, first, last: the repeated words of the distinct segments of a part of a shard (anchor, name, segment, copies)."""
     data, offsets = _buffer(table.column("segment"))
     found = find_words(data, offsets)
     words = Spans(data).hash(found.starts, found.ends)
@@ -193,7 +195,8 @@ def _search(table: pa.Table, size: int) -> Iterator[pa.RecordBatch]:
     start, stop = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
     home = np.searchsorted(begin, start, "right") - 1  # the segment; its last window starts before its end
     spans = [pa.array(start - begin[home], pa.int64()), pa.array(stop - begin[home] + size - 1, pa.int64())]
-    yield pa.RecordBatch.from_arrays([table.column("name").combine_chunks().take(pa.array(home)), *spans], ["name", "first", "last"])
+    named = [table.column(c).combine_chunks().take(pa.array(home)) for c in ("anchor", "name")]
+    yield pa.RecordBatch.from_arrays([*named, *spans], ["anchor", "name", "first", "last"])
 
 
 def _buffer(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -208,8 +211,8 @@ def _collapsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         if last is not None:
             batch = pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
-        names = batch.column("name").to_numpy(zero_copy_only=False)
-        first = np.flatnonzero(np.r_[True, names[1:] != names[:-1]])
+        anchors, found = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("anchor", "name"))
+        first = np.flatnonzero(np.r_[True, (found[1:] != found[:-1]) | (anchors[1:] != anchors[:-1])])
         copies = np.add.reduceat(batch.column("copies").to_numpy(zero_copy_only=False), first)
         batch = batch.take(pa.array(first)).set_column(3, "copies", pa.array(copies))
         last = batch.slice(batch.num_rows - 1)
@@ -243,25 +246,25 @@ def _shards(rows: DataFrame, size: int) -> DataFrame:
         if held:
             yield from _search(pa.Table.from_batches(held), size)
 
-    return map_in_tasks(placed, run, "name long, first long, last long")
+    return map_in_tasks(placed, run, "anchor long, name long, first long, last long")
 
 
 def repeated_spans(docs: DataFrame, size: int) -> DataFrame:
-    """key and spans (first word, end; as a flat list) of each document (doc_id, key, text) with repeated windows."""
+    """key, check and spans (first word, end; as a flat list) of each document (key, check, text) with repeated windows."""
     rows = _segment_rows(docs, size)
     recurring = rows.groupBy("anchor").agg(F.sum("occurs").alias("n")).where("n > 1")
     mark = F.when(F.col("n") > PART_ROWS, HOT).otherwise(0)
     places = rows.select("anchor", "key", "place").join(recurring, "anchor").select("key", F.col("place").bitwiseOR(mark).alias("place"))
-    texts = docs.join(places.groupBy("key").agg(F.collect_set("place").alias("places")), "key").select("key", "text", "places", "doc_id")
+    texts = docs.join(places.groupBy("key").agg(F.collect_set("place").alias("places")), "key").select("text", "places", "key", "check")
     spans = _shards(_segment_texts(texts, size), size)
-    found = _segment_places(texts, size).join(spans, "name")
-    found = found.select("key", F.array(F.col("start") + F.col("first"), F.col("start") + F.col("last")).alias("span"))
-    return found.groupBy("key").agg(F.flatten(F.collect_set("span")).alias("spans"))
+    found = _segment_places(texts, size).join(spans, ["anchor", "name"])
+    found = found.select("key", "check", F.array(F.col("start") + F.col("first"), F.col("start") + F.col("last")).alias("span"))
+    return found.groupBy("key", "check").agg(F.flatten(F.collect_set("span")).alias("spans"))
 
 
 def _with_removed(docs: DataFrame, size: int) -> DataFrame:
     keyed = _keyed(docs)
-    return keyed.join(repeated_spans(keyed, size), "key", "left").select("doc_id", "key", "text", "spans")
+    return keyed.join(repeated_spans(keyed, size), ["key", "check"], "left").select("doc_id", "key", "text", "spans")
 
 
 def _removed(places: pa.Array, found: Words) -> np.ndarray:
@@ -295,16 +298,16 @@ def cut_repeats(docs: DataFrame, size: int = 35) -> DataFrame:
 
     What stays keeps its white space; a text without repeated words is not changed."""
     keyed = _keyed(docs)
-    whole = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.struct("*").alias("doc"))
-    rows = whole.join(repeated_spans(keyed, size), "key", "left").select("doc.*", F.col("spans").alias("_repeated_spans"))
+    whole = docs.select(names.first_hash(docs).alias("key"), names.second_hash(docs).alias("check"), F.struct("*").alias("doc"))
+    rows = whole.join(repeated_spans(keyed, size), ["key", "check"], "left").select("doc.*", F.col("spans").alias("_repeated_spans"))
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        names = batch.schema.names[:-1]
+        columns = batch.schema.names[:-1]
         texts, lengths = [], []
-        at = names.index("text")
+        at = columns.index("text")
         for row, end, data, offsets in text_slices(batch.column(at)):
             found = find_words(data, offsets)
-            gone = _removed(batch.column(len(names)).slice(row, end - row), found)
+            gone = _removed(batch.column(len(columns)).slice(row, end - row), found)
             last = np.repeat(offsets[1:], found.counts)
             until = np.minimum(np.r_[found.starts[1:], len(data)], last)  # a word goes with the white space after it
             stays = ~covered(len(data), found.starts[gone], until[gone])
@@ -315,9 +318,9 @@ def cut_repeats(docs: DataFrame, size: int = 35) -> DataFrame:
             kept = left.tobytes()
             texts += [kept[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         new = {"text": pa.array(texts, pa.binary(), mask=batch.column(at).is_null().to_numpy(zero_copy_only=False)).cast(pa.string())}
-        if "n_chars" in names:
-            old = batch.column(names.index("n_chars"))
+        if "n_chars" in columns:
+            old = batch.column(columns.index("n_chars"))
             new["n_chars"] = pc.if_else(batch.column(at).is_null(), old, pa.array(np.concatenate([np.zeros(0, np.int64), *lengths])).cast(old.type))
-        yield pa.RecordBatch.from_arrays([new.get(name, batch.column(i)) for i, name in enumerate(names)], names)
+        yield pa.RecordBatch.from_arrays([new.get(name, batch.column(i)) for i, name in enumerate(columns)], columns)
 
     return map_batches(rows, cut, docs.schema)
