@@ -8,7 +8,7 @@ share its term; only matches are exploded.
 
 Defined results: a null or empty text has no words, is hit by nothing and is not contaminated; a null item_id counts as the
 item named by the empty string; equal phrases of several items count for each; repeated rows, also of one doc_id with
-different texts, are judged one by one; texts are indexed whole; columns that are not named here are not looked at.
+different texts, are judged one by one (a row is named by 128 bits); texts are indexed whole; columns that are not named here are not looked at.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wirelake.llm import rows
 from wirelake.llm.url_filter import lower_ascii
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -29,11 +30,6 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SEPARATORS), lambda word: word != "")
 
 
-def row_key(docs: DataFrame) -> Column:
-    """Names a row by its id and text; equal rows share it, and get equal results."""
-    return F.xxhash64(docs["doc_id"], docs["text"])
-
-
 def phrases(benchmark: DataFrame, size: int) -> DataFrame:
     """phrase (words), items: each window of ``size`` words of the items; all words of an item that has fewer."""
     items = benchmark.select(
@@ -72,7 +68,7 @@ def rarest_terms(tests: DataFrame, counts: DataFrame) -> DataFrame:
 def build_postings(docs: DataFrame, terms: DataFrame, reach: int) -> DataFrame:
     """term, key, at (from 0), around: a row for each occurrence of a listed term, with ``reach`` words on either side in
     lower case (A-Z). at_around: the term's place in them (from 0)."""
-    texts = docs.select(row_key(docs).alias("key"), words_of(docs["text"]).alias("words"))
+    texts = docs.select(rows.row_key(docs).alias("key"), words_of(docs["text"]).alias("words"))
     places = texts.select("key", "words", F.posexplode("words").alias("at", "word")).withColumn("term", F.lower("word"))
     first = F.greatest(F.col("at") - reach, F.lit(0))
     around = F.slice("words", first + 1, F.col("at") - first + reach + 1)
@@ -162,7 +158,7 @@ def judge_contamination(docs: DataFrame, benchmark: DataFrame, folder: str, size
     """doc_id, n_words, n_hit, n_items, items, n_near, near_items and contaminated (one word in ``share`` or more is hit) of each
     document. Proximity matches are reported and do not count as hits."""
     hits = contamination(docs, benchmark, folder, size)
-    texts = docs.select("doc_id", row_key(docs).alias("key"), F.size(words_of(docs["text"])).cast("long").alias("n_words"))
+    texts = docs.select("doc_id", rows.row_key(docs).alias("key"), F.size(words_of(docs["text"])).cast("long").alias("n_words"))
     none = F.lit(0).cast("long")
     return texts.join(hits, "key", "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", none).alias("n_hit"), F.coalesce("n_items", none).alias("n_items"),
@@ -174,7 +170,7 @@ def judge_contamination(docs: DataFrame, benchmark: DataFrame, folder: str, size
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, folder: str, size: int = 13, share: int = 20) -> DataFrame:
     """Documents that are not contaminated, with all their columns."""
-    words = docs.select(row_key(docs).alias("key"), F.size(words_of(docs["text"])).alias("n_words"))
+    words = docs.select(rows.row_key(docs).alias("key"), F.size(words_of(docs["text"])).alias("n_words"))
     bad = words.join(contamination(docs, benchmark, folder, size, proximity=False), "key").where(share * F.col("n_hit") >= F.col("n_words"))
-    whole = docs.select(row_key(docs).alias("key"), F.struct("*").alias("doc"))
+    whole = docs.select(rows.row_key(docs).alias("key"), F.struct("*").alias("doc"))
     return whole.join(bad.select("key").distinct(), "key", "left_anti").select("doc.*")
