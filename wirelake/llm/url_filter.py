@@ -4,7 +4,7 @@ The rules label the urls that they fit; the trees learn from those and judge the
 features, and the counts are weights. Above ``sample_rows`` distinct ones, each kind has a bound of its own: rows that are a
 large part of their kind stay, the others are drawn by a hash, and stand for all of their kind.
 Suffix statistics (how common the last one and two host labels are, and the smoothed share of blocked urls among the
-labelled ones) are counted over all rows.
+labelled ones, without the fold of the row's own url where it is labelled) are counted over all rows.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, fits no rule, and goes to the trees like
 any other; of rules of equal length that fit, block wins; repeated rows get equal verdicts; with labelled urls of one kind
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789-._/?&=%#:~+"
 SAMPLE_ROWS = 20_000
+FOLDS = 4  # parts of the labelled urls whose shares leave out their own part
 SAMPLE_PARTS = 8  # partitions of the sample, which is bounded
 FEATURES = [
     "length", "host_length", "path_length", "host_depth", "path_depth", "digit_ratio", "entropy", "parameters", "query_length",
@@ -87,13 +88,21 @@ def _lexical(urls: DataFrame) -> DataFrame:
 
 
 def _with_statistics(urls: DataFrame, kind: str) -> DataFrame:
-    """Rows of the same last labels, and the blocked share of the labelled ones (drawn to a half by one row of each kind)."""
-    label = F.col("label")
+    """Rows of the same last labels, and the blocked share of the labelled ones (drawn to a half by one row of each kind).
+
+    A labelled row gets the share of the folds that its url is not in, or the trees would read the label from the share."""
+    label, fold = F.col("label"), F.pmod(F.xxhash64("url"), F.lit(FOLDS)).cast("int")
+    by_fold = [F.when(fold == i, label) for i in range(FOLDS)]
     counted = urls.groupBy(kind).agg(
         F.log1p(F.count("*")).alias(f"{kind}_rows"),
-        ((F.coalesce(F.sum(label), F.lit(0.0)) + 1) / (F.count(label) + 2)).alias(f"{kind}_blocked"),
+        F.array(*[F.coalesce(F.sum(own), F.lit(0.0)) for own in by_fold]).alias("blocked"), F.array(*[F.count(own) for own in by_fold]).alias("labelled"),
     )
-    return urls.join(counted, kind)
+
+    def known(counts: str) -> Column:
+        total = F.aggregate(counts, F.lit(0.0), lambda a, n: a + n)
+        return total - F.when(label.isNull(), 0).otherwise(F.get(counts, fold))
+
+    return urls.join(counted, kind).withColumn(f"{kind}_blocked", (known("blocked") + 1) / (known("labelled") + 2)).drop("blocked", "labelled")
 
 
 def _sampled(labelled: DataFrame, known: dict[float, int], sample_rows: int) -> DataFrame:
@@ -127,14 +136,18 @@ def _sampled(labelled: DataFrame, known: dict[float, int], sample_rows: int) ->
 
 
 def judge_urls(
-    pages: DataFrame, rules: Sequence[tuple[str, str]], sample_rows: int = SAMPLE_ROWS, rounds: int = 20, depth: int = 4, seed: int = 7
+    pages: DataFrame, rules: Sequence[tuple[str, str]], sample_rows: int = SAMPLE_ROWS, rounds: int = 20, depth: int = 4, seed: int = 7,
+    learn: Column | None = None,
 ) -> DataFrame:
     """page_id, host, path, rule, verdict and the trees' score (probability of block) of every row.
 
-    rules: (allow or block, host and start of path). sample_rows: at most so many distinct labelled rows are learnt from."""
+    rules: (allow or block, host and start of path). sample_rows: at most so many distinct labelled rows are learnt from.
+    learn: which rows' labels may be learnt from (all if None), so that scores of the others can be held against their rules."""
     host, path = url_parts(F.col("url"))
     urls = pages.select("page_id", "url").withColumns({"host": host, "path": path})
     urls = urls.withColumn("found", rule_for(F.col("host"), F.col("path"), rules)).withColumn("label", F.col("found.block").cast("double"))
+    if learn is not None:
+        urls = urls.withColumn("label", F.when(learn, F.col("label")))
     known = {row["label"]: row["n"] for row in urls.where("label IS NOT NULL").groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(known) < 2:
         return _verdicts(urls.withColumn("score", F.lit(max(known, default=0.0))))
