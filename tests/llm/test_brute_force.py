@@ -28,6 +28,7 @@ from wirelake.llm.fm_index import FMIndex, WaveletMatrix
 from wirelake.llm.main_text import main_text
 from wirelake.llm.near_duplicates import CHUNKS, PARTS, index_entries, near_duplicates, shingle_sets, signatures
 from wirelake.llm.repetition import Limits, text_signals
+from wirelake.llm.rows import row_key
 from wirelake.llm.substring_dedup import cut_repeats, remove_repeats
 from wirelake.llm.suffixes import common_prefixes, sort_suffixes, suffix_array
 from wirelake.llm.token_counts import count_tokens
@@ -465,7 +466,7 @@ def test_proximity(spark):
     chosen = rarest_terms(tests, counts)
     assert chosen.first()["term"] == "rare"
     found = proximity_matches(build_postings(docs, chosen.select("term"), 4), by_term(chosen))
-    keys = docs.selectExpr("doc_id", "xxhash64(doc_id, text) AS key")
+    keys = docs.select("doc_id", row_key(docs).alias("key"))
     assert sorted(r["doc_id"] for r in found.join(keys, "key").collect()) == [1, 2]
 
 
