@@ -15,7 +15,7 @@ windows, each of which is an anchor of its own.
 
 Defined results: a null or empty text has no words; texts with fewer than ``size`` words lose nothing; repeated rows, also
 of one doc_id, are documents of their own and lose all that they share; windows overlap freely, also with themselves; texts
-are read whole; words are compared by a 64-bit hash, rows and segments by two; columns other than doc_id and text are not looked at.
+are read whole; words are compared by a 64-bit hash, rows by 96 bits; columns other than doc_id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wirelake.llm import rows as names
@@ -85,9 +85,14 @@ def segments(words: np.ndarray, of: np.ndarray, size: int) -> tuple[np.ndarray,
     return anchor[start], owner[start], at[start] - of[owner[start]], windows, occurs[group[start]]
 
 
+def _check(docs: DataFrame) -> Column:
+    """32 bits beside the key; a full second hash moves more bytes than the disk budget has."""
+    return names.second_hash(docs).bitwiseAND(0xFFFFFFFF)
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """key names a row until its segments are found, where a clash of two rows costs work only; key and check name its spans."""
-    return docs.select("doc_id", names.first_hash(docs).alias("key"), names.second_hash(docs).alias("check"), "text")
+    return docs.select("doc_id", names.first_hash(docs).alias("key"), _check(docs).alias("check"), "text")
 
 
 def _segment_rows(docs: DataFrame, size: int) -> DataFrame:
@@ -145,14 +150,14 @@ def _segment_texts(rows: DataFrame, size: int) -> DataFrame:
 
 
 def _segment_places(rows: DataFrame, size: int) -> DataFrame:
-    """anchor, name, key, check, start: where the segments are."""
+    """name, key, check, start: where the segments are."""
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for anchor, name, row, first, _ in _cut_segments(batch, size):
-            columns = [pa.array(anchor), pa.array(name), batch.column(2).take(pa.array(row)), batch.column(3).take(pa.array(row)), pa.array(first)]
-            yield pa.RecordBatch.from_arrays(columns, ["anchor", "name", "key", "check", "start"])
+        for _, name, row, first, _ in _cut_segments(batch, size):
+            columns = [pa.array(name), batch.column(2).take(pa.array(row)), batch.column(3).take(pa.array(row)), pa.array(first)]
+            yield pa.RecordBatch.from_arrays(columns, ["name", "key", "check", "start"])
 
-    return map_batches(rows, cut, "anchor long, name long, key long, check long, start long")
+    return map_batches(rows, cut, "name long, key long, check long, start long")
 
 
 def _pair(text: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -175,7 +180,7 @@ class _Sequence:
 
 
 def _search(table: pa.Table, size: int) -> Iterator[pa.RecordBatch]:
-    """anchor, name, first, last: the repeated words of the distinct segments of a part of a shard (anchor, name, segment, copies)."""
+    """name, first, last: the repeated words of the distinct segments of a part of a shard (name, segment, copies)."""
     data, offsets = _buffer(table.column("segment"))
     found = find_words(data, offsets)
     words = Spans(data).hash(found.starts, found.ends)
@@ -195,8 +200,7 @@ def _search(table: pa.Table, size: int) -> Iterator[pa.RecordBatch]:
     start, stop = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
     home = np.searchsorted(begin, start, "right") - 1  # the segment; its last window starts before its end
     spans = [pa.array(start - begin[home], pa.int64()), pa.array(stop - begin[home] + size - 1, pa.int64())]
-    named = [table.column(c).combine_chunks().take(pa.array(home)) for c in ("anchor", "name")]
-    yield pa.RecordBatch.from_arrays([*named, *spans], ["anchor", "name", "first", "last"])
+    yield pa.RecordBatch.from_arrays([table.column("name").combine_chunks().take(pa.array(home)), *spans], ["name", "first", "last"])
 
 
 def _buffer(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -246,7 +250,7 @@ def _shards(rows: DataFrame, size: int) -> DataFrame:
         if held:
             yield from _search(pa.Table.from_batches(held), size)
 
-    return map_in_tasks(placed, run, "anchor long, name long, first long, last long")
+    return map_in_tasks(placed, run, "name long, first long, last long")
 
 
 def repeated_spans(docs: DataFrame, size: int) -> DataFrame:
@@ -257,7 +261,7 @@ def repeated_spans(docs: DataFrame, size: int) -> DataFrame:
     places = rows.select("anchor", "key", "place").join(recurring, "anchor").select("key", F.col("place").bitwiseOR(mark).alias("place"))
     texts = docs.join(places.groupBy("key").agg(F.collect_set("place").alias("places")), "key").select("text", "places", "key", "check")
     spans = _shards(_segment_texts(texts, size), size)
-    found = _segment_places(texts, size).join(spans, ["anchor", "name"])
+    found = _segment_places(texts, size).join(spans, "name")
     found = found.select("key", "check", F.array(F.col("start") + F.col("first"), F.col("start") + F.col("last")).alias("span"))
     return found.groupBy("key", "check").agg(F.flatten(F.collect_set("span")).alias("spans"))
 
@@ -298,7 +302,7 @@ def cut_repeats(docs: DataFrame, size: int = 35) -> DataFrame:
 
     What stays keeps its white space; a text without repeated words is not changed."""
     keyed = _keyed(docs)
-    whole = docs.select(names.first_hash(docs).alias("key"), names.second_hash(docs).alias("check"), F.struct("*").alias("doc"))
+    whole = docs.select(names.first_hash(docs).alias("key"), _check(docs).alias("check"), F.struct("*").alias("doc"))
     rows = whole.join(repeated_spans(keyed, size), ["key", "check"], "left").select("doc.*", F.col("spans").alias("_repeated_spans"))
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
