@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalog.views import NEGATORS, RULES, StoredViews, Views
+from catalog.views import BY_MONTH, NEGATORS, RULES, StoredViews, Views
 from wirelake import schemas
 from wirelake.functions import links, times, words
 from wirelake.functions.html import has_content, semantic, visible
@@ -167,10 +167,10 @@ def latest_run_stages(v: Views) -> DataFrame:
 
 @query
 def store_layout(v: Views) -> DataFrame:
-    news = store.NewsStore(v.spark, scratch_path(v.spark, "store"))
+    news = store.NewsStore(v.spark, scratch_path(v.spark, "store"), BY_MONTH)
     news.create_tables()
     news.append_articles(v.collected_articles(), F.col("run_id"), F.col("collection_timestamp"))
-    return news.read("collected_articles").groupBy("day").agg(
+    return news.read("collected_articles").groupBy(F.to_date("collection_timestamp").alias("day")).agg(
         F.count("*").alias("n"), F.count_distinct("url").alias("urls")
     )
 
@@ -229,14 +229,15 @@ def run_ids(v: Views) -> DataFrame:
 def dedup_rewrite(v: Views) -> DataFrame:
     path = scratch_path(v.spark, "rewrite")
     store.rewrite_without_duplicates(
-        v.collected_articles(), path, "url", "collection_timestamp", F.asc("collection_timestamp"), F.asc("doc_id"))
+        v.collected_articles(), path, "url", "collection_timestamp", F.asc("collection_timestamp"), F.asc("doc_id"),
+        period=BY_MONTH["collected_articles"])
     return v.spark.read.parquet(path).select("url", "doc_id", "title", "run_id", "collection_timestamp")
 
 
 @query
 def dedup_in_place(v: Views) -> DataFrame:
-    """Articles stored in two runs, of which the second repeats urls of the first; duplicates leave the days that hold them."""
-    news = store.NewsStore(v.spark, scratch_path(v.spark, "store"))
+    """Articles stored in two runs, of which the second repeats urls of the first; duplicates leave the months that hold them."""
+    news = store.NewsStore(v.spark, scratch_path(v.spark, "store"), BY_MONTH)
     table = v.collected_articles()
     for part in ("doc_id % 3 <> 0", "doc_id % 3 = 0"):
         news.append_articles(table.where(part), F.col("run_id"), F.col("collection_timestamp"))

@@ -17,6 +17,8 @@ from wirelake.sources.store import NewsStore
 LEXICON = [("the", 1.9), ("of", -1.5), ("and", 0.8), ("that", -2.1), ("der", -0.9), ("une", 1.2)]
 NEGATORS = ["in", "en", "no", "nicht"]
 RULES = Rules(boosters={"the": 0.293, "of": -0.293, "is": 0.4}, negators=tuple(NEGATORS), contrast="or")
+# One store takes the articles of all days at once, so a day has few rows of it.
+BY_MONTH = {"collected_articles": "month"}
 # References with and without semicolon, numbered ones, ones that must not be read twice, and what is none.
 REFERENCES = "caf&eacute; &euro;5 &#38;lt; &amp;amp; &copy2024 &notit; &notin; &#x41;&#66 &#150; &bogus; AT&T &; &Aacute&nbsp;x &hellip;"
 

@@ -1,8 +1,10 @@
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from catalog.queries import QUERIES
 from wirelake import schemas
 from wirelake.session import scratch_path
 from wirelake.plans import reports
@@ -223,3 +225,32 @@ def test_sketches_of_days(spark):
     exact = {r.m: r.n for r in rows.groupBy(F.month("collection_timestamp").alias("m")).agg(F.count_distinct("url").alias("n")).collect()}
     assert sum(n for n, _ in got.values()) == 60_000
     assert all(abs(found - exact[m]) <= 0.03 * exact[m] for m, (_, found) in got.items())
+
+
+def test_periods_of_a_store(spark, tmp_path):
+    """Days of few rows share a month: files, duplicates, questions and a table that is there before its rows."""
+    news = store.NewsStore(spark, f"file://{tmp_path}", {"collected_articles": "month"})
+    news.create_tables()
+    rows = spark.range(240).select(
+        F.concat(F.lit("u"), F.col("id") % 200).alias("url"), F.col("id").cast("string").alias("title"),
+        F.expr("TIMESTAMP_NTZ '2026-01-01 12:00:00' + make_dt_interval(CAST(id % 60 AS INT))").alias("collection_timestamp"))
+    news.append_articles(rows, F.lit("r"), F.col("collection_timestamp"))
+    assert {p.split("/")[0] for p in stored_files(tmp_path / "collected_articles")} == {"month=2026-01-01", "month=2026-02-01", "month=2026-03-01"}
+    assert news.remove_duplicates("collected_articles", "url", "collection_timestamp", "title") == 40
+    kept = news.read("collected_articles")
+    assert kept.columns == [*schemas.ARTICLES.names, "month"] and kept.count() == kept.select("url").distinct().count() == 200
+    assert news.read("collected_articles", "2026-02-03", "2026-02-04").select(F.to_date("collection_timestamp")).distinct().count() == 2
+    day = reports.collected_on_day(news.read("collected_articles"), F.lit("2026-02-03").cast("date"))
+    assert "PartitionFilters: [isnotnull(month" in day._jdf.queryExecution().executedPlan().toString()
+    assert day.first().articles == news.read("collected_articles").where("to_date(collection_timestamp) = DATE '2026-02-03'").count() > 0
+
+
+@pytest.mark.parametrize("name", ["dedup_in_place", "dedup_rewrite"])
+def test_stored_articles_take_a_file_a_month_not_a_day(spark, tmp_path, name):
+    """4,000 documents are 112 days, in four months and a half."""
+    words = F.concat(F.lit("some text "), F.col("id"))
+    spark.range(4000).select(F.col("id").alias("doc_id"), words.alias("text"), F.length(words).cast("long").alias("n_chars")).write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES[name](spark, str(tmp_path))
+    folders = {Path(f).parent.name for f in found.inputFiles() if "/collected_articles.commits/" not in f}
+    assert folders <= {f"month=2024-0{m}-01" for m in range(1, 6)} and folders
+    assert found.count() == 3600

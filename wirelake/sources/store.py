@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 from functools import reduce
 from operator import and_
@@ -52,24 +52,30 @@ def write_partitioned(df: DataFrame, path: str, time: str, sort: str, period: st
 
 
 class NewsStore:
-    """The append-only tables under one root folder."""
+    """The append-only tables under one root folder.
 
-    def __init__(self, spark: SparkSession, root: str):
+    `periods` gives tables another partition than TABLES does: a table of many days with few rows each, as a backfill leaves
+    it, costs a file a day, so its time goes by its days and not by its rows; such a table is better kept by "month". A
+    store is always opened with the periods that it was begun with.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, periods: dict[str, str] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.tables = {name: replace(table, period=(periods or {}).get(name, table.period)) for name, table in TABLES.items()}
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
     def create_tables(self) -> None:
         """Writes each table that does not exist yet, without rows."""
-        for name, table in TABLES.items():
+        for name, table in self.tables.items():
             if not self._exists(name):
                 self._append(self.spark.createDataFrame([], table.schema), name)
 
     def _exists(self, name: str) -> bool:
         try:
-            self.spark.read.schema(TABLES[name].schema).parquet(self.path(name)).schema
+            self.spark.read.schema(self.tables[name].schema).parquet(self.path(name)).schema
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return False
@@ -85,7 +91,7 @@ class NewsStore:
         return rows.where(F.col("run_id") == run_id).where(where).count()
 
     def _append(self, df: DataFrame, name: str) -> int:
-        table = TABLES[name]
+        table = self.tables[name]
         return write_partitioned(schemas.conform(df, table.schema), self.path(name), table.time, table.sort, table.period)
 
     def read(self, name: str, first: date | str | None = None, last: date | str | None = None) -> DataFrame:
@@ -93,7 +99,7 @@ class NewsStore:
 
         The bounds are put on the partition column too, so other partitions are not read.
         """
-        table = TABLES[name]
+        table = self.tables[name]
         df = read_current(self.spark, self.path(name), self._stored(name))
         part, at = F.col(table.period), F.to_date(table.time)
         if first is not None:
@@ -105,15 +111,15 @@ class NewsStore:
         return df
 
     def _stored(self, name: str) -> T.StructType:
-        table = TABLES[name]
+        table = self.tables[name]
         return T.StructType([*table.schema.fields, T.StructField(table.period, T.DateType())])
 
     def remove_duplicates(self, name: str, key: str, *order: str) -> int:
         """Leaves the first row of each key in the order of these columns; returns the number of rows taken out.
 
-        Only days that hold a row to be taken out are written anew, and readers see the old rows or the new ones. Keys and
+        Only days (or months, by the table's period) that hold a row to be taken out are written anew, and readers see the old rows or the new ones. Keys and
         order columns of the whole table are read, whole rows only of those days. Equal rows count as repeated."""
-        table = TABLES[name]
+        table = self.tables[name]
         period = table.period
         columns = [F.col(c) for c in order]
         narrow = self.read(name).select(key, *order, period)
@@ -186,9 +192,9 @@ def stamp_enrichments(df: DataFrame, run_id: Column, at: Column, version: str =
     return schemas.conform(df, schemas.ENRICHMENTS)
 
 
-def rewrite_without_duplicates(df: DataFrame, path: str, key: str, time: str, *order: Column) -> int:
+def rewrite_without_duplicates(df: DataFrame, path: str, key: str, time: str, *order: Column, period: str = "day") -> int:
     """Writes the first row of each key to a new path; the caller swaps the paths afterwards."""
-    return write_partitioned(first_per_key(df, key, *order), path, time, key, mode="errorifexists")
+    return write_partitioned(first_per_key(df, key, *order), path, time, key, period, mode="errorifexists")
 
 
 def storage_size(df: DataFrame) -> DataFrame:
