@@ -272,6 +272,6 @@ class StoredViews(Views):
     """The same views, with the articles written to a store and read from there."""
 
     def collected_articles(self) -> DataFrame:
-        news = NewsStore(self.spark, scratch_path(self.spark, "store"))
+        news = NewsStore(self.spark, scratch_path(self.spark, "store"), BY_MONTH)
         news.append_articles(super().collected_articles(), F.col("run_id"), F.col("collection_timestamp"))
         return news.read("collected_articles")
