@@ -1,6 +1,8 @@
 import math
 import random
 import re
+from collections import Counter
+from itertools import zip_longest
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,6 +119,42 @@ def test_one_exchange(spark, data):
     assert final.count("FileScan") == 1 and "ReusedExchange" in final
 
 
+@pytest.mark.parametrize("job", [text.keywords])
+def test_memory_of_a_task_is_that_of_its_texts(spark, job):
+    """A task sorts its texts by id, and no table of its words and no sort of them grows with the partition."""
+    docs = spark.createDataFrame([(i, f"a b{i}. c a") for i in range(50)], "id int, t string")
+    found = job(docs, "id", "t")
+    found.collect()
+    final = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert not any(step in final for step in ("HashAggregate", "SortAggregate", "Window", "Generate")) and "MapInArrow" in final
+
+
+def test_texts_across_batches(spark):
+    """Ids that come several times, also over many batches, nulls, ties, long words; the texts of an id count together."""
+    pick = random.Random(4)
+    some = ["Rain rain on hills. Hills.", "b a. c", "", None, "12 34", "É été ÉTÉ. x", "sea wind sea? no"]
+    rows = [(pick.choice([None, *range(6)]), pick.choice(some)) for _ in range(90)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        docs = spark.createDataFrame(rows, "id int, t string")
+        got = {r.id: r.keywords for r in text.keywords(docs, "id", "t", k=4, min_length=2, stopwords=["no"]).collect()}
+        told = text.summaries(docs, "id", "t", k=2).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    counts = {i: Counter(w for j, t in rows if j == i for w in re.findall(r"[^\W\d_]{2,}", (t or "").lower()) if w != "no") for i, _ in rows}
+    assert got == {i: ", ".join(sorted(c, key=lambda w: (-c[w], w.encode()))[:4]) for i, c in counts.items() if c}
+    wanted = []
+    for i in range(6):
+        lists = [[s.strip() for s in re.findall(r"[^.!?\n]+[.!?]*", t or "")] for j, t in rows if j == i]
+        joined = [[w for a in column if a for w in re.findall(r"[^\W\d_]+", a.lower())] for column in zip_longest(*lists)]
+        often = Counter(w for words in joined for w in words)
+        score = {n: sum(often[w] for w in words) / len(words) for n, words in enumerate(joined) if words}
+        best = sorted(sorted(score, key=lambda n: (-score[n], n))[:2])
+        wanted += [(i, " ".join(own[n] for n in best if n < len(own))) for own in lists]
+    assert Counter((r.id, r.summary) for r in told) == Counter(wanted)
+
+
 LONG = "word " * 30
 PAGES = {
     "semantic": f"<html><script>var t='<article>{LONG}</article>'</script><article><p>{LONG}&amp; more</p></article>",

@@ -1,16 +1,21 @@
 """Keywords, summaries and sentiment of texts.
 
 `id_col` is unique and not null. Keywords and summaries move each text once, by its id; counting, ranking and scoring then
-stay inside the partitions. (Counting the sorted words of a row without a shuffle took four times as long, because Spark
-interprets functions of list items.) Sentiment moves only one partial sum per text.
+take some texts at a time, in Arrow batches, so a task's memory does not hold the words of its whole partition. (Counting
+the sorted words of a row with Spark's functions of list items took four times as long, because Spark interprets them.)
+Sentiment moves only one partial sum per text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import add, or_
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +27,7 @@ NEGATED = -0.74
 SPREAD = 15.0
 # Fixed value: scores beyond this on either side are positive or negative.
 THRESHOLD = 0.1
+SLICE = 4_000_000  # characters of the texts that are counted together
 NEGATORS = ["not", "no", "never", "none", "nobody", "nothing", "neither", "nor", "cannot", "without"]
 
 
@@ -65,16 +71,80 @@ def _each_word(df: DataFrame, text_col: str, min_length: int, *keep: str) -> Dat
     return word.where(F.length("word") >= min_length)
 
 
+def _by_text(placed: DataFrame, id_col: str, text_col: str, listed: Column, work: Callable, out: str) -> DataFrame:
+    """Applies `work` inside the tasks to Arrow batches of whole ids.
+
+    Rows, partitioned by id, are sorted by it, so that a task holds the batch at hand and not the words of other texts. `work`
+    takes the ids, `listed`, which is made after the sort, and the number of each row's id within the batch. It is pickled
+    by value and so must not call functions of this package, which an executor may not have.
+    """
+    made = placed.sortWithinPartitions(id_col).select(id_col, F.coalesce(F.length(text_col), F.lit(0)).alias("_size"), listed.alias("_listed"))
+    at_once = SLICE
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Batches that end where an id ends."""
+        held: list[pa.RecordBatch] = []  # of one id, which may go on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = batch.column(0)
+            begun = len(ids) - 1
+            if held and ids[0].as_py() == ids[begun].as_py() == held[0].column(0)[0].as_py():
+                held.append(batch)
+                continue
+            codes = pc.dictionary_encode(ids, null_encoding="encode").indices.to_numpy()
+            begun = int(np.flatnonzero(codes != codes[-1])[-1]) + 1 if (codes != codes[-1]).any() else 0
+            done = [*held, batch.slice(0, begun)]
+            held = [batch.slice(begun)]
+            yield from pa.Table.from_batches(done).combine_chunks().to_batches()
+        if held:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in whole(batches):
+            if not batch.num_rows:
+                continue
+            codes = pc.dictionary_encode(batch.column(0), null_encoding="encode").indices.to_numpy()
+            first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+            filled = np.cumsum(batch.column(1).to_numpy(zero_copy_only=False), dtype=np.int64)[first] // at_once
+            cuts = [*first[np.flatnonzero(np.r_[True, filled[1:] != filled[:-1]])], batch.num_rows]
+            for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+                part = batch.slice(start, end - start)
+                mine = codes[start:end]
+                number = np.cumsum(np.r_[False, mine[1:] != mine[:-1]])
+                yield work(part.column(0), part.column(2), number)
+
+    kind = placed.schema[id_col].dataType.simpleString()
+    return made.mapInArrow(run, f"`{id_col}` {kind}, {out}")
+
+
 def keywords(docs: DataFrame, id_col: str, text_col: str, k: int = 10, min_length: int = 1, stopwords: list[str] | None = None) -> DataFrame:
     """The k most frequent words of each text, joined by ", "; equal counts in alphabetical order."""
-    word = _each_word(docs.select(id_col, text_col).repartition(id_col), text_col, min_length, id_col)
-    if stopwords:
-        word = word.where(~F.col("word").isin(stopwords))
-    counts = word.groupBy(id_col, "word").agg(F.count("*").alias("n"))
-    place = F.row_number().over(Window.partitionBy(id_col).orderBy(F.desc("n"), "word"))
-    top = counts.withColumn("place", place).where(F.col("place") <= k)
-    listed = F.array_sort(F.collect_list(F.struct("place", "word")))
-    return top.groupBy(id_col).agg(F.array_join(F.transform(listed, lambda s: s["word"]), ", ").alias("keywords"))
+    ignored = [w for w in stopwords or [] if w is not None]
+
+    def count(ids: pa.Array, lists: pa.Array, text: np.ndarray) -> pa.RecordBatch:
+        of = np.repeat(text, pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+        coded = lists.flatten().dictionary_encode()
+        known, code = coded.dictionary, coded.indices.to_numpy()
+        wanted = pc.and_(pc.greater_equal(pc.utf8_length(known), min_length), pc.invert(pc.is_in(known, value_set=pa.array(ignored, known.type))))
+        order = pc.sort_indices(known).to_numpy()  # by bytes, as Spark sorts
+        rank = np.empty(len(known), np.int64)
+        rank[order] = np.arange(len(known))
+        stays = wanted.to_numpy(zero_copy_only=False)[code]
+        pairs, n = np.unique(of[stays] * max(len(known), 1) + rank[code[stays]], return_counts=True)
+        owner, word = np.divmod(pairs, max(len(known), 1))
+        best = np.lexsort((word, -n, owner))
+        owner, word = owner[best], word[best]
+        first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, np.int64)
+        place = np.arange(len(owner)) - np.repeat(first, np.diff(np.r_[first, len(owner)]))
+        owner, word = owner[place < k], word[place < k]
+        texts, sizes = np.unique(owner, return_counts=True)
+        joined = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), known.take(pa.array(order[word])))
+        row = np.searchsorted(text, texts)
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(row)), pc.binary_join(joined, ", ")], [id_col, "keywords"])
+
+    placed = docs.select(id_col, text_col).repartition(id_col)
+    return _by_text(placed, id_col, text_col, words(F.col(text_col)), count, "keywords string")
 
 
 def summaries(docs: DataFrame, id_col: str, text_col: str, k: int = 3, min_length: int = 1) -> DataFrame:
