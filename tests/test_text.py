@@ -119,7 +119,7 @@ def test_one_exchange(spark, data):
     assert final.count("FileScan") == 1 and "ReusedExchange" in final
 
 
-@pytest.mark.parametrize("job", [text.keywords])
+@pytest.mark.parametrize("job", [text.keywords, text.central_summaries, text.summaries])
 def test_memory_of_a_task_is_that_of_its_texts(spark, job):
     """A task sorts its texts by id, and no table of its words and no sort of them grows with the partition."""
     docs = spark.createDataFrame([(i, f"a b{i}. c a") for i in range(50)], "id int, t string")

@@ -16,7 +16,7 @@ from operator import add, or_
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wirelake.functions.words import cased_words, sentences, words
@@ -62,15 +62,6 @@ class Rules:
 RULES = Rules()
 
 
-def _each_word(df: DataFrame, text_col: str, min_length: int, *keep: str) -> DataFrame:
-    """One row per word of at least `min_length` letters.
-
-    The outer form of explode, because the inner one makes Spark infer a filter that splits the text twice.
-    """
-    word = df.select(*keep, F.explode_outer(words(F.col(text_col))).alias("word"))
-    return word.where(F.length("word") >= min_length)
-
-
 def _by_text(placed: DataFrame, id_col: str, text_col: str, listed: Column, work: Callable, out: str) -> DataFrame:
     """Applies `work` inside the tasks to Arrow batches of whole ids.
 
@@ -149,24 +140,13 @@ def keywords(docs: DataFrame, id_col: str, text_col: str, k: int = 10, min_lengt
 
 def summaries(docs: DataFrame, id_col: str, text_col: str, k: int = 3, min_length: int = 1) -> DataFrame:
     """The k sentences with the highest mean word frequency, in text order; an earlier sentence wins a tie."""
-    # The join below would infer this filter for one side only, and the exchange could not be shared.
-    placed = docs.select(id_col, text_col).where(F.col(id_col).isNotNull()).repartition(id_col)
-    sentence = placed.select(id_col, F.posexplode_outer(sentences(F.col(text_col))).alias("pos", "sentence"))
-    word = _each_word(sentence, "sentence", min_length, id_col, "pos")
-    often = word.withColumn("n", F.count("*").over(Window.partitionBy(id_col, "word")))
-    scored = often.groupBy(id_col, "pos").agg((F.sum("n") / F.count("*")).alias("score"))
-    place = F.row_number().over(Window.partitionBy(id_col).orderBy(F.desc("score"), "pos"))
-    best = scored.withColumn("place", place).where(F.col("place") <= k)
-    return _chosen_sentences(placed, best, id_col, text_col)
-
-
-def _chosen_sentences(placed: DataFrame, best: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The sentences of each text at the places `pos` of `best`, joined in text order; both are partitioned by the id."""
-    chosen = best.groupBy(id_col).agg(F.array_sort(F.collect_list("pos")).alias("_chosen"))
-    # Both sides of the join have the partitioning by id and read the same exchange.
-    full = placed.join(chosen, id_col, "left").withColumn("_sentences", sentences(F.col(text_col)))
-    text = F.array_join(F.transform("_chosen", lambda p: F.get("_sentences", p)), " ")
-    return full.select(id_col, F.coalesce(text, F.lit("")).alias("summary"))
+
+    def mean_frequency(text: np.ndarray, sentence: np.ndarray, word: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
+        of, n = np.unique(text * number + word, return_inverse=True, return_counts=True)[1:]
+        size = np.bincount(sentence)
+        return np.bincount(sentence, n[of]) / np.maximum(size, 1), size
+
+    return _best_sentences(docs, id_col, text_col, k, min_length, mean_frequency)
 
 
 def central_summaries(docs: DataFrame, id_col: str, text_col: str, k: int = 3, min_length: int = 1) -> DataFrame:
@@ -177,14 +157,51 @@ def central_summaries(docs: DataFrame, id_col: str, text_col: str, k: int = 3, m
     frequent word nor a mere long one comes first. The sum of a sentence's links is the sum over its words of the number of
     other sentences with the word, so the links themselves are never listed, and the work grows with the words of a text.
     """
+
+    def centrality(text: np.ndarray, sentence: np.ndarray, word: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
+        one = np.unique(sentence * number + word, return_index=True)[1]
+        text, sentence, word = text[one], sentence[one], word[one]
+        of, n = np.unique(text * number + word, return_inverse=True, return_counts=True)[1:]
+        size = np.bincount(sentence)
+        return np.bincount(sentence, n[of] - 1) / np.sqrt(np.maximum(size, 1)), size
+
+    return _best_sentences(docs, id_col, text_col, k, min_length, centrality)
+
+
+def _best_sentences(docs: DataFrame, id_col: str, text_col: str, k: int, min_length: int, score: Callable) -> DataFrame:
+    """The k sentences of each text with the highest `score`, joined in text order; an earlier sentence wins a tie.
+
+    `score` takes the text, the sentence and the code of each word, and the number of codes; it returns the score and the
+    words of each sentence. Rows of one id count as one text, whose n-th sentence has the words of all its n-th sentences.
+    """
+
+    def choose(ids: pa.Array, lists: pa.Array, text: np.ndarray) -> pa.RecordBatch:
+        listed = lists.flatten()  # the words of each sentence
+        length = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        row = np.repeat(np.arange(len(length)), length)
+        pos = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
+        most = int(length.max(initial=0)) + 1
+        node, which = np.unique(text[row] * most + pos, return_inverse=True)
+        coded = listed.flatten().dictionary_encode()
+        code = coded.indices.to_numpy().astype(np.int64)
+        long = pc.greater_equal(pc.utf8_length(coded.dictionary), min_length).to_numpy(zero_copy_only=False)[code]
+        of = np.repeat(which, pc.list_value_length(listed).to_numpy(zero_copy_only=False))[long]
+        owner, place = np.divmod(node, most)
+        points, size = score(owner[of], of, code[long], max(len(coded.dictionary), 1))
+        rated = np.flatnonzero(size)
+        best = rated[np.lexsort((place[rated], -points[rated], owner[rated]))]
+        chosen = np.sort(best[np.arange(len(best)) - np.searchsorted(owner[best], owner[best]) < k])
+        texts, sizes = np.unique(owner[chosen], return_counts=True)
+        places = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), pa.array(place[chosen], pa.int32()))
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(np.searchsorted(text, texts))), places], [id_col, "_chosen"])
+
     # The join below would infer this filter for one side only, and the exchange could not be shared.
     placed = docs.select(id_col, text_col).where(F.col(id_col).isNotNull()).repartition(id_col)
-    sentence = placed.select(id_col, F.posexplode_outer(sentences(F.col(text_col))).alias("pos", "sentence"))
-    word = _each_word(sentence, "sentence", min_length, id_col, "pos").distinct()
-    shared = word.withColumn("n", F.count("*").over(Window.partitionBy(id_col, "word")) - 1)
-    scored = shared.groupBy(id_col, "pos").agg((F.sum("n") / F.sqrt(F.count("*"))).alias("score"))
-    place = F.row_number().over(Window.partitionBy(id_col).orderBy(F.desc("score"), "pos"))
-    return _chosen_sentences(placed, scored.withColumn("place", place).where(F.col("place") <= k), id_col, text_col)
+    chosen = _by_text(placed, id_col, text_col, F.transform(sentences(F.col(text_col)), words), choose, "_chosen array<int>")
+    # One side reads the texts from the exchange of the other; only places are moved for the join.
+    full = placed.join(chosen, id_col, "left").withColumn("_sentences", sentences(F.col(text_col)))
+    text = F.array_join(F.transform("_chosen", lambda p: F.get("_sentences", p)), " ")
+    return full.select(id_col, F.coalesce(text, F.lit("")).alias("summary"))
 
 
 def sentiment(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, negators: list[str] | None = None) -> DataFrame:
