@@ -90,9 +90,11 @@ def _check(docs: DataFrame) -> Column:
     return names.second_hash(docs).bitwiseAND(0xFFFFFFFF)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """key names a row until its segments are found, where a clash of two rows costs work only; key and check name its spans."""
-    return docs.select("doc_id", names.first_hash(docs).alias("key"), _check(docs).alias("check"), "text")
+def _keyed(docs: DataFrame, *columns: str) -> DataFrame:
+    """key names a row until its segments are found, where a clash of two rows costs work only; key and check name its spans.
+
+    Whole rows are moved by key alone and with all that is needed of them (doc), so that the texts move once for both joins."""
+    return docs.select(names.first_hash(docs).alias("key"), _check(docs).alias("check"), F.struct(*columns).alias("doc"))
 
 
 def _segment_rows(docs: DataFrame, size: int) -> DataFrame:
@@ -106,14 +108,14 @@ def _segment_rows(docs: DataFrame, size: int) -> DataFrame:
             columns = [anchor.view(np.int64), keys[row + text], (first << 8) | windows, occurs]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["anchor", "key", "place", "occurs"])
 
-    return map_batches(docs.select("key", "text"), cut, "anchor long, key long, place long, occurs long")
+    return map_batches(docs.select("key", "doc.text"), cut, "anchor long, key long, place long, occurs long")
 
 
 def _cut_segments(batch: pa.RecordBatch, size: int) -> Iterator[tuple[np.ndarray, ...]]:
     """anchor, name (hash of its words), row and first word of the segments at the wanted places, and their texts on call.
 
-    batch: text, places. A segment of a hot anchor comes as single windows."""
-    for row, end, data, offsets in text_slices(batch.column(0)):
+    batch: doc (with its text), places. A segment of a hot anchor comes as single windows."""
+    for row, end, data, offsets in text_slices(pc.struct_field(batch.column(0), "text")):
         found = find_words(data, offsets)
         words = Spans(data).hash(found.starts, found.ends)
         anchor, text, first, windows, _ = segments(words, found.of, size)
@@ -254,21 +256,22 @@ def _shards(rows: DataFrame, size: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, size: int) -> DataFrame:
-    """key, check and spans (first word, end; as a flat list) of each document (key, check, text) with repeated windows."""
+    """key and spans (check; first word and end) of the documents (key, check, doc with its text) with repeated windows."""
     rows = _segment_rows(docs, size)
     recurring = rows.groupBy("anchor").agg(F.sum("occurs").alias("n")).where("n > 1")
     mark = F.when(F.col("n") > PART_ROWS, HOT).otherwise(0)
     places = rows.select("anchor", "key", "place").join(recurring, "anchor").select("key", F.col("place").bitwiseOR(mark).alias("place"))
-    texts = docs.join(places.groupBy("key").agg(F.collect_set("place").alias("places")), "key").select("text", "places", "key", "check")
+    texts = docs.join(places.groupBy("key").agg(F.collect_set("place").alias("places")), "key").select("doc", "places", "key", "check")
     spans = _shards(_segment_texts(texts, size), size)
     found = _segment_places(texts, size).join(spans, "name")
-    found = found.select("key", "check", F.array(F.col("start") + F.col("first"), F.col("start") + F.col("last")).alias("span"))
-    return found.groupBy("key", "check").agg(F.flatten(F.collect_set("span")).alias("spans"))
+    span = F.array(F.col("start") + F.col("first"), F.col("start") + F.col("last"))
+    return found.groupBy("key").agg(F.collect_set(F.struct("check", span.alias("span"))).alias("found"))
 
 
-def _with_removed(docs: DataFrame, size: int) -> DataFrame:
-    keyed = _keyed(docs)
-    return keyed.join(repeated_spans(keyed, size), ["key", "check"], "left").select("doc_id", "key", "text", "spans")
+def _with_spans(keyed: DataFrame, size: int) -> DataFrame:
+    """doc and spans (first word, end; as a flat list) of each document."""
+    own = F.filter("found", lambda f: f["check"] == F.col("check"))
+    return keyed.join(repeated_spans(keyed, size), "key", "left").select("doc", F.flatten(F.transform(own, lambda f: f["span"])).alias("spans"))
 
 
 def _removed(places: pa.Array, found: Words) -> np.ndarray:
@@ -283,35 +286,33 @@ def remove_repeats(docs: DataFrame, size: int = 35) -> DataFrame:
     """doc_id, n_words, n_removed and kept_text (words that stay, joined by a space) of each document."""
 
     def remove(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for row, end, data, offsets in text_slices(batch.column(2)):
+        ids, texts = (pc.struct_field(batch.column(0), name) for name in ("doc_id", "text"))
+        for row, end, data, offsets in text_slices(texts):
             found = find_words(data, offsets)
-            gone = _removed(batch.column(3).slice(row, end - row), found)
+            gone = _removed(batch.column(1).slice(row, end - row), found)
             kept = joined(data, found, ~gone)
             lost = np.r_[0, np.cumsum(gone)]
-            columns = [batch.column(0).slice(row, end - row), pa.array(found.counts, pa.int64()), pa.array(lost[found.of[1:]] - lost[found.of[:-1]], pa.int64())]
-            texts = pa.array(kept, pa.binary()).cast(pa.string())
+            columns = [ids.slice(row, end - row), pa.array(found.counts, pa.int64()), pa.array(lost[found.of[1:]] - lost[found.of[:-1]], pa.int64())]
             digests = pa.array([hashlib.sha256(text).hexdigest() for text in kept])
-            yield pa.RecordBatch.from_arrays([*columns, texts, digests], ["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(kept, pa.binary()).cast(pa.string()), digests], ["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(_with_removed(docs, size), remove, f"doc_id {kind}, n_words long, n_removed long, kept_text string, kept_sha256 string")
+    return map_batches(_with_spans(_keyed(docs, "doc_id", "text"), size), remove, f"doc_id {kind}, n_words long, n_removed long, kept_text string, kept_sha256 string")
 
 
 def cut_repeats(docs: DataFrame, size: int = 35) -> DataFrame:
     """All columns and rows of documents, with the repeated words cut out of ``text``, and ``n_chars``, if there, its new length.
 
     What stays keeps its white space; a text without repeated words is not changed."""
-    keyed = _keyed(docs)
-    whole = docs.select(names.first_hash(docs).alias("key"), _check(docs).alias("check"), F.struct("*").alias("doc"))
-    rows = whole.join(repeated_spans(keyed, size), ["key", "check"], "left").select("doc.*", F.col("spans").alias("_repeated_spans"))
+    columns = docs.columns
+    at = columns.index("text")
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        columns = batch.schema.names[:-1]
+        whole = batch.column(0).flatten()
         texts, lengths = [], []
-        at = columns.index("text")
-        for row, end, data, offsets in text_slices(batch.column(at)):
+        for row, end, data, offsets in text_slices(whole[at]):
             found = find_words(data, offsets)
-            gone = _removed(batch.column(len(columns)).slice(row, end - row), found)
+            gone = _removed(batch.column(1).slice(row, end - row), found)
             last = np.repeat(offsets[1:], found.counts)
             until = np.minimum(np.r_[found.starts[1:], len(data)], last)  # a word goes with the white space after it
             stays = ~covered(len(data), found.starts[gone], until[gone])
@@ -321,10 +322,10 @@ def cut_repeats(docs: DataFrame, size: int = 35) -> DataFrame:
             lengths.append(characters[cuts[1:]] - characters[cuts[:-1]])
             kept = left.tobytes()
             texts += [kept[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        new = {"text": pa.array(texts, pa.binary(), mask=batch.column(at).is_null().to_numpy(zero_copy_only=False)).cast(pa.string())}
+        new = {"text": pa.array(texts, pa.binary(), mask=whole[at].is_null().to_numpy(zero_copy_only=False)).cast(pa.string())}
         if "n_chars" in columns:
-            old = batch.column(columns.index("n_chars"))
-            new["n_chars"] = pc.if_else(batch.column(at).is_null(), old, pa.array(np.concatenate([np.zeros(0, np.int64), *lengths])).cast(old.type))
-        yield pa.RecordBatch.from_arrays([new.get(name, batch.column(i)) for i, name in enumerate(columns)], columns)
+            old = whole[columns.index("n_chars")]
+            new["n_chars"] = pc.if_else(whole[at].is_null(), old, pa.array(np.concatenate([np.zeros(0, np.int64), *lengths])).cast(old.type))
+        yield pa.RecordBatch.from_arrays([new.get(name, whole[i]) for i, name in enumerate(columns)], columns)
 
-    return map_batches(rows, cut, docs.schema)
+    return map_batches(_with_spans(_keyed(docs, "*"), size), cut, docs.schema)
