@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 from pathlib import Path
 
@@ -215,6 +216,68 @@ def test_days_are_pruned_after_a_rewrite(spark, tmp_path):
     assert len(scans) == 2 and all("day" in line.split("PartitionFilters: [")[1].split("]")[0] for line in scans)
 
 
+def test_few_duplicates_are_listed_and_many_rewritten(spark, tmp_path):
+    """Rows taken out of long files in several rounds, against a plain list; equal rows, null keys, titles and times."""
+    news = store.NewsStore(spark, f"file://{tmp_path}")
+    order = ["collection_timestamp", "title"]
+    pick = random.Random(5)
+    plain = []
+
+    def append(rows):
+        kind = "url string, title string, collection_timestamp timestamp_ntz"
+        news.append_articles(spark.createDataFrame(rows, kind), F.lit("r"), F.col("collection_timestamp"))
+        plain.extend(rows)
+
+    def first_rows():
+        least = {}
+        for url, title, time in plain:
+            rank = (time is not None, time or datetime.min, title is not None, title or "")
+            mine = rank, (url, title, time)
+            least[url] = min(least.get(url, mine), mine, key=lambda x: x[0])
+        return [row for _, row in least.values()]
+
+    def told(rows):
+        return sorted(map(repr, rows))
+
+    def rewritten():
+        return {p.split("/")[1] for p in stored_files(tmp_path / "collected_articles.rewrites")}
+
+    append([(f"u{n}", f"t{n}", datetime(2026, 1, 1 + n % 2, 1)) for n in range(600)])
+    append([(f"u{n * 7}", pick.choice(["a", None]), datetime(2026, 1, 1 + n % 2, pick.randrange(3))) for n in range(40)])
+    append([(None, "x", datetime(2026, 1, 1, 5)), (None, None, datetime(2026, 1, 2, 5)), ("n", "y", None), ("n", "y", None), ("u3", "z", None)])
+    files = stored_files(tmp_path / "collected_articles")
+    for fresh in ([], [(f"u{n}", "again", datetime(2026, 1, 1 + n % 2, 0)) for n in range(80, 100)]):
+        if fresh:
+            append(fresh)
+        wanted = first_rows()
+        assert news.remove_duplicates("collected_articles", "url", *order) == len(plain) - len(wanted) > 0
+        plain[:] = wanted
+        assert told((r.url, r.title, r.collection_timestamp) for r in news.read("collected_articles").collect()) == told(wanted)
+        assert news.remove_duplicates("collected_articles", "url", *order) == 0
+        assert not rewritten() and set(files) <= set(stored_files(tmp_path / "collected_articles"))
+    # the first day loses a quarter, counted with the places listed before
+    append([(f"u{n * 2}", None, datetime(2026, 1, 1, 0)) for n in range(100)])
+    wanted = first_rows()
+    assert news.remove_duplicates("collected_articles", "url", *order) == len(plain) - len(wanted)
+    assert told((r.url, r.title, r.collection_timestamp) for r in news.read("collected_articles").collect()) == told(wanted)
+    assert rewritten() == {"day=2026-01-01"}
+
+
+def test_writing_and_removing_leave_no_shuffle_files(spark, tmp_path):
+    """They would take the disk of every text that was moved until the driver collects garbage."""
+    def shuffles():
+        folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {str(f) for folder in folders for f in Path(folder.getPath()).rglob("shuffle_*.data")}
+
+    rows = spark.range(5000).select(F.concat(F.lit("u"), F.col("id") % 4900).alias("url"), F.repeat(F.col("id").cast("string"), 50).alias("title"))
+    before = shuffles()
+    news = store.NewsStore(spark, f"file://{tmp_path}")
+    news.append_articles(rows, F.lit("r"), at("2026-01-01 00:00:00"))
+    assert news.remove_duplicates("collected_articles", "url", "collection_timestamp", "title") == 100
+    assert not shuffles() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_sketches_of_days(spark):
     """Merged sketches stay within their error bound, whatever the days share."""
     rows = spark.range(60_000).select(
