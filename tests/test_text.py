@@ -70,6 +70,30 @@ def test_rules_shuffle_partial_sums_only(spark, data):
     assert plan.count("Exchange hashpartitioning") == 1 and "Window" not in plan
 
 
+def test_rules_with_a_lexicon_of_unknown_or_large_size(spark):
+    """A lexicon that only seems large moves no words; a large one moves those it may hold. Repeated and null words, ids and values."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    pick = random.Random(4)
+    vocabulary = ["w1", "W1", "wa", "WA", "wb", "very", "NOT", "not", "but", "plain", "x"]
+    texts = [" ".join(pick.choice(vocabulary) + pick.choice(["", "!", "??"]) for _ in range(pick.randrange(9))) for _ in range(200)] + ["", None, "plain", "WA WB"]
+    docs = spark.createDataFrame([(None if n % 50 == 7 else n // 2, t) for n, t in enumerate(texts)], "id int, t string")
+    few = spark.createDataFrame([("wa", 2.0), ("wb", -1.5), ("wb", 0.5), ("w", None), ("plain", None), (None, 3.0), ("but", 0.25)], "word string, val double")
+    wanted = sorted(map(str, text.sentiment_by_rules(docs, "id", "t", few).collect()))
+    many = spark.range(2_000_000).where("id % 500000 = 1").select(F.concat(F.lit("none"), F.col("id")).alias("word"), F.lit(1.0).alias("val"))
+    rows = text.sentiment_by_rules(docs, "id", "t", few.union(many))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
+    assert sorted(map(str, rows.collect())) == wanted
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = text.sentiment_by_rules(docs, "id", "t", few)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "getbit" in plan and "LeftOuter" not in plan
+        assert sorted(map(str, rows.collect())) == wanted
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_large_lexicon_without_broadcast(spark):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     few = scores(spark, ["w1 w2 not w3", "x"], [(f"w{i}", float(i)) for i in range(10)])

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wirelake.functions.words import cased_words, sentences, words
+from wirelake.operators.filters import may_be_among
+from wirelake.session import scratch_path, shuffles_removed
 
 # Published method (rule-based social-media sentiment, 2014): weight of a negated word, and the constant that
 # maps a sum of word values into [-1, 1].
@@ -233,8 +235,13 @@ def sentiment_by_rules(docs: DataFrame, id_col: str, text_col: str, lexicon: Dat
     it moves the value away from zero or, with a negative weight, towards it; the further off, the less. A negator among them
     turns it round, once. Values before the first contrast word count less, those after it more. Exclamation marks, up to a
     number, and repeated question marks strengthen the sum of the text. Each word carries the words before it along, so
-    with a lexicon that Spark broadcasts, nothing but one partial sum per text is shuffled. A missing or empty text, and one without a known word, is neutral.
+    with a lexicon that Spark broadcasts, nothing but one partial sum per text is shuffled. A lexicon of which Spark can't say
+    so is stored first, which tells its size; if that is too large, the words that pass a Bloom filter of the lexicon are
+    shuffled, with their weights only. A missing or empty text, and one without a known word, is neutral.
     """
+    lexicon = lexicon.select("word", "val")
+    if not _small(lexicon):
+        lexicon = _written(lexicon)
     reach = len(rules.decay)
     text = F.col(text_col)
     lists = docs.select(
@@ -253,22 +260,44 @@ def sentiment_by_rules(docs: DataFrame, id_col: str, text_col: str, lexicon: Dat
     tokens = tokens.select(
         id_col, "_marks", "_turn", "_mixed", (F.col("_place") + 1).alias("_place"), F.col("_token.word").alias("_cased"),
         F.lower("_token.word").alias("word"), *[F.lower(f"_token.{p}").alias(p) for p in names])
-    known = tokens.join(lexicon.select("word", "val"), "word", "left")
 
     table = F.map_from_arrays(F.array(*[F.lit(w) for w in rules.boosters]), F.array(*[F.lit(float(x)) for x in rules.boosters.values()]))
     boosts = [F.coalesce(F.try_element_at(table, F.col(p)), F.lit(0.0)) * weight for p, weight in zip(names, rules.decay, strict=True)]
-    strong = F.col("val") + F.when(F.col("_mixed") & _in_capitals(F.col("_cased")), F.signum("val") * rules.capitals).otherwise(0.0)
-    moved = strong + F.signum(strong) * reduce(add, boosts)
     negated = reduce(or_, [F.coalesce(F.col(p).isin(*rules.negators), F.lit(False)) for p in names])
-    turned = F.when(negated, moved * NEGATED).otherwise(moved)
     side = F.when((F.col("_turn") == 0) | (F.col("_place") == F.col("_turn")), 1.0).when(
         F.col("_place") < F.col("_turn"), rules.before_contrast).otherwise(rules.after_contrast)
-    sums = known.groupBy(id_col, "_marks").agg(F.coalesce(F.sum(F.when(F.col("val").isNotNull(), turned * side)), F.lit(0.0)).alias("_sum"))
+    weights = [
+        F.when(F.col("_mixed") & _in_capitals(F.col("_cased")), rules.capitals).otherwise(0.0).alias("_loud"), reduce(add, boosts).alias("_boost"),
+        F.when(negated, NEGATED).otherwise(1.0).alias("_turned"), side.alias("_side")]
+    if _small(lexicon):
+        known = tokens.join(lexicon, "word", "left").select(id_col, "_marks", "val", *weights)
+    else:
+        near = tokens.where(may_be_among("word", lexicon, "word", lexicon.count())).select(id_col, "_marks", "word", *weights)
+        found = near.join(lexicon, "word").select(id_col, "_marks", "val", "_loud", "_boost", "_turned", "_side")
+        none = [F.lit(None).cast("double").alias(c) for c in ("val", "_loud", "_boost", "_turned", "_side")]
+        known = found.union(lists.select(id_col, "_marks", *none))  # each text, if it has a known word or not
+    strong = F.col("val") + F.when(F.col("_loud") != 0, F.signum("val") * F.col("_loud")).otherwise(0.0)
+    moved = (strong + F.signum(strong) * F.col("_boost")) * F.col("_turned")
+    sums = known.groupBy(id_col, "_marks").agg(F.coalesce(F.sum(F.when(F.col("val").isNotNull(), moved * F.col("_side"))), F.lit(0.0)).alias("_sum"))
     total = F.col("_sum") + F.signum("_sum") * F.coalesce("_marks", F.lit(0.0))
     scored = sums.select(id_col, F.round(total / F.sqrt(total * total + SPREAD), 6).alias("score"))
     return scored.withColumn("sentiment", sentiment_label(F.col("score")))
 
 
+def _small(df: DataFrame) -> bool:
+    """Whether Spark broadcasts these rows, by their size as far as it knows that before they are made."""
+    bound = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= bound
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """The same rows, stored in the shared scratch folder, so that they are made once and Spark knows their size."""
+    path = scratch_path(df.sparkSession, "lexicon")
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _in_capitals(word: Column) -> Column:
     return F.rlike(word, F.lit(r"^\p{Lu}{2,}$"))
 
